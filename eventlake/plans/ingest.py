@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,6 @@ from eventlake.schema import (
     PARTITION_COLUMN,
     RAW_COLUMN,
     RAW_SCHEMA,
-    REASON_COLUMN,
     require_id_column,
 )
 from eventlake.settings import MergeSettings
@@ -132,26 +131,42 @@ def merge_dead_letters(
 ) -> int:
     """Insert dead letters not stored yet, keyed by (partition, offset); returns how many.
 
-    Records without full coordinates cannot come from a log; they are keyed by their content
-    too, null matching null, so that neither a replay nor a missing offset loses or doubles one.
+    A record without full coordinates cannot come from a log; it is keyed by its content as well,
+    null matching null, so that a replay does not double it and no other record replaces it.
     """
-    complete = F.col(PARTITION_COLUMN).isNotNull() & F.col(OFFSET_COLUMN).isNotNull()
-    letters = letters.persist(StorageLevel.MEMORY_AND_DISK)
+    placed = F.col(PARTITION_COLUMN).isNotNull() & F.col(OFFSET_COLUMN).isNotNull()
+    loose_text = "looseText"
+    letters = (
+        letters.withColumn(loose_text, F.when(~placed, F.col(RAW_COLUMN)))
+        .dropDuplicates([*COORDINATES, loose_text])
+        .drop(loose_text)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    loose_keys = [*COORDINATES, RAW_COLUMN]
     try:
-        placed = letters.where(complete).dropDuplicates(COORDINATES)
-        inserted = merge_insert(
-            table, placed, COORDINATES, broadcast_bytes=broadcast_bytes
-        ).inserted_rows
-        loose = letters.where(~complete)
-        if not loose.isEmpty():
-            keys = [*COORDINATES, RAW_COLUMN, REASON_COLUMN]
+        in_log, loose = _measure(
+            letters,
+            profile_columns(table, COORDINATES, placed),
+            profile_columns(table, loose_keys, ~placed),
+        )
+        inserted = 0
+        if in_log["rows"]:
+            inserted += merge_insert(
+                table,
+                letters.where(placed),
+                COORDINATES,
+                broadcast_bytes=broadcast_bytes,
+                profile=SourceProfile(**in_log),
+            ).inserted_rows
+        if loose["rows"]:
             inserted += merge_insert(
                 table,
-                loose.dropDuplicates(keys),
-                keys,
+                letters.where(~placed),
+                loose_keys,
                 null_safe=True,
-                target_filter=~complete,
+                target_filter=~placed,
                 broadcast_bytes=broadcast_bytes,
+                profile=SourceProfile(**loose),
             ).inserted_rows
         return inserted
     finally:
@@ -161,10 +176,20 @@ def merge_dead_letters(
 def _profile(table: LakeTable, batch: DataFrame) -> tuple[SourceProfile, int, int]:
     """Measure the batch in one pass: the merge profile, rows read, rows valid."""
     has_id = F.col(ID_COLUMN).isNotNull()
-    columns = profile_columns(table, [ID_COLUMN], has_id)
-    columns["read"] = F.coalesce(F.sum(COPIES_COLUMN), F.lit(0))
-    columns["valid"] = F.coalesce(F.sum(F.when(has_id, F.col(COPIES_COLUMN))), F.lit(0))
-    row = batch.agg(*[c.alias(n) for n, c in columns.items()]).first().asDict()
-    known = {f.name for f in fields(SourceProfile)}
-    profile = SourceProfile(**{k: v for k, v in row.items() if k in known})
-    return profile, row["read"], row["valid"]
+    copies = F.col(COPIES_COLUMN)
+    profile, counts = _measure(
+        batch,
+        profile_columns(table, [ID_COLUMN], has_id),
+        {
+            "read": F.coalesce(F.sum(copies), F.lit(0)),
+            "valid": F.coalesce(F.sum(F.when(has_id, copies)), F.lit(0)),
+        },
+    )
+    return SourceProfile(**profile), counts["read"], counts["valid"]
+
+
+def _measure(frame: DataFrame, *groups: dict[str, Column]) -> list[dict]:
+    """Evaluate several sets of named aggregates in one job."""
+    columns = [c.alias(f"{i}_{name}") for i, g in enumerate(groups) for name, c in g.items()]
+    row = frame.agg(*columns).first()
+    return [{name: row[f"{i}_{name}"] for name in g} for i, g in enumerate(groups)]

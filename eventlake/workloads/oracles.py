@@ -72,7 +72,7 @@ ORACLES: dict[str, str] = {
         FROM events WHERE event_type <> 'error'""",
     "merge_cross_window": f"""
         WITH {FEED}, moved AS (
-            SELECT * REPLACE (millis + delivery * 400 * 86400000 AS millis) FROM feed)
+            SELECT * REPLACE (millis + CAST(delivery AS BIGINT) * 400 * 86400000 AS millis) FROM feed)
         SELECT {FIELDS}, {TIMES} FROM moved WHERE event_type <> 'error'""",
     "merge_null_dates": f"""
         WITH {FEED}, untimed AS (

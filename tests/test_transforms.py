@@ -1,0 +1,211 @@
+"""Parsing, enrichment, the dead-letter split and duplicates inside a batch."""
+
+import datetime
+
+import pytest
+from conftest import DAY1, event, ids
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from eventlake.operators import (
+    clickstream_events,
+    dead_letters,
+    dedupe_events,
+    enrich_events,
+    parse_events,
+)
+from eventlake.schema import EVENT_SCHEMA
+
+
+def test_canonical_record(raw):
+    rows = parse_events(raw([event("e1")])).collect()
+    assert [(r.eventId, r.eventType, r.kafkaPartition, r.kafkaOffset) for r in rows] == [
+        ("e1", "click", 0, 0)
+    ]
+
+
+def test_unknown_field_is_ignored(raw):
+    parsed = parse_events(raw([event("e1", sessionId="s-99")]))
+    assert parsed.columns == ["kafkaPartition", "kafkaOffset", *EVENT_SCHEMA.fieldNames()]
+    assert ids(parsed) == ["e1"]
+
+
+def test_longer_schema_lets_a_new_field_through(raw):
+    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("sessionId", T.StringType())])
+    assert parse_events(raw([event("e1", sessionId="s-99")]), schema).first().sessionId == "s-99"
+
+
+@pytest.mark.parametrize("value", ["not-json-at-all", '{"userId":"u4","eventType":"click"}'])
+def test_records_without_id_are_dropped(raw, value):
+    assert parse_events(raw([value])).count() == 0
+
+
+EDGE_RECORDS = [
+    ('{"eventId":"b","amount":"abc","timestamp":5}', ("b", None, 5)),
+    ('{"eventId":"c","timestamp":"5"}', ("c", None, None)),
+    ('{"eventId":"c","timestamp":5.5}', ("c", None, None)),
+    ('{"eventId":7,"timestamp":5}', ("7", None, 5)),
+    ('{"eventId":"","timestamp":5}', ("", None, 5)),
+    ('{"eventId":{"x":1},"timestamp":5}', ('{"x":1}', None, 5)),
+    ('{"eventId":"h","eventId":"h2"}', ("h2", None, None)),
+    ('{"eventId":"f"} trailing', ("f", None, None)),
+    ('{"eventId":"only"}', ("only", None, None)),
+]
+
+
+@pytest.mark.parametrize(("value", "expected"), EDGE_RECORDS)
+def test_edge_records_that_are_valid(raw, value, expected):
+    row = parse_events(raw([value])).first()
+    assert (row.eventId, row.amount, row.timestamp) == expected
+    assert dead_letters(raw([value])).count() == 0
+
+
+DEAD_RECORDS = [
+    (None, "null value"),
+    ("", "empty value"),
+    ("   ", "empty value"),
+    ("\n\t", "unparseable or missing eventId"),
+    ("not json", "unparseable or missing eventId"),
+    ('[{"eventId":"d","timestamp":5}]', "unparseable or missing eventId"),
+    ('{"eventId":"e"', "unparseable or missing eventId"),
+    ('{"eventId":null}', "unparseable or missing eventId"),
+    ('{"eventid":"g"}', "unparseable or missing eventId"),
+]
+
+
+@pytest.mark.parametrize(("value", "reason"), DEAD_RECORDS)
+def test_edge_records_that_are_dead(raw, value, reason):
+    row = dead_letters(raw([value])).first()
+    assert (row.rawValue, row.errorReason) == (value, reason)
+    assert parse_events(raw([value])).count() == 0
+
+
+def test_split_is_a_complement(raw):
+    batch = raw([(event("ok"), 0, 1), ("not json", 0, 2), ('{"userId":"u"}', 1, 3)])
+    assert ids(parse_events(batch)) == ["ok"]
+    letters = dead_letters(batch)
+    assert letters.columns == [
+        "kafkaPartition", "kafkaOffset", "rawValue", "errorReason", "ingestTime",
+    ]
+    assert {r.kafkaOffset for r in letters.collect()} == {2, 3}
+
+
+def test_no_dead_letters_when_all_valid(raw):
+    assert dead_letters(raw([event("a"), event("b")])).count() == 0
+
+
+json_values = st.recursive(
+    st.none() | st.booleans() | st.integers() | st.floats() | st.text(max_size=8),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.text(max_size=5), inner),
+    max_leaves=6,
+)
+records = st.one_of(
+    st.none(),
+    st.text(max_size=20),
+    st.sampled_from([v for v, _ in EDGE_RECORDS + DEAD_RECORDS]),
+    st.fixed_dictionaries(
+        {},
+        optional={
+            "eventId": json_values,
+            "userId": json_values,
+            "amount": json_values,
+            "timestamp": json_values,
+        },
+    ).map(lambda d: __import__("json").dumps(d)),
+)
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(values=st.lists(records, min_size=40, max_size=80))
+def test_every_record_has_exactly_one_fate(raw, values):
+    values = [v if v is None else v.encode("utf-8", "replace").decode() for v in values]
+    batch = raw(values)
+    valid = [r.kafkaOffset for r in parse_events(batch).select("kafkaOffset").collect()]
+    letters = [r.kafkaOffset for r in dead_letters(batch).select("kafkaOffset").collect()]
+    assert sorted(valid + letters) == list(range(len(values)))
+
+
+def test_event_time_and_date(raw):
+    row = enrich_events(parse_events(raw([event("e", DAY1)]))).first()
+    assert row.eventTime == datetime.datetime(2024, 7, 3, 9, 46, 40)
+    assert row.eventDate == datetime.date(2024, 7, 3)
+    assert row.ingestTime is not None
+
+
+def test_enrich_drops_rows_without_id(spark):
+    columns = "kafkaPartition int, kafkaOffset long, eventId string, timestamp long"
+    frame = spark.createDataFrame([(0, 1, None, DAY1), (0, 2, "a", DAY1)], columns)
+    assert ids(enrich_events(frame)) == ["a"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_event_date_is_utc_in_every_session_zone(spark, raw, zone):
+    # 23:59:59.999 and 00:00:00 around a UTC midnight, and one millisecond before the epoch.
+    stamps = {1_704_067_199_999: "2023-12-31", 1_704_067_200_000: "2024-01-01", -1: "1969-12-31"}
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = enrich_events(parse_events(raw([event(str(t), t) for t in stamps])))
+        got = {r.timestamp: str(r.eventDate) for r in frame.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == stamps
+
+
+def test_out_of_range_timestamp_gives_null_time(raw):
+    row = clickstream_events(raw([event("big", 2**63 - 1)])).first()
+    assert (row.eventId, row.eventTime, row.eventDate) == ("big", None, None)
+
+
+def test_duplicates_in_batch_collapse_to_the_first(raw):
+    batch = raw(
+        [
+            (event("dup", url="/late"), 1, 7),
+            (event("dup", url="/first"), 0, 9),
+            (event("dup", url="/second"), 0, 10),
+            event("uniq"),
+        ]
+    )
+    rows = {r.eventId: r for r in dedupe_events(parse_events(batch)).collect()}
+    assert set(rows) == {"dup", "uniq"}
+    assert (rows["dup"].url, rows["dup"].kafkaOffset) == ("/first", 9)
+
+
+def test_map_fields_can_be_deduplicated(raw):
+    tags = T.StructField("tags", T.MapType(T.StringType(), T.StringType()))
+    schema = T.StructType([*EVENT_SCHEMA.fields, tags])
+    batch = raw([event("a", tags={"k": "1"}), event("a", tags={"k": "2"})])
+    assert clickstream_events(batch, schema).first().tags == {"k": "1"}
+
+
+def test_hot_id_matches_brute_force(spark):
+    """One id on a third of 60,000 records, checked against a plain loop."""
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("e"), "id"))
+    batch = spark.range(n).select(
+        F.to_json(F.struct(key.alias("eventId"), F.col("id").alias("timestamp")))
+        .cast("binary").alias("value"),
+        F.lit(0).alias("partition"),
+        (F.lit(n) - F.col("id")).alias("offset"),
+    )
+    expected = {}
+    for i in range(n):
+        name = "hot" if i % 3 == 0 else f"e{i}"
+        expected[name] = max(i, expected.get(name, -1))  # the smallest offset is the largest i
+    got = {r.eventId: r.timestamp for r in clickstream_events(batch).collect()}
+    assert got == expected
+
+
+def test_copies_are_merged_before_the_shuffle(raw):
+    plan = dedupe_events(parse_events(raw([event("a")])))._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert physical.index("partial_min") > physical.index("Exchange hashpartitioning(eventId")
+    assert physical.count("Exchange") == 1
+
+
+def test_records_are_parsed_once(raw):
+    plan = clickstream_events(raw([event("a")]))._jdf.queryExecution().toString()
+    assert plan[plan.index("== Physical Plan ==") :].count("from_json") == 1
