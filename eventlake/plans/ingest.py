@@ -72,6 +72,9 @@ def dead_letter_table(
 ) -> LakeTable:
     """The dead-letter table at ``path``, made if absent; unpartitioned."""
     table = LakeTable(spark, path, None, COORDINATES, rows_per_file)
+    if table.exists():
+        recover(table)
+        return table
     return table.ensure(DEAD_LETTER_SCHEMA)
 
 

@@ -48,24 +48,29 @@ def is_due(batch_id: int, maintenance: MaintenanceSettings) -> bool:
 
 
 def maintain(table: LakeTable, maintenance: MaintenanceSettings) -> Compaction:
-    """Compact, clustered on the configured column if there is one, then reclaim space.
+    """Compact, clustered on the configured column if the table has it, then reclaim space.
 
     A retention below a week is taken from the settings as it stands: someone set it on purpose.
     """
-    done = compact(table, maintenance.zorder_column or None)
+    column = maintenance.zorder_column
+    done = compact(table, column if column in table.schema().fieldNames() else None)
     vacuum(table, maintenance.vacuum_retention_hours, allow_short=True)
     return done
 
 
 def partition_files(spark: SparkSession, table: LakeTable) -> DataFrame:
-    """Data files and bytes per partition directory, from the file listing alone."""
+    """Data files and bytes per partition directory, from the file listing alone.
+
+    The directory of an unpartitioned table is the empty name.
+    """
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .load(table.path)
     )
-    directory = F.element_at(F.split("path", "/"), -2)
+    parent = F.element_at(F.split("path", "/"), -2)
+    directory = parent if table.partition_column else F.lit("")
     return listing.groupBy(directory.alias("directory")).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("size")
     )
@@ -81,8 +86,9 @@ def compact(
     """Rewrite the partitions that hold more files than their size calls for.
 
     Rows are range-partitioned by (partition column, cluster column) and sorted, so each new file
-    covers a narrow key range and a lookup skips the others. Partitions are taken in groups of
-    about ``group_bytes``; each group is one Spark job and is swapped in before the next starts.
+    covers a narrow key range and a lookup skips the others. Without a cluster column the table's
+    own cluster columns are used. Partitions are taken in groups of about ``group_bytes``; each
+    group is one Spark job and is swapped in before the next starts.
     """
     recover(table)
     wanted = [
@@ -101,13 +107,11 @@ def recover(table: LakeTable) -> None:
     A partition whose old files have begun to move is finished forward; anything else staged is
     dropped, since the table still holds all of its rows.
     """
-    for run in table.folder.directories(STAGING_DIR):
-        for name in table.folder.directories(f"{STAGING_DIR}/{run}"):
-            if name.startswith(f"{table.partition_column}=") and table.folder.exists(
-                f"{OLD_DIR}/{run}/{name}"
-            ):
-                _finish_swap(table, run, name)
-        table.folder.remove(f"{STAGING_DIR}/{run}")
+    for run in table.folder.names(STAGING_DIR):
+        for directory in _staged(table, run):
+            if table.folder.exists(_join(OLD_DIR, run, directory)):
+                _swap(table, run, directory)
+        table.folder.remove(_join(STAGING_DIR, run))
 
 
 def vacuum(
@@ -123,20 +127,15 @@ def vacuum(
             "pass allow_short=True if no reader can be that old"
         )
     limit = _now() - datetime.timedelta(hours=retention_hours)
-    expired = [run for run in table.folder.directories(OLD_DIR) if _started(run) <= limit]
+    expired = [run for run in table.folder.names(OLD_DIR) if _started(run) <= limit]
     for run in expired:
         table.folder.remove(f"{OLD_DIR}/{run}")
     return len(expired)
 
 
 def _partitions(table: LakeTable) -> list[Partition]:
-    prefix = f"{table.partition_column}="
-    rows = (
-        partition_files(table.spark, table)
-        .where(F.col("directory").startswith(prefix))
-        .orderBy("directory")
-    )
-    return [Partition(**row.asDict()) for row in rows.collect()]
+    rows = partition_files(table.spark, table).orderBy("directory").collect()
+    return [Partition(**row.asDict()) for row in rows]
 
 
 def _groups(partitions: list[Partition], group_bytes: int) -> Iterator[list[Partition]]:
@@ -154,31 +153,60 @@ def _rewrite(
     table: LakeTable, group: list[Partition], cluster_column: str | None, target_file_bytes: int
 ) -> None:
     run = f"{_now().strftime(_RUN_FORMAT)}-{uuid.uuid4().hex[:8]}"
-    order = [c for c in (table.partition_column, cluster_column) if c]
+    cluster = [cluster_column] if cluster_column else table.cluster_columns
+    order = [c for c in (table.partition_column, *cluster) if c]
     tasks = max(1, math.ceil(sum(p.size for p in group) / target_file_bytes))
-    (
+    writer = (
         table.scan_directories([p.directory for p in group])
         .repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .write.option("mapreduce.output.basename", _file_prefix(run))
-        .partitionBy(table.partition_column)
-        .parquet(f"{table.path}/{STAGING_DIR}/{run}")
     )
+    if table.partition_column:
+        writer = writer.partitionBy(table.partition_column)
+    writer.parquet(f"{table.path}/{STAGING_DIR}/{run}")
     for p in group:
-        table.folder.move(p.directory, f"{OLD_DIR}/{run}/{p.directory}")
-        table.folder.move(f"{STAGING_DIR}/{run}/{p.directory}", p.directory)
-    table.folder.remove(f"{STAGING_DIR}/{run}")
-
-
-def _finish_swap(table: LakeTable, run: str, name: str) -> None:
-    """Carry on a swap file by file, where a directory rename may have stopped half-way."""
-    rewritten = _file_prefix(run)
-    for file in table.folder.files(name):
-        if not file.startswith(rewritten):
-            table.folder.move(f"{name}/{file}", f"{OLD_DIR}/{run}/{name}/{file}")
-    for file in table.folder.files(f"{STAGING_DIR}/{run}/{name}"):
-        if not table.folder.exists(f"{name}/{file}"):
-            table.folder.move(f"{STAGING_DIR}/{run}/{name}/{file}", f"{name}/{file}")
+        _swap(table, run, p.directory)
+    table.folder.remove(_join(STAGING_DIR, run))
+
+
+def _swap(table: LakeTable, run: str, directory: str) -> None:
+    """Move a partition's old files away and its rewritten files in.
+
+    Whole directories are renamed where possible. It can be repeated from any point, then going
+    file by file: rewritten files carry the run in their names, so they are told from old ones,
+    and on an object store, where a rename copies, a finished copy is not made again.
+    """
+    folder = table.folder
+    old, staged = _join(OLD_DIR, run, directory), _join(STAGING_DIR, run, directory)
+    if directory and not folder.exists(old):
+        folder.move(directory, old)
+    folder.make(old)
+    for file in folder.visible(directory):
+        if file.endswith(".parquet") and not file.startswith(_file_prefix(run)):
+            _move_file(table, directory, old, file)
+    if directory and not folder.exists(directory):
+        folder.move(staged, directory)
+    for file in folder.visible(staged):
+        _move_file(table, staged, directory, file)
+
+
+def _move_file(table: LakeTable, source: str, target: str, file: str) -> None:
+    if table.folder.exists(_join(target, file)):
+        table.folder.remove(_join(source, file))
+    else:
+        table.folder.move(_join(source, file), _join(target, file))
+
+
+def _staged(table: LakeTable, run: str) -> list[str]:
+    if not table.partition_column:
+        return [""]
+    prefix = f"{table.partition_column}="
+    return [n for n in table.folder.names(_join(STAGING_DIR, run)) if n.startswith(prefix)]
+
+
+def _join(*names: str) -> str:
+    return "/".join(n for n in names if n)
 
 
 def _file_prefix(run: str) -> str:

@@ -40,8 +40,9 @@ def build_session(
 ) -> SparkSession:
     """A session for ingest, verification and upkeep.
 
-    ``shuffle_partitions`` is the starting width; adaptive execution merges small partitions and
-    splits skewed ones from there. Memory and executor counts belong to spark-submit.
+    ``shuffle_partitions`` is the least width of a shuffle. Adaptive execution starts from twice
+    the cluster's cores where that is more, merges small partitions and splits skewed ones.
+    Memory and executor counts belong to spark-submit.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -55,7 +56,10 @@ def build_session(
         builder = builder.config(f"spark.hadoop.{key}", value)
     if master:
         builder = builder.master(master)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    width = max(shuffle_partitions, 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", width)
+    return spark
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -2,17 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import SparkSession
 
 
-@dataclass(frozen=True)
-class Entry:
-    name: str
-    is_directory: bool
-
-
 class Folder:
     """A directory on any file system Spark can reach. Only metadata passes through here."""
 
@@ -25,26 +17,22 @@ class Folder:
     def exists(self, name: str = "") -> bool:
         return self._fs.exists(self._hadoop(name))
 
-    def entries(self, name: str = "") -> list[Entry]:
-        """Direct children in name order; empty when the directory is absent."""
+    def names(self, name: str = "") -> list[str]:
+        """Direct children in name order; none when the directory is absent."""
         if not self.exists(name):
             return []
-        found = [
-            Entry(status.getPath().getName(), status.isDirectory())
-            for status in self._fs.listStatus(self._hadoop(name))
-        ]
-        return sorted(found, key=lambda e: e.name)
-
-    def directories(self, name: str = "") -> list[str]:
-        return [e.name for e in self.entries(name) if e.is_directory]
-
-    def files(self, name: str = "") -> list[str]:
-        """Visible data files: names that Spark's readers do not skip."""
-        return [
-            e.name
-            for e in self.entries(name)
-            if not e.is_directory and not e.name.startswith(("_", "."))
-        ]
+        paths = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(
+            self._fs.listStatus(self._hadoop(name))
+        )
+        # One string for the whole listing: asking the JVM for each entry would take seconds
+        # on a table with years of dates.
+        listing = self._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)[1:-1]
+        base = self._fs.makeQualified(self._hadoop(name)).toString()
+        return sorted(f",{listing}".split(f",{base}/")[1:])
+
+    def visible(self, name: str = "") -> list[str]:
+        """Children that Spark's readers do not skip."""
+        return [n for n in self.names(name) if not n.startswith(("_", "."))]
 
     def make(self, name: str = "") -> None:
         self._fs.mkdirs(self._hadoop(name))

@@ -93,7 +93,8 @@ class LakeTable:
         return widened
 
     def _schema_versions(self) -> list[str]:
-        return [f"{SCHEMA_DIR}/{n}" for n in self.folder.files(SCHEMA_DIR) if n.endswith(".json")]
+        names = self.folder.visible(SCHEMA_DIR)
+        return [f"{SCHEMA_DIR}/{n}" for n in names if n.endswith(".json")]
 
     def _publish(self, schema: T.StructType, version: int) -> None:
         nullable = _nullable(schema)
@@ -122,15 +123,18 @@ class LakeTable:
 
     def scan_directories(self, names: Sequence[str]) -> DataFrame:
         """The rows of the named partition directories."""
-        return self._read([f"{self.path}/{name}" for name in names])
+        return self._read([f"{self.path}/{name}".rstrip("/") for name in names])
+
+    def directories(self) -> list[str]:
+        """The partition directories; the table itself, as an empty name, if unpartitioned."""
+        if not self.partition_column:
+            return [""]
+        return [n for n in self.folder.names() if n.startswith(f"{self.partition_column}=")]
 
     def _window_directories(self, low: str, high: str, with_null: bool) -> list[str]:
-        prefix = f"{self.partition_column}="
         chosen = []
-        for name in self.folder.directories():
-            value = name.removeprefix(prefix)
-            if not name.startswith(prefix):
-                continue
+        for name in self.directories():
+            value = name.removeprefix(f"{self.partition_column}=")
             if value == NULL_PARTITION:
                 if with_null:
                     chosen.append(name)

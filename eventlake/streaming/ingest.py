@@ -76,7 +76,8 @@ class ClickstreamIngest:
             log = AuditLog(spark, settings.storage.path_of(settings.audit.table_name))
             log.record(query_id, batch_id, counts, elapsed)
         if is_due(batch_id, settings.maintenance):
-            maintain(events, settings.maintenance)
+            for table in filter(None, (events, dead)):
+                maintain(table, settings.maintenance)
         return counts
 
     def run(self) -> None:

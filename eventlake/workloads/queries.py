@@ -391,7 +391,7 @@ class _Stream:
     def forget_last_commit(self) -> None:
         storage = self.settings.storage
         checkpoint = Folder(self.spark, storage.checkpoint_for(storage.table_name))
-        last = max(checkpoint.files("commits"), key=int)
+        last = max(checkpoint.visible("commits"), key=int)
         checkpoint.remove(f"commits/{last}")
 
     def events(self) -> LakeTable:

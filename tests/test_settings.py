@@ -119,7 +119,7 @@ def test_commands(spark, raw, tmp_path, command, capsys):
     assert command("verify") == 0
     assert "PASS" in capsys.readouterr().out
     assert command("maintain") == 0
-    assert len(table.folder.files("eventDate=2024-07-03")) == 1
+    assert len(table.folder.visible("eventDate=2024-07-03")) == 1
     table.append(clickstream_events(raw([event("e0")])), 1)
     assert command("verify") == 1
     assert "FAIL" in capsys.readouterr().out

@@ -36,7 +36,7 @@ class Lake:
 
     def forget_last_commit(self):
         folder = Folder(self.spark, f"{self.base}/ckpt/events")
-        last = max(folder.files("commits"), key=int)
+        last = max(folder.visible("commits"), key=int)
         folder.remove(f"commits/{last}")
         return int(last)
 
@@ -122,7 +122,7 @@ def test_half_written_batch_is_completed_by_replay(lake, raw):
     lake.ingest()
     before = sorted(map(tuple, lake.events.drop("ingestTime").collect()))
     folder = Folder(lake.spark, f"{lake.base}/events")
-    for name in [n for n in folder.directories() if n.startswith("eventDate=")][:2]:
+    for name in [n for n in folder.names() if n.startswith("eventDate=")][:2]:
         folder.remove(name)
     assert lake.events.count() == 30
     lake.forget_last_commit()
@@ -157,7 +157,7 @@ def test_upkeep_runs_inside_the_stream(spark, raw, tmp_path):
         lake.feed(raw([event(f"e{i}")]))
     lake.ingest()
     assert ids(lake.events) == ["e0", "e1", "e2", "e3"]
-    assert len(Folder(spark, f"{tmp_path}/events").files("eventDate=2024-07-03")) == 1
+    assert len(Folder(spark, f"{tmp_path}/events").visible("eventDate=2024-07-03")) == 1
 
 
 def test_processing_time_trigger_and_stop(spark, raw, tmp_path):

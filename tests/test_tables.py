@@ -9,12 +9,24 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import (
     clickstream_events,
+    dead_letters,
     distinct_ids,
     exactly_once,
     rows_per_date,
     top_event_types,
 )
-from eventlake.plans import compact, events_table, is_due, land_batch, maintain, recover, vacuum
+from eventlake.plans import (
+    compact,
+    dead_letter_table,
+    events_table,
+    is_due,
+    land_batch,
+    maintain,
+    merge_insert,
+    recover,
+    vacuum,
+)
+from eventlake.plans.ingest import merge_dead_letters
 from eventlake.plans.upkeep import partition_files
 from eventlake.schema import DEAD_LETTER_SCHEMA
 from eventlake.settings import MaintenanceSettings
@@ -140,8 +152,6 @@ def test_compact_widened_table(raw, events):
     for i in range(3):
         land_batch(raw([event(f"a{i}")]), events)
     batch = clickstream_events(raw([event("b")])).withColumn("channel", F.lit("web"))
-    from eventlake.plans import merge_insert
-
     merge_insert(events, batch, ["eventId"])
     compact(events, "eventId")
     got = {r.eventId: r.channel for r in events.scan().collect()}
@@ -151,14 +161,14 @@ def test_compact_widened_table(raw, events):
 def test_maintain_then_land(raw, fragmented):
     maintain(fragmented, MaintenanceSettings(enabled=True, vacuum_retention_hours=0))
     assert fragmented.scan().count() == 11
-    assert fragmented.folder.directories("_old") == []
+    assert fragmented.folder.names("_old") == []
     assert land_batch(raw([event("a0"), event("new")]), fragmented).rowsInserted == 1
 
 
 def test_vacuum_keeps_recent_files_and_guards_short_retention(fragmented):
     compact(fragmented, "eventId")
     assert vacuum(fragmented) == 0
-    assert len(fragmented.folder.directories("_old")) == 1
+    assert len(fragmented.folder.names("_old")) == 1
     with pytest.raises(ValueError, match="allow_short"):
         vacuum(fragmented, 1)
     assert vacuum(fragmented, 0, allow_short=True) == 1
@@ -167,7 +177,7 @@ def test_vacuum_keeps_recent_files_and_guards_short_retention(fragmented):
 
 def test_vacuum_frees_runs_older_than_the_retention(fragmented):
     compact(fragmented, "eventId")
-    (run,) = fragmented.folder.directories("_old")
+    (run,) = fragmented.folder.names("_old")
     old = (datetime.datetime.now(datetime.UTC) - datetime.timedelta(days=8)).strftime(
         "%Y%m%dT%H%M%S%fZ"
     )
@@ -187,28 +197,55 @@ def _stop_at_move(table, monkeypatch, n):
 
     monkeypatch.setattr(table.folder, "move", move)
     with pytest.raises(OSError, match="crash"):
-        compact(table, "eventId")
+        compact(table)
     monkeypatch.undo()
 
 
+def test_compact_dead_letters(raw, dead):
+    for i in range(4):
+        merge_dead_letters(dead_letters(raw([("bad", 0, i), ("worse", 1, i)])), dead)
+    before = sorted(map(tuple, dead.scan().collect()))
+    assert files(dead) == {"": 4}
+    maintain(dead, MaintenanceSettings(enabled=True, vacuum_retention_hours=0))
+    assert files(dead) == {"": 1}
+    assert sorted(map(tuple, dead.scan().collect())) == before
+    assert merge_dead_letters(dead_letters(raw([("bad", 0, 3), ("new", 0, 9)])), dead) == 1
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 5])
+def test_crash_while_swapping_dead_letters(spark, raw, dead, monkeypatch, n):
+    """Four old files move out, one comes in; the crash comes at the n-th move."""
+    for i in range(4):
+        merge_dead_letters(dead_letters(raw([("bad", 0, i)])), dead)
+    _stop_at_move(dead, monkeypatch, n)
+    reopened = dead_letter_table(spark, dead.path)
+    assert sorted(r.kafkaOffset for r in reopened.scan().collect()) == [0, 1, 2, 3]
+    assert reopened.folder.names("_staging") == []
+
+
 @pytest.mark.parametrize("n", [1, 2])
 def test_crash_while_swapping_loses_nothing(spark, raw, fragmented, monkeypatch, n):
     before = ids(fragmented.scan())
     _stop_at_move(fragmented, monkeypatch, n)
     reopened = events_table(spark, fragmented.path)
     assert ids(reopened.scan()) == before
-    assert reopened.folder.directories("_staging") == []
+    assert reopened.folder.names("_staging") == []
     assert land_batch(raw([event("a0"), event("z4")]), reopened).rowsInserted == 0
 
 
-def test_crash_in_the_middle_of_a_directory_move(fragmented, monkeypatch):
-    """Where a rename is not atomic, some old files may have moved and some not."""
+@pytest.mark.parametrize("keep_source", [False, True])
+def test_crash_in_the_middle_of_a_directory_move(fragmented, monkeypatch, keep_source):
+    """Where a rename is not atomic, some old files have moved, or were copied and not deleted."""
     before = ids(fragmented.scan())
     _stop_at_move(fragmented, monkeypatch, 1)
     name = "eventDate=2024-07-03"
-    (run,) = fragmented.folder.directories("_staging")
-    for file in fragmented.folder.files(name)[:2]:
-        fragmented.folder.move(f"{name}/{file}", f"_old/{run}/{name}/{file}")
+    (run,) = fragmented.folder.names("_staging")
+    old = f"{fragmented.path}/_old/{run}/{name}"
+    os.makedirs(old)
+    for file in fragmented.folder.visible(name)[:2]:
+        os.link(f"{fragmented.path}/{name}/{file}", f"{old}/{file}")
+        if not keep_source:
+            fragmented.folder.remove(f"{name}/{file}")
     recover(fragmented)
     assert ids(fragmented.scan()) == before
     assert files(fragmented)[name] == 1
@@ -224,7 +261,7 @@ def test_cadence():
 def test_job_temporary_files_are_not_read(raw, events):
     land_batch(raw([event("a")]), events)
     directory = f"{events.path}/eventDate=2024-07-03"
-    (file,) = events.folder.files("eventDate=2024-07-03")
+    (file,) = events.folder.visible("eventDate=2024-07-03")
     leftover = f"{events.path}/_temporary/0/eventDate=2024-07-03"
     os.makedirs(leftover)
     os.link(f"{directory}/{file}", f"{leftover}/{file}")
