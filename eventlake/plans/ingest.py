@@ -27,7 +27,6 @@ from eventlake.schema import (
     EVENT_SCHEMA,
     ID_COLUMN,
     OFFSET_COLUMN,
-    PARTITION_COLUMN,
     RAW_COLUMN,
     RAW_SCHEMA,
     require_id_column,
@@ -36,6 +35,9 @@ from eventlake.settings import MergeSettings
 from eventlake.sources.table import LakeTable
 
 
+LETTER_KEYS = [*COORDINATES, RAW_COLUMN]
+
+
 @dataclass(frozen=True)
 class BatchCounts:
     """Rows of one batch, by fate. ``rowsInserted`` counts what the merge really appended."""
@@ -132,46 +134,26 @@ def land_batch(
 def merge_dead_letters(
     letters: DataFrame, table: LakeTable, broadcast_bytes: int = MergeSettings.broadcast_bytes
 ) -> int:
-    """Insert dead letters not stored yet, keyed by (partition, offset); returns how many.
+    """Insert dead letters not stored yet; returns how many.
 
-    A record without full coordinates cannot come from a log; it is keyed by its content as well,
-    null matching null, so that a replay does not double it and no other record replaces it.
+    A letter is known by its partition, offset and text, null matching null. In a log the first
+    two say it all; the text keeps records apart whose coordinates are missing or used again, so
+    none is lost, while a replay finds every one of them. The offset range of the batch bounds
+    what is read of the table, which is sorted by offset within its files.
     """
-    placed = F.col(PARTITION_COLUMN).isNotNull() & F.col(OFFSET_COLUMN).isNotNull()
-    loose_text = "looseText"
-    letters = (
-        letters.withColumn(loose_text, F.when(~placed, F.col(RAW_COLUMN)))
-        .dropDuplicates([*COORDINATES, loose_text])
-        .drop(loose_text)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    loose_keys = [*COORDINATES, RAW_COLUMN]
+    letters = letters.dropDuplicates(LETTER_KEYS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        in_log, loose = _measure(
+        columns = profile_columns(table, LETTER_KEYS, F.lit(True), OFFSET_COLUMN)
+        (profile,) = _measure(letters, columns)
+        return merge_insert(
+            table,
             letters,
-            profile_columns(table, COORDINATES, placed),
-            profile_columns(table, loose_keys, ~placed),
-        )
-        inserted = 0
-        if in_log["rows"]:
-            inserted += merge_insert(
-                table,
-                letters.where(placed),
-                COORDINATES,
-                broadcast_bytes=broadcast_bytes,
-                profile=SourceProfile(**in_log),
-            ).inserted_rows
-        if loose["rows"]:
-            inserted += merge_insert(
-                table,
-                letters.where(~placed),
-                loose_keys,
-                null_safe=True,
-                target_filter=~placed,
-                broadcast_bytes=broadcast_bytes,
-                profile=SourceProfile(**loose),
-            ).inserted_rows
-        return inserted
+            LETTER_KEYS,
+            null_safe=True,
+            range_key=OFFSET_COLUMN,
+            broadcast_bytes=broadcast_bytes,
+            profile=SourceProfile(**profile),
+        ).inserted_rows
     finally:
         letters.unpersist()
 

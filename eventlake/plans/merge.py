@@ -32,9 +32,10 @@ class SourceProfile:
     high: str | None = None
     null_dates: int = 0
     dates: int = 1
-    # Smallest and largest value of the last key column.
+    # Smallest and largest value of the range key, and how many rows have none.
     first_key: Any = None
     last_key: Any = None
+    null_keys: int = 0
 
     @property
     def broadcast_size(self) -> int:
@@ -51,25 +52,29 @@ class MergeOutcome:
     window: tuple[str, str] | None = None
 
 
-def profile_columns(table: LakeTable, keys: Sequence[str], unique: Column) -> dict[str, Column]:
-    """Aggregates over the rows where ``unique`` holds that fill a :class:`SourceProfile`."""
+def profile_columns(
+    table: LakeTable, keys: Sequence[str], rows: Column, range_key: str | None = None
+) -> dict[str, Column]:
+    """Aggregates over the given ``rows`` of a frame that fill a :class:`SourceProfile`."""
+    range_key = range_key or keys[0]
     size = reduce(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys],
     )
     columns = {
-        "rows": F.count_if(unique),
-        "key_bytes": F.coalesce(F.sum(F.when(unique, size)), F.lit(0)),
-        "first_key": F.min(F.when(unique, F.col(keys[-1]))),
-        "last_key": F.max(F.when(unique, F.col(keys[-1]))),
+        "rows": F.count_if(rows),
+        "key_bytes": F.coalesce(F.sum(F.when(rows, size)), F.lit(0)),
+        "first_key": F.min(F.when(rows, F.col(range_key))),
+        "last_key": F.max(F.when(rows, F.col(range_key))),
+        "null_keys": F.count_if(rows & F.col(range_key).isNull()),
     }
     if table.partition_column:
         # As text: a date past the year 9999 has no Python value.
-        date = F.when(unique, F.col(table.partition_column))
+        date = F.when(rows, F.col(table.partition_column))
         columns |= {
             "low": F.min(date).cast("string"),
             "high": F.max(date).cast("string"),
-            "null_dates": F.count_if(unique & F.col(table.partition_column).isNull()),
+            "null_dates": F.count_if(rows & F.col(table.partition_column).isNull()),
             # Only sizes the write, so an estimate that needs no shuffle will do.
             "dates": F.approx_count_distinct(date),
         }
@@ -83,7 +88,7 @@ def merge_insert(
     *,
     scope: str = "window",
     null_safe: bool = False,
-    target_filter: Column | None = None,
+    range_key: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     profile: SourceProfile | None = None,
 ) -> MergeOutcome:
@@ -92,7 +97,9 @@ def merge_insert(
     ``scope="window"`` looks for stored keys between the smallest and largest partition value of
     the source, and in the null partition if the source has rows there; a key stored under a date
     outside that window is not seen. ``scope="table"`` looks everywhere. The table must exist; it
-    is widened by the source's new columns.
+    is widened by the source's new columns. With ``null_safe`` a null key part matches null,
+    otherwise nothing. ``range_key`` is the key column whose range prunes the scan of the table,
+    the first one if not given.
 
     Re-running a merge that was cut short inserts exactly what is missing, because the rows that
     landed are matched like any others.
@@ -107,17 +114,15 @@ def merge_insert(
     if owned:
         source = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        profile = profile or _measure(table, source, keys)
+        range_key = range_key or keys[0]
+        profile = profile or _measure(table, source, keys, range_key)
         if profile.rows == 0:
             return MergeOutcome(0, 0, 0)
         target, window = _match_side(table, profile, scope)
         if target is None:
             table.append(source, profile.rows, profile.dates)
             return MergeOutcome(profile.rows, 0, profile.rows, window)
-        if target_filter is not None:
-            target = target.where(target_filter)
-        if not null_safe:
-            target = _within_key_range(target, keys[-1], profile)
+        target = _within_key_range(target, range_key, profile, null_safe)
 
         small = profile.broadcast_size <= broadcast_bytes
         hits = _stored_keys(target.select(*keys), source.select(*keys), keys, small, null_safe)
@@ -140,8 +145,10 @@ def merge_insert(
             source.unpersist()
 
 
-def _measure(table: LakeTable, source: DataFrame, keys: Sequence[str]) -> SourceProfile:
-    columns = profile_columns(table, keys, F.lit(True))
+def _measure(
+    table: LakeTable, source: DataFrame, keys: Sequence[str], range_key: str
+) -> SourceProfile:
+    columns = profile_columns(table, keys, F.lit(True), range_key)
     row = source.agg(*[c.alias(n) for n, c in columns.items()]).first()
     repeated = source.groupBy(*keys).count().where("count > 1")
     if not repeated.isEmpty():
@@ -159,7 +166,9 @@ def _match_side(
     return table.scan_window(*window, with_null=profile.null_dates > 0), window
 
 
-def _within_key_range(target: DataFrame, key: str, profile: SourceProfile) -> DataFrame:
+def _within_key_range(
+    target: DataFrame, key: str, profile: SourceProfile, null_safe: bool
+) -> DataFrame:
     """Keep target rows whose key can match at all.
 
     Equality implies it, so no match is lost, and Parquet skips files and row groups by it where
@@ -168,7 +177,10 @@ def _within_key_range(target: DataFrame, key: str, profile: SourceProfile) -> Da
     low, high = profile.first_key, profile.last_key
     if low is None or any(isinstance(v, str) and len(v) > LITERAL_CHARS for v in (low, high)):
         return target
-    return target.where(F.col(key).between(F.lit(low), F.lit(high)))
+    possible = F.col(key).between(F.lit(low), F.lit(high))
+    if null_safe and profile.null_keys:
+        possible = possible | F.col(key).isNull()
+    return target.where(possible)
 
 
 def _stored_keys(

@@ -209,11 +209,21 @@ def test_repeated_offset_in_one_batch_is_stored_once(raw, dead):
     assert merge_dead_letters(letters, dead) == 2
 
 
-def test_letters_without_coordinates_are_kept_apart_and_land_once(raw, dead):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1_000_000])
+def test_letters_with_odd_coordinates_are_kept_apart_and_land_once(raw, dead, broadcast_bytes):
     batch = [("x", None, 1), ("y", None, 1), ("z", None, None), (None, None, None), ("x", 0, 1)]
-    letters = dead_letters(raw(batch))
-    assert [merge_dead_letters(letters, dead) for _ in range(2)] == [5, 0]
-    assert dead.scan().count() == 5
+    letters = dead_letters(raw([*batch, ("same place", 0, 1), (None, 0, 1)]))
+    landed = [merge_dead_letters(letters, dead, broadcast_bytes) for _ in range(2)]
+    assert landed == [7, 0]
+    assert dead.scan().count() == 7
+
+
+def test_dead_letter_match_reads_only_its_offset_range(raw, dead):
+    from eventlake.plans.merge import SourceProfile, _within_key_range
+
+    profile = SourceProfile(1, first_key=5, last_key=9)
+    plan = _within_key_range(dead.scan(), "kafkaOffset", profile, True)._jdf.queryExecution()
+    assert "GreaterThanOrEqual(kafkaOffset,5), LessThanOrEqual(kafkaOffset,9)" in plan.toString()
 
 
 def test_shuffled_dead_letter_merge(raw, dead):
