@@ -53,8 +53,7 @@ ORACLES: dict[str, str] = {
         WITH {FEED}
         SELECT part AS "partition", pos AS "offset",
                event_type = 'error' AND hour(ts) >= 12 AND hour(ts) < 18 AS "isNull",
-               CASE WHEN event_type = 'error' AND hour(ts) >= 12 AND hour(ts) < 18 THEN NULL
-                    ELSE event_type = 'error' AND hour(ts) >= 18 END AS "isBlank"
+               event_type = 'error' AND hour(ts) >= 18 AS "isBlank"
         FROM feed""",
     "parse_valid_events": PARSED,
     "enrich_valid_events": f"""
@@ -78,7 +77,9 @@ ORACLES: dict[str, str] = {
         WITH {FEED}, untimed AS (
             SELECT * REPLACE (CASE WHEN event_type <> 'signup' THEN millis END AS millis)
             FROM feed)
-        SELECT {FIELDS}, {TIMES} FROM untimed WHERE event_type <> 'error' AND delivery = 0""",
+        SELECT {FIELDS}, make_timestamp(millis * 1000) AS "eventTime",
+               CAST(make_timestamp(millis * 1000) AS DATE) AS "eventDate"
+        FROM untimed WHERE event_type <> 'error' AND delivery = 0""",
     "schema_evolution": f"""
         WITH {FEED}, cut AS (SELECT min(ts) + (max(ts) - min(ts)) / 3 AS early FROM events)
         SELECT {FIELDS}, {TIMES},

@@ -64,7 +64,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "partition",
         "offset",
         text.isNull().alias("isNull"),
-        (F.length(F.trim(text)) == 0).alias("isBlank"),
+        F.coalesce(F.length(F.trim(text)) == 0, F.lit(False)).alias("isBlank"),
     )
 
 
@@ -167,7 +167,7 @@ def merge_null_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _new_events(spark, "nulldates")
     for _ in range(2):
         land_batch(raw, events)
-    return _comparable(events.scan())
+    return _comparable(events.scan()).drop("timestamp")
 
 
 @query
