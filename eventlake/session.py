@@ -51,6 +51,9 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.schemaInference", "false")
+        # Every micro-batch builds its plans anew; recording a stack trace for each column
+        # expression would be a good part of that time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in object_store_conf(storage or StorageSettings()).items():
         builder = builder.config(f"spark.hadoop.{key}", value)

@@ -1,0 +1,103 @@
+"""The ingest process is killed while it writes; a restart on the same checkpoint completes it."""
+
+import os
+import signal
+import subprocess
+import sys
+import time
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from eventlake.operators import exactly_once
+from eventlake.schema import DATE_COLUMN
+from eventlake.settings import Settings
+from eventlake.sources import LakeTable, raw_file_stream
+from eventlake.streaming import ClickstreamIngest
+
+FILES, PER_FILE, DAYS = 12, 500, 6
+
+CHILD = """
+import sys
+from pyspark.sql import SparkSession
+SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").getOrCreate()
+from eventlake import ClickstreamIngest, Settings, build_session
+from eventlake.sources import raw_file_stream
+
+base = sys.argv[1]
+spark = build_session("child", shuffle_partitions=4, master="local[4]")
+print("jvm", spark._jvm.java.lang.ProcessHandle.current().pid(), flush=True)
+settings = Settings.from_mapping(
+    {"storage": {"base_path": base, "checkpoint_path": f"{base}/ckpt"},
+     "stream": {"once": True}, "dlq": {"enabled": True}}
+)
+ClickstreamIngest(spark, settings, raw_file_stream(spark, f"{base}/raw", 1)).run()
+"""
+
+
+def feed(spark, path):
+    """Each file holds its own ids, ids of the file before it, and some broken records."""
+    number = F.col("id")
+    name = F.when(number % 10 == 0, number - PER_FILE).otherwise(number)
+    day = F.lit(1_720_000_000_000) + (number % DAYS) * 86_400_000
+    value = F.when(number % 7 == 0, F.lit("broken")).otherwise(
+        F.to_json(F.struct(F.concat(F.lit("e"), name).alias("eventId"), day.alias("timestamp")))
+    )
+    for i in range(FILES):
+        spark.range(i * PER_FILE, (i + 1) * PER_FILE, numPartitions=1).select(
+            value.cast("binary").alias("value"),
+            F.lit(0).alias("partition"),
+            number.alias("offset"),
+        ).write.mode("append").parquet(path)
+
+
+def kill_after(base, commits, delay):
+    """Start the child, wait until it has committed some batches and a bit, and kill its JVM."""
+    child = subprocess.Popen(
+        [sys.executable, "-c", CHILD, base],
+        stdout=subprocess.PIPE,
+        stderr=subprocess.DEVNULL,
+        text=True,
+        cwd=Path(__file__).parents[1],
+    )
+    try:
+        jvm = next(int(line.split()[1]) for line in child.stdout if line.startswith("jvm"))
+        folder = Path(base, "ckpt", "events", "commits")
+        deadline = time.monotonic() + 120
+        while time.monotonic() < deadline and child.poll() is None:
+            if folder.exists() and len([n for n in os.listdir(folder) if n.isdigit()]) >= commits:
+                break
+            time.sleep(0.02)
+        time.sleep(delay)
+        os.kill(jvm, signal.SIGKILL)
+    finally:
+        child.kill()
+        child.wait()
+    return max(int(n) for n in os.listdir(folder) if n.isdigit())
+
+
+def test_killed_ingest_is_completed_by_a_restart(spark, tmp_path):
+    base = str(tmp_path)
+    feed(spark, f"{base}/raw")
+    seen = [kill_after(base, commits, delay) for commits, delay in ((2, 0.9), (5, 1.3))]
+    assert seen[-1] < FILES - 1, "the child should not have finished"
+
+    settings = Settings.from_mapping(
+        {
+            "storage": {"base_path": base, "checkpoint_path": f"{base}/ckpt"},
+            "stream": {"once": True},
+            "dlq": {"enabled": True},
+        }
+    )
+    source = raw_file_stream(spark, f"{base}/raw", 1)
+    ClickstreamIngest(spark, settings, source).run()
+
+    good = {n for n in range(FILES * PER_FILE) if n % 7}
+    names = {n - PER_FILE if n % 10 == 0 else n for n in good}
+    events = LakeTable(spark, f"{base}/events", DATE_COLUMN).scan()
+    assert {r.eventId for r in events.collect()} == {f"e{n}" for n in names}
+    dead = LakeTable(spark, f"{base}/events_dlq").scan()
+    broken = [n for n in range(FILES * PER_FILE) if n % 7 == 0]
+    assert sorted(r.kafkaOffset for r in dead.collect()) == broken
+    # An id and its repeat fall on dates of one window, so nothing is stored twice.
+    assert exactly_once(events).first()["pass"]
