@@ -71,8 +71,9 @@ class LakeTable:
     def widen(self, source: T.StructType) -> T.StructType:
         """Add the source's new columns to the table and return the table's schema.
 
-        Names match without regard to case, as in Spark. The schema file is written before any
-        data with the new columns, so a reader never meets a column it does not know.
+        Names match without regard to case, as in Spark. A narrower number is stored in the
+        table's wider type; any other difference of type is a conflict. The schema file is written
+        before data with the new columns, so a reader never meets a column it does not know.
         """
         current = self.schema()
         known = {f.name.lower(): f for f in current.fields}
@@ -81,7 +82,7 @@ class LakeTable:
             old = known.get(f.name.lower())
             if old is None:
                 added.append(T.StructField(f.name, _nullable(f.dataType), True))
-            elif _nullable(old.dataType) != _nullable(f.dataType):
+            elif not _fits(_nullable(f.dataType), _nullable(old.dataType)):
                 raise SchemaConflict(
                     f"column {f.name} is {old.dataType.simpleString()} in the table "
                     f"but {f.dataType.simpleString()} in the source"
@@ -180,6 +181,19 @@ def _aligned(rows: DataFrame, schema: T.StructType) -> list[Column]:
     ]
 
 
+# Number types and the wider ones that hold each of their values exactly.
+_WIDER = {
+    T.ByteType(): (T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()),
+    T.ShortType(): (T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()),
+    T.IntegerType(): (T.LongType(), T.DoubleType()),
+    T.FloatType(): (T.DoubleType(),),
+}
+
+
+def _fits(source: T.DataType, table: T.DataType) -> bool:
+    return source == table or table in _WIDER.get(source, ())
+
+
 def _nullable(data_type: T.DataType) -> T.DataType:
     """The type with every nested field nullable, as Parquet files read back."""
     if isinstance(data_type, T.StructType):

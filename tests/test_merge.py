@@ -269,3 +269,20 @@ def test_column_names_match_without_case(raw, events):
     merge_insert(events, batch, ["eventId"])
     assert "URL" not in events.scan().columns
     assert events.scan().first().url == "/a"
+
+
+def test_narrower_number_is_stored_in_the_wider_type(raw, events):
+    batch = clickstream_events(raw([event("e1", amount=2)]))
+    narrow = batch.withColumn("amount", F.col("amount").cast("int"))
+    merge_insert(events, narrow, ["eventId"])
+    assert dict(events.scan().dtypes)["amount"] == "double"
+    assert events.scan().first().amount == 2.0
+    with pytest.raises(SchemaConflict):
+        merge_insert(events, batch.withColumn("kafkaPartition", F.lit(1).cast("long")), ["eventId"])
+
+
+def test_table_under_a_uri(spark, raw, tmp_path):
+    table = events_table(spark, f"file://{tmp_path}/a,b/events/")
+    batch = raw([event("a", DAY1), event("b", DAY2)])
+    assert [land_batch(batch, table).rowsInserted for _ in range(2)] == [2, 0]
+    assert table.directories() == ["eventDate=2024-07-03", "eventDate=2024-07-04"]
