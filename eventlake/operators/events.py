@@ -30,7 +30,7 @@ from eventlake.schema import (
     TIME_COLUMN,
 )
 
-COPIES_COLUMN = "copies"
+COPIES_COLUMN = "_copies"
 
 
 def parse_records(raw: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
