@@ -61,9 +61,9 @@ class Bench:
         for wave in (feeds.originals(rows), feeds.resends(rows)):
             wave.repartitionByRange(CPUS, "offset").write.mode("append").parquet(f"{self.base}/raw")
         bulk_feed(self.spark).repartition(CPUS).write.parquet(f"{self.base}/bulk")
-        # Warm-up: one small landing, so that the first timing is not that of class loading.
-        events = self.table("warm")
-        land_batch(self.raw().limit(1000), events, dead_letter_table(self.spark, f"{self.base}/w"))
+        # Warm-up: one landing, so that the first timing is not that of class loading.
+        dead = dead_letter_table(self.spark, f"{self.base}/warm/dead")
+        land_batch(self.raw(), self.table("warm"), dead)
 
     def raw(self, name: str = "raw") -> DataFrame:
         return self.spark.read.parquet(f"{self.base}/{name}")

@@ -62,9 +62,19 @@ def build_session(
     spark = builder.getOrCreate()
     width = max(shuffle_partitions, 2 * spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", width)
+    tune_cached_batches(spark)
     return spark
 
 
+def tune_cached_batches(spark: SparkSession) -> None:
+    """Let adaptive execution size the partitions of cached frames too.
+
+    Otherwise a cached batch keeps the full width of its shuffle, and every later step of a small
+    batch on a large cluster runs thousands of tasks over next to nothing.
+    """
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder named in ``spark.checkpoint.dir``.
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventlake.plans.ingest import BatchCounts, dead_letter_table, events_table, land_batch
 from eventlake.plans.upkeep import is_due, maintain
 from eventlake.schema import EVENT_SCHEMA, require_id_column
+from eventlake.session import tune_cached_batches
 from eventlake.settings import Settings
 from eventlake.sources.kafka import kafka_stream
 from eventlake.streaming.audit import AuditLog
@@ -41,6 +42,7 @@ class ClickstreamIngest:
         self.query: StreamingQuery | None = None
         self.progress = ProgressGauges(QUERY_NAME)
         self._source = source
+        self._listening = False
 
     def start(self) -> StreamingQuery:
         """Make the tables, start the query and return it."""
@@ -50,6 +52,7 @@ class ClickstreamIngest:
         if source is None:
             source = kafka_stream(self.spark, self.settings.kafka)
         self.spark.streams.addListener(self.progress)
+        self._listening = True
         trigger = (
             {"availableNow": True} if stream.once else {"processingTime": stream.trigger_interval}
         )
@@ -67,6 +70,7 @@ class ClickstreamIngest:
         started = time.monotonic()
         # The batch's own session: it carries the settings the query was started with.
         spark = raw.sparkSession
+        tune_cached_batches(spark)
         settings = self.settings
         events, dead = self._tables(spark)
         counts = land_batch(raw, events, dead, payload=self.payload, merge=settings.merge)
@@ -91,7 +95,9 @@ class ClickstreamIngest:
             if self.query is not None and self.query.isActive:
                 self.query.stop()
         finally:
-            self.spark.streams.removeListener(self.progress)
+            if self._listening:
+                self.spark.streams.removeListener(self.progress)
+                self._listening = False
 
     def __enter__(self) -> ClickstreamIngest:
         return self

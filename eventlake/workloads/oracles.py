@@ -26,9 +26,11 @@ TIMES = """
     CAST(make_timestamp(millis * 1000) AS DATE) AS "eventDate"
 """
 
-PARSED = f'WITH {FEED} SELECT {FIELDS}, millis AS "timestamp" FROM feed WHERE event_type <> \'error\''
+PARSED = f"""
+WITH {FEED} SELECT {FIELDS}, millis AS "timestamp" FROM feed WHERE event_type <> 'error'"""
 
-UNIQUE = f"WITH {FEED} SELECT {FIELDS}, {TIMES} FROM feed WHERE event_type <> 'error' AND delivery = 0"
+UNIQUE = f"""
+WITH {FEED} SELECT {FIELDS}, {TIMES} FROM feed WHERE event_type <> 'error' AND delivery = 0"""
 
 REJECTED = """
 SELECT CAST(user_id % 4 AS INTEGER) AS "kafkaPartition", event_id * 2 AS "kafkaOffset",

@@ -31,7 +31,7 @@ from eventlake.plans import (
 )
 from eventlake.plans.ingest import merge_dead_letters
 from eventlake.schema import DATE_COLUMN, INGEST_COLUMN, TIME_COLUMN
-from eventlake.session import scratch_path
+from eventlake.session import scratch_path, tune_cached_batches
 from eventlake.settings import MaintenanceSettings, MergeSettings, Settings
 from eventlake.sources import Folder, LakeTable, raw_file_stream
 from eventlake.streaming import AuditLog, ClickstreamIngest, audit_totals
@@ -42,11 +42,12 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    """Register a query under its function's name; it runs with the session zone set to UTC."""
+    """Register a query under its function's name; it runs with the session settings of build_session."""
 
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        tune_cached_batches(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run

@@ -67,7 +67,8 @@ def test_pruned_merge(raw, events):
 
 
 def test_window_lists_only_its_own_dates(raw, events):
-    land_batch(raw([event("a", DAY1), event("b", DAY2), event("c", DAY3), event("n", None)]), events)
+    days = {"a": DAY1, "b": DAY2, "c": DAY3, "n": None}
+    land_batch(raw([event(name, day) for name, day in days.items()]), events)
     window = events.scan_window("2024-07-04", "2024-07-05", with_null=False)
     assert ids(window) == ["b", "c"]
     assert all("2024-07-03" not in f for f in window.inputFiles())

@@ -6,7 +6,7 @@ from conftest import event
 from eventlake import __main__ as cli
 from eventlake.operators import clickstream_events
 from eventlake.plans import events_table, land_batch
-from eventlake.session import object_store_conf, scratch_path
+from eventlake.session import object_store_conf, scratch_path, tune_cached_batches
 from eventlake.settings import ENVIRONMENT, Settings, StorageSettings
 from eventlake.sources import kafka_options, kafka_stream
 
@@ -102,6 +102,20 @@ def test_scratch_paths_lie_in_the_shared_folder(spark):
     assert first.startswith(f"{root}/eventlake/x-") and first != second
 
 
+def test_small_cached_batch_does_not_keep_the_full_shuffle_width(spark):
+    width = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(width)
+    spark.conf.set(width, "64")
+    tune_cached_batches(spark)
+    try:
+        batch = spark.range(1000).groupBy("id").count().persist()
+        assert batch.count() == 1000
+        assert batch.rdd.getNumPartitions() < 16
+        batch.unpersist()
+    finally:
+        spark.conf.set(width, before)
+
+
 @pytest.fixture
 def command(spark, tmp_path, monkeypatch):
     """Run a command on the test session, which it must not stop."""

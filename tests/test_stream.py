@@ -199,3 +199,19 @@ def test_schema_without_id_is_refused(spark, lake):
     schema = type(EVENT_SCHEMA)([f for f in EVENT_SCHEMA.fields if f.name != "eventId"])
     with pytest.raises(ValueError, match="eventId"):
         ClickstreamIngest(spark, lake.settings, None, schema)
+
+
+def test_stop_is_safe_before_and_after_the_run(lake, raw, spark):
+    job = ClickstreamIngest(spark, lake.settings, None)
+    job.stop()
+    lake.feed(raw([event("a")]))
+    job = lake.ingest()
+    job.stop()
+    job.stop()
+    assert not job.query.isActive
+
+
+def test_source_that_cannot_start_reports_its_own_error(lake, spark):
+    """Without the Kafka connector the error is Spark's, and stopping does not hide it."""
+    with pytest.raises(Exception, match="kafka"):
+        ClickstreamIngest(spark, lake.settings).run()
