@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import kneser_ney
+from eventlake.llm.jaccard_join import jaccard_links
 from eventlake.llm.line_dedup import dedup_lines
 from eventlake.llm.shared import prepare
 
@@ -42,3 +43,8 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(table(spark, sf_dir, "documents"))
