@@ -8,11 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import kneser_ney
+from eventlake.llm import bpe, kneser_ney
 from eventlake.llm.jaccard_join import jaccard_links
 from eventlake.llm.line_dedup import dedup_lines
 from eventlake.llm.shared import prepare
 
+# The public vocabulary of the query contracts; the operators take any path.
+VOCABULARY = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -27,6 +30,12 @@ def query(fn: Query) -> Query:
     return run
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,3 +57,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_links(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_digests(docs, vocabulary_path())
