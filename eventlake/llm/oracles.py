@@ -27,3 +27,31 @@ SELECT l.doc_id, count(*) AS n_lines,
 FROM lines l LEFT JOIN often o ON l.k = o.k
 GROUP BY l.doc_id
 """
+
+_WORDS = rf"""regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLES["op8_decontamination"] = rf"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + least(len(w), 10) - 1) AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+        FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(g) AS n FROM windows),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+grams AS (
+  SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs), sizes
+  WHERE i + n - 1 <= len(w)),
+hits AS (SELECT doc_id, i, n, item_id FROM grams JOIN windows USING (g)),
+places AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items,
+         sha256(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS h
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, coalesce(h, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

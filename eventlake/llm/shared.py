@@ -15,8 +15,10 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a text table in one Arrow batch. Python sees this many whole texts at a time.
-ARROW_ROWS = 512
+# Bounds of one Arrow batch: Python sees about this much of a text table at a time.
+ARROW_ROWS, ARROW_BYTES = 20_000, "4m"
+# Largest table that is broadcast, by the measured size of its rows.
+BROADCAST_BYTES = 32 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -27,6 +29,7 @@ def prepare(spark: SparkSession) -> None:
     """Session settings the operators count on, and this package for the Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         context.addPyFile(_zipped_package(scratch(spark, "package")))
@@ -64,6 +67,16 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def broadcast_if_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The frame, marked for broadcast if its rows measure up to ``limit`` bytes.
+
+    Beyond that Spark's own choice of join holds. The frame should be a stored one.
+    """
+    row = F.length(F.to_json(F.struct("*"))) + 64
+    size = frame.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+    return F.broadcast(frame) if size <= limit else frame
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and nothing else; null stays null.
 

@@ -1,0 +1,95 @@
+"""Hits of item windows against brute force, on cases the given tables lack."""
+
+import hashlib
+import re
+
+from eventlake.llm.decontaminate import contamination, drop_contaminated
+
+ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"
+
+
+def words(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def brute_force(docs, items, width=10):
+    out = []
+    for doc_id, text in docs:
+        w, hit, found = words(text), set(), set()
+        for item_id, item in items:
+            v = words(item)
+            for i in range(max(1, len(v) - width + 1) if v else 0):
+                window = v[i : i + width]
+                for j in range(len(w) - len(window) + 1):
+                    if w[j : j + len(window)] == window:
+                        hit |= set(range(j, j + len(window)))
+                        found |= {item_id} - {None}
+        names = ",".join(sorted(map(str, found)))
+        digest = hashlib.sha256(names.encode()).hexdigest()
+        out.append((doc_id, len(w), len(hit), len(found), digest, bool(hit)))
+    return sorted(out, key=repr)
+
+
+DOCS = [
+    (1, f"Before; {ITEM.upper()} after"),
+    (2, " ".join(ITEM.split()[:9])),
+    (3, f"{ITEM} {ITEM} x {ITEM}"),
+    (4, " ".join(ITEM.split()[2:12])),
+    (5, None),
+    (6, ""),
+    (7, "...!"),
+    (8, "the the the short item the short item"),
+    (8, "the same id with another text"),
+    (9, "repeated row short item"),
+    (9, "repeated row short item"),
+    (None, f"{ITEM} without an id"),
+    (10, "É é ÉTÉ été one-two"),
+    (11, "filler " * 20_000 + ITEM),
+    (12, "a a a a a a a a a a a a"),
+]
+ITEMS = [
+    (1, ITEM),
+    (10, "Short, item!"),
+    (2, None),
+    (3, ""),
+    (4, "ÉTÉ"),
+    (5, "a a a"),
+    (5, "one two"),
+    (None, "the same id"),
+    (6, "words that no document has"),
+    (7, ITEM),
+]
+
+
+def report(spark, documents, docs, items):
+    frame = documents(docs).selectExpr("*", "1 AS words", "2 AS n_hit", "3 AS item_id")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return frame, bench, sorted(map(tuple, contamination(frame, bench).collect()), key=repr)
+
+
+def test_hits_match_brute_force(spark, documents):
+    frame, bench, got = report(spark, documents, DOCS, ITEMS)
+    assert got == brute_force(DOCS, ITEMS)
+    kept = drop_contaminated(frame, bench)
+    assert kept.columns == frame.columns
+    want = [d for d, r in zip(DOCS, [brute_force([d], ITEMS)[0] for d in DOCS]) if not r[-1]]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_shuffled_join_gives_the_same(spark, documents, monkeypatch):
+    from eventlake.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate, "broadcast_if_small", lambda frame: frame.hint("merge"))
+    assert report(spark, documents, DOCS, ITEMS)[2] == brute_force(DOCS, ITEMS)
+
+
+def test_empty_tables(spark, documents):
+    assert report(spark, documents, [], ITEMS)[2] == []
+    assert report(spark, documents, DOCS, [])[2] == brute_force(DOCS, [])
+
+
+def test_no_python_in_the_plan(spark, documents):
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    plan = contamination(documents(DOCS), bench)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
