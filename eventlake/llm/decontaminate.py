@@ -10,7 +10,9 @@ the word (positional bound), which must leave room for the window (length bound)
 from there on are compared with the window's. All of this is one pass of generated code over the
 documents: they are not shuffled, and only hits and one row per document leave the join.
 
-The windows are broadcast if they measure up to ``BROADCAST_BYTES``; else the same join shuffles.
+The windows are broadcast if they measure up to ``broadcast_bytes``. Beyond that the positions of
+words are shuffled to the windows, without their texts, and the possible starts are shuffled back
+to the documents to be compared there.
 
 Defined cases: a null or empty text has no words and is not hit. Rows of one doc_id are documents
 of their own. Items without an id hit words but are not listed; items of one id are one. Other
@@ -22,7 +24,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import ascii_lower, broadcast_if_small, prepare, stored
+from eventlake.llm.shared import (
+    BROADCAST_BYTES,
+    ascii_lower,
+    broadcast_if_small,
+    measured_bytes,
+    prepare,
+    stored,
+)
 
 WIDTH = 10
 # The characters between words, after lower-casing.
@@ -45,15 +54,25 @@ def windows_of(items: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+def contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    width: int = WIDTH,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256 and contaminated."""
-    return _report(_hits(docs, items, width)).drop("text_hash")
+    return _report(_hits(docs, items, width, broadcast_bytes)).drop("text_hash")
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+def drop_contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    width: int = WIDTH,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """``docs`` without the documents that have a hit word."""
     hit = (
-        _report(_hits(docs, items, width))
+        _report(_hits(docs, items, width, broadcast_bytes))
         .where("contaminated")
         .select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"))
     )
@@ -65,7 +84,7 @@ def _text_hash() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-def _hits(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
+def _hits(docs: DataFrame, items: DataFrame, width: int, broadcast_bytes: int) -> DataFrame:
     """One row per occurrence of a window, and one (``whole``) per document."""
     prepare(docs.sparkSession)
     docs = docs.select(
@@ -75,7 +94,7 @@ def _hits(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     vocabulary = stored(windows.select(F.explode("window").alias("word")).distinct(), "item-words")
     frequency = (
         docs.select(F.explode("words").alias("word"))
-        .join(broadcast_if_small(vocabulary), "word")
+        .join(broadcast_if_small(vocabulary, broadcast_bytes), "word")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -97,27 +116,29 @@ def _hits(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
         [("", 0, [], [], 0)],
         "word string, place int, window array<string>, items array<long>, length int",
     )
-    prefixes = broadcast_if_small(stored(rarest.unionByName(whole), "prefixes"))
-    placed = docs.select(
-        "doc_id",
-        "text_hash",
-        "words",
-        F.posexplode(F.concat("words", F.array(F.lit("")))).alias("position", "word"),
-    )
+    prefixes = stored(rarest.unionByName(whole), "prefixes")
+    words, length = F.concat("words", F.array(F.lit(""))), F.col("length")
     start = F.col("position") - F.col("place")
-    fits = (start >= 0) & (start + F.col("length") <= F.size("words"))
-    same = F.slice("words", start + 1, F.col("length")) == F.col("window")
-    return (
-        placed.join(prefixes, "word")
-        .where((F.col("length") == 0) | (fits & same))
-        .select(
-            "doc_id",
-            "text_hash",
-            F.size("words").alias("n_words"),
-            (F.col("length") == 0).alias("whole"),
-            F.struct(start.alias("start"), (start + F.col("length")).alias("stop")).alias("span"),
-            "items",
-        )
+    fits = (length == 0) | ((start >= 0) & (start + length <= F.col("n_words")))
+    same = (length == 0) | (F.slice("words", start + 1, length) == F.col("window"))
+    keys, size = ["doc_id", "text_hash"], F.size("words").alias("n_words")
+    if measured_bytes(prefixes) <= broadcast_bytes:
+        # Words stay in their row until the join has thrown away what is no hit.
+        placed = docs.select(*keys, "words", size, F.posexplode(words).alias("position", "word"))
+        found = placed.join(F.broadcast(prefixes), "word").where(fits & same)
+    else:
+        placed = docs.select(*keys, size, F.posexplode(words).alias("position", "word"))
+        possible = placed.join(prefixes, "word").where(fits)
+        texts = docs.select(*(F.col(k).alias(f"own_{k}") for k in keys), "words").distinct()
+        own = F.col("doc_id").eqNullSafe(F.col("own_doc_id"))
+        own &= F.col("text_hash") == F.col("own_text_hash")
+        found = possible.join(texts, own).where(same)
+    return found.select(
+        *keys,
+        "n_words",
+        (length == 0).alias("whole"),
+        F.struct(start.alias("start"), (start + length).alias("stop")).alias("span"),
+        "items",
     )
 
 

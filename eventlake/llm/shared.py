@@ -67,14 +67,18 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def measured_bytes(frame: DataFrame) -> int:
+    """About the bytes of all rows, by a pass over them. The frame should be a stored one."""
+    row = F.length(F.to_json(F.struct("*"))) + 64
+    return frame.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+
 def broadcast_if_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The frame, marked for broadcast if its rows measure up to ``limit`` bytes.
+    """The frame, marked for broadcast if it measures up to ``limit`` bytes.
 
-    Beyond that Spark's own choice of join holds. The frame should be a stored one.
+    Beyond that Spark's own choice of join holds.
     """
-    row = F.length(F.to_json(F.struct("*"))) + 64
-    size = frame.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
-    return F.broadcast(frame) if size <= limit else frame
+    return F.broadcast(frame) if measured_bytes(frame) <= limit else frame
 
 
 def ascii_lower(text: Column) -> Column:

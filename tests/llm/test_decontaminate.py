@@ -62,10 +62,10 @@ ITEMS = [
 ]
 
 
-def report(spark, documents, docs, items):
+def report(spark, documents, docs, items, **options):
     frame = documents(docs).selectExpr("*", "1 AS words", "2 AS n_hit", "3 AS item_id")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    return frame, bench, sorted(map(tuple, contamination(frame, bench).collect()), key=repr)
+    return frame, bench, sorted(map(tuple, contamination(frame, bench, **options).collect()), key=repr)
 
 
 def test_hits_match_brute_force(spark, documents):
@@ -77,11 +77,9 @@ def test_hits_match_brute_force(spark, documents):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
 
 
-def test_shuffled_join_gives_the_same(spark, documents, monkeypatch):
-    from eventlake.llm import decontaminate
-
-    monkeypatch.setattr(decontaminate, "broadcast_if_small", lambda frame: frame.hint("merge"))
-    assert report(spark, documents, DOCS, ITEMS)[2] == brute_force(DOCS, ITEMS)
+def test_shuffled_join_gives_the_same(spark, documents):
+    got = report(spark, documents, DOCS, ITEMS, broadcast_bytes=-1)[2]
+    assert got == brute_force(DOCS, ITEMS)
 
 
 def test_empty_tables(spark, documents):
