@@ -55,3 +55,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+# A control string, broken by any number of backslashes after its first character, grows by one.
+_CONTROL = (
+    r"<\\*s>|<\\*\|role\|>|<\\*\|text\|>|<\\*\|end\|>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]"
+)
+
+ORACLES["op1_chat_format"] = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+         AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT)
+         AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text)
+                       FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(length('<s></s>') + sum(
+         length('<|role|><|text|><|end|>') + length(role) + length(text)
+         + len(regexp_extract_all(role, '{_CONTROL}'))
+         + len(regexp_extract_all(text, '{_CONTROL}'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLES["op4_url_filter"] = rf"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3)
+                       ELSE '' END AS rest FROM pages),
+hosts AS (
+  SELECT page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+rules (action, h, p) AS (VALUES
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+best AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(action, length(h || p)) AS action
+  FROM hosts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY page_id)
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN regexp_matches(host, 'spam|pills|casino|porn|warez')
+                             THEN 'block' ELSE 'allow' END) AS verdict
+FROM hosts LEFT JOIN best USING (page_id)
+"""

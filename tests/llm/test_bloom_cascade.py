@@ -1,0 +1,73 @@
+"""Exact membership and url verdicts on cases the given tables lack."""
+
+from pyspark.sql import functions as F
+
+from eventlake.llm.bloom_cascade import Rule, build_cascade, judge_urls
+
+RULES = [
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+]
+
+
+def test_membership_is_exact_through_several_levels(spark):
+    universe = spark.range(20_000).select(F.concat(F.lit("key"), "id").alias("key"))
+    listed = universe.where("substr(key, 4) % 5 = 0").unionByName(
+        spark.createDataFrame([("not asked for",), (None,)], "key string")
+    )
+    cascade = build_cascade(listed, universe.unionByName(universe.limit(5)), bits_per_key=3)
+    assert len(cascade.levels) > 3
+    wrong = universe.where(cascade.contains(F.col("key")) != (F.expr("substr(key, 4) % 5 = 0")))
+    assert wrong.count() == 0
+    spent = sum(len(bits) for _, bits in cascade.levels)
+    assert spent < 20_000 * 2  # far below the keys themselves
+
+
+def test_empty_list_and_empty_universe(spark):
+    none = spark.createDataFrame([], "key string")
+    some = spark.createDataFrame([("a",), ("b",)], "key string")
+    nothing = build_cascade(none, some)
+    assert some.where(nothing.contains(F.col("key"))).count() == 0
+    everything = build_cascade(some, none)
+    assert some.where(everything.contains(F.col("key"))).count() == 2
+
+
+URLS = {
+    1: ("http://WWW.Example.COM/en/x?q=/y", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
+    2: ("https://a.example.com/en/#top", "a.example.com", "/en/", "example.com/en/", "block"),
+    3: ("https://a.example.com/EN/", "a.example.com", "/EN/", "com/", "allow"),
+    4: ("http://example.com", "example.com", "", None, "allow"),
+    5: ("http://notexample.com/en/", "notexample.com", "/en/", "com/", "allow"),
+    6: ("x://deep.under.some.net/es/1", "deep.under.some.net", "/es/1", "net/es/", "block"),
+    7: ("//example.com/en/", "", "", None, "allow"),
+    8: (None, "", "", None, "allow"),
+    9: ("", "", "", None, "allow"),
+    10: ("http://bad.org/p?a://b", "bad.org", "/p", None, "block"),
+    11: ("http://com/", "com", "/", "com/", "allow"),
+    12: ("http://" + "l." * 5000 + "net/es/", "l." * 5000 + "net", "/es/", "net/es/", "block"),
+    13: ("http://ÉX.org?x", "Éx.org", "", None, "allow"),
+}
+
+
+def judged(spark, rows, rules, blocked):
+    pages = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "1 AS rule")
+    return judge_urls(pages, rules, spark.createDataFrame(blocked, "key string"))
+
+
+def test_verdicts(spark):
+    rows = [(i, u[0]) for i, u in URLS.items()] + [(1, URLS[1][0]), (None, URLS[2][0])]
+    frame = judged(spark, rows, RULES, [("bad.org",), ("com",), (None,)])
+    got = frame.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = URLS[2 if r.page_id is None else r.page_id]
+        assert (r.url, r.host, r.path, r.rule, r.verdict) == want
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Python" not in plan
+
+
+def test_no_rules_and_empty_table(spark):
+    assert judged(spark, [(1, "http://a.com/")], [], []).first()["verdict"] == "allow"
+    assert judged(spark, [], RULES, [("a",)]).count() == 0
