@@ -99,3 +99,52 @@ SELECT page_id, host, path, rule,
                              THEN 'block' ELSE 'allow' END) AS verdict
 FROM hosts LEFT JOIN best USING (page_id)
 """
+
+ORACLES["op6_imatch"] = rf"""
+WITH ordered AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id,
+         coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS nxt
+  FROM documents
+  WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+cut AS (
+  SELECT *, length(text) AS n, length(text) // 3 AS third FROM ordered),
+edited AS (
+  SELECT *, left(text, n - third) || left(nxt, third) AS changed FROM cut),
+texts AS (
+  SELECT doc_id, 0 AS kind, text FROM edited
+  UNION ALL SELECT doc_id, 1, changed FROM edited),
+terms AS (
+  SELECT DISTINCT doc_id, kind, unnest({_WORDS}) AS term FROM texts),
+lexicon AS (
+  SELECT term FROM terms WHERE kind = 0 GROUP BY term
+  HAVING count(*) * 1024 >= (SELECT count(*) FROM documents)
+     AND count(*) * 4 <= (SELECT count(*) FROM documents)),
+subsets AS (
+  SELECT term, k FROM lexicon, range(0, 63) r (k)
+  WHERE CAST('0x' || left(md5(term || ':' || k), 3) AS INTEGER) < (4096 >> (1 + k % 9)::INTEGER)),
+marks AS (
+  SELECT doc_id, kind, k, left(md5(string_agg(term, ' ' ORDER BY term COLLATE "C")), 8) AS h
+  FROM terms JOIN subsets USING (term) GROUP BY ALL),
+prints AS (
+  SELECT doc_id, kind, list(coalesce(h, '') ORDER BY k) AS f
+  FROM (SELECT doc_id, kind, k FROM texts, range(0, 63) r (k)) LEFT JOIN marks USING (doc_id, kind, k)
+  GROUP BY ALL),
+sides AS (
+  SELECT e.doc_id, e.n, e.changed, a.f AS own, b.f AS edited, c.f AS following
+  FROM edited e JOIN prints a ON a.doc_id = e.doc_id AND a.kind = 0
+  JOIN prints b ON b.doc_id = e.doc_id AND b.kind = 1
+  JOIN prints c ON c.doc_id = e.next_id AND c.kind = 0),
+shares AS (
+  SELECT *,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 64) IF own[i] <> '' OR edited[i] <> '']), 0) AS n1,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 64) IF own[i] <> '' AND own[i] = edited[i]]), 0) AS m1,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 64) IF own[i] <> '' OR following[i] <> '']), 0) AS n2,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 64) IF own[i] <> '' AND own[i] = following[i]]), 0) AS m2
+  FROM sides)
+SELECT doc_id, n AS n_chars, sha256(changed) AS edited_sha256,
+       array_to_string(own, '.') AS fingerprint, array_to_string(edited, '.') AS edited_fingerprint,
+       CASE WHEN n1 = 0 THEN 1.0 ELSE CAST(m1 AS DOUBLE) / n1 END AS near_edited,
+       CASE WHEN n2 = 0 THEN 1.0 ELSE CAST(m2 AS DOUBLE) / n2 END AS near_next
+FROM shares
+"""

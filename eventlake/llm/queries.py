@@ -12,6 +12,7 @@ from eventlake.llm import bpe, kneser_ney
 from eventlake.llm.bloom_cascade import Rule, host_and_path, judge_urls
 from eventlake.llm.chat_format import format_conversations, read_back
 from eventlake.llm.decontaminate import contamination
+from eventlake.llm.imatch import edited_fingerprints
 from eventlake.llm.jaccard_join import jaccard_links
 from eventlake.llm.line_dedup import dedup_lines
 from eventlake.llm.shared import prepare
@@ -102,6 +103,11 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_links(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
