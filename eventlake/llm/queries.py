@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import bpe, kneser_ney
+from eventlake.llm import bpe, kneser_ney, pii
 from eventlake.llm.bloom_cascade import Rule, host_and_path, judge_urls
 from eventlake.llm.chat_format import format_conversations, read_back
 from eventlake.llm.decontaminate import contamination
@@ -114,6 +114,22 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(docs, table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, pii.fit(docs))
+    counts = [
+        F.size(pii.of_kind("base", n)).cast("long").alias(f"n_{kind}")
+        for n, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.listed("base"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
 @query
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
