@@ -3,9 +3,10 @@
 Terms are runs of digits, letters a-z (A-Z lower-cased) and characters beyond ASCII. The lexicon
 keeps the terms whose inverse document frequency, log2 of documents per document with the term,
 lies within a band. A document's distinct lexicon terms, sorted, are hashed once per subset of the
-lexicon; the fingerprint is the list of these hashes. Subset number k keeps a term with a chance
-that halves from one subset to the next and starts again at one half, drawn from the term's own
-digest: large subsets tell small documents apart, small ones find what long documents share.
+lexicon; the fingerprint is the list of these hashes. Subsets come in families: a family's first
+keeps a term with a chance of one half, and each further one half of the terms of the one before,
+drawn from the term's own digest. Large subsets tell small documents apart, small ones find what
+long documents share.
 
 The likeness of two fingerprints is the share of agreeing subsets, among those in which either
 document has a term; it is 1 if there are none. A subset weighs the inverse of its chance, so that
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 from eventlake.llm.decontaminate import SEPARATORS
 from eventlake.llm.shared import ascii_lower, broadcast_if_small, prepare, stored
 
-SUBSETS, CHANCES = 63, 9  # seven subsets each with chances 1/2, 1/4 ... 1/512
+# Each family takes a slice of the term's digest; its subsets have chances 1/2, 1/4 ... 1/512.
+FAMILIES, CHANCES, SLICE_BITS = 6, 9, 10
+FIRST_STEP = 3  # subsets of a family up to here are cut from its first, the others from the next
 MIN_IDF, MAX_IDF = 2.0, 10.0
 HASH_DIGITS = 8
 
@@ -48,15 +51,15 @@ class Band:
 
 
 def terms_of(text: Column) -> Column:
-    """Distinct terms, sorted."""
+    """Distinct terms."""
     words = F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS)
-    return F.array_sort(F.array_remove(F.array_distinct(words), ""))
+    return F.array_remove(F.array_distinct(words), "")
 
 
 def lexicon_of(docs: DataFrame, band: Band = Band()) -> DataFrame:
-    """(term, subsets): the terms of the band, with a bit for each subset that keeps them.
+    """(term, draw): the terms of the band, with the digest that decides on their subsets.
 
-    The empty term, which no document has, stands for a document's end and is in no subset.
+    The empty term, which no document has, stands for a document's end.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -68,13 +71,10 @@ def lexicon_of(docs: DataFrame, band: Band = Band()) -> DataFrame:
         .where(frequency * 2.0**band.high >= total)
         .where(frequency * 2.0**band.low <= total)
     )
-    subsets = F.lit(0).cast("long")
-    for k in range(SUBSETS):
-        draw = F.conv(F.substring(F.md5(F.concat("term", F.lit(f":{k}"))), 1, 3), 16, 10)
-        keep = draw.cast("int") < 4096 >> (1 + k % CHANCES)
-        subsets += F.when(keep, F.lit(1 << k)).otherwise(F.lit(0))
-    end = spark.createDataFrame([("", 0)], "term string, subsets long")
-    return stored(kept.select("term", subsets.alias("subsets")).unionByName(end), "lexicon")
+    digits = F.substring(F.md5("term"), 1, FAMILIES * SLICE_BITS // 4)
+    draw = F.conv(digits, 16, 10).cast("long")
+    end = spark.createDataFrame([("", 0)], "term string, draw long")
+    return stored(kept.select("term", draw.alias("draw")).unionByName(end), "lexicon")
 
 
 def fingerprints(texts: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,27 +88,42 @@ def fingerprints(texts: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataF
     joined = rows.select(*keys, *others, F.explode("text").alias("term")).join(
         broadcast_if_small(lexicon), "term"
     )
+    term = F.when(F.col("term") != "", F.struct("term", "draw"))
     found = joined.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in others],
-        F.array_sort(F.collect_list(F.struct("term", "subsets"))).alias("terms"),
+        F.array_sort(F.collect_list(term)).alias("terms"),
     )
-    return found.select(*keys, *others, _hashes("terms").alias("hashes"))
+    return _hashed(found, [*keys, *others])
 
 
-def _hashes(terms: str) -> Column:
-    def subset_hash(k: Column) -> Column:
-        inside = F.filter(
-            terms, lambda t: F.call_function("getbit", t["subsets"], k.cast("int")) == 1
-        )
-        names = F.array_join(F.transform(inside, lambda t: t["term"]), " ")
-        return F.when(F.size(inside) == 0, "").otherwise(F.substring(F.md5(names), 1, HASH_DIGITS))
+def _hashed(found: DataFrame, names: list[str]) -> DataFrame:
+    """``names`` and ``hashes``. Subsets are cut from larger ones, in steps that are kept apart."""
+    families, step = range(FAMILIES), FIRST_STEP + 1
+    wide = {f"wide{f}": _subset(F.col("terms"), f, 1) for f in families}
+    narrow = {f"narrow{f}": _subset(F.col(f"wide{f}"), f, step) for f in families}
+    hashes = [
+        _hash(_subset(F.col(f"wide{f}" if size < step else f"narrow{f}"), f, size))
+        for f in families
+        for size in range(1, CHANCES + 1)
+    ]
+    cut = found.withColumns(wide).drop("terms").withColumns(narrow)
+    return cut.select(*names, F.array(*hashes).alias("hashes"))
+
+
+def _subset(terms: Column, family: int, size: int) -> Column:
+    """The terms whose slice of the digest begins with ``size`` zeros."""
+    mask = ((1 << size) - 1) << (family * SLICE_BITS)
+    return F.filter(terms, lambda t: t["draw"].bitwiseAND(F.lit(mask)) == 0)
+
 
-    return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), subset_hash)
+def _hash(terms: Column) -> Column:
+    names = F.array_join(F.transform(terms, lambda t: t["term"]), " ")
+    return F.when(F.size(terms) == 0, "").otherwise(F.substring(F.md5(names), 1, HASH_DIGITS))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Weighted share of agreeing subsets among those where either has a term."""
-    weights = F.lit([2 << k % CHANCES for k in range(SUBSETS)])
+    weights = F.lit([2 << k for _ in range(FAMILIES) for k in range(CHANCES)])
     filled = F.filter(
         F.arrays_zip(a.alias("a"), b.alias("b"), weights.alias("weight")),
         lambda p: (p["a"] != "") | (p["b"] != ""),

@@ -121,14 +121,15 @@ lexicon AS (
   HAVING count(*) * 1024 >= (SELECT count(*) FROM documents)
      AND count(*) * 4 <= (SELECT count(*) FROM documents)),
 subsets AS (
-  SELECT term, k FROM lexicon, range(0, 63) r (k)
-  WHERE CAST('0x' || left(md5(term || ':' || k), 3) AS INTEGER) < (4096 >> (1 + k % 9)::INTEGER)),
+  SELECT term, k FROM lexicon, range(0, 54) r (k)
+  WHERE (CAST('0x' || left(md5(term), 15) AS BIGINT)
+         & (((2::BIGINT << (k % 9)::INTEGER) - 1) << (10 * (k // 9))::INTEGER)) = 0),
 marks AS (
   SELECT doc_id, kind, k, left(md5(string_agg(term, ' ' ORDER BY term COLLATE "C")), 8) AS h
   FROM terms JOIN subsets USING (term) GROUP BY ALL),
 prints AS (
   SELECT doc_id, kind, list(coalesce(h, '') ORDER BY k) AS f
-  FROM (SELECT doc_id, kind, k FROM texts, range(0, 63) r (k)) LEFT JOIN marks USING (doc_id, kind, k)
+  FROM (SELECT doc_id, kind, k FROM texts, range(0, 54) r (k)) LEFT JOIN marks USING (doc_id, kind, k)
   GROUP BY ALL),
 sides AS (
   SELECT e.doc_id, e.n, e.changed, a.f AS own, b.f AS edited, c.f AS following
@@ -137,10 +138,10 @@ sides AS (
   JOIN prints c ON c.doc_id = e.next_id AND c.kind = 0),
 shares AS (
   SELECT *,
-    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 64) IF own[i] <> '' OR edited[i] <> '']), 0) AS n1,
-    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 64) IF own[i] <> '' AND own[i] = edited[i]]), 0) AS m1,
-    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 64) IF own[i] <> '' OR following[i] <> '']), 0) AS n2,
-    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 64) IF own[i] <> '' AND own[i] = following[i]]), 0) AS m2
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 55) IF own[i] <> '' OR edited[i] <> '']), 0) AS n1,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 55) IF own[i] <> '' AND own[i] = edited[i]]), 0) AS m1,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 55) IF own[i] <> '' OR following[i] <> '']), 0) AS n2,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 55) IF own[i] <> '' AND own[i] = following[i]]), 0) AS m2
   FROM sides)
 SELECT doc_id, n AS n_chars, sha256(changed) AS edited_sha256,
        array_to_string(own, '.') AS fingerprint, array_to_string(edited, '.') AS edited_fingerprint,
