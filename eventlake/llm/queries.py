@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import bpe, kneser_ney, pii
+from eventlake.llm import bpe, kneser_ney, language_id, pii
 from eventlake.llm.bloom_cascade import Rule, host_and_path, judge_urls
 from eventlake.llm.chat_format import format_conversations, read_back
 from eventlake.llm.decontaminate import contamination
@@ -108,6 +108,14 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.train_text_model(table(spark, sf_dir, "documents"))
+    pages = language_id.parsed_pages(table(spark, sf_dir, "pages"))
+    found = language_id.identify(pages, model, "text", F.col("declared"), F.col("host"))
+    return found.select("page_id", "declared", "language", "confidence", "accepted")
+
+
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
