@@ -12,7 +12,7 @@ import numpy as np
 from eventlake.llm.tokens import mix
 
 GAMMA = 2.0
-_LEVEL = np.uint64(0xA0761D6478BD642F)
+_LEVELS = np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
 
 
 def build(keys: np.ndarray) -> dict[str, np.ndarray]:
@@ -58,4 +58,4 @@ def lookup(function: dict[str, np.ndarray], keys: np.ndarray) -> np.ndarray:
 
 
 def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
-    return (mix(keys + _LEVEL * np.uint64(level + 1)) % np.uint64(size)).astype(np.int64)
+    return (mix(keys + _LEVELS[level]) % np.uint64(size)).astype(np.int64)

@@ -1,0 +1,75 @@
+"""The pipeline, stage by stage, against plain versions."""
+
+import hashlib
+from pathlib import Path
+
+import public_tokenizers
+import pytest
+from test_decontaminate import brute_force as hits_of
+from test_jaccard_join import brute_force as classes_of
+from test_language_id import plain as languages_of
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import corpus_pipeline as pipeline
+from eventlake.llm.language_id import train_text_model
+
+DATA = Path("/root/testdata/sf0.001")
+LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def without_repeated_lines(docs):
+    def key(line):
+        stripped = line.strip(" \t\n\r\x0b\x0c")
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in stripped)
+
+    holders = {}
+    for doc_id, text in docs:
+        for k in {key(line) for line in (text or "").split("\n")}:
+            if len(k) >= 40:
+                holders.setdefault(k, []).append(doc_id)
+    keeper = {k: max(ids) for k, ids in holders.items() if len(ids) >= 5}
+    return [
+        (i, "\n".join(x for x in (t or "").split("\n") if keeper.get(key(x), i) == i))
+        for i, t in docs
+    ]
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="needs the given tables")
+def test_run_matches_plain_stages(spark):
+    source = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = source.orderBy("doc_id").collect()
+    model = train_text_model(source)
+    verdicts = languages_of([(r.text, r.lang, r.source) for r in rows], model)
+    kept = [(r.doc_id, r.text) for r, v in zip(rows, verdicts, strict=True) if v[2]]
+    assert len(kept) >= 0.95 * len(rows)
+    kept = without_repeated_lines(kept)
+    assert kept != [(r.doc_id, r.text) for r in rows]
+    classes = {i: c for i, c, _ in classes_of(kept)}
+    one_each = [(i, t) for i, t in kept if classes[i] == i]
+    assert len(one_each) < len(kept)
+    items = [tuple(r) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").select("item_id", "text").collect()]
+    clean = [(i, t) for i, t in one_each if not hits_of([(i, t)], items)[0][-1]]
+    assert len(clean) < len(one_each)
+    want = {}
+    for i, t in clean:
+        ids = LIBRARY.encode(t, add_special_tokens=False).ids
+        digest = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        want[i] = (len(t), len(ids), digest, hashlib.sha256(t.encode()).hexdigest())
+    got = contract.queries()["pipeline"](spark, str(DATA)).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert (r.n_chars, r.n_tokens, r.ids_sha256, r.decoded_sha256) == want[r.doc_id]
+
+
+def test_stages_on_odd_rows(spark, documents):
+    rows = [(1, None), (2, ""), (None, "words " * 10), (3, "a b c"), (3, "a b c"), (4, "x" * 90_000)]
+    rows += [(5, "The Same text"), (6, "the same, text"), (None, "words " * 10)]
+    for frame in (documents(rows), documents([])):
+        for _, stage in pipeline.STAGES[:-1]:
+            out = stage(spark, frame, str(DATA))
+            assert out.columns == frame.columns
+            assert out.count() <= frame.count()
+        assert pipeline.STAGES[-1][1](spark, frame, str(DATA)).count() == frame.count()
+    once = pipeline.keep_one_of_each_class(spark, documents(rows), str(DATA)).collect()
+    assert sorted((r.doc_id for r in once), key=str) == [1, 2, 3, 3, 4, 5, None, None]
