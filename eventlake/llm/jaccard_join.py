@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.llm.components import connected_components
-from eventlake.llm.shared import prepare, stored
+from eventlake.llm.shared import broadcast_if_small, prepare, stored
 from eventlake.llm.tokens import ALNUM, Texts, as_bytes, chunks, distinct, mix, ngrams
 
 WORDS, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
@@ -167,8 +167,12 @@ def _verified(
 ) -> DataFrame:
     """(node, root, links) per task and node that has links there."""
     groups = stored(groups, "groups")
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    members = groups.join(sizes, "root").join(nodes.select("node", "copies", "least_id"), "node")
+    # Only groups of more than a block need their size known: few rows, whatever the groups are.
+    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK)
+    large = broadcast_if_small(stored(sizes, "large-groups"))
+    members = groups.join(large, "root", "left").join(
+        nodes.select("node", "copies", "least_id"), "node"
+    )
     # A node's text is that of its least id (of all null ids, if it has no other).
     texts = docs.join(
         members.select("least_id").distinct(),
@@ -191,7 +195,7 @@ def _verified(
 
     first_text = texts.select("text").mapInArrow(own_node, "node long, text string")
     blocks = F.ceil(F.col("size") / BLOCK)
-    small = F.col("size") <= BLOCK
+    small = F.col("size").isNull()
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), (blocks - 1).cast("int")),
