@@ -29,12 +29,22 @@ def exactly_once(events: DataFrame) -> DataFrame:
 
 
 def rows_per_date(events: DataFrame) -> DataFrame:
-    """Row count per event date, in date order. Reads the partition column alone."""
+    """Row count per event date, in date order. Reads the partition column alone.
+
+    No rows for a table without dates.
+    """
+    if DATE_COLUMN not in events.columns:
+        return events.sparkSession.createDataFrame([], f"{DATE_COLUMN} date, rows long")
     return events.groupBy(DATE_COLUMN).agg(F.count(F.lit(1)).alias("rows")).orderBy(DATE_COLUMN)
 
 
 def top_event_types(events: DataFrame, n: int = TOP_TYPES) -> DataFrame:
-    """The ``n`` most frequent event types; equal counts are ordered by name."""
+    """The ``n`` most frequent event types; equal counts are ordered by name.
+
+    No rows for a table without event types.
+    """
+    if "eventType" not in events.columns:
+        return events.sparkSession.createDataFrame([], "eventType string, rows long")
     return (
         events.groupBy("eventType")
         .agg(F.count(F.lit(1)).alias("rows"))

@@ -2,7 +2,7 @@
 
 from eventlake.plans.ingest import BatchCounts, dead_letter_table, events_table, land_batch
 from eventlake.plans.merge import MergeOutcome, merge_insert
-from eventlake.plans.upkeep import compact, is_due, maintain, recover, vacuum
+from eventlake.plans.upkeep import compact, is_due, maintain, recover, unfinished, vacuum, writing
 
 __all__ = [
     "BatchCounts",
@@ -15,5 +15,7 @@ __all__ = [
     "maintain",
     "merge_insert",
     "recover",
+    "unfinished",
     "vacuum",
+    "writing",
 ]

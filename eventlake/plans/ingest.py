@@ -19,7 +19,7 @@ from eventlake.operators.events import (
     select_dead_letters,
 )
 from eventlake.plans.merge import SourceProfile, merge_insert, profile_columns
-from eventlake.plans.upkeep import recover
+from eventlake.plans.upkeep import writing
 from eventlake.schema import (
     COORDINATES,
     DATE_COLUMN,
@@ -63,7 +63,6 @@ def events_table(
     require_id_column(payload)
     table = LakeTable(spark, path, DATE_COLUMN, [ID_COLUMN], rows_per_file)
     if table.exists():
-        recover(table)
         return table
     no_rows = spark.createDataFrame([], RAW_SCHEMA)
     return table.ensure(enrich_events(parse_events(no_rows, payload)).schema)
@@ -75,7 +74,6 @@ def dead_letter_table(
     """The dead-letter table at ``path``, made if absent; unpartitioned."""
     table = LakeTable(spark, path, None, COORDINATES, rows_per_file)
     if table.exists():
-        recover(table)
         return table
     return table.ensure(DEAD_LETTER_SCHEMA)
 
@@ -93,7 +91,17 @@ def land_batch(
     All counts come from one aggregate over the collapsed batch: records without an event id form
     one group there, which the map side has already shrunk to a row per task.
     """
-    merge = merge or MergeSettings()
+    with writing(events):
+        return _land(raw, events, dead, payload, merge or MergeSettings())
+
+
+def _land(
+    raw: DataFrame,
+    events: LakeTable,
+    dead: LakeTable | None,
+    payload: T.StructType,
+    merge: MergeSettings,
+) -> BatchCounts:
     records = parse_records(raw, payload)
     if dead is not None:
         # Both branches read the parsed records, so the source is read and parsed once.
@@ -143,21 +151,26 @@ def merge_dead_letters(
     """
     letters = letters.dropDuplicates(LETTER_KEYS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        columns = profile_columns(table, LETTER_KEYS, F.lit(True), OFFSET_COLUMN)
-        (profile,) = _measure(letters, columns)
-        return merge_insert(
-            table,
-            letters,
-            LETTER_KEYS,
-            null_safe=True,
-            range_key=OFFSET_COLUMN,
-            broadcast_bytes=broadcast_bytes,
-            profile=SourceProfile(**profile),
-        ).inserted_rows
+        with writing(table):
+            return _merge_letters(letters, table, broadcast_bytes)
     finally:
         letters.unpersist()
 
 
+def _merge_letters(letters: DataFrame, table: LakeTable, broadcast_bytes: int) -> int:
+    columns = profile_columns(table, LETTER_KEYS, F.lit(True), OFFSET_COLUMN)
+    (profile,) = _measure(letters, columns)
+    return merge_insert(
+        table,
+        letters,
+        LETTER_KEYS,
+        null_safe=True,
+        range_key=OFFSET_COLUMN,
+        broadcast_bytes=broadcast_bytes,
+        profile=SourceProfile(**profile),
+    ).inserted_rows
+
+
 def _profile(table: LakeTable, batch: DataFrame) -> tuple[SourceProfile, int, int]:
     """Measure the batch in one pass: the merge profile, rows read, rows valid."""
     has_id = F.col(ID_COLUMN).isNotNull()

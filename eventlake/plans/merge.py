@@ -12,6 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.plans.upkeep import leased
 from eventlake.sources.table import LakeTable
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -81,6 +82,7 @@ def profile_columns(
     return columns
 
 
+@leased
 def merge_insert(
     table: LakeTable,
     source: DataFrame,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
-import math
+import functools
+import json
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,20 +21,19 @@ OLD_DIR = "_old"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 GROUP_BYTES = 1024**4
 SAFE_RETENTION_HOURS = 168
+ABANDONED_HOURS = 48
+MANIFEST = "_manifest.json"
 _RUN_FORMAT = "%Y%m%dT%H%M%S%fZ"
 
 
 @dataclass(frozen=True)
-class Partition:
-    """A partition directory and the size of its data files."""
+class SmallFiles:
+    """Data files of a partition directory that are worth merging, and their size."""
 
     directory: str
-    files: int
+    names: tuple[str, ...]
     size: int
 
-    def ideal_files(self, target_bytes: int) -> int:
-        return max(1, math.ceil(self.size / target_bytes))
-
 
 @dataclass(frozen=True)
 class Compaction:
@@ -47,10 +48,30 @@ def is_due(batch_id: int, maintenance: MaintenanceSettings) -> bool:
     return maintenance.enabled and every > 0 and (batch_id + 1) % every == 0
 
 
+@contextlib.contextmanager
+def writing(table: LakeTable) -> Iterator[None]:
+    """Hold the table's lease. Whoever gets it first settles a swap that its holder left undone."""
+    table.lease.on_taken = lambda: recover(table)
+    with table.lease:
+        yield
+
+
+def leased(step):
+    """A step on a table, run with the table's lease."""
+
+    @functools.wraps(step)
+    def run(table: LakeTable, *args, **options):
+        with writing(table):
+            return step(table, *args, **options)
+
+    return run
+
+
 def maintain(table: LakeTable, maintenance: MaintenanceSettings) -> Compaction:
     """Compact, clustered on the configured column if the table has it, then reclaim space.
 
     A retention below a week is taken from the settings as it stands: someone set it on purpose.
+    May run beside an ingest: see ``compact``.
     """
     column = maintenance.zorder_column
     done = compact(table, column if column in table.schema().fieldNames() else None)
@@ -63,16 +84,10 @@ def partition_files(spark: SparkSession, table: LakeTable) -> DataFrame:
 
     The directory of an unpartitioned table is the empty name.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(table.path)
-    )
-    parent = F.element_at(F.split("path", "/"), -2)
-    directory = parent if table.partition_column else F.lit("")
-    return listing.groupBy(directory.alias("directory")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("size")
+    return (
+        _listing(table)
+        .groupBy("directory")
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("size"))
     )
 
 
@@ -83,35 +98,45 @@ def compact(
     target_file_bytes: int = TARGET_FILE_BYTES,
     group_bytes: int = GROUP_BYTES,
 ) -> Compaction:
-    """Rewrite the partitions that hold more files than their size calls for.
+    """Merge the small files of every partition that has two or more of them.
+
+    Files from half the target size on are left alone, so what is rewritten is never more than
+    what came in small. Rows are range-partitioned by (partition column, cluster column) and
+    sorted, so each new file covers a narrow key range and a lookup skips the others. Without a
+    cluster column the table's own cluster columns are used.
 
-    Rows are range-partitioned by (partition column, cluster column) and sorted, so each new file
-    covers a narrow key range and a lookup skips the others. Without a cluster column the table's
-    own cluster columns are used. Partitions are taken in groups of about ``group_bytes``; each
-    group is one Spark job and is swapped in before the next starts.
+    Partitions are taken in groups of about ``group_bytes``, each a Spark job. It reads a fixed
+    list of files while others may append. Only its swap holds the table's lease: it retires
+    exactly the files it read, or gives up if one of them is gone.
     """
-    recover(table)
-    wanted = [
-        p
-        for p in _partitions(table)
-        if p.files > p.ideal_files(target_file_bytes) + 1
-    ]
+    with writing(table):
+        pass  # settles what an earlier compaction left
+    wanted = _small_files(table, target_file_bytes)
     for group in _groups(wanted, group_bytes):
         _rewrite(table, group, cluster_column, target_file_bytes)
-    return Compaction(len(wanted), sum(p.files for p in wanted), sum(p.size for p in wanted))
+    return Compaction(len(wanted), sum(len(p.names) for p in wanted), sum(p.size for p in wanted))
+
+
+def unfinished(table: LakeTable) -> list[str]:
+    """Compactions whose swap has begun and not ended: until then rows may be out of sight."""
+    runs = table.folder.names(STAGING_DIR)
+    return [r for r in runs if table.folder.exists(_join(STAGING_DIR, r, MANIFEST))]
 
 
 def recover(table: LakeTable) -> None:
-    """Settle a compaction that was cut short. Runs before any write.
+    """Settle compactions that were cut short; for the holder of the lease only.
 
-    A partition whose old files have begun to move is finished forward; anything else staged is
-    dropped, since the table still holds all of its rows.
+    One with a manifest had all its files staged and is finished. One without has changed
+    nothing; it may still be at work, so its files go only when they are ``ABANDONED_HOURS`` old.
     """
-    for run in table.folder.names(STAGING_DIR):
-        for directory in _staged(table, run):
-            if table.folder.exists(_join(OLD_DIR, run, directory)):
-                _swap(table, run, directory)
-        table.folder.remove(_join(STAGING_DIR, run))
+    done = set(unfinished(table))
+    for run in done:
+        _swap(table, run)
+    limit = _now() - datetime.timedelta(hours=ABANDONED_HOURS)
+    for run in set(table.folder.names(STAGING_DIR)) - done:
+        began = _stamp_of(run)
+        if began is not None and began <= limit:
+            table.folder.remove(_join(STAGING_DIR, run))
 
 
 def vacuum(
@@ -119,27 +144,53 @@ def vacuum(
 ) -> int:
     """Delete files replaced more than ``retention_hours`` ago; returns the number of runs freed.
 
-    A query that began before a compaction may still read the replaced files, hence the week.
+    The age counts from the swap. A query that began before it may still read the replaced
+    files, hence the week. Names that no compaction gave are left alone.
     """
     if retention_hours < SAFE_RETENTION_HOURS and not allow_short:
         raise ValueError(
             f"retention of {retention_hours} h is below {SAFE_RETENTION_HOURS} h; "
             "pass allow_short=True if no reader can be that old"
         )
-    limit = _now() - datetime.timedelta(hours=retention_hours)
-    expired = [run for run in table.folder.names(OLD_DIR) if _started(run) <= limit]
-    for run in expired:
-        table.folder.remove(f"{OLD_DIR}/{run}")
+    with writing(table):
+        limit = _now() - datetime.timedelta(hours=retention_hours)
+        stamps = {run: _stamp_of(run) for run in table.folder.names(OLD_DIR)}
+        expired = [run for run, at in stamps.items() if at is not None and at <= limit]
+        for run in expired:
+            table.folder.remove(f"{OLD_DIR}/{run}")
     return len(expired)
 
 
-def _partitions(table: LakeTable) -> list[Partition]:
-    rows = partition_files(table.spark, table).orderBy("directory").collect()
-    return [Partition(**row.asDict()) for row in rows]
+def _listing(table: LakeTable) -> DataFrame:
+    """(directory, name, length) of every data file."""
+    listing = (
+        table.spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(table.path)
+    )
+    parts = F.split("path", "/")
+    directory = F.element_at(parts, -2) if table.partition_column else F.lit("")
+    return listing.select(
+        directory.alias("directory"), F.element_at(parts, -1).alias("name"), "length"
+    )
+
+
+def _small_files(table: LakeTable, target_bytes: int) -> list[SmallFiles]:
+    rows = (
+        _listing(table)
+        .where(F.col("length") * 2 < target_bytes)
+        .groupBy("directory")
+        .agg(F.sort_array(F.collect_list("name")).alias("names"), F.sum("length").alias("size"))
+        .where(F.size("names") > 1)
+        .orderBy("directory")
+        .collect()
+    )
+    return [SmallFiles(r["directory"], tuple(r["names"]), r["size"]) for r in rows]
 
 
-def _groups(partitions: list[Partition], group_bytes: int) -> Iterator[list[Partition]]:
-    group: list[Partition] = []
+def _groups(partitions: list[SmallFiles], group_bytes: int) -> Iterator[list[SmallFiles]]:
+    group: list[SmallFiles] = []
     for p in partitions:
         if group and sum(q.size for q in group) + p.size > group_bytes:
             yield group
@@ -150,14 +201,16 @@ def _groups(partitions: list[Partition], group_bytes: int) -> Iterator[list[Part
 
 
 def _rewrite(
-    table: LakeTable, group: list[Partition], cluster_column: str | None, target_file_bytes: int
+    table: LakeTable, group: list[SmallFiles], cluster_column: str | None, target_file_bytes: int
 ) -> None:
     run = f"{_now().strftime(_RUN_FORMAT)}-{uuid.uuid4().hex[:8]}"
     cluster = [cluster_column] if cluster_column else table.cluster_columns
     order = [c for c in (table.partition_column, *cluster) if c]
-    tasks = max(1, math.ceil(sum(p.size for p in group) / target_file_bytes))
+    # Rounded down: new files reach the target, so they are not small again.
+    tasks = max(1, sum(p.size for p in group) // target_file_bytes)
+    inputs = [_join(p.directory, name) for p in group for name in p.names]
     writer = (
-        table.scan_directories([p.directory for p in group])
+        table.scan_files(inputs)
         .repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .write.option("mapreduce.output.basename", _file_prefix(run))
@@ -165,37 +218,41 @@ def _rewrite(
     if table.partition_column:
         writer = writer.partitionBy(table.partition_column)
     writer.parquet(f"{table.path}/{STAGING_DIR}/{run}")
-    for p in group:
-        _swap(table, run, p.directory)
-    table.folder.remove(_join(STAGING_DIR, run))
+    with writing(table):
+        if not all(table.folder.exists(name) for name in inputs):
+            table.folder.remove(_join(STAGING_DIR, run))  # another run has merged some of them
+            return
+        old = f"{_now().strftime(_RUN_FORMAT)}-{run.rpartition('-')[2]}"
+        manifest = json.dumps({"old": old, "inputs": inputs})
+        table.folder.write_new_text(_join(STAGING_DIR, run, MANIFEST), manifest)
+        _swap(table, run)
 
 
-def _swap(table: LakeTable, run: str, directory: str) -> None:
-    """Move a partition's old files away and its rewritten files in.
+def _swap(table: LakeTable, run: str) -> None:
+    """Retire the run's input files, then move its new ones in. Can be repeated from any point.
 
-    Whole directories are renamed where possible. It can be repeated from any point, then going
-    file by file: rewritten files carry the run in their names, so they are told from old ones,
-    and on an object store, where a rename copies, a finished copy is not made again.
+    The manifest is there only when every new file is, and it goes last.
     """
-    folder = table.folder
-    old, staged = _join(OLD_DIR, run, directory), _join(STAGING_DIR, run, directory)
-    if directory and not folder.exists(old):
-        folder.move(directory, old)
-    folder.make(old)
-    for file in folder.visible(directory):
-        if file.endswith(".parquet") and not file.startswith(_file_prefix(run)):
-            _move_file(table, directory, old, file)
-    if directory and not folder.exists(directory):
-        folder.move(staged, directory)
-    for file in folder.visible(staged):
-        _move_file(table, staged, directory, file)
-
-
-def _move_file(table: LakeTable, source: str, target: str, file: str) -> None:
-    if table.folder.exists(_join(target, file)):
-        table.folder.remove(_join(source, file))
+    manifest = json.loads(table.folder.read_text(_join(STAGING_DIR, run, MANIFEST)))
+    for name in manifest["inputs"]:
+        _move_file(table, name, _join(OLD_DIR, manifest["old"], name))
+    for directory in _staged(table, run):
+        for file in table.folder.visible(_join(STAGING_DIR, run, directory)):
+            if file.endswith(".parquet"):
+                _move_file(table, _join(STAGING_DIR, run, directory, file), _join(directory, file))
+    table.folder.remove(_join(STAGING_DIR, run))
+
+
+def _move_file(table: LakeTable, source: str, target: str) -> None:
+    """Move a file unless it has moved. On an object store, where a rename copies, a finished copy
+    is not made again."""
+    if not table.folder.exists(source):
+        if not table.folder.exists(target):
+            raise FileNotFoundError(f"{table.path}/{source}")
+    elif table.folder.exists(target):
+        table.folder.remove(source)
     else:
-        table.folder.move(_join(source, file), _join(target, file))
+        table.folder.move(source, target)
 
 
 def _staged(table: LakeTable, run: str) -> list[str]:
@@ -213,8 +270,11 @@ def _file_prefix(run: str) -> str:
     return f"compact-{run}"
 
 
-def _started(run: str) -> datetime.datetime:
-    stamp = datetime.datetime.strptime(run.split("-")[0], _RUN_FORMAT)
+def _stamp_of(run: str) -> datetime.datetime | None:
+    try:
+        stamp = datetime.datetime.strptime(run.split("-")[0], _RUN_FORMAT)
+    except ValueError:
+        return None
     return stamp.replace(tzinfo=datetime.UTC)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -49,16 +50,41 @@ class Folder:
         self._fs.delete(self._hadoop(name), True)
 
     def write_new_text(self, name: str, text: str) -> bool:
-        """Create a small text file in one step; False when the name is already taken."""
+        """Put a small text file in place whole; False when the name is already taken.
+
+        For the holder of the table's lease: the rename itself may replace a file.
+        """
         if self.exists(name):
             return False
-        partial = self._hadoop(f"{name}.partial")
-        stream = self._fs.create(partial, True)
+        self.replace_text(f"{name}.partial", text)
+        return self._fs.rename(self._hadoop(f"{name}.partial"), self._hadoop(name))
+
+    def create_text(self, name: str, text: str) -> bool:
+        """Create a file that must not exist; False when it does. Decided by the file system."""
+        try:
+            stream = self._fs.create(self._hadoop(name), False)
+        except Py4JJavaError:
+            if self.exists(name):
+                return False
+            raise
+        self._write(stream, text)
+        return True
+
+    def replace_text(self, name: str, text: str) -> None:
+        self._write(self._fs.create(self._hadoop(name), True), text)
+
+    def modified(self, name: str) -> float | None:
+        """Seconds since 1970 of the last change; None if the file is absent."""
+        try:
+            return self._fs.getFileStatus(self._hadoop(name)).getModificationTime() / 1000
+        except Py4JJavaError:
+            return None
+
+    def _write(self, stream, text: str) -> None:
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
-        return self._fs.rename(partial, self._hadoop(name))
 
     def read_text(self, name: str) -> str:
         stream = self._fs.open(self._hadoop(name))

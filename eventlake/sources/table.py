@@ -6,7 +6,10 @@ Layout::
     <path>/_schema/000001.json                   the table's columns, newest file wins
     <path>/_staging/<run>/, <path>/_old/<run>/   used by upkeep only
 
-Spark readers skip names that start with an underscore. A table has one writer at a time.
+    <path>/_lease.json                           the writer at work, if any
+
+Spark readers skip names that start with an underscore. A table has one writer at a time, the one
+that holds its lease (``eventlake.plans.upkeep.writing``).
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.sources.folder import Folder
+from eventlake.sources.lease import Lease
 
 SCHEMA_DIR = "_schema"
 # The directory name Spark gives to rows whose partition value is null.
@@ -33,7 +37,7 @@ class SchemaConflict(ValueError):
 
 
 class LakeTable:
-    """Handle on a table; holds no data and no cached state."""
+    """Handle on a table; holds no data and no cached state but its lease while writing."""
 
     def __init__(
         self,
@@ -49,6 +53,7 @@ class LakeTable:
         self.cluster_columns = list(cluster_columns)
         self.rows_per_file = rows_per_file
         self.folder = Folder(spark, self.path)
+        self.lease = Lease(self.folder)
 
     # -- schema ---------------------------------------------------------------------------
 
@@ -64,8 +69,10 @@ class LakeTable:
     def ensure(self, schema: T.StructType) -> LakeTable:
         """Create the table if it is absent; an existing table is left as it is."""
         if not self.exists():
-            self.folder.make(SCHEMA_DIR)
-            self._publish(schema, 1)
+            with self.lease:
+                if not self.exists():
+                    self.folder.make(SCHEMA_DIR)
+                    self._publish(schema, 1)
         return self
 
     def widen(self, source: T.StructType) -> T.StructType:
@@ -126,6 +133,10 @@ class LakeTable:
         """The rows of the named partition directories."""
         return self._read([f"{self.path}/{name}".rstrip("/") for name in names])
 
+    def scan_files(self, names: Sequence[str]) -> DataFrame:
+        """The rows of the named data files."""
+        return self._read([f"{self.path}/{name}" for name in names])
+
     def directories(self) -> list[str]:
         """The partition directories; the table itself, as an empty name, if unpartitioned."""
         if not self.partition_column:

@@ -1,12 +1,14 @@
 """Creating, verifying and keeping up tables."""
 
 import datetime
+import json
 import os
 
 import pytest
 from conftest import DAY1, DAY2, event, ids
 from pyspark.sql import functions as F
 
+from eventlake import __main__ as command
 from eventlake.operators import (
     clickstream_events,
     dead_letters,
@@ -24,13 +26,16 @@ from eventlake.plans import (
     maintain,
     merge_insert,
     recover,
+    unfinished,
     vacuum,
+    writing,
 )
 from eventlake.plans.ingest import merge_dead_letters
 from eventlake.plans.upkeep import partition_files
 from eventlake.schema import DEAD_LETTER_SCHEMA
 from eventlake.settings import MaintenanceSettings
 from eventlake.sources import LakeTable
+from eventlake.sources.lease import LeaseHeld
 
 STORED = [
     "kafkaPartition", "kafkaOffset", "eventId", "userId", "eventType", "url", "referrer",
@@ -128,7 +133,7 @@ def test_compacted_files_are_clustered(spark, raw, events):
     for i in range(6):
         land_batch(raw([event(f"{j:04}-{i}") for j in range(200)]), events)
     size = sum(r["size"] for r in partition_files(spark, events).collect())
-    compact(events, "eventId", target_file_bytes=size // 3)
+    compact(events, "eventId", target_file_bytes=size // 2)
     spans = (
         events.scan()
         .groupBy(F.input_file_name())
@@ -219,38 +224,169 @@ def test_crash_while_swapping_dead_letters(spark, raw, dead, monkeypatch, n):
         merge_dead_letters(dead_letters(raw([("bad", 0, i)])), dead)
     _stop_at_move(dead, monkeypatch, n)
     reopened = dead_letter_table(spark, dead.path)
+    assert unfinished(reopened)
+    recover(reopened)
     assert sorted(r.kafkaOffset for r in reopened.scan().collect()) == [0, 1, 2, 3]
     assert reopened.folder.names("_staging") == []
 
 
-@pytest.mark.parametrize("n", [1, 2])
+@pytest.mark.parametrize("n", [1, 3, 6])
 def test_crash_while_swapping_loses_nothing(spark, raw, fragmented, monkeypatch, n):
     before = ids(fragmented.scan())
     _stop_at_move(fragmented, monkeypatch, n)
     reopened = events_table(spark, fragmented.path)
-    assert ids(reopened.scan()) == before
-    assert reopened.folder.names("_staging") == []
+    assert unfinished(reopened)  # opening settles nothing, the next writer does
     assert land_batch(raw([event("a0"), event("z4")]), reopened).rowsInserted == 0
+    assert reopened.folder.names("_staging") == []
+    assert ids(reopened.scan()) == before
+    vacuum(reopened, 0, allow_short=True)
+    assert ids(reopened.scan()) == before
 
 
 @pytest.mark.parametrize("keep_source", [False, True])
-def test_crash_in_the_middle_of_a_directory_move(fragmented, monkeypatch, keep_source):
-    """Where a rename is not atomic, some old files have moved, or were copied and not deleted."""
+def test_crash_in_the_middle_of_a_copy(fragmented, monkeypatch, keep_source):
+    """Where a rename copies, some old files have moved, or were copied and not deleted."""
     before = ids(fragmented.scan())
     _stop_at_move(fragmented, monkeypatch, 1)
     name = "eventDate=2024-07-03"
-    (run,) = fragmented.folder.names("_staging")
-    old = f"{fragmented.path}/_old/{run}/{name}"
+    (run,) = unfinished(fragmented)
+    manifest = json.loads(fragmented.folder.read_text(f"_staging/{run}/_manifest.json"))
+    old = f"{fragmented.path}/_old/{manifest['old']}/{name}"
     os.makedirs(old)
-    for file in fragmented.folder.visible(name)[:2]:
-        os.link(f"{fragmented.path}/{name}/{file}", f"{old}/{file}")
+    for file in manifest["inputs"][:2]:
+        os.link(f"{fragmented.path}/{file}", f"{old}/{file.split('/')[-1]}")
         if not keep_source:
-            fragmented.folder.remove(f"{name}/{file}")
+            fragmented.folder.remove(file)
     recover(fragmented)
     assert ids(fragmented.scan()) == before
     assert files(fragmented)[name] == 1
 
 
+def _before_swap(table, monkeypatch, action):
+    """Run an action when a compaction has staged its files and is about to take the lease."""
+    real, calls = table.lease.__class__.__enter__, []
+
+    def enter(lease):
+        calls.append(lease)
+        if lease is table.lease and len(calls) == 2:  # the first settles what was left
+            action()
+        return real(lease)
+
+    monkeypatch.setattr(table.lease.__class__, "__enter__", enter)
+
+
+def test_rows_appended_during_a_compaction_stay(spark, raw, fragmented, monkeypatch):
+    other = events_table(spark, fragmented.path)
+    done = []
+
+    def land():
+        done.append(land_batch(raw([event("late", DAY1 + 9)]), other).rowsInserted)
+
+    _before_swap(fragmented, monkeypatch, land)
+    compact(fragmented, "eventId")
+    monkeypatch.undo()
+    assert done == [1]
+    assert fragmented.scan().count() == 12
+    vacuum(fragmented, 0, allow_short=True)
+    assert fragmented.scan().count() == 12
+
+
+def test_opening_during_a_swap_disturbs_nothing(spark, fragmented, monkeypatch):
+    before = ids(fragmented.scan())
+    moves = []
+
+    def move(source, target, real=fragmented.folder.move):
+        moves.append(events_table(spark, fragmented.path))
+        real(source, target)
+
+    monkeypatch.setattr(fragmented.folder, "move", move)
+    compact(fragmented)
+    monkeypatch.undo()
+    assert len(moves) == 6
+    vacuum(fragmented, 0, allow_short=True)
+    assert ids(fragmented.scan()) == before
+
+
+def test_a_second_compaction_of_the_same_files_gives_up(spark, fragmented, monkeypatch):
+    before = ids(fragmented.scan())
+    other = events_table(spark, fragmented.path)
+    _before_swap(fragmented, monkeypatch, lambda: compact(other))
+    compact(fragmented)
+    monkeypatch.undo()
+    assert ids(fragmented.scan()) == before
+    assert fragmented.folder.names("_staging") == []
+
+
+def test_one_writer_at_a_time(spark, events):
+    other = events_table(spark, events.path)
+    other.lease.wait = 0.1
+    with writing(events), writing(events):
+        with pytest.raises(LeaseHeld, match="being written"), writing(other):
+            pass
+    with writing(other):
+        assert events.folder.exists("_lease.json")
+    assert not events.folder.exists("_lease.json")
+
+
+def test_lost_lease_is_taken_over_and_a_live_one_renewed(spark, events):
+    events.folder.create_text("_lease.json", '{"token": "of a dead job"}')
+    os.utime(f"{events.path}/_lease.json", (1, 1))
+    events.lease.seconds = 1.0
+    with writing(events):
+        other = events_table(spark, events.path)
+        other.lease.seconds, other.lease.wait = 1.0, 2.5
+        with pytest.raises(LeaseHeld), writing(other):
+            pass
+    assert not [n for n in events.folder.names() if n.startswith("_lease")]
+
+
+def test_only_small_files_are_rewritten(raw, events):
+    """A packed date with two tiny files: the packed files stay."""
+    for i in range(3):
+        land_batch(raw([event(f"{i}-{j:05}", DAY1, url=f"/{j * 7919}") for j in range(3000)]), events)
+    packed = {p for p in events.folder.visible("eventDate=2024-07-03")}
+    least = min(os.path.getsize(f"{events.path}/eventDate=2024-07-03/{p}") for p in packed)
+    for name in ("tiny1", "tiny2"):
+        land_batch(raw([event(name, DAY1)]), events)
+    done = compact(events, target_file_bytes=least)
+    assert done.files_before == 2 and done.bytes_before < least
+    after = set(events.folder.visible("eventDate=2024-07-03"))
+    assert packed < after and len(after) == len(packed) + 1
+    assert events.scan().count() == 9002
+    assert compact(events, target_file_bytes=least).partitions == 0
+
+
+def test_two_tiny_files_are_merged(raw, events, dead):
+    for i in range(2):
+        land_batch(raw([event(f"e{i}")]), events)
+        merge_dead_letters(dead_letters(raw([("bad", 0, i)])), dead)
+    for table in (events, dead):
+        compact(table)
+        assert list(files(table).values()) == [1] and table.scan().count() == 2
+
+
+def test_vacuum_leaves_foreign_names(fragmented):
+    fragmented.folder.make("_old/notes")
+    assert vacuum(fragmented, 0, allow_short=True) == 0
+    assert fragmented.folder.names("_old") == ["notes"]
+
+
+def test_reports_without_optional_columns(spark):
+    frame = spark.createDataFrame([("a",)], "eventId string")
+    assert rows_per_date(frame).collect() == [] and top_event_types(frame).collect() == []
+
+
+def test_verification_refuses_an_unfinished_swap(spark, fragmented, monkeypatch, capsys):
+    _stop_at_move(fragmented, monkeypatch, 3)
+    monkeypatch.setenv("STORAGE_BASE_PATH", os.path.dirname(fragmented.path))
+    monkeypatch.setenv("STORAGE_TABLE_NAME", os.path.basename(fragmented.path))
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    assert command.main(["verify"]) == command.UNSETTLED
+    assert "NOT VERIFIED" in capsys.readouterr().out
+    recover(fragmented)
+    assert command.main(["verify"]) == 0
+
+
 def test_cadence():
     every_third = MaintenanceSettings(enabled=True, every_batches=3)
     assert [b for b in range(9) if is_due(b, every_third)] == [2, 5, 8]
