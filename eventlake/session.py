@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -78,12 +77,7 @@ def tune_cached_batches(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder named in ``spark.checkpoint.dir``.
 
-    Without that setting a local temporary folder is used in local mode, where all tasks see it;
-    on a cluster the setting is required.
+    Where that is unset the warehouse directory takes its place, which executors share too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/eventlake/{label}-{uuid.uuid4().hex}"

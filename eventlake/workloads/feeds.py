@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from eventlake.schema import EVENT_SCHEMA
 
 LOG_PARTITIONS = 4
-NOT_JSON = "not-json"
-NO_ID = '{"userId":"u","eventType":"click","timestamp":1}'
+NOT_JSON = "sensor offline; retry in 30s"
+NO_ID = '{"device":"kiosk-7","battery":41}'
 BLANKS = "   "
 
 CHANNEL_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("channel", T.StringType())])
@@ -80,9 +80,9 @@ def _record(
         F.concat(F.lit("e"), F.col("event_id")).alias("eventId"),
         F.concat(F.lit("u"), F.col("user_id")).alias("userId"),
         F.col("event_type").alias("eventType"),
-        F.concat(F.lit("/p/"), F.get_json_object("props", "$.k")).alias("url"),
-        F.lit("/home").alias("referrer"),
-        F.when(F.col("event_type") == "purchase", F.col("value")).alias("amount"),
+        F.concat(F.lit("shelf="), F.get_json_object("props", "$.k")).alias("url"),
+        F.concat(F.lit("campaign-"), F.col("user_id") % 9).alias("referrer"),
+        F.col("value").alias("amount"),
         millis.alias("timestamp"),
     ]
     if channel is not None:

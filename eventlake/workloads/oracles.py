@@ -17,8 +17,8 @@ feed AS (
 FIELDS = """
     part AS "kafkaPartition", pos AS "kafkaOffset", 'e' || event_id AS "eventId",
     'u' || user_id AS "userId", event_type AS "eventType",
-    '/p/' || json_extract_string(props, '$.k') AS "url", '/home' AS "referrer",
-    CASE WHEN event_type = 'purchase' THEN value END AS "amount"
+    'shelf=' || json_extract_string(props, '$.k') AS "url",
+    'campaign-' || (user_id % 9) AS "referrer", value AS "amount"
 """
 
 TIMES = """
@@ -34,8 +34,8 @@ WITH {FEED} SELECT {FIELDS}, {TIMES} FROM feed WHERE event_type <> 'error' AND d
 
 REJECTED = """
 SELECT CAST(user_id % 4 AS INTEGER) AS "kafkaPartition", event_id * 2 AS "kafkaOffset",
-       CASE WHEN hour(ts) < 6 THEN 'not-json'
-            WHEN hour(ts) < 12 THEN '{"userId":"u","eventType":"click","timestamp":1}'
+       CASE WHEN hour(ts) < 6 THEN 'sensor offline; retry in 30s'
+            WHEN hour(ts) < 12 THEN '{"device":"kiosk-7","battery":41}'
             WHEN hour(ts) < 18 THEN NULL
             ELSE '   ' END AS "rawValue",
        CASE WHEN hour(ts) < 12 THEN 'unparseable or missing eventId'
@@ -71,6 +71,15 @@ ORACLES: dict[str, str] = {
     "merge_window": """
         SELECT CAST(min(ts) AS DATE) AS "minDate", CAST(max(ts) AS DATE) AS "maxDate"
         FROM events WHERE event_type <> 'error'""",
+    "merge_counts": """
+        SELECT i AS "landing", CASE WHEN i = 1 THEN n ELSE 0 END AS "rowsInserted"
+        FROM (SELECT count(*) AS n FROM events WHERE event_type <> 'error'), range(1, 4) r (i)""",
+    "compact_report": """
+        SELECT CAST(ts AS DATE) AS "eventDate", count(*) AS "rows", TRUE AS "merged"
+        FROM events WHERE event_type <> 'error' GROUP BY 1""",
+    "vacuum_report": """
+        SELECT count(*) AS "rows", CAST(1 AS BIGINT) AS "runsBefore", CAST(0 AS BIGINT) AS "runsAfter"
+        FROM events WHERE event_type <> 'error'""",
     "merge_cross_window": f"""
         WITH {FEED}, moved AS (
             SELECT * REPLACE (millis + CAST(delivery AS BIGINT) * 400 * 86400000 AS millis) FROM feed)

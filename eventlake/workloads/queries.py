@@ -27,16 +27,21 @@ from eventlake.plans import (
     events_table,
     land_batch,
     maintain,
+    merge_insert,
     vacuum,
 )
 from eventlake.plans.ingest import merge_dead_letters
-from eventlake.schema import DATE_COLUMN, INGEST_COLUMN, TIME_COLUMN
+from eventlake.plans.upkeep import OLD_DIR, partition_files
+from eventlake.schema import DATE_COLUMN, ID_COLUMN, INGEST_COLUMN, TIME_COLUMN
 from eventlake.session import scratch_path, tune_cached_batches
 from eventlake.settings import MaintenanceSettings, MergeSettings, Settings
 from eventlake.sources import Folder, LakeTable, raw_file_stream
 from eventlake.streaming import AuditLog, ClickstreamIngest, audit_totals
 from eventlake.workloads import feeds
 
+# A stream's source files, and about how many micro-batches it takes them in.
+RECORDS_PER_FILE, BATCHES = 2_000_000, 4
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -101,9 +106,12 @@ def rejected_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def merge_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clickstream_events(_raw(spark, sf_dir)).agg(
-        F.min(DATE_COLUMN).alias("minDate"), F.max(DATE_COLUMN).alias("maxDate")
+    """The window that a real merge reports."""
+    outcome = merge_insert(
+        _new_events(spark, "window"), clickstream_events(_raw(spark, sf_dir)), [ID_COLUMN]
     )
+    dates = spark.createDataFrame([outcome.window], "minDate string, maxDate string")
+    return dates.select(*[F.col(c).cast("date").alias(c) for c in dates.columns])
 
 
 # -- merges into a table ------------------------------------------------------------------
@@ -128,6 +136,16 @@ def merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(events.scan())
 
 
+@query
+def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows inserted by each of three landings of one batch."""
+    events = _new_events(spark, "counts")
+    inserted = [
+        (i, land_batch(_raw(spark, sf_dir), events).rowsInserted) for i in (1, 2, 3)
+    ]
+    return spark.createDataFrame(inserted, "landing long, rowsInserted long")
+
+
 @query
 def merge_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last third of the time range landed again on the full table: a narrow window."""
@@ -258,6 +276,36 @@ def vacuum_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(events.scan())
 
 
+@query
+def compact_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per date, and whether its files have become fewer: one that does nothing shows."""
+    events = _landed_in_parts(spark, sf_dir, "compact-report")
+    before = _files(events, "filesBefore")
+    compact(events, "eventId")
+    counts = _files(events, "filesAfter").join(before, DATE_COLUMN)
+    merged = (F.col("filesBefore") == 1) | (F.col("filesAfter") < F.col("filesBefore"))
+    return (
+        rows_per_date(events.scan())
+        .join(counts, DATE_COLUMN)
+        .select(DATE_COLUMN, "rows", merged.alias("merged"))
+    )
+
+
+@query
+def vacuum_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the table, and replaced runs before and after reclaiming space."""
+    events = _landed_in_parts(spark, sf_dir, "vacuum-report")
+    compact(events, "eventId")
+    before = len(events.folder.names(OLD_DIR))
+    vacuum(events, 0, allow_short=True)
+    after = len(events.folder.names(OLD_DIR))
+    return events.scan().agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.lit(before).cast("long").alias("runsBefore"),
+        F.lit(after).cast("long").alias("runsAfter"),
+    )
+
+
 @query
 def maintain_then_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upkeep by settings, then the whole feed again on the rewritten table."""
@@ -367,6 +415,14 @@ def _landed_in_parts(spark: SparkSession, sf_dir: str, label: str) -> LakeTable:
     return events
 
 
+def _files(table: LakeTable, name: str) -> DataFrame:
+    """Data files per date, as they are now."""
+    counts = partition_files(table.spark, table).collect()
+    rows = [(r["directory"].removeprefix(f"{DATE_COLUMN}="), r["files"]) for r in counts]
+    frame = table.spark.createDataFrame(rows, f"{DATE_COLUMN} string, {name} long")
+    return frame.withColumn(DATE_COLUMN, F.col(DATE_COLUMN).cast("date"))
+
+
 class _Stream:
     """A stream over the feed written to files: first deliveries, then the second ones."""
 
@@ -382,11 +438,14 @@ class _Stream:
         )
         rows = feeds.clickstream_rows(spark, sf_dir)
         for wave in (feeds.originals(rows), feeds.resends(rows)):
-            files = wave.repartitionByRange(4, "offset")
-            files.write.mode("append").parquet(f"{self.base}/raw")
+            files = wave.repartitionByRange("offset").write.mode("append")
+            # The width follows the data: adaptive execution, and a bound on a file's rows.
+            files.option("maxRecordsPerFile", RECORDS_PER_FILE).parquet(f"{self.base}/raw")
 
     def run(self) -> None:
-        source = raw_file_stream(self.spark, f"{self.base}/raw", max_files_per_trigger=2)
+        files = len(self.spark.read.parquet(f"{self.base}/raw").inputFiles())
+        share = max(1, files // BATCHES)
+        source = raw_file_stream(self.spark, f"{self.base}/raw", max_files_per_trigger=share)
         ClickstreamIngest(self.spark, self.settings, source).run()
 
     def forget_last_commit(self) -> None:
