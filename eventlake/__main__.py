@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 import signal
 import sys
 
@@ -21,6 +22,8 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="eventlake", description=__doc__)
     parser.add_argument("job", choices=["ingest", "verify", "maintain"])
     job = parser.parse_args(argv).job
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
 
     settings = Settings.from_env()
     spark = build_session(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from eventlake.streaming.audit import AuditLog
 from eventlake.streaming.progress import ProgressGauges
 
 QUERY_NAME = "eventlake-clickstream"
+log = logging.getLogger(__name__)
 
 
 class ClickstreamIngest:
@@ -77,17 +79,30 @@ class ClickstreamIngest:
         if settings.audit.enabled:
             query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
             elapsed = int((time.monotonic() - started) * 1000)
-            log = AuditLog(spark, settings.storage.path_of(settings.audit.table_name))
-            log.record(query_id, batch_id, counts, elapsed)
+            audit = AuditLog(spark, settings.storage.path_of(settings.audit.table_name))
+            audit.record(query_id, batch_id, counts, elapsed)
+        seconds = time.monotonic() - started
+        log.info(
+            "batch %d: %s in %.1f s, %.0f records/s",
+            batch_id,
+            counts,
+            seconds,
+            counts.rowsRead / max(seconds, 1e-3),
+        )
         if is_due(batch_id, settings.maintenance):
             for table in filter(None, (events, dead)):
-                maintain(table, settings.maintenance)
+                log.info("batch %d: upkeep %s", batch_id, maintain(table, settings.maintenance))
         return counts
 
     def run(self) -> None:
         """Start and wait until the query ends; stop it on the way out."""
         with self:
-            self.start().awaitTermination()
+            try:
+                self.start().awaitTermination()
+            except Exception:
+                log.exception("the ingest query has ended with an error")
+                raise
+            log.info("the ingest query has ended")
 
     def stop(self) -> None:
         """Stop the query and drop the listener. A batch cut short runs again on restart."""
