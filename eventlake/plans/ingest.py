@@ -18,7 +18,13 @@ from eventlake.operators.events import (
     parse_records,
     select_dead_letters,
 )
-from eventlake.plans.merge import SourceProfile, merge_insert, profile_columns
+from eventlake.plans.merge import (
+    SourceProfile,
+    keyed_join,
+    merge_insert,
+    profile_columns,
+    stored_keys,
+)
 from eventlake.plans.upkeep import writing
 from eventlake.schema import (
     COORDINATES,
@@ -158,17 +164,30 @@ def merge_dead_letters(
 
 
 def _merge_letters(letters: DataFrame, table: LakeTable, broadcast_bytes: int) -> int:
-    columns = profile_columns(table, LETTER_KEYS, F.lit(True), OFFSET_COLUMN)
-    (profile,) = _measure(letters, columns)
-    return merge_insert(
-        table,
-        letters,
-        LETTER_KEYS,
-        null_safe=True,
-        range_key=OFFSET_COLUMN,
-        broadcast_bytes=broadcast_bytes,
-        profile=SourceProfile(**profile),
-    ).inserted_rows
+    """Coordinates first: texts are read of the table only where a coordinate is there already,
+    which a fresh batch has none of."""
+    (profile,) = _measure(letters, profile_columns(table, COORDINATES, F.lit(True), OFFSET_COLUMN))
+    profile = SourceProfile(**profile)
+    if profile.rows == 0:
+        return 0
+    options = {"null_safe": True, "broadcast_bytes": broadcast_bytes}
+    hits = stored_keys(table, letters, COORDINATES, OFFSET_COLUMN, profile, **options)
+    hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if hits.isEmpty():
+            table.append(letters, profile.rows, profile.dates)
+            return profile.rows
+        small = profile.broadcast_size <= broadcast_bytes
+        side = F.broadcast(hits) if small else hits
+        doubtful = keyed_join(letters, side, COORDINATES, "left_semi", null_safe=True)
+        known = merge_insert(table, doubtful, LETTER_KEYS, range_key=OFFSET_COLUMN, **options)
+        fresh = keyed_join(letters, side, COORDINATES, "left_anti", null_safe=True)
+        count = profile.rows - known.source_rows
+        if count:
+            table.append(fresh, count)
+        return count + known.inserted_rows
+    finally:
+        hits.unpersist()
 
 
 def _profile(table: LakeTable, batch: DataFrame) -> tuple[SourceProfile, int, int]:

@@ -135,7 +135,7 @@ def merge_insert(
             if inserted:
                 fresh = source
                 if matched:
-                    fresh = _join(
+                    fresh = keyed_join(
                         source, F.broadcast(hits) if small else hits, keys, "left_anti", null_safe
                     )
                 table.append(fresh, inserted, profile.dates)
@@ -185,6 +185,22 @@ def _within_key_range(
     return target.where(possible)
 
 
+def stored_keys(
+    table: LakeTable,
+    source: DataFrame,
+    keys: Sequence[str],
+    range_key: str,
+    profile: SourceProfile,
+    *,
+    null_safe: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The distinct ``keys`` of the source that the whole table holds."""
+    target = _within_key_range(table.scan(), range_key, profile, null_safe)
+    small = profile.broadcast_size <= broadcast_bytes
+    return _stored_keys(target.select(*keys), source.select(*keys), keys, small, null_safe)
+
+
 def _stored_keys(
     target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool, null_safe: bool
 ) -> DataFrame:
@@ -194,12 +210,12 @@ def _stored_keys(
     made distinct, map side first, and that one shuffle also serves the join.
     """
     if small:
-        found = _join(target, F.broadcast(source), keys, "left_semi", null_safe)
+        found = keyed_join(target, F.broadcast(source), keys, "left_semi", null_safe)
         return found.distinct()
-    return _join(target.distinct(), source, keys, "left_semi", null_safe)
+    return keyed_join(target.distinct(), source, keys, "left_semi", null_safe)
 
 
-def _join(
+def keyed_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool
 ) -> DataFrame:
     if not null_safe:

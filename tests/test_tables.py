@@ -402,3 +402,22 @@ def test_job_temporary_files_are_not_read(raw, events):
     os.makedirs(leftover)
     os.link(f"{directory}/{file}", f"{leftover}/{file}")
     assert ids(events.scan()) == ["a"]
+
+
+def test_fresh_dead_letters_read_no_texts_of_the_table(spark, raw, dead, monkeypatch):
+    """Only coordinates are read of the table, unless one of them is stored already."""
+    scans = []
+
+    def scan(real=dead.scan):
+        frame = real()
+        scans.append(frame)
+        return frame
+
+    monkeypatch.setattr(dead, "scan", scan)
+    merge = lambda *values: merge_dead_letters(dead_letters(raw(list(values))), dead)
+    assert merge(("a", 0, 1), ("b", 1, 1)) == 2
+    assert merge(("c", 0, 2), ("d", 1, 3)) == 2
+    assert len(scans) == 2
+    assert merge(("c", 0, 2), ("e", 0, 2), ("f", 0, 4), (None, 0, 5)) == 3
+    assert len(scans) == 4
+    assert sorted(r.rawValue or "" for r in dead.scan().collect()) == ["", "a", "b", "c", "d", "e", "f"]
