@@ -219,7 +219,11 @@ def _rewrite(
         writer = writer.partitionBy(table.partition_column)
     writer.parquet(f"{table.path}/{STAGING_DIR}/{run}")
     with writing(table):
-        if not all(table.folder.exists(name) for name in inputs):
+        present = (
+            set(names) <= set(table.folder.names(directory))
+            for directory, names in _by_directory(inputs).items()
+        )
+        if not all(present):
             table.folder.remove(_join(STAGING_DIR, run))  # another run has merged some of them
             return
         old = f"{_now().strftime(_RUN_FORMAT)}-{run.rpartition('-')[2]}"
@@ -234,25 +238,37 @@ def _swap(table: LakeTable, run: str) -> None:
     The manifest is there only when every new file is, and it goes last.
     """
     manifest = json.loads(table.folder.read_text(_join(STAGING_DIR, run, MANIFEST)))
-    for name in manifest["inputs"]:
-        _move_file(table, name, _join(OLD_DIR, manifest["old"], name))
+    for directory, names in _by_directory(manifest["inputs"]).items():
+        _move_files(table, directory, _join(OLD_DIR, manifest["old"], directory), names)
     for directory in _staged(table, run):
-        for file in table.folder.visible(_join(STAGING_DIR, run, directory)):
-            if file.endswith(".parquet"):
-                _move_file(table, _join(STAGING_DIR, run, directory, file), _join(directory, file))
+        source = _join(STAGING_DIR, run, directory)
+        names = [n for n in table.folder.visible(source) if n.endswith(".parquet")]
+        _move_files(table, source, directory, names)
     table.folder.remove(_join(STAGING_DIR, run))
 
 
-def _move_file(table: LakeTable, source: str, target: str) -> None:
-    """Move a file unless it has moved. On an object store, where a rename copies, a finished copy
-    is not made again."""
-    if not table.folder.exists(source):
-        if not table.folder.exists(target):
-            raise FileNotFoundError(f"{table.path}/{source}")
-    elif table.folder.exists(target):
-        table.folder.remove(source)
-    else:
-        table.folder.move(source, target)
+def _by_directory(files: list[str]) -> dict[str, list[str]]:
+    found: dict[str, list[str]] = {}
+    for file in files:
+        directory, _, name = file.rpartition("/")
+        found.setdefault(directory, []).append(name)
+    return found
+
+
+def _move_files(table: LakeTable, source: str, target: str, names: list[str]) -> None:
+    """Move the files that have not moved. Two listings tell; on an object store, where a rename
+    copies, a finished copy is not made again."""
+    folder = table.folder
+    here, there = set(folder.names(source)), set(folder.names(target))
+    folder.make(target)
+    for name in names:
+        if name not in here:
+            if name not in there:
+                raise FileNotFoundError(f"{table.path}/{_join(source, name)}")
+        elif name in there:
+            folder.remove(_join(source, name))
+        else:
+            folder.move(_join(source, name), _join(target, name))
 
 
 def _staged(table: LakeTable, run: str) -> list[str]:

@@ -39,10 +39,7 @@ class Folder:
         self._fs.mkdirs(self._hadoop(name))
 
     def move(self, source: str, target: str) -> None:
-        """Rename; the parent of the target is made first, an existing target is an error."""
-        if self.exists(target):
-            raise FileExistsError(f"{self.path}/{target}")
-        self._fs.mkdirs(self._hadoop(target).getParent())
+        """Rename; the caller knows that the target is free and its parent there."""
         if not self._fs.rename(self._hadoop(source), self._hadoop(target)):
             raise OSError(f"cannot move {self.path}/{source} to {target}")
 

@@ -10,6 +10,8 @@ import time
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+
 from eventlake.sources.folder import Folder
 
 LEASE_FILE = "_lease.json"
@@ -90,11 +92,11 @@ class Lease:
         aside = f"_lease-lost-{uuid.uuid4().hex}"
         try:
             self.folder.move(LEASE_FILE, aside)
-        except OSError:
+        except (OSError, Py4JJavaError):
             return  # someone else was faster
         if json.loads(self.folder.read_text(aside) or "{}").get("token") == seen.get("token"):
             self.folder.remove(aside)
-        else:
+        elif not self.folder.exists(LEASE_FILE):
             self.folder.move(aside, LEASE_FILE)
 
     def _renew(self) -> None:

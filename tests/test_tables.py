@@ -252,7 +252,7 @@ def test_crash_in_the_middle_of_a_copy(fragmented, monkeypatch, keep_source):
     (run,) = unfinished(fragmented)
     manifest = json.loads(fragmented.folder.read_text(f"_staging/{run}/_manifest.json"))
     old = f"{fragmented.path}/_old/{manifest['old']}/{name}"
-    os.makedirs(old)
+    os.makedirs(old, exist_ok=True)
     for file in manifest["inputs"][:2]:
         os.link(f"{fragmented.path}/{file}", f"{old}/{file.split('/')[-1]}")
         if not keep_source:
