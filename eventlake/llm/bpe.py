@@ -7,8 +7,9 @@ so the ids of a text are those of its words in order.
 1. Tasks split blocks of whole texts into words. A block becomes one list of its distinct words
    and, per text, the numbers of its words: a frequent word appears once per block, whatever its
    share of the text.
-2. The blocks' words are shuffled and sorted by word. Each distinct word is encoded once, and its
-   ids go back to every block that has it.
+2. The blocks' words are shuffled by a hash of the word, packed as one row per block and part of
+   the hashes. There each distinct word is encoded once, and its ids go back, packed the same way,
+   to every block that has it. There are as many parts as shuffle partitions.
 3. There they are joined to the texts' words by number, in position order. Ids become bytes again
    by the id-to-piece table, which has as many rows as the vocabulary.
 
@@ -24,6 +25,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -169,6 +171,7 @@ def _by_words(
     passed = [f for f in docs.schema.fields if keep_text or f.name != "text"]
     schema = T.StructType([*passed, *new.fields])
     names, arrow_schema = [f.name for f in passed], to_arrow_schema(schema)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _blocks(batches):
@@ -183,54 +186,70 @@ def _by_words(
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _ in _blocks(batches):
-            yield pa.record_batch(
-                {
-                    "block": pa.array([block.name] * len(block.words), pa.string()),
-                    "number": pa.array(np.arange(len(block.words), dtype=np.int32)),
-                    "word": pa.array(block.words, pa.binary()),
-                }
-            )
-
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, last, last_ids = tokenizer(path), None, b""
-        for batch in batches:
-            words = batch["word"].to_pylist()
-            fresh = list(dict.fromkeys(words))  # sorted: equal words are neighbours
-            known = {last: last_ids}
-            todo = [w for w in fresh if w != last]
+            home = np.fromiter(map(zlib.crc32, block.words), np.uint32, len(block.words)) % parts
+            order = np.argsort(home, kind="stable")
+            edges = np.searchsorted(home[order], np.arange(parts + 1))
+            for part in np.flatnonzero(np.diff(edges)):
+                numbers = order[edges[part] : edges[part + 1]]  # ascending
+                words = [block.words[i] for i in numbers.tolist()]
+                yield pa.record_batch(
+                    {
+                        "part": pa.array([int(part)], pa.int32()),
+                        "block": pa.array([block.name], pa.string()),
+                        "numbers": pa.array([_packed(np.diff(numbers, prepend=0))], pa.binary()),
+                        "sizes": pa.array([_packed(np.array([len(w) for w in words]))], pa.binary()),
+                        "words": pa.array([zstandard.compress(b"".join(words), 3)], pa.binary()),
+                    }
+                )
+
+    def encoded(table: pa.Table) -> pa.Table:
+        """Ids of the words of one part, block by block; each distinct word is encoded once."""
+        library, known, out = tokenizer(path), {}, []
+        for row in table.to_pylist():
+            ends = np.cumsum(_unpacked(row["sizes"])).tolist()
+            joined = zstandard.decompress(row["words"])
+            words = [joined[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            todo = [w for w in dict.fromkeys(words) if w not in known]
             results = library.encode_batch_fast([w.decode() for w in todo], add_special_tokens=False)
             for word, result in zip(todo, results, strict=True):
-                known[word] = np.array(result.ids, dtype=np.int32).tobytes()
-            if words:
-                last, last_ids = words[-1], known[words[-1]]
-            ids = pa.array([known[w] for w in words], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch["block"], batch["number"], ids], names=["block", "number", "ids"]
+                known[word] = np.array(result.ids, dtype=np.int32)
+            ids = [known[w] for w in words]
+            out.append(
+                {
+                    "block": row["block"],
+                    "numbers": row["numbers"],
+                    "sizes": _packed(np.array([len(x) for x in ids])),
+                    "ids": _packed(np.concatenate(ids)),
+                }
             )
+        return pa.Table.from_pylist(out)
 
     def join_back(texts: pa.Table, words: pa.Table) -> pa.Table:
-        numbers = words["number"].to_pylist()
-        ids = [np.zeros(0, dtype=np.int32)] * (max(numbers, default=-1) + 1)
-        for number, raw in zip(numbers, words["ids"].to_pylist(), strict=True):
-            ids[number] = np.frombuffer(raw, dtype=np.int32)
-        parts = []
+        ids: dict[int, np.ndarray] = {}
+        for row in words.to_pylist():
+            numbers = np.cumsum(_unpacked(row["numbers"])).tolist()
+            ends = np.cumsum(_unpacked(row["sizes"]))
+            ids.update(zip(numbers, np.split(_unpacked(row["ids"]), ends[:-1]), strict=True))
+        by_number = [ids[i] for i in range(len(ids))]
+        made_parts = []
         for row in texts.to_pylist():  # more than one where blocks have the same texts
             rows = pa.ipc.open_stream(row["rows"]).read_all()
-            made = finish(_unpacked(row["positions"]), _unpacked(row["counts"]), ids)
+            made = finish(_unpacked(row["positions"]), _unpacked(row["counts"]), by_number)
             for name, column in made.items():
                 rows = rows.append_column(name, column)
-            parts.append(rows.cast(arrow_schema))
-        return pa.concat_tables(parts) if parts else arrow_schema.empty_table()
+            made_parts.append(rows.cast(arrow_schema))
+        return pa.concat_tables(made_parts) if made_parts else arrow_schema.empty_table()
 
     blocks = docs.mapInArrow(
         texts_of, "block string, rows binary, counts binary, positions binary"
     )
     words = (
         docs.select("text")
-        .mapInArrow(words_of, "block string, number int, word binary")
-        .repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(encoded, "block string, number int, ids binary")
+        .mapInArrow(
+            words_of, "part int, block string, numbers binary, sizes binary, words binary"
+        )
+        .groupBy("part")
+        .applyInArrow(encoded, "block string, numbers binary, sizes binary, ids binary")
     )
     together = blocks.groupBy("block").cogroup(words.groupBy("block"))
     return together.applyInArrow(join_back, schema)
