@@ -13,8 +13,9 @@ so the ids of a text are those of its words in order.
 3. There they are joined to the texts' words by number, in position order. Ids become bytes again
    by the id-to-piece table, which has as many rows as the vocabulary.
 
-Blocks are known by a digest of their texts, so a recomputed block fits its words. Words of one
-chunk of a block are told apart by 64-bit hashes.
+Blocks are known by a digest of their texts, so a recomputed block fits its words. The documents
+are read twice and must come in the same order, as those of a stored table do. Words of one chunk
+of a block are told apart by 64-bit hashes.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text. Repeated rows and
 ids are rows of their own. Other columns are passed on; clashing ones are replaced.
@@ -276,17 +277,20 @@ class _Block:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, pa.Table]]:
+    """Blocks of whole rows. They end where the texts so far reach BLOCK_BYTES, however the rows
+    are cut into batches, so that every reading of the same rows gives the same blocks."""
     gathered, texts, size = [], [], 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        gathered.append(batch)
-        column = as_bytes(batch["text"])
-        texts += column
-        size += sum(map(len, column))
-        if size >= BLOCK_BYTES:
-            yield _Block(texts), pa.Table.from_batches(gathered)
-            gathered, texts, size = [], [], 0
+        column, start = as_bytes(batch["text"]), 0
+        for i, text in enumerate(column, start=1):
+            size += len(text)
+            if size >= BLOCK_BYTES:
+                gathered.append(batch.slice(start, i - start))
+                yield _Block(texts + column[start:i]), pa.Table.from_batches(gathered)
+                gathered, texts, size, start = [], [], 0, i
+        if start < len(column):
+            gathered.append(batch.slice(start))
+            texts += column[start:]
     if gathered:
         yield _Block(texts), pa.Table.from_batches(gathered)
 

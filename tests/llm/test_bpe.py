@@ -4,6 +4,7 @@ import hashlib
 from pathlib import Path
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,6 +83,15 @@ def test_small_blocks(spark, documents, monkeypatch):
     assert sorted((r.doc_id, r.ids) for r in rows) == [(i, ids(t)) for i, t in enumerate(TEXTS)]
 
 
+def test_blocks_do_not_depend_on_batches(monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 50)
+    texts = [f"text number {i} " * (i % 4) for i in range(40)] + [None, "end"]
+    whole = pa.table({"text": texts, "n": range(len(texts))})
+    cuts = [[(b.name, t.num_rows) for b, t in bpe._blocks(iter(whole.to_batches(n)))] for n in (1, 3, 7, 99)]
+    assert cuts[0] == cuts[1] == cuts[2] == cuts[3] and len(cuts[0]) > 5
+    assert sum(rows for _, rows in cuts[0]) == len(texts)
+
+
 def test_empty_table(documents):
     assert bpe.encode(documents([]), PATH).count() == 0
     assert bpe.encode_digests(documents([]), PATH).count() == 0
