@@ -5,11 +5,14 @@ Base spans are the leftmost non-overlapping matches of one pattern per kind that
 further spans, which may overlap: addresses spelled out or without a top level, dotted numbers of
 any size, long digit groups, dialling formats without a plus sign.
 
-Boosted trees are fitted on labelled candidates of this corpus: base spans against proposed spans
-that touch none. Features describe the format and the context, not what the base patterns
-check, so the trees carry over to spans that the patterns miss. A threshold per kind is set on
-held-out documents to the wanted precision; a proposed span above it is added, unless it
-overlaps a base span. Without enough examples of both sorts nothing is added.
+Boosted trees are fitted on candidates of this corpus. Positives are the base spans and rewritings of
+them in place that the base patterns do not match: no plus sign, spelled-out @ and dots, other
+separators. Against them stand the proposed spans. Most of these are unlabelled; some are known to
+be wrong, as they fail their kind's check, stand in an identifier or behind a reference word, or lie
+on a base span of another kind. A threshold per kind is set on held-out documents to the wanted
+precision, of rewritten spans against wrong ones; unlabelled spans are no errors there. A proposed
+span above the threshold is added, unless it overlaps a base span. Without enough examples of both
+sorts nothing is added.
 
 The fit sees at most ``SAMPLE`` candidates, the first by a hash of their document and place. Trees
 become one SQL expression, so each document is searched, scored and reported within its row.
@@ -45,7 +48,7 @@ BASE = {
 GENERATORS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:@| ?[(\[](?:at|AT)[)\]] ?)"
     r"[A-Za-z0-9-]++(?:(?:\.| ?[(\[](?:dot|DOT)[)\]] ?)[A-Za-z0-9-]++)*+",
-    "ip": r"(?:\G|(?<![0-9.]))[0-9]++(?:\.[0-9]++){2,}+",
+    "ip": r"(?:\G|(?<![0-9.]))[0-9]++(?:(?:\.| ?[(\[](?:\.|dot|DOT)[)\]] ?)[0-9]++){2,}+",
     "card": r"(?:\G|(?<![0-9]))[0-9](?:[ ._-]?[0-9]){11,}+",
     "phone": r"(?:\G|(?<![0-9(+]))[(+]*+[0-9](?:[ ().-]{0,2}[0-9]){6,}+",
 }
@@ -53,14 +56,18 @@ CONTEXT = 32  # characters before a span that the features look at
 # Words that often stand before personal data, in the languages of the tables.
 CONTEXT_WORDS = r"(?i)\b(?:e-?mail|mail|contact|phone|tel|call|fax|mobile|card|visa|account|ip|host|server|kontakt|telefon|karte|tarjeta|carte|correo|courriel|llame|appel)"
 REFERENCE_WORDS = r"(?i)(?:\bno|\bnr|\bid|\bref|order|version|build|isbn|page|item|key|token|password)[ .:#=\"]*$|[#=\"/_-]$"
+TOP_LEVEL = r"(?:\.| ?[(\[](?:dot|DOT)[)\]] ?)[A-Za-z-]{2,}$"
 FEATURES = (
     "is_email", "is_ip", "is_card", "is_phone", "chars", "digits", "groups", "longest_group",
     "first_digit", "dots", "separators", "near_word", "near_reference", "after_letter",
-    "before_letter", "distinct_digits",
+    "before_letter", "distinct_digits", "passes_check",
 )
-SAMPLE, LEAST_EXAMPLES = 20_000, 50
+SAMPLE, LEAST_EXAMPLES, LEAST_HELD = 20_000, 50, 10
+# What a candidate of the fit is.
+IS_BASE, IS_REWRITTEN, IS_UNLABELLED, IS_WRONG = range(4)
 TREES, DEPTH = 10, 3
 PRECISION = 0.98
+DECIMALS = 3  # of margins, so that there are few different ones
 
 _SPAN = "struct<kind:int,start:int,end:int,text:string>"
 
@@ -95,7 +102,8 @@ def base_spans(text: Column) -> Column:
 def proposed_spans(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     found = F.concat(*[_spans(text, n, GENERATORS[k]) for n, k in enumerate(KINDS)])
-    return F.when(text.rlike(r"[0-9]{3}|@|[(\[](?:at|AT)[)\]]|[0-9]\.[0-9]"), found).otherwise(_none())
+    likely = r"[0-9]{3}|@|[(\[](?:at|AT)[)\]]|[0-9](?:\.[0-9]| ?[(\[](?:\.|dot|DOT))"
+    return F.when(text.rlike(likely), found).otherwise(_none())
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Model:
@@ -105,48 +113,49 @@ def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) ->
     spans = docs.select(
         "doc_id", text.alias("text"), base_spans(text).alias("base"), proposed_spans(text).alias("new")
     ).where(F.size("new") + F.size("base") > 0)
-    labelled = F.concat(
-        F.transform("base", lambda s: F.struct(s.alias("s"), F.lit(1.0).alias("label"))),
-        F.transform(
-            _apart("new", "base"), lambda s: F.struct(s.alias("s"), F.lit(0.0).alias("label"))
-        ),
-    )
-    rows = spans.select("doc_id", "text", F.explode(labelled).alias("x")).select(
-        "doc_id",
-        F.xxhash64("doc_id", "x.s").alias("draw"),
+    sorts = {
+        IS_BASE: F.col("base"),
+        IS_REWRITTEN: F.flatten(F.transform("base", _rewritten)),
+        IS_UNLABELLED: _apart("new", "base"),
+        IS_WRONG: _mistaken("new", "base"),
+    }
+    labelled = F.concat(*[_of_sort(x, sort) for sort, x in sorts.items()])
+    found = spans.select("doc_id", "text", F.explode(labelled).alias("x")).select(
+        F.xxhash64("doc_id", "x").alias("draw"),
+        (F.pmod(F.xxhash64("doc_id", "text"), F.lit(5)) == 1).alias("held"),
         F.col("x.s.kind").alias("kind"),
-        F.col("x.label").alias("label"),
+        F.col("x.sort").alias("sort"),
         _features(F.col("text"), F.col("x.s")).alias("f"),
     )
+    wrong = (F.col("sort") == IS_UNLABELLED) & _known_wrong(F.col("f"))
+    rows = found.withColumn("sort", F.when(wrong, IS_WRONG).otherwise(F.col("sort"))).withColumn(
+        "label", (F.col("sort") <= IS_REWRITTEN).cast("double")
+    )
     taken = stored(rows.orderBy("draw").limit(sample), "candidates")
-    held = F.pmod(F.col("draw"), F.lit(5)) == 1
-    labels = {r["label"]: r["count"] for r in taken.where(~held).groupBy("label").count().collect()}
+    labels = {r["label"]: r["count"] for r in taken.where("NOT held").groupBy("label").count().collect()}
     if min(labels.get(0.0, 0), labels.get(1.0, 0)) < LEAST_EXAMPLES:
         return NO_MODEL
-    wide = taken.select("kind", "label", held.alias("held"), *[F.col("f")[n].alias(n) for n in FEATURES])
+    wide = taken.select("kind", "label", "held", *[F.col("f")[n].alias(n) for n in FEATURES])
     wide = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(wide)
-    learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
+    # Leaves of several rows: a few personal spans among the unlabelled ones get none of their own.
+    learner = GBTClassifier(
+        maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, minInstancesPerNode=LEAST_HELD
+    )
     fitted = learner.fit(wide.where("NOT held").coalesce(1))
     trees = tuple(
         (float(weight), _tree(tree._java_obj.rootNode()))
         for weight, tree in zip(fitted.treeWeights, fitted.trees, strict=True)
     )
-    tested = taken.where(held).select(
-        "kind", "label", F.round(_margin(trees, F.col("f")), 6).alias("margin")
+    tested = taken.where("held").where(F.col("sort").isin(IS_REWRITTEN, IS_WRONG)).select(
+        "kind", "label", F.round(_margin(trees, F.col("f")), DECIMALS).alias("margin")
     )
     thresholds = []
     for kind in range(len(KINDS)):
-        # Best first; the last place at which the precision so far still holds.
         steps = tested.where(F.col("kind") == kind).groupBy("margin").agg(
             F.sum("label").alias("hits"), F.count(F.lit(1)).alias("all")
         )
-        hits = total = 0
-        threshold = None
-        for r in steps.orderBy(F.desc("margin")).collect():  # at most the sample's rows
-            hits, total = hits + r["hits"], total + r["all"]
-            if hits / total >= precision and total >= 10:
-                threshold = r["margin"]
-        thresholds.append(threshold)
+        # At most the sample's rows.
+        thresholds.append(_threshold(steps.orderBy(F.desc("margin")).collect(), precision))
     return Model(trees, tuple(thresholds))
 
 
@@ -159,15 +168,20 @@ def find_spans(docs: DataFrame, model: Model) -> DataFrame:
         return with_base.withColumn("spans", F.col("base"))
     text = F.coalesce("text", F.lit(""))
 
-    def good(span: Column) -> Column:
-        margin = F.round(_margin(model.trees, _features(text, span)), 6)
+    def good(x: Column) -> Column:
+        margin = F.round(_margin(model.trees, x["f"]), DECIMALS)
         result = F.lit(False)
         for kind, threshold in enumerate(model.thresholds):
             if threshold is not None:
-                result |= (span["kind"] == kind) & (margin >= threshold)
+                result |= (x["s"]["kind"] == kind) & (margin >= threshold)
         return result
 
-    added = F.filter(_apart(proposed_spans(text), "base"), good)
+    # Features are an array of their own, as the trees name them many times.
+    proposed = F.transform(
+        _apart(proposed_spans(text), "base"),
+        lambda s: F.struct(s.alias("s"), _features(text, s).alias("f")),
+    )
+    added = F.transform(F.filter(proposed, good), lambda x: x["s"])
     return with_base.withColumn("spans", _ordered(F.concat("base", added)))
 
 
@@ -265,6 +279,62 @@ def _apart(spans: Column | str, others: Column | str) -> Column:
     )
 
 
+def _mistaken(spans: str, others: str) -> Column:
+    """The spans that overlap others, but none of their own kind."""
+
+    def touches(s: Column, o: Column) -> Column:
+        return (s["start"] < o["end"]) & (o["start"] < s["end"])
+
+    return F.filter(
+        spans,
+        lambda s: F.exists(others, lambda o: touches(s, o))
+        & ~F.exists(others, lambda o: touches(s, o) & (s["kind"] == o["kind"])),
+    )
+
+
+def _matches(pattern: str):
+    return lambda text: text.rlike(pattern)
+
+
+def _rewritten(span: Column) -> Column:
+    """Forms of a base span that its pattern does not match, at the same place."""
+    text = span["text"]
+    name, host = F.substring_index(text, "@", 1), F.substring_index(text, "@", -1)
+    fours = [F.regexp_replace(_digits(text), "([0-9]{4})(?=[0-9])", f"$1{x}") for x in "._"]
+    number = F.substring(text, 2, 1 << 30)
+    forms = {
+        "email": [
+            F.concat(name, F.lit(" [at] "), F.replace(host, F.lit("."), F.lit(" [dot] "))),
+            F.concat(name, F.lit("(at)"), host),
+        ],
+        "ip": [F.replace(text, F.lit("."), F.lit(x)) for x in ("[.]", " [dot] ")],
+        "card": fours,
+        "phone": [number, *[F.regexp_replace(number, "[ ().-]+", x) for x in ".-"]],
+    }
+    texts = F.lit(None).cast("array<string>")
+    for n, kind in enumerate(KINDS):
+        whole = f"^(?:{GENERATORS[kind]})$"
+        proposed = F.filter(F.array(*forms[kind]), _matches(whole))
+        texts = F.when(span["kind"] == n, proposed).otherwise(texts)
+    return F.transform(
+        texts,
+        lambda t: F.struct(
+            span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end"), t.alias("text")
+        ),
+    )
+
+
+def _of_sort(spans: Column, sort: int) -> Column:
+    return F.transform(spans, lambda s: F.struct(s.alias("s"), F.lit(sort).alias("sort")))
+
+
+def _known_wrong(f: Column) -> Column:
+    """By features: fails the check of its kind, or is a number of an identifier or a reference."""
+    named = (f["near_reference"] == 1) & (f["near_word"] == 0)
+    attached = (f["after_letter"] == 1) | (f["before_letter"] == 1)
+    return (f["passes_check"] == 0) | ((f["is_email"] == 0) & (attached | named))
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -308,6 +378,17 @@ def _features(text: Column, span: Column) -> Column:
         F.least(span["start"], F.lit(CONTEXT)),
     )
     after = F.substr(text, span["end"] + 1, F.lit(1))
+    four_small = (F.size(groups) == 4) & F.forall(
+        F.transform(groups, lambda g: F.ltrim(g, F.lit("0"))),
+        lambda g: (F.length(g) < 3) | ((F.length(g) == 3) & (g <= "255")),
+    )
+    # In the order of KINDS.
+    passes = (
+        F.when(span["kind"] == 0, own.rlike(TOP_LEVEL))
+        .when(span["kind"] == 1, four_small)
+        .when(span["kind"] == 2, _card(own))
+        .otherwise(_phone(own))
+    )
     values = [
         *[span["kind"] == n for n in range(len(KINDS))],
         F.length(own),
@@ -322,10 +403,28 @@ def _features(text: Column, span: Column) -> Column:
         before.rlike("[A-Za-z]$"),
         after.rlike("^[A-Za-z]"),
         F.size(F.array_distinct(F.split(digits, ""))),
+        passes,
     ]
     return F.struct(*[v.cast("double").alias(n) for n, v in zip(FEATURES, values, strict=True)])
 
 
+def _threshold(steps: list, precision: float) -> float | None:
+    """From (margin, hits, all), best margin first: the last hit at which the precision so far holds.
+
+    No wrong span lies between it and the next wrong one below; the threshold is midway between
+    these two, or between it and the trees' own boundary, 0, if that comes first.
+    """
+    hits = total = 0
+    last, below = None, 0.0
+    for margin, more, everything in steps:
+        hits, total = hits + more, total + everything
+        if more and hits >= LEAST_HELD and hits / total >= precision:
+            last, below = margin, 0.0
+        elif last is not None and everything > more:
+            below = max(below, margin)
+    return last if last is None or last <= below else (last + below) / 2
+
+
 def _tree(node):
     """A fitted tree in plain values."""
     if node.getClass().getSimpleName() == "LeafNode":

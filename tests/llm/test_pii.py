@@ -116,6 +116,31 @@ def test_added_spans(spark, documents):
     assert all(b in r.spans for r in rows.values() for b in r.base)
 
 
+def test_planted_spans_beyond_the_base_are_added(spark, documents):
+    """Forms that no base pattern matches, in the corpus the trees are fitted on."""
+    rows = planted()
+    for i in range(300):
+        rows.append((2000 + i, f"write to {'abcdefg'[: i % 7 + 1]}{i % 3 or ''}@{'host' * (i % 2 + 1)}.com today"))
+        rows.append((3000 + i, f"server 10.{i % 250}.{i % 199}.{i % 90} is down"))
+    forms = {
+        (1, "phone"): ("some words, call ", "1 (917) 555-1234", " for more"),
+        (2, "phone"): ("some words, call ", "1-917-555-1234", " for more"),
+        (3, "email"): ("write to ", "name [at] host [dot] com", " today"),
+        (4, "email"): ("write to ", "name(at)host.com", " today"),
+        (5, "ip"): ("server ", "10[.]1[.]2[.]3", " is down"),
+    }
+    rows += [(-n, "".join(parts)) for (n, _), parts in forms.items()]
+    rows += [(-9, "as in order ref=700000099999 of that day"), (-10, "version 1.2.3 of 10.300.2.1")]
+    docs = documents(rows)
+    model = pii.fit(docs)
+    found = {r.doc_id: r for r in pii.find_spans(docs.where("doc_id < 0"), model).collect()}
+    for (n, kind), (before, own, _) in forms.items():
+        assert found[-n].base == []
+        got = [(pii.KINDS[s.kind], s.start, s.text) for s in found[-n].spans]
+        assert got == [(kind, len(before), own)]
+    assert found[-9].spans == [] and found[-10].spans == []
+
+
 def test_too_few_examples_add_nothing(documents):
     assert pii.fit(documents(planted(5))) == pii.NO_MODEL
     assert pii.fit(documents([])) == pii.NO_MODEL
