@@ -3,7 +3,7 @@
     P(language | everything) ~ P(text | language) P(declared | language) P(language | address)
 
 * Text: hashed byte trigrams of the letters, lower-cased, of the whole text, against tables
-  trained on a bounded sample of labelled documents. Trigrams overlap, so their sum counts as at
+  trained on a bounded sample of each label's documents. Trigrams overlap, so their sum counts as at
   most ``SATURATION`` independent ones.
 * Declared markup language: how often pages of a language declare which language, counted over
   all rows.
@@ -33,15 +33,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.llm.shared import broadcast_if_small, prepare, stored
 from eventlake.llm.tokens import Texts, as_bytes, chunks, mix
 
-SAMPLE = 4_000  # labelled documents the trigram tables are trained on
-LEAST_LABELLED = 10  # documents of the sample that make a label a language
+SAMPLE = 4_000  # labelled documents of each label that the trigram tables are trained on
+LEAST_LABELLED = 10  # documents of the whole table that make a label a language
 BUCKETS = 1 << 14
 PSEUDO_COUNT = 0.05
 SATURATION = 60
@@ -62,17 +62,24 @@ class TextModel:
 
 
 def train_text_model(labelled: DataFrame, sample: int = SAMPLE) -> TextModel:
-    """Trigram tables from ``labelled`` (doc_id, text, lang): at most ``sample`` documents, the
-    first by a hash of their ids."""
+    """Trigram tables from ``labelled`` (doc_id, text, lang): at most ``sample`` documents of each
+    label, the first by a hash of their ids. Every label with ``LEAST_LABELLED`` rows is a language.
+    """
     prepare(labelled.sparkSession)
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    share = min(1.0, 2 * sample / max(1, rows.count()))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = broadcast_if_small(stored(sizes.where(F.col("rows") >= LEAST_LABELLED), "labels"))
+    # About twice the sample of each label is ordered, all of a label that has no more.
+    share = F.least(F.lit(1.0), F.lit(2.0 * sample) / F.col("rows"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
     chosen = (
         rows.select("doc_id", "text", "lang", draw.alias("draw"))
-        .where(F.col("draw") < int(share * (1 << 40)))
-        .orderBy("draw", "doc_id")
-        .limit(sample)
+        .join(sizes, "lang")
+        .where(F.col("draw") < share * F.lit(float(1 << 40)))
+        .withColumn("place", place)
+        .where(F.col("place") <= sample)
+        .select("text", "lang")
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,19 +94,16 @@ def train_text_model(labelled: DataFrame, sample: int = SAMPLE) -> TextModel:
                 yield pa.record_batch(
                     {
                         "lang": pa.array([lang]),
-                        "docs": pa.array([len(own)]),
                         "sums": pa.array([sums.tolist()], pa.list_(pa.int64())),
                     }
                 )
 
-    # One row per language and batch of the bounded sample.
-    counted = chosen.mapInArrow(count, "lang string, docs long, sums array<long>").collect()
+    # One row per language and batch of the bounded samples.
+    counted = chosen.mapInArrow(count, "lang string, sums array<long>").collect()
     sums: dict[str, np.ndarray] = {}
-    docs: dict[str, int] = {}
     for r in counted:
         sums[r["lang"]] = sums.get(r["lang"], 0) + np.array(r["sums"])
-        docs[r["lang"]] = docs.get(r["lang"], 0) + r["docs"]
-    languages = tuple(sorted(x for x in docs if docs[x] >= LEAST_LABELLED))
+    languages = tuple(sorted(sums))
     table = np.zeros((BUCKETS, len(languages)))
     for i, language in enumerate(languages):
         smooth = sums[language] + PSEUDO_COUNT

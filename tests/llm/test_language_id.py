@@ -105,6 +105,17 @@ def test_held_out_accuracy_from_text_alone(spark):
     assert sum(r.accepted for r in rows) >= 0.98 * len(rows)
 
 
+def test_a_rare_label_is_a_language_whatever_the_size(documents):
+    common = [(i, f"the and of that with this {i}", "en", "s") for i in range(2_000)]
+    rare = [(5_000 + i, f"ja nie jest tego {i}", "pl", "s") for i in range(12)]
+    few = [(9_000 + i, "og det er ikke", "da", "s") for i in range(9)]
+    trained = lid.train_text_model(documents(common + rare + few), sample=50)
+    assert trained.languages == ("en", "pl")
+    # All rare documents are in the sample: their trigrams have far more than the pseudo count.
+    bucket = lid._trigrams([b"jest"])[0][0]
+    assert trained.table[bucket, 1] > trained.table[bucket, 0] + 3
+
+
 def test_pages_are_read():
     page = '<html lang="EN-us"><script>var a="<p>";</script><p>One &amp; <!-- no --> two</p><style>x'
     assert lid.page_text(page).split() == ["One", "&", "two"]
