@@ -37,7 +37,7 @@ from eventlake.llm.hash_table import HashTable, save_shard, shard_of
 from eventlake.llm.shared import prepare, scratch, stored
 from eventlake.llm.tokens import NOT_WHITE, Texts, as_bytes, chunks, mix
 
-ORDER = 2
+ORDER = 3
 TOKENS_PER_SHARD = 1_500_000
 WORDS_PER_SHARD = 1_000_000
 MAX_SHARDS = 65_535

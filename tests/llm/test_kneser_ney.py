@@ -73,6 +73,16 @@ TEXTS = ["a b c a b", "the cat\tsat on the\n mat", "", None, "A b", "x" * 5000,
 ]
 
 
+def test_registered_model_counts_more_than_pairs(documents):
+    # Both probes have the same words and the same pairs, but other triples.
+    train = ["a b c a d b a"] * 9 + ["x y z"]
+    probes = ["a b c a d b a", "a d b a b c a"]
+    model = kneser_ney.train(documents(list(enumerate(train))))
+    rows = kneser_ney.score(documents(list(enumerate(probes))), model).collect()
+    scores = {r.doc_id: r.score for r in rows}
+    assert scores[0] > scores[1] + 0.1
+
+
 @pytest.mark.parametrize("order", [2, 3, 4])
 def test_scores_match_the_plain_model(spark, documents, order):
     model = kneser_ney.train(documents(list(enumerate(TEXTS))), order)
