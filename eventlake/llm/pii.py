@@ -14,8 +14,8 @@ precision, of rewritten spans against wrong ones; unlabelled spans are no errors
 span above the threshold is added, unless it overlaps a base span. Without enough examples of both
 sorts nothing is added.
 
-The fit sees at most ``SAMPLE`` candidates, the first by a hash of their document and place. Trees
-become one SQL expression, so each document is searched, scored and reported within its row.
+The trees see about ``SAMPLE`` candidates, drawn by a hash of their document and place, of each kind
+and sort the same number as far as there are; the thresholds see all held-out ones. Trees become one SQL expression, so each document is searched, scored and reported within its row.
 Positions are code points.
 
 Java's regular expressions try every begin of a long run anew and recurse in repeated groups. The
@@ -131,31 +131,37 @@ def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) ->
     rows = found.withColumn("sort", F.when(wrong, IS_WRONG).otherwise(F.col("sort"))).withColumn(
         "label", (F.col("sort") <= IS_REWRITTEN).cast("double")
     )
-    taken = stored(rows.orderBy("draw").limit(sample), "candidates")
-    labels = {r["label"]: r["count"] for r in taken.where("NOT held").groupBy("label").count().collect()}
-    if min(labels.get(0.0, 0), labels.get(1.0, 0)) < LEAST_EXAMPLES:
+    candidates = stored(rows, "candidates")
+    for_fit = candidates.where("NOT held")
+    sizes = {
+        (r["kind"], r["sort"]): r["count"] for r in for_fit.groupBy("kind", "sort").count().collect()
+    }
+    positive = sum(n for (_, sort), n in sizes.items() if sort <= IS_REWRITTEN)
+    if min(positive, sum(sizes.values()) - positive) < LEAST_EXAMPLES:
         return NO_MODEL
-    wide = taken.select("kind", "label", "held", *[F.col("f")[n].alias(n) for n in FEATURES])
+    drawn = F.pmod("draw", F.lit(1 << 40)) < F.lit(float(1 << 40)) * _share(sizes, sample)
+    taken = stored(for_fit.where(drawn), "sample")
+    wide = taken.select("label", *[F.col("f")[n].alias(n) for n in FEATURES])
     wide = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(wide)
     # Leaves of several rows: a few personal spans among the unlabelled ones get none of their own.
     learner = GBTClassifier(
         maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, minInstancesPerNode=LEAST_HELD
     )
-    fitted = learner.fit(wide.where("NOT held").coalesce(1))
+    fitted = learner.fit(wide.coalesce(1))
     trees = tuple(
         (float(weight), _tree(tree._java_obj.rootNode()))
         for weight, tree in zip(fitted.treeWeights, fitted.trees, strict=True)
     )
-    tested = taken.where("held").where(F.col("sort").isin(IS_REWRITTEN, IS_WRONG)).select(
-        "kind", "label", F.round(_margin(trees, F.col("f")), DECIMALS).alias("margin")
+    # All held-out candidates, as counts by kind and rounded margin.
+    tested = candidates.where("held").where(F.col("sort").isin(IS_REWRITTEN, IS_WRONG))
+    margin = F.round(_margin(trees, F.col("f")), DECIMALS).alias("margin")
+    counted = tested.groupBy("kind", margin).agg(
+        F.sum("label").alias("hits"), F.count(F.lit(1)).alias("all")
     )
-    thresholds = []
-    for kind in range(len(KINDS)):
-        steps = tested.where(F.col("kind") == kind).groupBy("margin").agg(
-            F.sum("label").alias("hits"), F.count(F.lit(1)).alias("all")
-        )
-        # At most the sample's rows.
-        thresholds.append(_threshold(steps.orderBy(F.desc("margin")).collect(), precision))
+    steps: list[list] = [[] for _ in KINDS]
+    for r in counted.orderBy(F.desc("margin")).collect():  # few: margins are rounded
+        steps[r["kind"]].append((r["margin"], r["hits"], r["all"]))
+    thresholds = [_threshold(s, precision) for s in steps]
     return Model(trees, tuple(thresholds))
 
 
@@ -408,6 +414,17 @@ def _features(text: Column, span: Column) -> Column:
     return F.struct(*[v.cast("double").alias(n) for n, v in zip(FEATURES, values, strict=True)])
 
 
+def _share(sizes: dict[tuple[int, int], int], sample: int) -> Column:
+    """The share of each kind and sort to draw: small ones whole, the others the same number."""
+    share, left = F.lit(0.0), float(sample)
+    for i, ((kind, sort), n) in enumerate(sorted(sizes.items(), key=lambda x: x[1])):
+        wanted = min(float(n), left / (len(sizes) - i))
+        left -= wanted
+        here = (F.col("kind") == kind) & (F.col("sort") == sort)
+        share = F.when(here, F.lit(wanted / n)).otherwise(share)
+    return share
+
+
 def _threshold(steps: list, precision: float) -> float | None:
     """From (margin, hits, all), best margin first: the last hit at which the precision so far holds.
 

@@ -141,6 +141,15 @@ def test_planted_spans_beyond_the_base_are_added(spark, documents):
     assert found[-9].spans == [] and found[-10].spans == []
 
 
+def test_a_rare_kind_has_a_threshold_from_all_held_out_spans(documents):
+    rows = [(i, f"server 10.{i % 250}.{i % 199}.{i % 90} is down") for i in range(12_000)]
+    rows += [(20_000 + i, f"version 1.{i % 50}.{i} of it") for i in range(200)]
+    rows += [(30_000 + i, f"call +1 ({200 + i}) 555-{1000 + i} for more") for i in range(60)]
+    # Of a uniform sample of 1,000 about two phones would be held out.
+    model = pii.fit(documents(rows), sample=1_000)
+    assert model.thresholds[3] is not None and model.thresholds[1] is not None
+
+
 def test_too_few_examples_add_nothing(documents):
     assert pii.fit(documents(planted(5))) == pii.NO_MODEL
     assert pii.fit(documents([])) == pii.NO_MODEL
