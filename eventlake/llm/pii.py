@@ -52,6 +52,13 @@ GENERATORS = {
     "card": r"(?:\G|(?<![0-9]))[0-9](?:[ ._-]?[0-9]){11,}+",
     "phone": r"(?:\G|(?<![0-9(+]))[(+]*+[0-9](?:[ ().-]{0,2}[0-9]){6,}+",
 }
+# What every match of a generator has; texts without it are not searched.
+LIKELY = {
+    "email": r"@|[(\[](?:at|AT)[)\]]",
+    "ip": r"[0-9](?:\.| ?[(\[])",
+    "card": r"[0-9][ ._-]?[0-9]",
+    "phone": r"[0-9][ ().-]{0,2}[0-9]",
+}
 CONTEXT = 32  # characters before a span that the features look at
 # Words that often stand before personal data, in the languages of the tables.
 CONTEXT_WORDS = r"(?i)\b(?:e-?mail|mail|contact|phone|tel|call|fax|mobile|card|visa|account|ip|host|server|kontakt|telefon|karte|tarjeta|carte|correo|courriel|llame|appel)"
@@ -101,9 +108,12 @@ def base_spans(text: Column) -> Column:
 
 def proposed_spans(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
-    found = F.concat(*[_spans(text, n, GENERATORS[k]) for n, k in enumerate(KINDS)])
-    likely = r"[0-9]{3}|@|[(\[](?:at|AT)[)\]]|[0-9](?:\.[0-9]| ?[(\[](?:\.|dot|DOT))"
-    return F.when(text.rlike(likely), found).otherwise(_none())
+    return F.concat(
+        *[
+            F.when(text.rlike(LIKELY[k]), _spans(text, n, GENERATORS[k])).otherwise(_none())
+            for n, k in enumerate(KINDS)
+        ]
+    )
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Model:

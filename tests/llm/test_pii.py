@@ -6,6 +6,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventlake.llm import pii
 from eventlake.llm.queries import QUERIES
@@ -150,6 +151,16 @@ def test_a_rare_kind_has_a_threshold_from_all_held_out_spans(documents):
     assert model.thresholds[3] is not None and model.thresholds[1] is not None
 
 
+def test_digits_in_pairs_are_proposed(documents):
+    texts = ["06 12 34 56 78", "06-12-34-56-78", "4 1 1 1 1 1 1 1 1 1 1 1", "no 1 2 3 x"]
+    rows = documents(list(enumerate(texts))).select(
+        "doc_id", pii.proposed_spans(F.col("text")).alias("new")
+    )
+    kinds = {r.doc_id: {pii.KINDS[s.kind] for s in r.new} for r in rows.collect()}
+    assert "phone" in kinds[0] and "phone" in kinds[1] and "card" in kinds[2]
+    assert kinds[3] == set()
+
+
 def test_too_few_examples_add_nothing(documents):
     assert pii.fit(documents(planted(5))) == pii.NO_MODEL
     assert pii.fit(documents([])) == pii.NO_MODEL
