@@ -101,8 +101,8 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
             f"level-{k}",
         )
         sizes = reduced.drop("lower").collect()
-        shards = max((r["shard"] for r in sizes), default=-1) + 1
-        rows, contexts = [0] * shards, [0] * shards
+        # All shards the n-grams were dealt over, also those that got none.
+        rows, contexts = [0] * _shards(tokens), [0] * _shards(tokens)
         for r in sizes:
             rows[r["shard"]], contexts[r["shard"]] = r["rows"], r["contexts"]
         levels.append(

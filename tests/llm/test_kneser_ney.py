@@ -83,6 +83,18 @@ def test_registered_model_counts_more_than_pairs(documents):
     assert scores[0] > scores[1] + 0.1
 
 
+def test_empty_shards_do_not_lose_ngrams(documents, monkeypatch):
+    docs = documents([(i, "a b a b c") for i in range(20)])
+
+    def scores():
+        return sorted(r.score for r in kneser_ney.score(docs, kneser_ney.train(docs)).collect())
+
+    one = scores()
+    for tokens in (1, 2, 3, 5):  # 120 to 24 shards for a handful of contexts
+        monkeypatch.setattr(kneser_ney, "TOKENS_PER_SHARD", tokens)
+        assert scores() == pytest.approx(one, abs=1e-9)
+
+
 @pytest.mark.parametrize("order", [2, 3, 4])
 def test_scores_match_the_plain_model(spark, documents, order):
     model = kneser_ney.train(documents(list(enumerate(TEXTS))), order)
