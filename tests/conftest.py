@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import json
 import sys
 from pathlib import Path
 
@@ -12,9 +11,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from eventlake.plans import dead_letter_table, events_table  # noqa: E402
 from eventlake.schema import RAW_SCHEMA  # noqa: E402
 
-# Three instants on three consecutive UTC dates: 2024-07-03, -04 and -05.
-DAY1, DAY2, DAY3 = 1_720_000_000_000, 1_720_100_000_000, 1_720_200_000_000
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -57,12 +53,3 @@ def events(spark, tmp_path):
 @pytest.fixture
 def dead(spark, tmp_path):
     return dead_letter_table(spark, str(tmp_path / "dead"))
-
-
-def event(event_id, timestamp=DAY1, **fields):
-    record = {"eventId": event_id, "userId": "u1", "eventType": "click", "timestamp": timestamp}
-    return json.dumps(record | fields)
-
-
-def ids(frame):
-    return sorted(r["eventId"] for r in frame.select("eventId").collect())

@@ -1,7 +1,7 @@
 """Insert-only merge and landing of whole batches."""
 
 import pytest
-from conftest import DAY1, DAY2, DAY3, event, ids
+from helpers import DAY1, DAY2, DAY3, event, ids
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -1,7 +1,7 @@
 """Settings, session options, the Kafka source's options and the command line."""
 
 import pytest
-from conftest import event
+from helpers import event
 
 from eventlake import __main__ as cli
 from eventlake.operators import clickstream_events

@@ -1,7 +1,7 @@
 """The streaming query: restart, replay, failure, audit, progress."""
 
 import pytest
-from conftest import DAY1, event, ids
+from helpers import DAY1, event, ids
 
 from eventlake.plans import BatchCounts, ingest
 from eventlake.schema import DATE_COLUMN, EVENT_SCHEMA

@@ -5,7 +5,7 @@ import json
 import os
 
 import pytest
-from conftest import DAY1, DAY2, event, ids
+from helpers import DAY1, DAY2, event, ids
 from pyspark.sql import functions as F
 
 from eventlake import __main__ as command

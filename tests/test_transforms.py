@@ -3,7 +3,7 @@
 import datetime
 
 import pytest
-from conftest import DAY1, event, ids
+from helpers import DAY1, event, ids
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
