@@ -149,3 +149,27 @@ SELECT doc_id, n AS n_chars, sha256(changed) AS edited_sha256,
        CASE WHEN n2 = 0 THEN 1.0 ELSE CAST(m2 AS DOUBLE) / n2 END AS near_next
 FROM shares
 """
+
+ORACLES["op13_hard_negatives"] = """
+WITH rows AS (
+  SELECT vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id AND len(a.v) = len(r.v)),
+positives AS (
+  SELECT anchor_id, id, score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (
+         PARTITION BY anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scores s USING (anchor_id)
+WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""

@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import bpe, kneser_ney, language_id, pii
+from eventlake.llm import bpe, kneser_ney, language_id, period_runs, pii, quality_crf
 from eventlake.llm.bloom_cascade import Rule, host_and_path, judge_urls
 from eventlake.llm.chat_format import format_conversations, read_back
 from eventlake.llm.decontaminate import contamination
+from eventlake.llm.hard_negatives import mine_hard_negatives
 from eventlake.llm.imatch import edited_fingerprints
 from eventlake.llm.jaccard_join import jaccard_links
 from eventlake.llm.line_dedup import dedup_lines
@@ -142,3 +143,45 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_digests(docs, vocabulary_path())
+
+
+@query
+def op11_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    labels = labels.where(~quality_crf.held_out(F.col("doc_id")))
+    model = quality_crf.fit(docs, labels)
+    docs = docs.withColumn("held_out", quality_crf.held_out(F.col("doc_id")))
+    return quality_crf.score(docs, model).drop("text")
+
+
+@query
+def op12_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # A tenth of the documents repeats the words from a place on, as the contract says.
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), period_runs.word_count(F.col("text"))
+    docs = docs.withColumns({"h": h, "g": g, "n": n})
+    docs = docs.withColumn("a", F.pmod("g", F.greatest("n", F.lit(1))).cast("int"))
+    period = F.floor((F.col("n") - F.col("a")) / (F.pmod("g", F.lit(8)) + 3)) + 1
+    planted = period_runs.repeated_from(F.col("text"), F.col("a"), period.cast("int"))
+    text = F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), planted).otherwise(F.col("text"))
+    found = period_runs.collapse_runs(docs.select("doc_id", text.alias("text")))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        F.sha2("runs", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return mine_hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
