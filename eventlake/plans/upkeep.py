@@ -5,34 +5,28 @@ from __future__ import annotations
 import contextlib
 import datetime
 import functools
+import itertools
 import json
-import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlake.settings import MaintenanceSettings
-from eventlake.sources.table import LakeTable
+from eventlake.sources.folder import Folder
+from eventlake.sources.lease import Lease
+from eventlake.sources.table import APPEND_RUN, RUN_FORMAT, STAGING_DIR, LakeTable, new_run
 
-STAGING_DIR = "_staging"
 OLD_DIR = "_old"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 GROUP_BYTES = 1024**4
 SAFE_RETENTION_HOURS = 168
+# A staging directory that is not known to be anyone's work any more may be removed after that.
 ABANDONED_HOURS = 48
 MANIFEST = "_manifest.json"
-_RUN_FORMAT = "%Y%m%dT%H%M%S%fZ"
-
-
-@dataclass(frozen=True)
-class SmallFiles:
-    """Data files of a partition directory that are worth merging, and their size."""
-
-    directory: str
-    names: tuple[str, ...]
-    size: int
+INPUTS = "_inputs"
+MOVES_AT_ONCE = 10_000
 
 
 @dataclass(frozen=True)
@@ -67,14 +61,28 @@ def leased(step):
     return run
 
 
-def maintain(table: LakeTable, maintenance: MaintenanceSettings) -> Compaction:
+def maintain(
+    table: LakeTable, maintenance: MaintenanceSettings, *, touched_only: bool = False
+) -> Compaction:
     """Compact, clustered on the configured column if the table has it, then reclaim space.
 
+    With ``touched_only`` only the directories written to since the last such upkeep are listed, so
+    its cost follows the batches in between and not the table's history.
+
     A retention below a week is taken from the settings as it stands: someone set it on purpose.
     May run beside an ingest: see ``compact``.
     """
     column = maintenance.zorder_column
-    done = compact(table, column if column in table.schema().fieldNames() else None)
+    column = column if column in table.schema().fieldNames() else None
+    if touched_only:
+        with writing(table):
+            directories, taken = table.touched.take()
+        done = compact(table, column, directories=sorted(directories))
+        with writing(table):
+            table.lease.check()
+            table.touched.settle(taken)
+    else:
+        done = compact(table, column)
     vacuum(table, maintenance.vacuum_retention_hours, allow_short=True)
     return done
 
@@ -97,24 +105,36 @@ def compact(
     *,
     target_file_bytes: int = TARGET_FILE_BYTES,
     group_bytes: int = GROUP_BYTES,
+    directories: Sequence[str] | None = None,
 ) -> Compaction:
     """Merge the small files of every partition that has two or more of them.
 
     Files from half the target size on are left alone, so what is rewritten is never more than
     what came in small. Rows are range-partitioned by (partition column, cluster column) and
     sorted, so each new file covers a narrow key range and a lookup skips the others. Without a
-    cluster column the table's own cluster columns are used.
-
-    Partitions are taken in groups of about ``group_bytes``, each a Spark job. It reads a fixed
-    list of files while others may append. Only its swap holds the table's lease: it retires
-    exactly the files it read, or gives up if one of them is gone.
+    cluster column the table's own cluster columns are used. ``directories`` are the only ones
+    looked at, if given.
+
+    The files are dealt over groups of about ``group_bytes``, each a Spark job: several small
+    directories, or a part of a large one. File names stay in a manifest that tasks write; the
+    driver sees a row per group. A group reads the files of its manifest while others may append.
+    Only its swap holds the table's lease: it retires exactly the files it read, or gives up if one
+    of them is gone.
     """
     with writing(table):
         pass  # settles what an earlier compaction left
-    wanted = _small_files(table, target_file_bytes)
-    for group in _groups(wanted, group_bytes):
-        _rewrite(table, group, cluster_column, target_file_bytes)
-    return Compaction(len(wanted), sum(len(p.names) for p in wanted), sum(p.size for p in wanted))
+    if directories is not None:
+        directories = sorted(set(directories) & set(table.directories()))
+        if not directories:
+            return Compaction()
+    group_bytes = max(group_bytes, target_file_bytes)  # so that a part has two files or more
+    plan = f"{STAGING_DIR}/{new_run()}-plan"
+    with Lease(Folder(table.spark, f"{table.path}/{plan}")):
+        groups, totals = _planned(table, plan, target_file_bytes, group_bytes, directories)
+        for group in groups:
+            _rewrite(table, plan, group, cluster_column, target_file_bytes)
+    table.folder.remove(plan)
+    return totals
 
 
 def unfinished(table: LakeTable) -> list[str]:
@@ -124,19 +144,35 @@ def unfinished(table: LakeTable) -> list[str]:
 
 
 def recover(table: LakeTable) -> None:
-    """Settle compactions that were cut short; for the holder of the lease only.
+    """Settle compactions that were cut short, with the table's lease.
 
     One with a manifest had all its files staged and is finished. One without has changed
-    nothing; it may still be at work, so its files go only when they are ``ABANDONED_HOURS`` old.
+    nothing; it may still be at work, and then it holds a lease on its staging directory. Files of
+    appends go when their writer has lost the table.
     """
-    done = set(unfinished(table))
-    for run in done:
-        _swap(table, run)
+    with table.lease:
+        done = set(unfinished(table))
+        for run in done:
+            _swap(table, run)
+        for run in set(table.folder.names(STAGING_DIR)) - done:
+            if _is_abandoned(table, run):
+                table.folder.remove(_join(STAGING_DIR, run))
+
+
+def _is_abandoned(table: LakeTable, run: str) -> bool:
+    """True if nobody can still use what is staged: an append of an epoch that is over, or work
+    whose own lease has run out."""
+    stamp, _, rest = run.partition("-")
+    _, _, kind = rest.partition("-")
+    kind, _, epoch = kind.partition("-")
+    if kind == APPEND_RUN and epoch.isdigit():
+        return int(epoch) < table.lease.epoch
+    lease = Lease(Folder(table.spark, f"{table.path}/{_join(STAGING_DIR, run)}"))
+    if lease.ever_held():
+        return lease.is_over()
+    began = _stamp_of(stamp)
     limit = _now() - datetime.timedelta(hours=ABANDONED_HOURS)
-    for run in set(table.folder.names(STAGING_DIR)) - done:
-        began = _stamp_of(run)
-        if began is not None and began <= limit:
-            table.folder.remove(_join(STAGING_DIR, run))
+    return began is not None and began <= limit
 
 
 def vacuum(
@@ -161,75 +197,153 @@ def vacuum(
     return len(expired)
 
 
-def _listing(table: LakeTable) -> DataFrame:
-    """(directory, name, length) of every data file."""
+def _listing(table: LakeTable, directories: Sequence[str] | None = None) -> DataFrame:
+    """(directory, name, length) of every data file, or of those in some directories."""
+    paths = [table.path]
+    if directories is not None:
+        paths = [_join(table.path, d) for d in directories]
     listing = (
         table.spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
-        .load(table.path)
+        .load(paths)
     )
-    parts = F.split("path", "/")
+    directory, name = _place(table, F.col("path"))
+    return listing.select(directory.alias("directory"), name.alias("name"), "length")
+
+
+def _place(table: LakeTable, path: Column) -> tuple[Column, Column]:
+    """Partition directory and name of a data file."""
+    parts = F.split(path, "/")
     directory = F.element_at(parts, -2) if table.partition_column else F.lit("")
-    return listing.select(
-        directory.alias("directory"), F.element_at(parts, -1).alias("name"), "length"
-    )
+    return directory, F.element_at(parts, -1)
 
 
-def _small_files(table: LakeTable, target_bytes: int) -> list[SmallFiles]:
-    rows = (
-        _listing(table)
-        .where(F.col("length") * 2 < target_bytes)
-        .groupBy("directory")
-        .agg(F.sort_array(F.collect_list("name")).alias("names"), F.sum("length").alias("size"))
-        .where(F.size("names") > 1)
-        .orderBy("directory")
+def _planned(
+    table: LakeTable,
+    plan: str,
+    target_bytes: int,
+    group_bytes: int,
+    directories: Sequence[str] | None,
+) -> tuple[list[Row], Compaction]:
+    """Deal the small files over groups: one row per group, and the totals.
+
+    A directory of more than a group is cut by the running sum of its files; smaller ones share a
+    group by the running sum of directories, of which there is a row each.
+    """
+    spark, inputs = table.spark, f"{table.path}/{plan}/{INPUTS}"
+    small = _listing(table, directories).where(F.col("length") * 2 < target_bytes)
+    whole = Window.partitionBy("directory")
+    ordered = whole.orderBy("name")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    files = small.select(
+        "*",
+        F.count(F.lit(1)).over(whole).alias("files"),
+        F.sum("length").over(whole).alias("bytes"),
+        F.coalesce(F.sum("length").over(before), F.lit(0)).alias("before"),
+        F.row_number().over(ordered).alias("place"),
+    ).where("files > 1")
+    large = F.col("bytes") > group_bytes
+    earlier = Window.orderBy("directory").rowsBetween(Window.unboundedPreceding, -1)
+    shared = F.coalesce(F.sum("bytes").over(earlier), F.lit(0))
+    sharing = (
+        files.where(~large & (F.col("place") == 1))
+        .select("directory", F.floor(shared / group_bytes).alias("shared"))
+    )
+    files.join(F.broadcast(sharing), "directory", "left").select(
+        "directory",
+        "name",
+        "length",
+        F.when(large, F.col("directory")).alias("only"),
+        F.when(large, F.floor(F.col("before") / group_bytes))
+        .otherwise(F.col("shared"))
+        .alias("part"),
+    ).write.parquet(inputs)
+    groups = (
+        spark.read.parquet(inputs)
+        .groupBy("only", "part")
+        .agg(
+            F.count(F.lit(1)).alias("files"),
+            F.sum("length").alias("bytes"),
+            F.count_distinct("directory").alias("directories"),
+            F.min("directory").alias("first"),
+            F.max("directory").alias("last"),
+            F.min("name").alias("first_name"),
+            F.max("name").alias("last_name"),
+        )
+        .where("files > 1")
+        .orderBy("first", "first_name")
         .collect()
     )
-    return [SmallFiles(r["directory"], tuple(r["names"]), r["size"]) for r in rows]
-
-
-def _groups(partitions: list[SmallFiles], group_bytes: int) -> Iterator[list[SmallFiles]]:
-    group: list[SmallFiles] = []
-    for p in partitions:
-        if group and sum(q.size for q in group) + p.size > group_bytes:
-            yield group
-            group = []
-        group.append(p)
-    if group:
-        yield group
+    partitions = sum(g["directories"] for g in groups if g["only"] is None)
+    partitions += len({g["only"] for g in groups if g["only"] is not None})
+    totals = Compaction(
+        partitions, sum(g["files"] for g in groups), sum(g["bytes"] for g in groups)
+    )
+    return groups, totals
 
 
 def _rewrite(
-    table: LakeTable, group: list[SmallFiles], cluster_column: str | None, target_file_bytes: int
+    table: LakeTable, plan: str, group: Row, cluster_column: str | None, target_file_bytes: int
 ) -> None:
-    run = f"{_now().strftime(_RUN_FORMAT)}-{uuid.uuid4().hex[:8]}"
+    spark, run = table.spark, new_run()
+    staging = f"{table.path}/{STAGING_DIR}/{run}"
     cluster = [cluster_column] if cluster_column else table.cluster_columns
     order = [c for c in (table.partition_column, *cluster) if c]
     # Rounded down: new files reach the target, so they are not small again.
-    tasks = max(1, sum(p.size for p in group) // target_file_bytes)
-    inputs = [_join(p.directory, name) for p in group for name in p.names]
-    writer = (
-        table.scan_files(inputs)
-        .repartitionByRange(tasks, *order)
-        .sortWithinPartitions(*order)
-        .write.option("mapreduce.output.basename", _file_prefix(run))
-    )
-    if table.partition_column:
-        writer = writer.partitionBy(table.partition_column)
-    writer.parquet(f"{table.path}/{STAGING_DIR}/{run}")
-    with writing(table):
-        present = (
-            set(names) <= set(table.folder.names(directory))
-            for directory, names in _by_directory(inputs).items()
+    tasks = max(1, group["bytes"] // target_file_bytes)
+    manifest = {"plan": plan, "only": group["only"], "part": group["part"], "old": new_run()}
+    inputs = _inputs(table, manifest)
+    with Lease(Folder(spark, staging)) as at_work:
+        directories = [d for d in table.directories() if group["first"] <= d <= group["last"]]
+        writer = (
+            _scan_inputs(table, directories, inputs, group, target_file_bytes)
+            .repartitionByRange(tasks, *order)
+            .sortWithinPartitions(*order)
+            .write.mode("append")
+            .option("mapreduce.output.basename", _file_prefix(run))
         )
-        if not all(present):
-            table.folder.remove(_join(STAGING_DIR, run))  # another run has merged some of them
-            return
-        old = f"{_now().strftime(_RUN_FORMAT)}-{run.rpartition('-')[2]}"
-        manifest = json.dumps({"old": old, "inputs": inputs})
-        table.folder.write_new_text(_join(STAGING_DIR, run, MANIFEST), manifest)
-        _swap(table, run)
+        if table.partition_column:
+            writer = writer.partitionBy(table.partition_column)
+        writer.parquet(staging)
+        with writing(table):
+            there = _listing(table, directories).join(inputs, ["directory", "name"], "left_semi")
+            at_work.check()
+            if there.count() < group["files"]:  # another run has merged some of them
+                table.folder.remove(_join(STAGING_DIR, run))
+                return
+            table.lease.check()
+            table.folder.write_new_text(_join(STAGING_DIR, run, MANIFEST), json.dumps(manifest))
+            _swap(table, run)
+
+
+def _inputs(table: LakeTable, manifest: dict) -> DataFrame:
+    """(directory, name) of the files that a run merges, from the plan that tasks have written."""
+    planned = table.spark.read.parquet(f"{table.path}/{manifest['plan']}/{INPUTS}")
+    mine = F.col("only").eqNullSafe(F.lit(manifest["only"])) & (F.col("part") == manifest["part"])
+    return planned.where(mine).select("directory", "name")
+
+
+def _scan_inputs(
+    table: LakeTable, directories: list[str], inputs: DataFrame, group: Row, target_bytes: int
+) -> DataFrame:
+    """The rows of the group's files.
+
+    Size and, in a group of one directory, the range of names turn other files away before any is
+    opened; the join with the manifest makes it exact, as files may have come in since.
+    """
+    file = F.col("_metadata")
+    wanted = file.file_size * 2 < target_bytes
+    if group["directories"] == 1:
+        wanted &= file.file_name.between(group["first_name"], group["last_name"])
+    # The path in the metadata is that of a URI.
+    path = F.url_decode(F.replace(file.file_path, F.lit("+"), F.lit("%2B")))
+    directory, name = _place(table, path)
+    rows = table.scan_directories(directories).where(wanted)
+    columns = rows.columns
+    rows = rows.select("*", directory.alias("_directory"), name.alias("_name"))
+    same = (rows["_directory"] == inputs["directory"]) & (rows["_name"] == inputs["name"])
+    return rows.join(inputs, same, "left_semi").select(*columns)
 
 
 def _swap(table: LakeTable, run: str) -> None:
@@ -238,24 +352,21 @@ def _swap(table: LakeTable, run: str) -> None:
     The manifest is there only when every new file is, and it goes last.
     """
     manifest = json.loads(table.folder.read_text(_join(STAGING_DIR, run, MANIFEST)))
-    for directory, names in _by_directory(manifest["inputs"]).items():
-        _move_files(table, directory, _join(OLD_DIR, manifest["old"], directory), names)
-    for directory in _staged(table, run):
+    # Streamed, a directory after the other as the plan was written.
+    names = _inputs(table, manifest).toLocalIterator()
+    for directory, rows in itertools.groupby(names, lambda r: r["directory"]):
+        for some in itertools.batched((r["name"] for r in rows), MOVES_AT_ONCE):
+            table.lease.check()
+            _move_files(table, directory, _join(OLD_DIR, manifest["old"], directory), some)
+    for directory in table.staged(run):
         source = _join(STAGING_DIR, run, directory)
         names = [n for n in table.folder.visible(source) if n.endswith(".parquet")]
+        table.lease.check()
         _move_files(table, source, directory, names)
     table.folder.remove(_join(STAGING_DIR, run))
 
 
-def _by_directory(files: list[str]) -> dict[str, list[str]]:
-    found: dict[str, list[str]] = {}
-    for file in files:
-        directory, _, name = file.rpartition("/")
-        found.setdefault(directory, []).append(name)
-    return found
-
-
-def _move_files(table: LakeTable, source: str, target: str, names: list[str]) -> None:
+def _move_files(table: LakeTable, source: str, target: str, names: Sequence[str]) -> None:
     """Move the files that have not moved. Two listings tell; on an object store, where a rename
     copies, a finished copy is not made again."""
     folder = table.folder
@@ -271,13 +382,6 @@ def _move_files(table: LakeTable, source: str, target: str, names: list[str]) ->
             folder.move(_join(source, name), _join(target, name))
 
 
-def _staged(table: LakeTable, run: str) -> list[str]:
-    if not table.partition_column:
-        return [""]
-    prefix = f"{table.partition_column}="
-    return [n for n in table.folder.names(_join(STAGING_DIR, run)) if n.startswith(prefix)]
-
-
 def _join(*names: str) -> str:
     return "/".join(n for n in names if n)
 
@@ -288,7 +392,7 @@ def _file_prefix(run: str) -> str:
 
 def _stamp_of(run: str) -> datetime.datetime | None:
     try:
-        stamp = datetime.datetime.strptime(run.split("-")[0], _RUN_FORMAT)
+        stamp = datetime.datetime.strptime(run.split("-")[0], RUN_FORMAT)
     except ValueError:
         return None
     return stamp.replace(tzinfo=datetime.UTC)

@@ -6,14 +6,24 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+# Stores on which a rename copies the whole file.
+COPYING_SCHEMES = ("s3a", "s3", "s3n", "gs", "oss")
+
+
 class Folder:
     """A directory on any file system Spark can reach. Only metadata passes through here."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.path = path.rstrip("/")
-        self._jvm = spark._jvm
+        # Looked up once: every part of a dotted name is a call to the JVM.
+        jvm = spark._jvm.org.apache
+        self._new_path = jvm.hadoop.fs.Path
+        self._file_util = jvm.hadoop.fs.FileUtil
+        self._array_utils = jvm.commons.lang3.ArrayUtils
+        self._io_utils = jvm.commons.io.IOUtils
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._hadoop("").getFileSystem(conf)
+        self.rename_copies = self._fs.getUri().getScheme() in COPYING_SCHEMES
 
     def exists(self, name: str = "") -> bool:
         return self._fs.exists(self._hadoop(name))
@@ -22,13 +32,12 @@ class Folder:
         """Direct children in name order; none when the directory is absent."""
         if not self.exists(name):
             return []
-        paths = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(
-            self._fs.listStatus(self._hadoop(name))
-        )
+        path = self._hadoop(name)
+        paths = self._file_util.stat2Paths(self._fs.listStatus(path))
         # One string for the whole listing: asking the JVM for each entry would take seconds
         # on a table with years of dates.
-        listing = self._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)[1:-1]
-        base = self._fs.makeQualified(self._hadoop(name)).toString()
+        listing = self._array_utils.toString(paths)[1:-1]
+        base = self._fs.makeQualified(path).toString()
         return sorted(f",{listing}".split(f",{base}/")[1:])
 
     def visible(self, name: str = "") -> list[str]:
@@ -86,9 +95,9 @@ class Folder:
     def read_text(self, name: str) -> str:
         stream = self._fs.open(self._hadoop(name))
         try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self._io_utils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
     def _hadoop(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return self._new_path(f"{self.path}/{name}" if name else self.path)

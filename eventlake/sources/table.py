@@ -4,18 +4,25 @@ Layout::
 
     <path>/eventDate=2024-01-31/part-*.parquet   data, read by any Spark reader
     <path>/_schema/000001.json                   the table's columns, newest file wins
-    <path>/_staging/<run>/, <path>/_old/<run>/   used by upkeep only
-
-    <path>/_lease.json                           the writer at work, if any
+    <path>/_staging/<run>/                       files of a write that is not in place yet
+    <path>/_old/<run>/                           files that a compaction has replaced
+    <path>/_lease/<epoch>.json                   the writer at work, or the last one
+    <path>/_touched/                             directories written to since upkeep
 
 Spark readers skip names that start with an underscore. A table has one writer at a time, the one
 that holds its lease (``eventlake.plans.upkeep.writing``).
+
+Files are written to a staging directory and moved in after the lease has been checked: a writer
+that was stalled during its Spark job and has lost the table puts nothing in place. Where a rename
+copies (object stores) the job writes in place, and the lease is checked right before it.
 """
 
 from __future__ import annotations
 
+import datetime
 import json
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,9 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.sources.folder import Folder
+from eventlake.sources.journal import TouchedDirectories
 from eventlake.sources.lease import Lease
 
 SCHEMA_DIR = "_schema"
+STAGING_DIR = "_staging"
+# The run of an append carries the epoch of its writer, which no other writer has.
+APPEND_RUN = "append"
+RUN_FORMAT = "%Y%m%dT%H%M%S%fZ"
 # The directory name Spark gives to rows whose partition value is null.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 ROWS_PER_FILE = 500_000
@@ -54,6 +66,7 @@ class LakeTable:
         self.rows_per_file = rows_per_file
         self.folder = Folder(spark, self.path)
         self.lease = Lease(self.folder)
+        self.touched = TouchedDirectories(self.folder)
 
     # -- schema ---------------------------------------------------------------------------
 
@@ -97,7 +110,8 @@ class LakeTable:
         if not added:
             return current
         widened = T.StructType([*current.fields, *added])
-        self._publish(widened, len(self._schema_versions()) + 1)
+        with self.lease:
+            self._publish(widened, len(self._schema_versions()) + 1)
         return widened
 
     def _schema_versions(self) -> list[str]:
@@ -105,6 +119,7 @@ class LakeTable:
         return [f"{SCHEMA_DIR}/{n}" for n in names if n.endswith(".json")]
 
     def _publish(self, schema: T.StructType, version: int) -> None:
+        self.lease.check()
         nullable = _nullable(schema)
         name = f"{SCHEMA_DIR}/{version:06d}.json"
         if not self.folder.write_new_text(name, json.dumps(nullable.jsonValue())):
@@ -168,17 +183,60 @@ class LakeTable:
         ``rows_per_file`` rows, so a date that holds most of the batch is split over many tasks,
         while small dates share one, and every file covers a narrow range of the cluster key.
         """
-        schema = self.schema()
-        aligned = rows.select(*_aligned(rows, schema))
-        order = [c for c in (self.partition_column, *self.cluster_columns) if c]
-        if order:
-            tasks = max(math.ceil(count / self.rows_per_file), math.ceil(dates / DATES_PER_TASK))
-            aligned = aligned.repartitionByRange(max(tasks, 1), *order)
-            aligned = aligned.sortWithinPartitions(*order)
-        writer = aligned.write.mode("append")
-        if self.partition_column:
-            writer = writer.partitionBy(self.partition_column)
-        writer.parquet(self.path)
+        with self.lease:
+            self.lease.check()
+            schema = self.schema()
+            aligned = rows.select(*_aligned(rows, schema))
+            order = [c for c in (self.partition_column, *self.cluster_columns) if c]
+            if order:
+                tasks = max(
+                    math.ceil(count / self.rows_per_file), math.ceil(dates / DATES_PER_TASK), 1
+                )
+                aligned = aligned.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+            writer = aligned.write
+            if self.partition_column:
+                writer = writer.partitionBy(self.partition_column)
+            if self.folder.rename_copies:
+                self.touched.add(self._directories_of(rows))
+                self.lease.check()
+                writer.mode("append").parquet(self.path)
+                return
+            run = f"{new_run()}-{APPEND_RUN}-{self.lease.epoch}"
+            writer.parquet(f"{self.path}/{STAGING_DIR}/{run}")
+            staged = self.staged(run)
+            self.touched.add(staged)
+            self.lease.check()
+            self._move_in(run, staged)
+
+    def staged(self, run: str) -> list[str]:
+        """The partition directories a run has files for; the empty name if unpartitioned."""
+        if not self.partition_column:
+            return [""]
+        names = self.folder.names(f"{STAGING_DIR}/{run}")
+        return [n for n in names if n.startswith(f"{self.partition_column}=")]
+
+    def _move_in(self, run: str, directories: Sequence[str]) -> None:
+        staging = f"{STAGING_DIR}/{run}"
+        for directory in directories:
+            if directory and not self.folder.exists(directory):
+                self.folder.move(f"{staging}/{directory}", directory)
+                continue
+            source = f"{staging}/{directory}".rstrip("/")
+            for name in self.folder.visible(source):
+                self.folder.move(f"{source}/{name}", f"{directory}/{name}".lstrip("/"))
+        self.folder.remove(staging)
+
+    def _directories_of(self, rows: DataFrame) -> list[str]:
+        if not self.partition_column:
+            return [""]
+        value = F.coalesce(F.col(self.partition_column).cast("string"), F.lit(NULL_PARTITION))
+        name = F.concat(F.lit(f"{self.partition_column}="), value)
+        return [r["name"] for r in rows.select(name.alias("name")).distinct().collect()]
+
+
+def new_run() -> str:
+    """A name for a staging directory; sorts by time."""
+    return f"{datetime.datetime.now(datetime.UTC).strftime(RUN_FORMAT)}-{uuid.uuid4().hex[:8]}"
 
 
 def _aligned(rows: DataFrame, schema: T.StructType) -> list[Column]:
@@ -223,5 +281,3 @@ def _date_key(text: str) -> tuple[int, int, int]:
     sign = -1 if text.startswith("-") else 1
     year, month, day = text.lstrip("+-").split("-")
     return sign * int(year), int(month), int(day)
-
-

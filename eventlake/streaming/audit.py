@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.plans.ingest import BatchCounts
-from eventlake.sources.folder import Folder
+from eventlake.plans.merge import SourceProfile, merge_insert
+from eventlake.sources.table import LakeTable
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -26,35 +27,39 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
+AUDIT_KEYS = ["queryId", "batchId"]
+
+
 class AuditLog:
-    """Audit rows under ``<path>/queryId=.../batchId=.../``.
+    """A table of audit rows known by query and batch; upkeep merges its files like any table's.
 
-    Each batch owns its directory, so a record is found by name and never by reading the log, and
-    a replayed batch keeps the figures of the run that did the work.
+    A replayed batch keeps the figures of the run that did the work: its row is merged in, and the
+    match reads only what may hold the batch's number.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path.rstrip("/")
-        self.folder = Folder(spark, self.path)
+        self.table = LakeTable(spark, path, None, AUDIT_KEYS[::-1])
 
     def record(self, query_id: str, batch_id: int, counts: BatchCounts, duration_ms: int) -> bool:
         """Store a batch's figures; False if they are stored already."""
-        name = f"queryId={query_id}/batchId={batch_id}"
-        if self.folder.exists(f"{name}/_SUCCESS"):
-            return False
-        row = {**asdict(counts), "durationMs": duration_ms}
-        schema = T.StructType([f for f in AUDIT_SCHEMA.fields if f.name in row])
-        values = [tuple(row[f.name] for f in schema.fields)]
-        frame = self.spark.createDataFrame(values, schema).coalesce(1)
-        frame.write.mode("overwrite").parquet(f"{self.path}/{name}")
-        return True
+        self.table.ensure(AUDIT_SCHEMA)
+        row = {
+            **asdict(counts), "queryId": query_id, "batchId": batch_id, "durationMs": duration_ms
+        }
+        values = [tuple(row[f.name] for f in AUDIT_SCHEMA.fields)]
+        one = SourceProfile(1, len(query_id), first_key=batch_id, last_key=batch_id)
+        done = merge_insert(
+            self.table,
+            self.spark.createDataFrame(values, AUDIT_SCHEMA),
+            AUDIT_KEYS,
+            range_key="batchId",
+            profile=one,
+        )
+        return done.inserted_rows == 1
 
     def scan(self) -> DataFrame:
-        self.folder.make()
-        return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.path).select(
-            *AUDIT_SCHEMA.fieldNames()
-        )
+        return self.table.ensure(AUDIT_SCHEMA).scan()
 
 
 def audit_totals(audit: DataFrame) -> DataFrame:

@@ -76,11 +76,13 @@ class ClickstreamIngest:
         settings = self.settings
         events, dead = self._tables(spark)
         counts = land_batch(raw, events, dead, payload=self.payload, merge=settings.merge)
+        tables = [table for table in (events, dead) if table is not None]
         if settings.audit.enabled:
             query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
             elapsed = int((time.monotonic() - started) * 1000)
             audit = AuditLog(spark, settings.storage.path_of(settings.audit.table_name))
             audit.record(query_id, batch_id, counts, elapsed)
+            tables.append(audit.table)
         seconds = time.monotonic() - started
         log.info(
             "batch %d: %s in %.1f s, %.0f records/s",
@@ -90,8 +92,9 @@ class ClickstreamIngest:
             counts.rowsRead / max(seconds, 1e-3),
         )
         if is_due(batch_id, settings.maintenance):
-            for table in filter(None, (events, dead)):
-                log.info("batch %d: upkeep %s", batch_id, maintain(table, settings.maintenance))
+            for table in tables:
+                done = maintain(table, settings.maintenance, touched_only=True)
+                log.info("batch %d: upkeep %s", batch_id, done)
         return counts
 
     def run(self) -> None:

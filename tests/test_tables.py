@@ -244,19 +244,20 @@ def test_crash_while_swapping_loses_nothing(spark, raw, fragmented, monkeypatch,
 
 
 @pytest.mark.parametrize("keep_source", [False, True])
-def test_crash_in_the_middle_of_a_copy(fragmented, monkeypatch, keep_source):
+def test_crash_in_the_middle_of_a_copy(spark, fragmented, monkeypatch, keep_source):
     """Where a rename copies, some old files have moved, or were copied and not deleted."""
     before = ids(fragmented.scan())
     _stop_at_move(fragmented, monkeypatch, 1)
     name = "eventDate=2024-07-03"
     (run,) = unfinished(fragmented)
     manifest = json.loads(fragmented.folder.read_text(f"_staging/{run}/_manifest.json"))
+    inputs = spark.read.parquet(f"{fragmented.path}/{manifest['plan']}/_inputs")
     old = f"{fragmented.path}/_old/{manifest['old']}/{name}"
     os.makedirs(old, exist_ok=True)
-    for file in manifest["inputs"][:2]:
-        os.link(f"{fragmented.path}/{file}", f"{old}/{file.split('/')[-1]}")
+    for row in inputs.orderBy("name").limit(2).collect():
+        os.link(f"{fragmented.path}/{name}/{row['name']}", f"{old}/{row['name']}")
         if not keep_source:
-            fragmented.folder.remove(file)
+            fragmented.folder.remove(f"{name}/{row['name']}")
     recover(fragmented)
     assert ids(fragmented.scan()) == before
     assert files(fragmented)[name] == 1
@@ -267,9 +268,10 @@ def _before_swap(table, monkeypatch, action):
     real, calls = table.lease.__class__.__enter__, []
 
     def enter(lease):
-        calls.append(lease)
-        if lease is table.lease and len(calls) == 2:  # the first settles what was left
-            action()
+        if lease is table.lease and not lease.held:
+            calls.append(lease)
+            if len(calls) == 2:  # the first settles what was left
+                action()
         return real(lease)
 
     monkeypatch.setattr(table.lease.__class__, "__enter__", enter)
@@ -323,21 +325,25 @@ def test_one_writer_at_a_time(spark, events):
     with writing(events), writing(events):
         with pytest.raises(LeaseHeld, match="being written"), writing(other):
             pass
+    assert other.lease.epoch == 0
     with writing(other):
-        assert events.folder.exists("_lease.json")
-    assert not events.folder.exists("_lease.json")
+        assert other.lease.epoch == events.lease.epoch + 1
+        assert len(events.folder.names("_lease")) == 1
 
 
 def test_lost_lease_is_taken_over_and_a_live_one_renewed(spark, events):
-    events.folder.create_text("_lease.json", '{"token": "of a dead job"}')
-    os.utime(f"{events.path}/_lease.json", (1, 1))
+    name = "_lease/000000000041.json"
+    events.folder.create_text(name, '{"token": "of a dead job"}')
+    os.utime(f"{events.path}/{name}", (1, 1))
     events.lease.seconds = 1.0
     with writing(events):
+        assert events.lease.epoch == 42
         other = events_table(spark, events.path)
         other.lease.seconds, other.lease.wait = 1.0, 2.5
         with pytest.raises(LeaseHeld), writing(other):
             pass
-    assert not [n for n in events.folder.names() if n.startswith("_lease")]
+    with writing(other):
+        assert other.lease.epoch == 43
 
 
 def test_only_small_files_are_rewritten(raw, events):
