@@ -140,13 +140,20 @@ def test_audit_counts(lake, raw):
     assert all(r.durationMs > 0 and len(r.queryId) == 36 for r in lake.audit.collect())
 
 
-def test_audit_row_is_written_once_and_restored_if_incomplete(spark, tmp_path):
+def test_audit_row_is_written_once_and_restored_if_incomplete(spark, tmp_path, monkeypatch):
     log = AuditLog(spark, str(tmp_path / "audit"))
     assert audit_totals(log.scan()).first() == (0, 0, 0, 0, 0)
+
+    def crash(run, directories):
+        raise OSError("crash")
+
+    monkeypatch.setattr(log.table, "_move_in", crash)
+    with pytest.raises(OSError, match="crash"):
+        log.record("q", 0, BatchCounts(1, 1, 1, 0, 1, 0), 5)
+    monkeypatch.undo()
+    assert audit_totals(log.scan()).first() == (0, 0, 0, 0, 0)
     assert log.record("q", 0, BatchCounts(1, 1, 1, 0, 1, 0), 5)
     assert not log.record("q", 0, BatchCounts(1, 1, 1, 0, 0, 0), 5)
-    log.folder.remove("queryId=q/batchId=0/_SUCCESS")
-    assert log.record("q", 0, BatchCounts(1, 1, 1, 0, 1, 0), 5)
     assert audit_totals(log.scan()).first() == (1, 1, 1, 0, 1)
 
 
