@@ -8,14 +8,16 @@ so the ids of a text are those of its words in order.
    and, per text, the numbers of its words: a frequent word appears once per block, whatever its
    share of the text.
 2. The blocks' words are shuffled by a hash of the word, packed as one row per block and part of
-   the hashes. There each distinct word is encoded once, and its ids go back, packed the same way,
-   to every block that has it. There are as many parts as shuffle partitions.
+   the hashes, and taken part by part. There each distinct word is encoded once, and its ids go
+   back, packed the same way, to every block that has it. There are as many parts as the texts
+   have ``PART_BYTES``, so what a task holds at once does not grow with the corpus.
 3. There they are joined to the texts' words by number, in position order. Ids become bytes again
    by the id-to-piece table, which has as many rows as the vocabulary.
 
-Blocks are known by a digest of their texts, so a recomputed block fits its words. The documents
-are read twice and must come in the same order, as those of a stored table do. Words of one chunk
-of a block are told apart by 64-bit hashes.
+Words are numbered by the order of their hashes, so the side that needs positions makes no word
+and the side that needs words makes no positions. Blocks are known by a digest of their texts, so
+a recomputed block fits its words. The documents are read twice and must come in the same order,
+as those of a stored table do. Words of a block are told apart by 64-bit hashes.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text. Repeated rows and
 ids are rows of their own. Other columns are passed on; clashing ones are replaced.
@@ -26,20 +28,22 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventlake.llm.shared import prepare
 from eventlake.llm.tokens import WHITE, Texts, as_bytes, chunks
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
+# Text bytes a part of the word table stands for.
+PART_BYTES = 24 << 20
 # Bytes that stand for themselves in the pieces of byte-level vocabularies.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
@@ -89,30 +93,31 @@ def word_edges(data: np.ndarray) -> np.ndarray:
 
 
 def split_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct words by first appearance, numbers of all words in order, and words per text."""
-    chunk = Texts(texts, lower=False)
+    """Distinct words of a block, numbers of all words in order, and words per text."""
+    block = _Block(texts)
+    return block.words(), block.positions, block.counts
+
+
+def _word_spans(chunk: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every word of a chunk of texts, and words per text."""
     # The newline between two texts may look like the begin of a word.
     inner = np.setdiff1d(word_edges(chunk.bytes), chunk.end[:-1])
     begin = np.union1d(inner, chunk.begin[chunk.end > chunk.begin])
     counts = chunk.counts(begin)
     end = np.minimum(np.append(begin[1:], len(chunk.bytes)), np.repeat(chunk.end, counts))
-    _, first, number = np.unique(chunk.hashes(begin, end), return_index=True, return_inverse=True)
-    order = np.argsort(first)
-    rank = np.empty_like(order)
-    rank[order] = np.arange(len(order))
-    words = [chunk.raw[a:b] for a, b in zip(begin[first[order]], end[first[order]], strict=True)]
-    return words, rank[number], counts
+    return begin, end, counts
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """All columns of ``docs`` with ``ids`` (array<int>)."""
 
-    def finish(positions: np.ndarray, counts: np.ndarray, ids: list[np.ndarray]) -> dict:
-        raw = [x.tobytes() for x in ids]
-        flat = np.frombuffer(b"".join([raw[i] for i in positions.tolist()]), dtype=np.int32)
-        width = np.array([len(x) for x in ids] or [0])
-        sizes = np.append(0, np.cumsum(_per_text(width, positions, counts)))
-        return {"ids": pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat))}
+    def finish(positions: np.ndarray, counts: np.ndarray, ids: _Ids) -> dict[str, pa.Array]:
+        flat = ids.flat.tobytes()
+        spans = zip((4 * ids.begins).tolist(), (4 * ids.ends).tolist(), strict=True)
+        raw = [flat[a:b] for a, b in spans]
+        joined = np.frombuffer(b"".join([raw[i] for i in positions.tolist()]), dtype=np.int32)
+        sizes = np.append(0, np.cumsum(_per_text(ids.sizes, positions, counts)))
+        return {"ids": pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(joined))}
 
     return _by_words(docs, path, "ids array<int>", finish)
 
@@ -121,26 +126,37 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """The columns of ``docs`` but the text, and n_tokens with two digests of each text's round
     trip: of its decimal ids joined by commas, and of the text decoded from them."""
 
-    def finish(positions: np.ndarray, counts: np.ndarray, ids: list[np.ndarray]) -> dict:
-        table = pieces(path)
-        decimal = [b"".join([b"%d," % i for i in x.tolist()]) for x in ids]
-        decoded = [b"".join([table[i] for i in x.tolist()]) for x in ids]
-        width = np.array([len(x) for x in ids] or [0])
+    def finish(positions: np.ndarray, counts: np.ndarray, ids: _Ids) -> dict[str, pa.Array]:
         edges = np.append(0, np.cumsum(counts)).tolist()
         at = positions.tolist()
-        texts = [at[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+        def digests(table: list[bytes], trim: int) -> pa.Array:
+            """Of each text, whose ids stand for the entries of a table."""
+            flat = ids.flat.tolist()
+            spans = zip(ids.begins.tolist(), ids.ends.tolist(), strict=True)
+            words = [b"".join([table[i] for i in flat[a:b]]) for a, b in spans]
+            found = []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                joined = b"".join([words[i] for i in at[a:b]])
+                found.append(_digest(joined[:-1] if trim else _valid(joined)))
+            return pa.array(found, pa.string())
+
         return {
-            "n_tokens": pa.array(_per_text(width, positions, counts)),
-            "ids_sha256": pa.array([_digest(b"".join([decimal[i] for i in t])[:-1]) for t in texts]),
-            "decoded_sha256": pa.array(
-                [_digest(_valid(b"".join([decoded[i] for i in t]))) for t in texts]
-            ),
+            "n_tokens": pa.array(_per_text(ids.sizes, positions, counts)),
+            "ids_sha256": digests(_decimals(path), trim=1),
+            "decoded_sha256": digests(pieces(path), trim=0),
         }
 
     names = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     return _by_words(docs, path, names, finish, keep_text=False)
 
 
+@functools.lru_cache(maxsize=4)
+def _decimals(path: str) -> list[bytes]:
+    """Each id as it is written, with a comma after it."""
+    return [b"%d," % i for i in range(len(pieces(path)))]
+
+
 def decode(rows: DataFrame, path: str) -> DataFrame:
     """All columns of ``rows`` with ``decoded``, the text of the ids in the column ``ids``."""
     prepare(rows.sparkSession)
@@ -159,7 +175,16 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-Finish = Callable[[np.ndarray, np.ndarray, list[np.ndarray]], dict[str, pa.Array]]
+class _Ids:
+    """Ids of a block's words, one word's after the other's by number."""
+
+    def __init__(self, sizes: np.ndarray, flat: np.ndarray):
+        self.sizes, self.flat = sizes, flat
+        self.ends = np.cumsum(sizes, dtype=np.int64)
+        self.begins = self.ends - sizes
+
+
+Finish = Callable[[np.ndarray, np.ndarray, _Ids], dict[str, pa.Array]]
 
 
 def _by_words(
@@ -168,11 +193,12 @@ def _by_words(
     """Columns made from the positions of a block's words, the words per text and their ids."""
     prepare(docs.sparkSession)
     new = T.StructType.fromDDL(added)
-    docs = docs.drop(*[f for f in new.fieldNames() if f in docs.columns])
+    docs = docs.drop(*new.fieldNames())
     passed = [f for f in docs.schema.fields if keep_text or f.name != "text"]
     schema = T.StructType([*passed, *new.fields])
     names, arrow_schema = [f.name for f in passed], to_arrow_schema(schema)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(1, -(-size // PART_BYTES))
 
     def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _blocks(batches):
@@ -187,55 +213,52 @@ def _by_words(
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _ in _blocks(batches):
-            home = np.fromiter(map(zlib.crc32, block.words), np.uint32, len(block.words)) % parts
+            home = (block.hashes >> np.uint64(32)) % np.uint64(parts)
             order = np.argsort(home, kind="stable")
-            edges = np.searchsorted(home[order], np.arange(parts + 1))
+            edges = np.searchsorted(home[order], np.arange(parts + 1, dtype=np.uint64))
+            every = block.words()
             for part in np.flatnonzero(np.diff(edges)):
                 numbers = order[edges[part] : edges[part + 1]]  # ascending
-                words = [block.words[i] for i in numbers.tolist()]
+                words = [every[i] for i in numbers.tolist()]
                 yield pa.record_batch(
                     {
                         "part": pa.array([int(part)], pa.int32()),
                         "block": pa.array([block.name], pa.string()),
                         "numbers": pa.array([_packed(np.diff(numbers, prepend=0))], pa.binary()),
-                        "sizes": pa.array([_packed(np.array([len(w) for w in words]))], pa.binary()),
+                        "sizes": pa.array([_packed(np.array(list(map(len, words))))], pa.binary()),
                         "words": pa.array([zstandard.compress(b"".join(words), 3)], pa.binary()),
                     }
                 )
 
-    def encoded(table: pa.Table) -> pa.Table:
-        """Ids of the words of one part, block by block; each distinct word is encoded once."""
-        library, known, out = tokenizer(path), {}, []
-        for row in table.to_pylist():
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Ids of the words, row by row; each distinct word of a part is encoded once."""
+        library, part, known = tokenizer(path), None, {}
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            if row["part"] != part:
+                part, known = row["part"], {}
             ends = np.cumsum(_unpacked(row["sizes"])).tolist()
             joined = zstandard.decompress(row["words"])
             words = [joined[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
             todo = [w for w in dict.fromkeys(words) if w not in known]
             results = library.encode_batch_fast([w.decode() for w in todo], add_special_tokens=False)
             for word, result in zip(todo, results, strict=True):
-                known[word] = np.array(result.ids, dtype=np.int32)
+                known[word] = np.array(result.ids, dtype=np.int32).tobytes()
             ids = [known[w] for w in words]
-            out.append(
+            yield pa.record_batch(
                 {
-                    "block": row["block"],
-                    "numbers": row["numbers"],
-                    "sizes": _packed(np.array([len(x) for x in ids])),
-                    "ids": _packed(np.concatenate(ids)),
+                    "block": pa.array([row["block"]]),
+                    "numbers": pa.array([row["numbers"]]),
+                    "sizes": pa.array([_packed(np.array(list(map(len, ids))) // 4)]),
+                    "ids": pa.array([_packed(np.frombuffer(b"".join(ids), dtype=np.int32))]),
                 }
             )
-        return pa.Table.from_pylist(out)
 
     def join_back(texts: pa.Table, words: pa.Table) -> pa.Table:
-        ids: dict[int, np.ndarray] = {}
-        for row in words.to_pylist():
-            numbers = np.cumsum(_unpacked(row["numbers"])).tolist()
-            ends = np.cumsum(_unpacked(row["sizes"]))
-            ids.update(zip(numbers, np.split(_unpacked(row["ids"]), ends[:-1]), strict=True))
-        by_number = [ids[i] for i in range(len(ids))]
+        ids = _gathered(words)
         made_parts = []
         for row in texts.to_pylist():  # more than one where blocks have the same texts
             rows = pa.ipc.open_stream(row["rows"]).read_all()
-            made = finish(_unpacked(row["positions"]), _unpacked(row["counts"]), by_number)
+            made = finish(_unpacked(row["positions"]), _unpacked(row["counts"]), ids)
             for name, column in made.items():
                 rows = rows.append_column(name, column)
             made_parts.append(rows.cast(arrow_schema))
@@ -249,31 +272,63 @@ def _by_words(
         .mapInArrow(
             words_of, "part int, block string, numbers binary, sizes binary, words binary"
         )
-        .groupBy("part")
-        .applyInArrow(encoded, "block string, numbers binary, sizes binary, ids binary")
+        .repartition("part")
+        .sortWithinPartitions("part")
+        .mapInArrow(encoded, "block string, numbers binary, sizes binary, ids binary")
     )
     together = blocks.groupBy("block").cogroup(words.groupBy("block"))
     return together.applyInArrow(join_back, schema)
 
 
+def _gathered(words: pa.Table) -> _Ids:
+    """The ids of a block from the rows of its parts; blocks with the same texts repeat them."""
+    rows = words.to_pylist()
+    numbers = [np.cumsum(_unpacked(row["numbers"])) for row in rows]
+    sizes = [_unpacked(row["sizes"]).astype(np.int64) for row in rows]
+    total = np.zeros(max((int(n[-1]) + 1 for n in numbers if len(n)), default=0), dtype=np.int64)
+    for number, size in zip(numbers, sizes, strict=True):
+        total[number] = size
+    begin = np.cumsum(total) - total
+    flat = np.zeros(int(total.sum()), dtype=np.int32)
+    for number, size, row in zip(numbers, sizes, rows, strict=True):
+        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        flat[np.repeat(begin[number], size) + inside] = _unpacked(row["ids"])
+    return _Ids(total, flat)
+
+
 class _Block:
-    """Distinct words of a block of texts, the words' numbers in order, and words per text."""
+    """Words of a block of texts: hashes of the distinct ones in order, the numbers of all of them
+    as they come, and words per text."""
 
     def __init__(self, texts: list[bytes]):
-        number_of: dict[bytes, int] = {}
-        positions, counts = [], []
+        self._chunks, hashes, counts = [], [], []
         digest = hashlib.blake2b(digest_size=16)
         for a, b in chunks(texts):
-            words, number, count = split_words(texts[a:b])
-            numbers = [number_of.setdefault(w, len(number_of)) for w in words]
-            positions.append(np.array(numbers, dtype=np.int32)[number])
+            chunk = Texts(texts[a:b], lower=False)
+            begin, end, count = _word_spans(chunk)
+            self._chunks.append((chunk.raw, begin, end))
+            hashes.append(chunk.hashes(begin, end))
             counts.append(count)
             digest.update(np.array([len(t) for t in texts[a:b]]).tobytes())
             digest.update(b"".join(texts[a:b]))
         self.name = digest.hexdigest()
-        self.words = list(number_of)
-        self.positions = np.concatenate(positions).astype(np.int32)
-        self.counts = np.concatenate(counts).astype(np.int32)
+        self.hashes, self._first, self.positions = np.unique(
+            np.concatenate([np.zeros(0, np.uint64), *hashes]), return_index=True, return_inverse=True
+        )
+        self.counts = np.concatenate([np.zeros(0, np.int32), *counts]).astype(np.int32)
+
+    def words(self) -> list[bytes]:
+        """The distinct words, by number."""
+        found: list[bytes] = [b""] * len(self.hashes)
+        start = 0
+        for raw, begin, end in self._chunks:
+            here = np.flatnonzero((self._first >= start) & (self._first < start + len(begin)))
+            at = self._first[here] - start
+            spans = zip(here.tolist(), begin[at].tolist(), end[at].tolist(), strict=True)
+            for number, a, b in spans:
+                found[number] = raw[a:b]
+            start += len(begin)
+        return found
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, pa.Table]]:
