@@ -7,9 +7,14 @@ import logging
 import signal
 import sys
 
-from eventlake.operators.verify import exactly_once, rows_per_date, top_event_types
+from eventlake.operators.verify import (
+    exactly_once_of,
+    rows_per_date_of,
+    top_event_types_of,
+    verification,
+)
 from eventlake.plans import events_table, maintain, unfinished
-from eventlake.session import build_session
+from eventlake.session import build_session, input_bytes, sized_shuffles
 from eventlake.settings import Settings
 from eventlake.sources import LakeTable
 from eventlake.streaming import ClickstreamIngest
@@ -44,9 +49,12 @@ def main(argv: list[str] | None = None) -> int:
             print(f"NOT VERIFIED: rows may be out of sight until compaction {runs[0]} is settled")
             return UNSETTLED
         events = table.scan()
-        result = exactly_once(events).first()
+        verified = verification(events).persist()
+        with sized_shuffles(spark, input_bytes(events)):
+            verified.count()
+        result = exactly_once_of(verified).first()
         print(f"rows with an id: {result['total']}, distinct ids: {result['distinct']}")
-        for report in (rows_per_date(events), top_event_types(events)):
+        for report in (rows_per_date_of(verified), top_event_types_of(verified)):
             for key, rows in report.toLocalIterator():
                 print(f"{key!s:<16} {rows:>12}")
         print(f"rows stored more than once: {result['total'] - result['distinct']}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -42,6 +44,8 @@ from eventlake.sources.table import LakeTable
 
 
 LETTER_KEYS = [*COORDINATES, RAW_COLUMN]
+# Log partitions that get a range of offsets each; with more of them one range does for all.
+MOST_RANGES = 256
 
 
 @dataclass(frozen=True)
@@ -171,7 +175,10 @@ def _merge_letters(letters: DataFrame, table: LakeTable, broadcast_bytes: int) -
     if profile.rows == 0:
         return 0
     options = {"null_safe": True, "broadcast_bytes": broadcast_bytes}
-    hits = stored_keys(table, letters, COORDINATES, OFFSET_COLUMN, profile, **options)
+    possible = offset_ranges(letters)
+    hits = stored_keys(
+        table, letters, COORDINATES, OFFSET_COLUMN, profile, possible=possible, **options
+    )
     hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if hits.isEmpty():
@@ -190,6 +197,39 @@ def _merge_letters(letters: DataFrame, table: LakeTable, broadcast_bytes: int) -
         hits.unpersist()
 
 
+def offset_ranges(records: DataFrame) -> Column | None:
+    """What the coordinates of any of these records meet: the range of offsets of their own log
+    partition, or null where one of the two is.
+
+    Offsets of different partitions have nothing to do with each other, so one range over all of
+    them can span the whole log. As a condition on plain columns it reaches the Parquet reader,
+    which skips row groups of other partitions and times. None if there are too many partitions.
+    """
+    partition, offset = (F.col(c) for c in COORDINATES)
+    ranges = (
+        records.groupBy(partition)
+        .agg(
+            F.min(offset).alias("first"),
+            F.max(offset).alias("last"),
+            F.bool_or(offset.isNull()).alias("unknown"),
+        )
+        .limit(MOST_RANGES + 1)
+        .collect()
+    )
+    if not ranges or len(ranges) > MOST_RANGES:
+        return None
+    conditions = [
+        (partition == r[0]) & offset.between(r["first"], r["last"])
+        for r in ranges
+        if r[0] is not None and r["first"] is not None
+    ]
+    if any(r[0] is None for r in ranges):
+        conditions.append(partition.isNull())
+    if any(r["unknown"] for r in ranges):
+        conditions.append(offset.isNull())
+    return functools.reduce(operator.or_, conditions)
+
+
 def _profile(table: LakeTable, batch: DataFrame) -> tuple[SourceProfile, int, int]:
     """Measure the batch in one pass: the merge profile, rows read, rows valid."""
     has_id = F.col(ID_COLUMN).isNotNull()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 from typing import Any
@@ -12,7 +12,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.operators.evidence import files_read
 from eventlake.plans.upkeep import leased
+from eventlake.session import input_bytes, sized_shuffles
 from eventlake.sources.table import LakeTable
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -45,12 +47,14 @@ class SourceProfile:
 
 @dataclass(frozen=True)
 class MergeOutcome:
-    """What a merge did. ``window`` is None when keys were matched against the whole table."""
+    """What a merge did. ``window`` is None when keys were matched against the whole table;
+    ``files_read`` counts the data files of the table that the match was given."""
 
     source_rows: int
     matched_rows: int
     inserted_rows: int
     window: tuple[str, str] | None = None
+    files_read: int = field(default=0, compare=False)
 
 
 def profile_columns(
@@ -130,7 +134,10 @@ def merge_insert(
         hits = _stored_keys(target.select(*keys), source.select(*keys), keys, small, null_safe)
         hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            matched = hits.count()
+            # A broadcast match does not shuffle the table; the other one is as wide as its files.
+            with sized_shuffles(table.spark, 0 if small else input_bytes(target)):
+                matched = hits.count()
+            opened = files_read(hits)
             inserted = profile.rows - matched
             if inserted:
                 fresh = source
@@ -141,7 +148,7 @@ def merge_insert(
                 table.append(fresh, inserted, profile.dates)
         finally:
             hits.unpersist()
-        return MergeOutcome(profile.rows, matched, inserted, window)
+        return MergeOutcome(profile.rows, matched, inserted, window, opened)
     finally:
         if owned:
             source.unpersist()
@@ -194,9 +201,17 @@ def stored_keys(
     *,
     null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    possible: Column | None = None,
 ) -> DataFrame:
-    """The distinct ``keys`` of the source that the whole table holds."""
-    target = _within_key_range(table.scan(), range_key, profile, null_safe)
+    """The distinct ``keys`` of the source that the whole table holds.
+
+    ``possible`` is a condition that all rows with one of these keys meet; without one it is made
+    from the range of ``range_key``.
+    """
+    if possible is not None:
+        target = table.scan().where(possible)
+    else:
+        target = _within_key_range(table.scan(), range_key, profile, null_safe)
     small = profile.broadcast_size <= broadcast_bytes
     return _stored_keys(target.select(*keys), source.select(*keys), keys, small, null_safe)
 

@@ -27,6 +27,7 @@ ABANDONED_HOURS = 48
 MANIFEST = "_manifest.json"
 INPUTS = "_inputs"
 MOVES_AT_ONCE = 10_000
+COMPACTED_PREFIX = "compact-"
 
 
 @dataclass(frozen=True)
@@ -387,7 +388,7 @@ def _join(*names: str) -> str:
 
 
 def _file_prefix(run: str) -> str:
-    return f"compact-{run}"
+    return f"{COMPACTED_PREFIX}{run}"
 
 
 def _stamp_of(run: str) -> datetime.datetime | None:

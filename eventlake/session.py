@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.settings import StorageSettings
 
@@ -31,6 +34,36 @@ def object_store_conf(storage: StorageSettings) -> dict[str, str]:
     return conf
 
 
+# Spark's and Hadoop's options and classes for writing to S3A without renames.
+COMMIT_PROTOCOL = "org.apache.spark.internal.io.cloud.PathOutputCommitProtocol"
+PARQUET_COMMITTER = "org.apache.spark.internal.io.cloud.BindingParquetOutputCommitter"
+COMMITTER_CONF = {
+    "spark.sql.sources.commitProtocolClass": COMMIT_PROTOCOL,
+    "spark.sql.parquet.output.committer.class": PARQUET_COMMITTER,
+}
+COMMITTER_HADOOP_CONF = {"fs.s3a.committer.name": "magic", "fs.s3a.committer.magic.enabled": "true"}
+
+
+def use_object_store_committer(spark: SparkSession, storage: StorageSettings) -> bool:
+    """Let jobs commit to the object store by finishing uploads instead of renaming, which copies.
+
+    Only with an endpoint set, and where the platform has Spark's cloud classes; False otherwise.
+    """
+    if not storage.endpoint:
+        return False
+    try:
+        for name in (COMMIT_PROTOCOL, PARQUET_COMMITTER):
+            spark._jvm.java.lang.Class.forName(name)
+    except Py4JJavaError:
+        return False
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for name, value in COMMITTER_HADOOP_CONF.items():
+        hadoop.set(name, value)
+    for name, value in COMMITTER_CONF.items():
+        spark.conf.set(name, value)
+    return True
+
+
 def build_session(
     app_name: str,
     storage: StorageSettings | None = None,
@@ -62,6 +95,7 @@ def build_session(
     width = max(shuffle_partitions, 2 * spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", width)
     tune_cached_batches(spark)
+    use_object_store_committer(spark, storage or StorageSettings())
     return spark
 
 
@@ -74,6 +108,47 @@ def tune_cached_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
 
 
+# Bytes on file that one reducer is meant for, and the settings that say how many there are.
+SHUFFLE_BYTES = 64 * 1024 * 1024
+WIDTHS = (
+    "spark.sql.shuffle.partitions",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+)
+# Spark's size of a plan it knows nothing of, and of anything built on one.
+_UNKNOWN_BYTES = 1 << 60
+
+
+def input_bytes(frame: DataFrame) -> int:
+    """Bytes of the files a frame reads after partition pruning, from the listing its plan holds;
+    0 if Spark cannot tell."""
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if 0 <= size < _UNKNOWN_BYTES)
+
+
+@contextlib.contextmanager
+def sized_shuffles(
+    spark: SparkSession, size: int, bytes_per_task: int = SHUFFLE_BYTES
+) -> Iterator[int]:
+    """Queries run in this block shuffle to a reducer per ``bytes_per_task`` of ``size``, and never
+    to fewer than the session says; adaptive execution merges what turns out small.
+
+    The width a session starts with knows its cores and not its data.
+    """
+    before = {name: spark.conf.get(name, None) for name in WIDTHS}
+    width = max([-(-size // bytes_per_task), *(int(w) for w in before.values() if w)])
+    try:
+        for name in WIDTHS:
+            spark.conf.set(name, width)
+        yield width
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder named in ``spark.checkpoint.dir``.
 

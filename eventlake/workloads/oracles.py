@@ -125,17 +125,26 @@ ORACLES: dict[str, str] = {
             "clickstream",
             "merge_overlap",
             "merge_replay",
-            "merge_pruned",
             "merge_shuffled",
             "merge_table_scope",
             "table_scan",
             "compact_table",
             "vacuum_table",
-            "maintain_then_replay",
             "stream_ingest",
             "stream_replay",
-            "stream_maintained",
         ],
         UNIQUE,
     ),
+    # The same, and the step in question is seen to have been taken.
+    "merge_pruned": f'SELECT *, TRUE AS "pruned" FROM ({UNIQUE})',
+    "maintain_then_replay": f'SELECT *, TRUE AS "merged" FROM ({UNIQUE})',
+    "stream_maintained": f'SELECT *, TRUE AS "merged" FROM ({UNIQUE})',
+    "verify_in_one_pass": """
+        WITH valid AS (SELECT * FROM events WHERE event_type <> 'error')
+        SELECT 'ids' AS "report", CAST(NULL AS VARCHAR) AS "key", count(*) AS "rows",
+               count(DISTINCT event_id) AS "distinct" FROM valid
+        UNION ALL
+        SELECT 'dates', CAST(CAST(ts AS DATE) AS VARCHAR), count(*), 1 FROM valid GROUP BY 2
+        UNION ALL
+        SELECT 'types', event_type, count(*), 1 FROM valid GROUP BY 2""",
 }

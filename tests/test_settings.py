@@ -4,6 +4,7 @@ import pytest
 from helpers import event
 
 from eventlake import __main__ as cli
+from eventlake import session
 from eventlake.operators import clickstream_events
 from eventlake.plans import events_table, land_batch
 from eventlake.session import object_store_conf, scratch_path, tune_cached_batches
@@ -137,3 +138,21 @@ def test_commands(spark, raw, tmp_path, command, capsys):
     table.append(clickstream_events(raw([event("e0")])), 1)
     assert command("verify") == 1
     assert "FAIL" in capsys.readouterr().out
+
+
+def test_object_store_committer_needs_endpoint_and_classes(spark, monkeypatch):
+    before = {name: spark.conf.get(name, None) for name in session.COMMITTER_CONF}
+    assert not session.use_object_store_committer(spark, StorageSettings())
+    store = StorageSettings(endpoint="http://store:9000")
+    assert not session.use_object_store_committer(spark, store)  # no cloud classes here
+    assert {name: spark.conf.get(name, None) for name in before} == before
+    monkeypatch.setattr(session, "COMMIT_PROTOCOL", "java.lang.String")
+    monkeypatch.setattr(session, "PARQUET_COMMITTER", "java.lang.String")
+    monkeypatch.setattr(session, "COMMITTER_CONF", {"spark.sql.example": "set"})
+    try:
+        assert session.use_object_store_committer(spark, store)
+        assert spark.conf.get("spark.sql.example") == "set"
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        assert hadoop.get("fs.s3a.committer.name") == "magic"
+    finally:
+        spark.conf.unset("spark.sql.example")

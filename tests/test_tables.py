@@ -17,6 +17,7 @@ from eventlake.operators import (
     rows_per_date,
     top_event_types,
 )
+from eventlake.operators.evidence import rows_read
 from eventlake.plans import (
     compact,
     dead_letter_table,
@@ -30,6 +31,7 @@ from eventlake.plans import (
     vacuum,
     writing,
 )
+from eventlake.plans import ingest
 from eventlake.plans.ingest import merge_dead_letters
 from eventlake.plans.upkeep import partition_files
 from eventlake.schema import DEAD_LETTER_SCHEMA
@@ -427,3 +429,37 @@ def test_fresh_dead_letters_read_no_texts_of_the_table(spark, raw, dead, monkeyp
     assert merge(("c", 0, 2), ("e", 0, 2), ("f", 0, 4), (None, 0, 5)) == 3
     assert len(scans) == 4
     assert sorted(r.rawValue or "" for r in dead.scan().collect()) == ["", "a", "b", "c", "d", "e", "f"]
+
+
+def test_rows_of_other_log_partitions_are_skipped(spark, raw, dead, monkeypatch):
+    """Offsets of the log's partitions lie 10**9 apart; a batch has letters of two of the three."""
+    far = 10**9
+    for p in range(3):
+        letters = [("bad", p, p * far + i) for i in range(50)]
+        assert merge_dead_letters(dead_letters(raw(letters)), dead) == 50
+    seen = []
+
+    def stored(*args, real=ingest.stored_keys, **options):
+        hits = real(*args, **options)
+        seen.append(hits)
+        return hits
+
+    monkeypatch.setattr(ingest, "stored_keys", stored)
+    batch = [("bad", 0, 49), ("new", 0, 51), ("bad", 2, 2 * far + 3)]
+    assert merge_dead_letters(dead_letters(raw(batch)), dead) == 1
+    (hits,) = seen
+    hits.collect()
+    assert rows_read(hits) == 100  # of 151, and 150 by one range over all
+    assert dead.scan().count() == 151
+
+
+def test_offset_ranges_hold_every_record(spark):
+    rows = [(0, 5), (0, 9), (1, None), (None, 7), (None, None), (2, 10**12)]
+    frame = spark.createDataFrame(rows, "kafkaPartition int, kafkaOffset long")
+    assert frame.where(ingest.offset_ranges(frame)).count() == len(rows)
+    other = spark.createDataFrame([(0, 4), (1, 5), (2, 6), (3, 7)], frame.schema)
+    known = frame.where("kafkaPartition IS NOT NULL AND kafkaOffset IS NOT NULL")
+    assert other.where(ingest.offset_ranges(known)).count() == 0
+    assert ingest.offset_ranges(frame.limit(0)) is None
+    many = spark.range(300).selectExpr("CAST(id AS INT) AS kafkaPartition", "id AS kafkaOffset")
+    assert ingest.offset_ranges(many) is None
