@@ -1,0 +1,120 @@
+"""I-Match fingerprints, against computing them in plain Python."""
+
+import hashlib
+import re
+
+import pytest
+
+from eventlake.llm import imatch
+from eventlake.llm.imatch import Band, edited_fingerprints, fingerprints, lexicon_of, likeness
+
+TERM = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def plain_terms(text):
+    return set(TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")))
+
+
+def plain_lexicon(texts, low=2.0, high=10.0):
+    counts = {}
+    for text in texts:
+        for term in plain_terms(text):
+            counts[term] = counts.get(term, 0) + 1
+    n = len(texts)
+    return {t for t, c in counts.items() if c * 2**high >= n and c * 2**low <= n}
+
+
+def plain_hashes(text, lexicon):
+    out = []
+    for family in range(imatch.FAMILIES):
+        for size in range(1, imatch.CHANCES + 1):
+            mask = ((1 << size) - 1) << (family * imatch.SLICE_BITS)
+            own = [t for t in plain_terms(text) & lexicon if not int(md5(t)[:15], 16) & mask]
+            own.sort(key=lambda t: t.encode())
+            out.append(md5(" ".join(own))[: imatch.HASH_DIGITS] if own else "")
+    return out
+
+
+def plain_likeness(a, b):
+    weights = [2 << k for _ in range(imatch.FAMILIES) for k in range(imatch.CHANCES)]
+    filled = [(x, y, w) for x, y, w in zip(a, b, weights, strict=True) if x or y]
+    same = sum(w for x, y, w in filled if x == y)
+    return same / sum(w for *_, w in filled) if filled else 1.0
+
+
+ROWS = [
+    (1, None),
+    (2, ""),
+    (3, "... !!"),
+    (4, "One two THREE four five six"),
+    (5, "one two three four five six"),
+    (6, "six five four three two one"),  # the order of terms does not matter
+    (7, "größe 日本 naïve 42"),
+    (8, "seven eight nine ten"),
+    (9, "seven eight nine eleven twelve"),
+    (9, "seven eight nine eleven twelve"),
+    (None, "without an id, seven"),
+    (10, " ".join(f"w{i}" for i in range(20_000))),
+    *[(20 + i, f"common words and term{i}") for i in range(12)],
+]
+
+
+def test_matches_plain_version(documents):
+    got = edited_fingerprints(documents(ROWS)).collect()
+    ordered = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    lexicon = plain_lexicon([t for _, t in ROWS])
+    want = []
+    for i, (doc_id, text) in enumerate(ordered):
+        text, following = text or "", ordered[(i + 1) % len(ordered)][1] or ""
+        third = len(text) // 3
+        edited = text[: len(text) - third] + following[:third]
+        own, changed, after = (plain_hashes(t, lexicon) for t in (text, edited, following))
+        want.append(
+            (
+                doc_id,
+                len(text),
+                hashlib.sha256(edited.encode()).hexdigest(),
+                ".".join(own),
+                ".".join(changed),
+                plain_likeness(own, changed),
+                plain_likeness(own, after),
+            )
+        )
+    key = str
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
+def test_buckets_give_the_same(documents, monkeypatch):
+    whole = sorted(map(str, edited_fingerprints(documents(ROWS)).collect()))
+    monkeypatch.setattr(imatch, "ROWS_PER_BUCKET", 3)
+    assert sorted(map(str, edited_fingerprints(documents(ROWS)).collect())) == whole
+
+
+def test_empty_table_and_other_columns(documents):
+    assert edited_fingerprints(documents([])).count() == 0
+    frame = documents(ROWS).selectExpr("*", "1 AS bucket", "2 AS row", "'x' AS hashes")
+    assert edited_fingerprints(frame).count() == len(ROWS)
+
+
+def test_lexicon_is_the_band(documents):
+    texts = [t for _, t in ROWS]
+    got = {r["term"] for r in lexicon_of(documents(ROWS)).collect()} - {""}
+    assert got == plain_lexicon(texts)
+    assert "common" not in got and "seven" in got
+    narrow = {r["term"] for r in lexicon_of(documents(ROWS), Band(2.0, 3.0)).collect()} - {""}
+    assert narrow == plain_lexicon(texts, 2.0, 3.0)
+    with pytest.raises(ValueError, match="band"):
+        Band(3.0, 2.0)
+
+
+def test_equal_term_sets_are_alike_and_disjoint_ones_are_not(documents):
+    frame = documents(ROWS)
+    rows = fingerprints(frame.select("doc_id", "text"), lexicon_of(frame), ["doc_id"])
+    hashes = {r["doc_id"]: r["hashes"] for r in rows.where("doc_id IN (5, 6, 8)").collect()}
+    assert hashes[5] == hashes[6]
+    pair = frame.sparkSession.createDataFrame([(hashes[5], hashes[8])], "a array<string>, b array<string>")
+    assert pair.select(likeness(pair.a, pair.b)).first()[0] < 0.1

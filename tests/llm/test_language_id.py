@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventlake.llm import language_id as lid
+from eventlake.llm.queries import QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
 
@@ -138,3 +139,13 @@ def test_without_training_texts_all_is_rejected(spark, documents):
     docs = documents([(1, "some text")])
     row = lid.identify(docs, untrained, "text", F.col("lang"), F.col("source")).first()
     assert row.language is None and row.accepted is False
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="needs the given tables")
+def test_registered_query(spark):
+    pages = spark.read.parquet(f"{DATA}/pages.parquet").count()
+    rows = QUERIES["op7_language_id"](spark, str(DATA)).collect()
+    assert len(rows) == pages == len({r["page_id"] for r in rows})
+    accepted = [r for r in rows if r["accepted"]]
+    assert len(accepted) >= 0.9 * pages
+    assert all(r["language"] and 0.5 <= r["confidence"] <= 1 for r in accepted)

@@ -1,0 +1,110 @@
+"""Repeated lines, against counting them in plain Python."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from eventlake.llm import line_dedup, perfect_hash
+from eventlake.llm.line_dedup import build_line_index, dedup_lines, drop_lines
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def plain_key(line):
+    key = line.strip(SPACE)
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in key)
+
+
+def plain(rows, min_chars=40, min_docs=5):
+    lines = [(text or "").split("\n") for _, text in rows]
+    holders = {}
+    for i, own in enumerate(lines):
+        for key in {plain_key(x) for x in own}:
+            if len(key) >= min_chars:
+                holders.setdefault(key, []).append(i)
+    keeper = {}
+    for key, docs in holders.items():
+        ids = [rows[i][0] for i in docs if rows[i][0] is not None]
+        if len(docs) >= min_docs and ids:
+            keeper[key] = max(ids)
+    out = []
+    for (doc_id, _), own in zip(rows, lines, strict=True):
+        kept = [x for x in own if keeper.get(plain_key(x), doc_id) == doc_id]
+        digest = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+        out.append((doc_id, len(own), len(own) - len(kept), digest))
+    return out
+
+
+def found(frame):
+    return [tuple(r) for r in frame.select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()]
+
+
+LONG = "A line that many documents have, of more than forty characters"
+WIDE = "ä" * 39
+
+
+def test_defined_cases(documents):
+    rows = [
+        (1, None),
+        (2, ""),
+        (3, "\n\n"),
+        *[(10 + i, f"own {i}\n  {LONG}\t\r\n{LONG.upper()}\nend") for i in range(6)],
+        *[(20 + i, f"{WIDE}\n{WIDE}x") for i in range(5)],  # 39 code points and 40
+        *[(30 + i, f"only four have this line of more than forty chars") for i in range(4)],
+        (40, LONG),
+        (40, LONG),  # both rows of the largest id keep it
+        (None, LONG),
+        (50, "x" * 300_000 + "\n" + "y\n" * 1000),
+    ]
+    frame = documents(rows).coalesce(1)
+    got = found(dedup_lines(frame))
+    assert got == plain(rows)
+    by_id = {r[0]: r for r in got}
+    assert by_id[40][2] == 0 and by_id[None][2] == 1 and by_id[15][2] == 2
+
+
+def test_line_that_only_rows_without_id_have_stays(documents):
+    rows = [(None, LONG)] * 6
+    assert found(dedup_lines(documents(rows))) == plain(rows)
+
+
+def test_empty_table_and_clashing_columns(documents):
+    assert dedup_lines(documents([])).count() == 0
+    rows = [(i, f"{LONG}\n{i}") for i in range(6)]
+    frame = documents(rows).selectExpr("*", "7 AS n_lines", "'x' AS kept_text", "1 AS extra").coalesce(1)
+    result = dedup_lines(frame)
+    assert found(result) == plain(rows)
+    assert result.columns.count("n_lines") == 1 and result.first()["extra"] == 1
+
+
+@pytest.mark.parametrize("keys_per_shard", [400_000, 7])
+def test_random_texts(documents, monkeypatch, keys_per_shard):
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", keys_per_shard)
+    rng = random.Random(3)
+    pool = [f"{rng.choice(['Line', 'line', ' LINE'])} number {i % 30} {'-' * (i % 4)}" for i in range(60)]
+    rows = [
+        (rng.randrange(80), "\n".join(rng.choices(pool, k=rng.randrange(12)))) for _ in range(120)
+    ]
+    frame = documents(rows).coalesce(1)
+    assert found(dedup_lines(frame, min_chars=12, min_docs=3)) == plain(rows, 12, 3)
+
+
+def test_other_documents_than_the_counted_ones(documents):
+    index = build_line_index(documents([(i, LONG) for i in range(5)]))
+    other = [(100, f"{LONG}\nA line that was never counted, of over forty characters")]
+    assert found(drop_lines(documents(other), index))[0][1:3] == (2, 1)
+
+
+def test_perfect_hash_is_minimal():
+    for n in (0, 1, 2, 1000, 50_000):
+        keys = np.random.default_rng(n).integers(0, 2**63, n, dtype=np.uint64)
+        keys = np.unique(keys)
+        places = perfect_hash.lookup(perfect_hash.build(keys), keys)
+        assert sorted(places.tolist()) == list(range(len(keys)))
+
+
+def test_too_large_a_threshold_is_refused(documents):
+    with pytest.raises(ValueError, match="min_docs"):
+        build_line_index(documents([]), min_docs=100_000)
