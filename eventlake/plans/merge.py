@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators.evidence import files_read
 from eventlake.plans.upkeep import leased
-from eventlake.session import input_bytes, sized_shuffles
+from eventlake.session import input_bytes, runtime_key_filter, sized_shuffles
 from eventlake.sources.table import LakeTable
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -131,12 +132,12 @@ def merge_insert(
         target = _within_key_range(target, range_key, profile, null_safe)
 
         small = profile.broadcast_size <= broadcast_bytes
-        hits = _stored_keys(target.select(*keys), source.select(*keys), keys, small, null_safe)
-        hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
+        with _shuffled_match(table, target, profile, small):
+            mine = source if small else _within_key_range(source, range_key, profile, null_safe)
+            hits = _stored_keys(target.select(*keys), mine.select(*keys), keys, small, null_safe)
+            hits = hits.persist(StorageLevel.MEMORY_AND_DISK)  # planned here
         try:
-            # A broadcast match does not shuffle the table; the other one is as wide as its files.
-            with sized_shuffles(table.spark, 0 if small else input_bytes(target)):
-                matched = hits.count()
+            matched = hits.count()
             opened = files_read(hits)
             inserted = profile.rows - matched
             if inserted:
@@ -165,6 +166,20 @@ def _measure(
     return SourceProfile(**row.asDict())
 
 
+@contextlib.contextmanager
+def _shuffled_match(
+    table: LakeTable, target: DataFrame, profile: SourceProfile, small: bool
+) -> Iterator[None]:
+    """Settings for the match: as wide as the table's files, whose scan is filtered by the batch's
+    keys before its shuffle. A broadcast match does not shuffle the table."""
+    if small:
+        yield
+        return
+    spark = table.spark
+    with sized_shuffles(spark, input_bytes(target)), runtime_key_filter(spark, profile.rows):
+        yield
+
+
 def _match_side(
     table: LakeTable, profile: SourceProfile, scope: str
 ) -> tuple[DataFrame | None, tuple[str, str] | None]:

@@ -135,12 +135,40 @@ def sized_shuffles(
 
     The width a session starts with knows its cores and not its data.
     """
-    before = {name: spark.conf.get(name, None) for name in WIDTHS}
-    width = max([-(-size // bytes_per_task), *(int(w) for w in before.values() if w)])
-    try:
-        for name in WIDTHS:
-            spark.conf.set(name, width)
+    now = [spark.conf.get(name, None) for name in WIDTHS]
+    width = max([-(-size // bytes_per_task), *(int(w) for w in now if w)])
+    with settings(spark, dict.fromkeys(WIDTHS, width)):
         yield width
+
+
+# Keys of a batch that Spark's Bloom filter is sized for by default.
+MOST_FILTERED_KEYS = 4_000_000
+
+
+@contextlib.contextmanager
+def runtime_key_filter(spark: SparkSession, keys: int) -> Iterator[None]:
+    """Shuffled joins planned in this block filter their large side's scan by a Bloom filter of the
+    small side's keys, of which there are ``keys``. Spark wants a condition on the small side.
+
+    Spark's own rule waits for a large side of 10 GB and a small one of 10 MB. Beyond the keys its
+    filter is made for nothing changes.
+    """
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "0"}
+    wanted["creationSideThreshold"] = str(_UNKNOWN_BYTES)
+    use = keys <= MOST_FILTERED_KEYS
+    with settings(spark, {prefix + k: v for k, v in wanted.items()} if use else {}):
+        yield
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict) -> Iterator[None]:
+    """The session with these settings, put back at the end of the block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
     finally:
         for name, value in before.items():
             if value is None:

@@ -5,8 +5,9 @@ from helpers import DAY1, DAY2, DAY3, event, ids
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventlake import session
 from eventlake.operators import clickstream_events, dead_letters
-from eventlake.plans import events_table, land_batch, merge_insert
+from eventlake.plans import events_table, land_batch, merge, merge_insert
 from eventlake.plans.ingest import BatchCounts, merge_dead_letters
 from eventlake.plans.merge import MergeOutcome
 from eventlake.schema import EVENT_SCHEMA
@@ -287,3 +288,37 @@ def test_table_under_a_uri(spark, raw, tmp_path):
     batch = raw([event("a", DAY1), event("b", DAY2)])
     assert [land_batch(batch, table).rowsInserted for _ in range(2)] == [2, 0]
     assert table.directories() == ["eventDate=2024-07-03", "eventDate=2024-07-04"]
+
+
+def test_shuffled_match_filters_the_table_by_the_batch(spark, raw, events, monkeypatch):
+    """Spark's Bloom filter of the batch's keys is on the table's side, under its shuffle."""
+    land_batch(raw([event(f"a{i}", DAY1) for i in range(200)]), events)
+    plans = []
+
+    def stored(*args, real=merge._stored_keys):
+        hits = real(*args)
+        plans.append(hits._jdf.queryExecution().optimizedPlan().toString())
+        return hits
+
+    monkeypatch.setattr(merge, "_stored_keys", stored)
+    batch = raw([event("a7"), event("a9"), event("b1")])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": -1}):  # as if large
+        counts = land_batch(batch, events, merge=MergeSettings(broadcast_bytes=0))
+    assert (counts.rowsUnique, counts.rowsInserted) == (3, 1)
+    (plan,) = plans
+    table_side, _, _ = plan.partition("InMemoryRelation")
+    assert "might_contain" in table_side and "bloom_filter_agg" in plan
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    land_batch(batch, events)
+    assert "might_contain" not in plans[1]  # a broadcast match needs none
+
+
+def test_too_many_keys_are_not_filtered(spark):
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(name)
+    with session.runtime_key_filter(spark, session.MOST_FILTERED_KEYS + 1):
+        assert spark.conf.get(name) == before
+    with session.runtime_key_filter(spark, 5):
+        assert spark.conf.get(name) == "0"
+    assert spark.conf.get(name) == before
