@@ -6,10 +6,11 @@ lies within a band. A document's distinct lexicon terms, sorted, are hashed once
 lexicon; the fingerprint is the list of these hashes. Subsets come in families: a family's first
 keeps a term with a chance of one half, and each further one half of the terms of the one before,
 drawn from the term's own digest. Large subsets tell small documents apart, small ones find what
-long documents share.
+long documents share. A text that has terms, but none in any subset, is told by the digest of all
+its distinct terms instead, the last entry of the list, which is empty for all others.
 
-The likeness of two fingerprints is the share of agreeing subsets, among those in which either
-document has a term; it is 1 if there are none. A subset weighs the inverse of its chance, so that
+The likeness of two fingerprints is the share of agreeing entries, among those that either document
+has; it is 1 if there are none, as then neither has terms. A subset weighs the inverse of its chance, so that
 the subsets of a few terms decide, which a partial edit leaves alone.
 
 The band's upper end bounds the lexicon: a term is in at least N / 2**max_idf documents, so there
@@ -17,7 +18,8 @@ are at most 2**max_idf times the mean number of distinct terms. Its measured siz
 it is broadcast or shuffled. Documents' terms meet in the task that split them, so with a broadcast
 lexicon one row per document is shuffled, not its terms.
 
-Defined cases: a null or empty text has no terms and the fingerprint of no terms. Rows of one
+Defined cases: a null or empty text has no terms and the fingerprint of no terms, which only such
+texts have. Rows of one
 doc_id are documents of their own; equal texts have equal fingerprints. Other columns are ignored.
 """
 
@@ -36,6 +38,7 @@ FAMILIES, CHANCES, SLICE_BITS = 6, 9, 10
 FIRST_STEP = 3  # subsets of a family up to here are cut from its first, the others from the next
 MIN_IDF, MAX_IDF = 2.0, 10.0
 HASH_DIGITS = 8
+WHOLE = "_all_terms"
 
 
 @dataclass(frozen=True)
@@ -84,16 +87,29 @@ def fingerprints(texts: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataF
     but the lexicon moves.
     """
     others = [c for c in texts.columns if c not in (*keys, "text")]
-    rows = texts.withColumn("text", F.concat(terms_of(F.col("text")), F.array(F.lit(""))))
-    joined = rows.select(*keys, *others, F.explode("text").alias("term")).join(
-        broadcast_if_small(lexicon), "term"
+    rows = texts.withColumn("text", terms_of(F.col("text")))
+    # The digest of all terms goes with the end, so it is stored once per document.
+    ended = F.concat("text", F.array(F.lit("")))
+    joined = (
+        rows.select(*keys, *others, _all_terms(F.col("text")).alias(WHOLE), F.explode(ended).alias("term"))
+        .withColumn(WHOLE, F.when(F.col("term") == "", F.col(WHOLE)))
+        .join(broadcast_if_small(lexicon), "term")
     )
     term = F.when(F.col("term") != "", F.struct("term", "draw"))
     found = joined.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in others],
-        F.array_sort(F.collect_list(term)).alias("terms"),
+        F.max(WHOLE).alias(WHOLE),
+        F.sort_array(F.collect_list(term)).alias("terms"),
     )
-    return _hashed(found, [*keys, *others])
+    hashed = _hashed(found, [*keys, *others, WHOLE])
+    left = F.when(F.array_join("hashes", "") == "", F.col(WHOLE)).otherwise("")
+    return hashed.select(*keys, *others, F.concat("hashes", F.array(left)).alias("hashes"))
+
+
+def _all_terms(terms: Column) -> Column:
+    """Digest of all distinct terms; empty without any."""
+    whole = F.md5(F.array_join(F.sort_array(terms), " "))
+    return F.when(F.size(terms) == 0, "").otherwise(whole)
 
 
 def _hashed(found: DataFrame, names: list[str]) -> DataFrame:
@@ -122,8 +138,9 @@ def _hash(terms: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Weighted share of agreeing subsets among those where either has a term."""
-    weights = F.lit([2 << k for _ in range(FAMILIES) for k in range(CHANCES)])
+    """Weighted share of agreeing entries among those that either has."""
+    subsets = [2 << k for _ in range(FAMILIES) for k in range(CHANCES)]
+    weights = F.lit([*subsets, 2])  # the last: the digest of all terms, never beside others
     filled = F.filter(
         F.arrays_zip(a.alias("a"), b.alias("b"), weights.alias("weight")),
         lambda p: (p["a"] != "") | (p["b"] != ""),

@@ -127,10 +127,17 @@ subsets AS (
 marks AS (
   SELECT doc_id, kind, k, left(md5(string_agg(term, ' ' ORDER BY term COLLATE "C")), 8) AS h
   FROM terms JOIN subsets USING (term) GROUP BY ALL),
-prints AS (
+whole AS (
+  SELECT doc_id, kind, md5(string_agg(term, ' ' ORDER BY term COLLATE "C")) AS all_terms
+  FROM terms GROUP BY ALL),
+hashed AS (
   SELECT doc_id, kind, list(coalesce(h, '') ORDER BY k) AS f
   FROM (SELECT doc_id, kind, k FROM texts, range(0, 54) r (k)) LEFT JOIN marks USING (doc_id, kind, k)
   GROUP BY ALL),
+prints AS (
+  SELECT doc_id, kind,
+         list_append(f, CASE WHEN array_to_string(f, '') = '' THEN coalesce(all_terms, '') ELSE '' END) AS f
+  FROM hashed LEFT JOIN whole USING (doc_id, kind)),
 sides AS (
   SELECT e.doc_id, e.n, e.changed, a.f AS own, b.f AS edited, c.f AS following
   FROM edited e JOIN prints a ON a.doc_id = e.doc_id AND a.kind = 0
@@ -138,10 +145,10 @@ sides AS (
   JOIN prints c ON c.doc_id = e.next_id AND c.kind = 0),
 shares AS (
   SELECT *,
-    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 55) IF own[i] <> '' OR edited[i] <> '']), 0) AS n1,
-    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 55) IF own[i] <> '' AND own[i] = edited[i]]), 0) AS m1,
-    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 55) IF own[i] <> '' OR following[i] <> '']), 0) AS n2,
-    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 55) IF own[i] <> '' AND own[i] = following[i]]), 0) AS m2
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 56) IF own[i] <> '' OR edited[i] <> '']), 0) AS n1,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 56) IF own[i] <> '' AND own[i] = edited[i]]), 0) AS m1,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 56) IF own[i] <> '' OR following[i] <> '']), 0) AS n2,
+    coalesce(list_sum([2 << ((i - 1) % 9)::INTEGER FOR i IN range(1, 56) IF own[i] <> '' AND own[i] = following[i]]), 0) AS m2
   FROM sides)
 SELECT doc_id, n AS n_chars, sha256(changed) AS edited_sha256,
        array_to_string(own, '.') AS fingerprint, array_to_string(edited, '.') AS edited_fingerprint,

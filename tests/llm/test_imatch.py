@@ -36,11 +36,12 @@ def plain_hashes(text, lexicon):
             own = [t for t in plain_terms(text) & lexicon if not int(md5(t)[:15], 16) & mask]
             own.sort(key=lambda t: t.encode())
             out.append(md5(" ".join(own))[: imatch.HASH_DIGITS] if own else "")
-    return out
+    every = sorted(plain_terms(text), key=lambda t: t.encode())
+    return [*out, md5(" ".join(every)) if every and not any(out) else ""]
 
 
 def plain_likeness(a, b):
-    weights = [2 << k for _ in range(imatch.FAMILIES) for k in range(imatch.CHANCES)]
+    weights = [2 << k for _ in range(imatch.FAMILIES) for k in range(imatch.CHANCES)] + [2]
     filled = [(x, y, w) for x, y, w in zip(a, b, weights, strict=True) if x or y]
     same = sum(w for x, y, w in filled if x == y)
     return same / sum(w for *_, w in filled) if filled else 1.0
@@ -118,3 +119,15 @@ def test_equal_term_sets_are_alike_and_disjoint_ones_are_not(documents):
     assert hashes[5] == hashes[6]
     pair = frame.sparkSession.createDataFrame([(hashes[5], hashes[8])], "a array<string>, b array<string>")
     assert pair.select(likeness(pair.a, pair.b)).first()[0] < 0.1
+
+
+def test_texts_without_a_lexicon_term_are_told_by_all_their_terms(documents):
+    rare = [(-4, ""), (-3, "beta ALPHA"), (-2, "alpha beta"), (-1, "gamma delta")]
+    rows = [(i, f"common{i % 8}") for i in range(3000)] + rare
+    band = Band(2.0, 8.0)  # terms of at least 12 documents
+    got = {r.doc_id: r for r in edited_fingerprints(documents(rows), band).collect()}
+    assert got[-2].fingerprint == got[-3].fingerprint != got[-1].fingerprint
+    assert set(got[-4].fingerprint) == {"."}  # no terms at all
+    assert got[-2].near_next == 1.0  # equal terms
+    assert got[-1].near_next == 0.0  # disjoint ones
+    assert got[-3].near_next == 0.0  # terms against none
