@@ -1,7 +1,14 @@
-"""Sorted arrays of 64-bit hashes with values, in shards by hash, in the shared folder.
+"""Sorted arrays of hashes with values, in shards, in the shared folder.
 
-A shard holds the hashes whose mixed value falls in its part of the 64-bit range, in ascending
-order. Tasks build shards; workers memory-map them and look batches of hashes up by binary search.
+A shard's rows are ordered by their hashes, spread over the whole range by an odd factor. The
+leading bits of a spread hash are not stored: a table of where each of their values begins implies
+them, with 8 to 16 rows to a value. The next 48 bits are kept, so from 2**20 rows on all 64 bits
+decide, and a smaller shard takes a wrong hash for one of its own with a chance below 2**-44.
+
+The values of a row are one byte: the number of their combination among the shard's most frequent
+ones, or ``ESCAPE`` for a row of the list of exceptions. So one large count does not widen others.
+
+Tasks build shards; workers memory-map them and look batches of hashes up by binary search.
 """
 
 from __future__ import annotations
@@ -10,6 +17,12 @@ import numpy as np
 
 from eventlake.llm.shared import load_array, save_array
 
+ESCAPE = 255
+KEPT_BITS = 48
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_KEYED = np.dtype([("low", "<u4"), ("high", "<u2"), ("code", "u1")])
+_CODES = np.dtype([("code", "u1")])
+
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     """Equal parts of the hash range, in order: shard numbers rise with the hash."""
@@ -17,19 +30,74 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 
 def save_shard(folder: str, name: str, number: int, hashes: np.ndarray, **values) -> None:
-    order = np.argsort(hashes)
-    save_array(folder, f"{name}-{number}-hash", hashes[order])
-    for key, array in values.items():
-        save_array(folder, f"{name}-{number}-{key}", array[order])
+    """Distinct hashes and one or more arrays of their values, none negative."""
+    spread = hashes * _FACTOR
+    order = np.argsort(spread)
+    spread = spread[order]
+    bits = _prefix_bits(len(hashes))
+    lead, rest = _split(spread, bits)
+    rows = np.empty(len(hashes), dtype=_KEYED)
+    rows["low"] = rest & np.uint64(0xFFFFFFFF)
+    rows["high"] = rest >> np.uint64(32)
+    _encode(folder, f"{name}-{number}", rows, [v[order] for v in values.values()])
+    starts = np.searchsorted(lead, np.arange((1 << bits) + 1))
+    save_array(folder, f"{name}-{number}-start", narrow(starts))
+
+
+def save_values(folder: str, name: str, number: int, **values) -> None:
+    """A shard that is looked up by place alone."""
+    size = len(next(iter(values.values())))
+    _encode(folder, f"{name}-{number}", np.empty(size, dtype=_CODES), list(values.values()))
+
+
+def narrow(values: np.ndarray) -> np.ndarray:
+    """The smallest unsigned type that holds all values."""
+    top = int(values.max(initial=0))
+    types = (np.uint8, np.uint16, np.uint32, np.uint64)
+    return values.astype(next(t for t in types if top <= np.iinfo(t).max))
+
+
+def _prefix_bits(rows: int) -> int:
+    return (rows >> 4).bit_length()
+
+
+def _split(spread: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The leading bits of spread hashes, and the bits after them that are kept."""
+    lead = spread >> np.uint64(64 - bits) if bits else np.zeros_like(spread)
+    return lead.astype(np.int64), (spread << np.uint64(bits)) >> np.uint64(64 - KEPT_BITS)
+
+
+def _encode(folder: str, name: str, rows: np.ndarray, columns: list[np.ndarray]) -> None:
+    """Fill the codes of ``rows`` and save them, their book and the exceptions."""
+    # Small values of up to four columns make one number.
+    key = np.zeros(len(rows), dtype=np.uint32)
+    small = np.ones(len(rows), dtype=bool)
+    for i, column in enumerate(columns):
+        small &= column < 256
+        key |= (column & 0xFF).astype(np.uint32) << np.uint32(8 * i)
+    found, times = np.unique(key[small], return_counts=True)
+    book = np.sort(found[np.argsort(-times, kind="stable")[:ESCAPE]])
+    at = np.searchsorted(book, key)
+    at[at == len(book)] = 0
+    known = small & (book[at] == key) if len(book) else small & False
+    rows["code"] = np.where(known, at, ESCAPE)
+    save_array(folder, f"{name}-rows", rows)
+    parts = [(book >> np.uint32(8 * i)) & np.uint32(0xFF) for i in range(len(columns))]
+    save_array(folder, f"{name}-book", np.stack(parts).astype(np.uint8))
+    others = np.flatnonzero(~known)
+    save_array(folder, f"{name}-more", narrow(np.stack([others, *(c[others] for c in columns)])))
 
 
 class HashTable:
     """Look-ups in the shards ``<folder>/<name>-<number>-*``.
 
     ``sizes`` has the rows of each shard; a row's place counts over all shards before it.
+    ``value_names`` are the names of the values, in the order they were saved in.
     """
 
     def __init__(self, folder: str, name: str, sizes: list[int], value_names: list[str]):
+        if len(value_names) > 4:
+            raise ValueError("a table has at most four values")
         self.folder, self.name, self.value_names = folder, name, value_names
         self.sizes = sizes
         self.starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
@@ -52,14 +120,11 @@ class HashTable:
             if not self.sizes[number]:
                 continue
             part = order[edges[number] : edges[number + 1]]
-            keys = self._array(number, "hash")
-            at = np.searchsorted(keys, wanted[part])
-            at[at == len(keys)] = 0
-            hit = keys[at] == wanted[part]
+            at, hit = self._search(number, wanted[part])
             part, at = part[hit], at[hit]
             place[part] = at + self.starts[number]
-            for column, name in zip(values, names, strict=True):
-                column[part] = self._array(number, name)[at]
+            for column, value in zip(values, self._values(number, at, names), strict=True):
+                column[part] = value
         return (place[back], *(column[back] for column in values))
 
     def at(self, places: np.ndarray, name: str) -> np.ndarray:
@@ -68,8 +133,38 @@ class HashTable:
         found = np.zeros(len(places), dtype=np.int64)
         for number in np.unique(home[home < len(self.sizes)]):
             here = home == number
-            found[here] = self._array(number, name)[places[here] - self.starts[number]]
+            found[here] = self._values(number, places[here] - self.starts[number], [name])[0]
         return found
 
+    def _search(self, number: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash would stand in a shard, and whether it does."""
+        rows, starts = self._array(number, "rows"), self._array(number, "start")
+        lead, rest = _split(hashes * _FACTOR, _prefix_bits(self.sizes[number]))
+        low, end = starts[lead].astype(np.int64), starts[lead + 1].astype(np.int64)
+        top, last = end.copy(), self.sizes[number] - 1
+        for _ in range(int((top - low).max(initial=0)).bit_length()):
+            middle = (low + top) >> 1
+            less = (low < top) & (_kept(rows[np.minimum(middle, last)]) < rest)
+            low, top = np.where(less, middle + 1, low), np.where(less, top, middle)
+        return low, (low < end) & (_kept(rows[np.minimum(low, last)]) == rest)
+
+    def _values(self, number: int, at: np.ndarray, names) -> list[np.ndarray]:
+        code = self._array(number, "rows")["code"][at]
+        book, more = self._array(number, "book"), self._array(number, "more")
+        escaped = code == ESCAPE
+        exception = np.searchsorted(more[0], at[escaped])
+        out = []
+        for name in names:
+            i = self.value_names.index(name)
+            value = np.zeros(len(at), dtype=np.int64)
+            value[~escaped] = book[i][code[~escaped]]
+            value[escaped] = more[i + 1][exception]
+            out.append(value)
+        return out
+
     def _array(self, number: int, name: str) -> np.ndarray:
         return load_array(self.folder, f"{self.name}-{number}-{name}")
+
+
+def _kept(rows: np.ndarray) -> np.ndarray:
+    return (rows["high"].astype(np.uint64) << np.uint64(32)) | rows["low"]

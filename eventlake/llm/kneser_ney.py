@@ -14,8 +14,9 @@ folder, one shard per part of the contexts, which workers memory-map to score wh
   undefined or out of range (tiny corpora) they are 0.5, 1 and 1.5. Below level 1 stands the
   uniform distribution over the vocabulary and one unknown word, so probabilities sum to 1.
 
-Contexts, like words, are told apart by 64-bit hashes. The model grows with the corpus: about
-10 bytes for each distinct n-gram of the highest order.
+Contexts, like words, are told apart by 64-bit hashes (48 bits and the place in small shards, see
+``hash_table``). The model grows with the corpus: about 8 bytes for each distinct n-gram of level 2
+and more, and as many for each distinct context.
 
 Defined cases: a null or empty text is one end token. No training text: every token has
 probability 1 (there is nothing but the unknown word). Rows count as they come, repeated ids too.
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.hash_table import HashTable, save_shard, shard_of
+from eventlake.llm.hash_table import HashTable, narrow, save_shard, save_values, shard_of
 from eventlake.llm.shared import prepare, scratch, stored
 from eventlake.llm.tokens import NOT_WHITE, Texts, as_bytes, chunks, mix
 
@@ -41,6 +42,7 @@ ORDER = 3
 TOKENS_PER_SHARD = 1_500_000
 WORDS_PER_SHARD = 1_000_000
 MAX_SHARDS = 65_535
+LARGEST_SHORT = 0xFFFFFFFF  # beyond it word numbers take 8 bytes
 END = np.uint64(0x656E64)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _PACKED = "shard long, grams binary, counts binary"
@@ -175,7 +177,7 @@ def _vocabulary(texts: DataFrame, folder: str) -> tuple[HashTable, int]:
     def build(table: pa.Table) -> pa.Table:
         words = table["word"].to_numpy().view(np.uint64)
         number = int(shard_of(words[:1], shards)[0])
-        save_shard(folder, "word", number, words, count=_narrow(table["n"].to_numpy()))
+        save_shard(folder, "word", number, words, count=table["n"].to_numpy())
         return pa.table({"shard": [number], "rows": [len(words)]})
 
     sizes = [0] * shards
@@ -196,7 +198,7 @@ def _sequences(texts: list[bytes], vocabulary: HashTable, order: int) -> tuple[n
     place[place < 0] = unknown
     width = counts + order
     first = np.cumsum(width) - width
-    ids = np.full(int(width.sum()), start, dtype=np.uint32)
+    ids = np.full(int(width.sum()), start, dtype=_number_type(unknown))
     inner = np.repeat(first + order - 1 - (np.cumsum(counts) - counts), counts)
     ids[inner + np.arange(len(words))] = place[:-1]
     ids[first + width - 1] = place[-1]
@@ -209,6 +211,11 @@ def _sequences(texts: list[bytes], vocabulary: HashTable, order: int) -> tuple[n
     return ids, seen, np.flatnonzero(targets), counts + 1
 
 
+def _number_type(largest: int) -> type:
+    """Word numbers take 4 bytes as long as all of them fit."""
+    return np.uint32 if largest <= LARGEST_SHORT else np.uint64
+
+
 def _gram_counter(vocabulary: HashTable, order: int, shards: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Grams(order)
@@ -252,24 +259,27 @@ def _dealt(grams: np.ndarray, counts: np.ndarray, shards: int, by_word: HashTabl
             {
                 "shard": pa.array([int(home[a])], pa.int64()),
                 "grams": pa.array([_pack(columns)], pa.binary()),
-                "counts": pa.array([_pack(_narrow(counts[a:b]))], pa.binary()),
+                "counts": pa.array([_pack(narrow(counts[a:b]))], pa.binary()),
             }
         )
 
 
 def _pack(array: np.ndarray) -> bytes:
-    return bytes([array.itemsize]) + zstandard.compress(np.ascontiguousarray(array).tobytes(), 3)
+    """Compressed by byte planes: the upper bytes of most numbers are alike."""
+    planes = np.ascontiguousarray(array).reshape(-1).view(np.uint8).reshape(-1, array.itemsize).T
+    return bytes([array.itemsize]) + zstandard.compress(planes.tobytes(), 3)
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data[1:]), dtype=f"u{data[0]}")
+    planes = np.frombuffer(zstandard.decompress(data[1:]), dtype=np.uint8).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(f"u{data[0]}")
 
 
 def _unpacked(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
     grams, counts = [], []
     for g, c in zip(table["grams"].to_pylist(), table["counts"].to_pylist(), strict=True):
         columns = _unpack(g).reshape(k, -1).copy()
-        columns[0] = np.cumsum(columns[0], dtype=np.uint32)
+        columns[0] = np.cumsum(columns[0], dtype=columns.dtype)
         grams.append(columns)
         counts.append(_unpack(c).astype(np.int64))
     return np.concatenate(grams, axis=1), np.concatenate(counts)
@@ -284,16 +294,16 @@ def _level_builder(folder: str, k: int, vocabulary: HashTable, lower_shards: int
         context = _context_hash(grams)
         # N-grams are in the order of their words, so those of a context are neighbours.
         edges = np.flatnonzero(np.diff(context, prepend=~context[:1]))
-        save_shard(folder, f"gram{k}", number, _row_hash(grams), count=_narrow(counts))
+        save_shard(folder, f"gram{k}", number, _row_hash(grams), count=counts)
         save_shard(
             folder,
             f"context{k}",
             number,
             context[edges],
-            total=_narrow(np.add.reduceat(counts, edges)),
-            one=_narrow(np.add.reduceat((counts == 1).astype(np.int64), edges)),
-            two=_narrow(np.add.reduceat((counts == 2).astype(np.int64), edges)),
-            more=_narrow(np.add.reduceat((counts > 2).astype(np.int64), edges)),
+            total=np.add.reduceat(counts, edges),
+            one=np.add.reduceat((counts == 1).astype(np.int64), edges),
+            two=np.add.reduceat((counts == 2).astype(np.int64), edges),
+            more=np.add.reduceat((counts > 2).astype(np.int64), edges),
         )
         lower = _summed(grams[1:], np.ones(len(counts), dtype=np.int64))
         dealt = _dealt(*lower, lower_shards, by_word=vocabulary if k == 2 else None)
@@ -328,8 +338,7 @@ def _lowest(packed: DataFrame, vocabulary: HashTable, folder: str) -> Level:
         first, size = int(vocabulary.starts[number]), vocabulary.sizes[number]
         dense = np.zeros(size, dtype=np.int64)
         np.add.at(dense, grams[0].astype(np.int64) - first, counts)
-        places = np.arange(first, first + size).astype(np.uint64)
-        save_shard(folder, "gram1", number, places, count=_narrow(dense))
+        save_values(folder, "gram1", number, count=dense)
         row = {"shard": number, "rows": size, "total": int(dense.sum())}
         row |= {n: int((dense == i + 1).sum()) for i, n in enumerate(_SMALL)}
         row["more"] = int((dense > 2).sum())
@@ -359,18 +368,11 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
     return (0.5, 1.0, 1.5)
 
 
-def _narrow(values: np.ndarray) -> np.ndarray:
-    """The smallest unsigned type that holds all values."""
-    top = int(values.max(initial=0))
-    types = (np.uint8, np.uint16, np.uint32, np.uint64)
-    return values.astype(next(t for t in types if top <= np.iinfo(t).max))
-
-
 def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams (columns) in the order of their words, and their summed counts."""
     if len(grams) == 1:
         order = np.argsort(grams[0], kind="stable")
-    elif len(grams) == 2:
+    elif len(grams) == 2 and grams.itemsize == 4:
         order = np.argsort((grams[0].astype(np.uint64) << np.uint64(32)) | grams[1])
     else:
         order = np.lexsort(grams[::-1])

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from eventlake.llm import kneser_ney
@@ -159,3 +160,22 @@ def test_registered_query(spark):
         assert r.n_known == sum(t in plain.unigrams for t in tokens(texts[r.doc_id]))
     held = [r for r in rows if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_word_numbers_widen_beyond_four_bytes():
+    top = kneser_ney.LARGEST_SHORT
+    assert kneser_ney._number_type(top) is np.uint32
+    assert kneser_ney._number_type(top + 1) is np.uint64
+
+
+def test_wide_word_numbers_are_summed_and_packed_alike():
+    grams = np.random.default_rng(5).integers(0, 9, (2, 500))
+    for k in (2, 1):
+        short, wide = (
+            kneser_ney._summed(grams[:k].astype(t), np.ones(500, dtype=np.int64))
+            for t in (np.uint32, np.uint64)
+        )
+        assert (short[0] == wide[0]).all() and (short[1] == wide[1]).all()
+        for columns in (short[0], wide[0]):
+            back = kneser_ney._unpack(kneser_ney._pack(columns)).reshape(k, -1)
+            assert back.dtype == columns.dtype and (back == columns).all()
