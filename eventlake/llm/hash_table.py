@@ -20,8 +20,7 @@ from eventlake.llm.shared import load_array, save_array
 ESCAPE = 255
 KEPT_BITS = 48
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_KEYED = np.dtype([("low", "<u4"), ("high", "<u2"), ("code", "u1")])
-_CODES = np.dtype([("code", "u1")])
+_TAIL_BITS = np.uint64(16)
 
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -35,19 +34,17 @@ def save_shard(folder: str, name: str, number: int, hashes: np.ndarray, **values
     order = np.argsort(spread)
     spread = spread[order]
     bits = _prefix_bits(len(hashes))
-    lead, rest = _split(spread, bits)
-    rows = np.empty(len(hashes), dtype=_KEYED)
-    rows["low"] = rest & np.uint64(0xFFFFFFFF)
-    rows["high"] = rest >> np.uint64(32)
-    _encode(folder, f"{name}-{number}", rows, [v[order] for v in values.values()])
+    lead, top, tail = _split(spread, bits)
     starts = np.searchsorted(lead, np.arange((1 << bits) + 1))
     save_array(folder, f"{name}-{number}-start", narrow(starts))
+    save_array(folder, f"{name}-{number}-top", top)
+    save_array(folder, f"{name}-{number}-tail", tail)
+    _encode(folder, f"{name}-{number}", [v[order] for v in values.values()])
 
 
 def save_values(folder: str, name: str, number: int, **values) -> None:
     """A shard that is looked up by place alone."""
-    size = len(next(iter(values.values())))
-    _encode(folder, f"{name}-{number}", np.empty(size, dtype=_CODES), list(values.values()))
+    _encode(folder, f"{name}-{number}", list(values.values()))
 
 
 def narrow(values: np.ndarray) -> np.ndarray:
@@ -61,17 +58,18 @@ def _prefix_bits(rows: int) -> int:
     return (rows >> 4).bit_length()
 
 
-def _split(spread: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The leading bits of spread hashes, and the bits after them that are kept."""
+def _split(spread: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The leading bits of spread hashes, and the kept bits after them: the first 32, the last 16."""
     lead = spread >> np.uint64(64 - bits) if bits else np.zeros_like(spread)
-    return lead.astype(np.int64), (spread << np.uint64(bits)) >> np.uint64(64 - KEPT_BITS)
+    kept = (spread << np.uint64(bits)) >> np.uint64(64 - KEPT_BITS)
+    return lead.astype(np.int64), (kept >> _TAIL_BITS).astype(np.uint32), kept.astype(np.uint16)
 
 
-def _encode(folder: str, name: str, rows: np.ndarray, columns: list[np.ndarray]) -> None:
-    """Fill the codes of ``rows`` and save them, their book and the exceptions."""
+def _encode(folder: str, name: str, columns: list[np.ndarray]) -> None:
+    """Save the codes of the rows' values, their book and the exceptions."""
     # Small values of up to four columns make one number.
-    key = np.zeros(len(rows), dtype=np.uint32)
-    small = np.ones(len(rows), dtype=bool)
+    key = np.zeros(len(columns[0]), dtype=np.uint32)
+    small = np.ones(len(key), dtype=bool)
     for i, column in enumerate(columns):
         small &= column < 256
         key |= (column & 0xFF).astype(np.uint32) << np.uint32(8 * i)
@@ -80,8 +78,7 @@ def _encode(folder: str, name: str, rows: np.ndarray, columns: list[np.ndarray])
     at = np.searchsorted(book, key)
     at[at == len(book)] = 0
     known = small & (book[at] == key) if len(book) else small & False
-    rows["code"] = np.where(known, at, ESCAPE)
-    save_array(folder, f"{name}-rows", rows)
+    save_array(folder, f"{name}-code", np.where(known, at, ESCAPE).astype(np.uint8))
     parts = [(book >> np.uint32(8 * i)) & np.uint32(0xFF) for i in range(len(columns))]
     save_array(folder, f"{name}-book", np.stack(parts).astype(np.uint8))
     others = np.flatnonzero(~known)
@@ -110,22 +107,21 @@ class HashTable:
 
         ``route`` gives the hashes that decide the shards, where those are not the keys.
         """
-        wanted, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        home = shard_of((hashes if route is None else route)[first], len(self.sizes))
+        home = shard_of(hashes if route is None else route, len(self.sizes))
         order = np.argsort(home.astype(np.uint16), kind="stable")
         edges = np.searchsorted(home[order], np.arange(len(self.sizes) + 1))
-        place = np.full(len(wanted), -1, dtype=np.int64)
-        values = [np.zeros(len(wanted), dtype=np.int64) for _ in names]
+        place = np.full(len(hashes), -1, dtype=np.int64)
+        values = [np.zeros(len(hashes), dtype=np.int64) for _ in names]
         for number in np.flatnonzero(np.diff(edges)):
             if not self.sizes[number]:
                 continue
             part = order[edges[number] : edges[number + 1]]
-            at, hit = self._search(number, wanted[part])
+            at, hit = self._search(number, hashes[part])
             part, at = part[hit], at[hit]
             place[part] = at + self.starts[number]
             for column, value in zip(values, self._values(number, at, names), strict=True):
                 column[part] = value
-        return (place[back], *(column[back] for column in values))
+        return (place, *values)
 
     def at(self, places: np.ndarray, name: str) -> np.ndarray:
         """A value by place; 0 for places beyond the table."""
@@ -138,18 +134,26 @@ class HashTable:
 
     def _search(self, number: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each hash would stand in a shard, and whether it does."""
-        rows, starts = self._array(number, "rows"), self._array(number, "start")
-        lead, rest = _split(hashes * _FACTOR, _prefix_bits(self.sizes[number]))
+        starts, tops, tails = (self._array(number, n) for n in ("start", "top", "tail"))
+        lead, top, tail = _split(hashes * _FACTOR, _prefix_bits(self.sizes[number]))
         low, end = starts[lead].astype(np.int64), starts[lead + 1].astype(np.int64)
-        top, last = end.copy(), self.sizes[number] - 1
-        for _ in range(int((top - low).max(initial=0)).bit_length()):
-            middle = (low + top) >> 1
-            less = (low < top) & (_kept(rows[np.minimum(middle, last)]) < rest)
-            low, top = np.where(less, middle + 1, low), np.where(less, top, middle)
-        return low, (low < end) & (_kept(rows[np.minimum(low, last)]) == rest)
+        high, last = end, self.sizes[number] - 1
+        for _ in range(int((high - low).max(initial=0)).bit_length()):
+            middle = (low + high) >> 1
+            less = (low < high) & (tops[np.minimum(middle, last)] < top)
+            low, high = np.where(less, middle + 1, low), np.where(less, high, middle)
+        hit = (low < end) & (tops[np.minimum(low, last)] == top)
+        # Rows of one top are in the order of their tails; there is hardly ever more than one.
+        while True:
+            at = np.minimum(low, last)
+            before = hit & (tails[at] < tail)
+            if not before.any():
+                return low, hit & (tails[at] == tail)
+            low = low + before
+            hit &= (low < end) & (tops[np.minimum(low, last)] == top)
 
     def _values(self, number: int, at: np.ndarray, names) -> list[np.ndarray]:
-        code = self._array(number, "rows")["code"][at]
+        code = self._array(number, "code")[at]
         book, more = self._array(number, "book"), self._array(number, "more")
         escaped = code == ESCAPE
         exception = np.searchsorted(more[0], at[escaped])
@@ -163,8 +167,4 @@ class HashTable:
         return out
 
     def _array(self, number: int, name: str) -> np.ndarray:
-        return load_array(self.folder, f"{self.name}-{number}-{name}")
-
-
-def _kept(rows: np.ndarray) -> np.ndarray:
-    return (rows["high"].astype(np.uint64) << np.uint64(32)) | rows["low"]
+        return np.asarray(load_array(self.folder, f"{self.name}-{number}-{name}"))

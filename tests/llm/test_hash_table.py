@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from eventlake.llm import hash_table
 from eventlake.llm.hash_table import ESCAPE, HashTable, save_shard, save_values, shard_of
 
 
@@ -37,6 +38,16 @@ def test_values_by_place_and_more_combinations_than_codes(tmp_path):
     assert (table.at(np.arange(len(values)), "count") == values).all()
 
 
+def test_rows_that_agree_in_the_first_32_kept_bits(tmp_path):
+    spread = np.array([5 << 16, 5 << 16 | 1, 5 << 16 | 9, 6 << 16], dtype=np.uint64) << np.uint64(16)
+    inverse = np.uint64(pow(int(hash_table._FACTOR), -1, 1 << 64))
+    save_shard(str(tmp_path), "s", 0, spread * inverse, n=np.arange(1, 5))
+    table = HashTable(str(tmp_path), "s", [4], ["n"])
+    others = np.array([5 << 16 | 4, 5 << 16 | 10, 7 << 16], dtype=np.uint64) << np.uint64(16)
+    _, n = table.find(np.concatenate([spread, others]) * inverse, "n")
+    assert n.tolist() == [1, 2, 3, 4, 0, 0, 0]
+
+
 def test_empty_shard_and_too_many_values(tmp_path):
     save_shard(str(tmp_path), "e", 0, np.zeros(0, dtype=np.uint64), n=np.zeros(0, dtype=np.int64))
     table = HashTable(str(tmp_path), "e", [0], ["n"])
