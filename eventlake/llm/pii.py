@@ -9,10 +9,16 @@ Boosted trees are fitted on candidates of this corpus. Positives are the base sp
 them in place that the base patterns do not match: no plus sign, spelled-out @ and dots, other
 separators. Against them stand the proposed spans. Most of these are unlabelled; some are known to
 be wrong, as they fail their kind's check, stand in an identifier or behind a reference word, or lie
-on a base span of another kind. A threshold per kind is set on held-out documents to the wanted
-precision, of rewritten spans against wrong ones; unlabelled spans are no errors there. A proposed
-span above the threshold is added, unless it overlaps a base span. Without enough examples of both
-sorts nothing is added.
+on a base span of another kind. As such spans may be easy, others are made: plain numbers, amounts
+in groups of three and dates, put between two words of the running text, which mostly pass the
+check of a phone or a card, and addresses without a top level or of a wrong number of parts.
+
+A threshold per kind is set on held-out documents to the wanted precision: of rewritten spans
+against wrong and made ones and those unlabelled ones that are likely wrong. How many of these are
+is estimated from both sides: of a share p of right ones among them, as many should pass a threshold
+as of the rewritten ones, so p is at most the least ratio of the two over all thresholds, and what
+passes beyond that is an error. A proposed span above the threshold is added, unless it overlaps a
+base span. Without enough examples of both sorts nothing is added.
 
 The trees see about ``SAMPLE`` candidates, drawn by a hash of their document and place, of each kind
 and sort the same number as far as there are; the thresholds see all held-out ones. Trees become one SQL expression, so each document is searched, scored and reported within its row.
@@ -67,11 +73,11 @@ TOP_LEVEL = r"(?:\.| ?[(\[](?:dot|DOT)[)\]] ?)[A-Za-z-]{2,}$"
 FEATURES = (
     "is_email", "is_ip", "is_card", "is_phone", "chars", "digits", "groups", "longest_group",
     "first_digit", "dots", "separators", "near_word", "near_reference", "after_letter",
-    "before_letter", "distinct_digits", "passes_check",
+    "before_letter", "distinct_digits", "passes_check", "first_group", "last_group",
 )
 SAMPLE, LEAST_EXAMPLES, LEAST_HELD = 20_000, 50, 10
 # What a candidate of the fit is.
-IS_BASE, IS_REWRITTEN, IS_UNLABELLED, IS_WRONG = range(4)
+IS_BASE, IS_REWRITTEN, IS_UNLABELLED, IS_WRONG, IS_MADE = range(5)
 TREES, DEPTH = 10, 3
 PRECISION = 0.98
 DECIMALS = 3  # of margins, so that there are few different ones
@@ -83,11 +89,13 @@ _SPAN = "struct<kind:int,start:int,end:int,text:string>"
 class Model:
     """Boosted trees as (weight, tree); a tree is a number or (feature, threshold, left, right).
 
-    ``thresholds`` has the least margin of each kind, None where nothing is to be added.
+    ``thresholds`` has the least margin of each kind, None where nothing is to be added. ``held_out``
+    has what it keeps there: (recall of rewritten spans, precision by the estimate above).
     """
 
     trees: tuple = ()
     thresholds: tuple = (None,) * len(KINDS)
+    held_out: tuple = (None,) * len(KINDS)
 
 
 NO_MODEL = Model()
@@ -128,6 +136,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) ->
         IS_REWRITTEN: F.flatten(F.transform("base", _rewritten)),
         IS_UNLABELLED: _apart("new", "base"),
         IS_WRONG: _mistaken("new", "base"),
+        IS_MADE: F.flatten(F.transform("base", lambda s: _made_wrong(F.col("text"), s))),
     }
     labelled = F.concat(*[_of_sort(x, sort) for sort, x in sorts.items()])
     found = spans.select("doc_id", "text", F.explode(labelled).alias("x")).select(
@@ -163,16 +172,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) ->
         for weight, tree in zip(fitted.treeWeights, fitted.trees, strict=True)
     )
     # All held-out candidates, as counts by kind and rounded margin.
-    tested = candidates.where("held").where(F.col("sort").isin(IS_REWRITTEN, IS_WRONG))
+    tested = candidates.where("held").where(F.col("sort") != IS_BASE)
     margin = F.round(_margin(trees, F.col("f")), DECIMALS).alias("margin")
     counted = tested.groupBy("kind", margin).agg(
-        F.sum("label").alias("hits"), F.count(F.lit(1)).alias("all")
+        F.count_if(F.col("sort") == IS_REWRITTEN).alias("hits"),
+        F.count_if(F.col("sort").isin(IS_WRONG, IS_MADE)).alias("wrong"),
+        F.count_if(F.col("sort") == IS_UNLABELLED).alias("unlabelled"),
     )
     steps: list[list] = [[] for _ in KINDS]
     for r in counted.orderBy(F.desc("margin")).collect():  # few: margins are rounded
-        steps[r["kind"]].append((r["margin"], r["hits"], r["all"]))
-    thresholds = [_threshold(s, precision) for s in steps]
-    return Model(trees, tuple(thresholds))
+        steps[r["kind"]].append((r["margin"], r["hits"], r["wrong"], r["unlabelled"]))
+    thresholds, kept = zip(*[_threshold(s, precision) for s in steps], strict=True)
+    return Model(trees, thresholds, kept)
 
 
 def find_spans(docs: DataFrame, model: Model) -> DataFrame:
@@ -340,6 +351,71 @@ def _rewritten(span: Column) -> Column:
     )
 
 
+def _made_wrong(text: Column, span: Column) -> Column:
+    """Spans that the generators propose and that are no personal data, one set per base span.
+
+    Numbers have digits of a hash and stand at a hashed place of the text, between two words.
+    """
+    own = span["text"]
+    draw = F.xxhash64(own, span["start"], F.length(text))
+
+    def part(size: int, least: int, step: int) -> Column:
+        return (F.pmod(F.shiftright(draw, step), F.lit(size)) + least).cast("string")
+
+    def two(size: int, step: int) -> Column:
+        return F.lpad(part(size, 1, step), 2, "0")
+
+    year, month, day, hour = part(200, 1900, 3), two(12, 5), two(28, 7), two(23, 9)
+    digits = F.concat(part(9, 1, 11), F.lpad(part(10**17, 0, 1), 17, "0"))
+    run = F.substr(digits, F.lit(1), (F.pmod(draw, F.lit(6)) + 10).cast("int"))
+    # The sixteenth digit makes the number pass the check of a card.
+    fifteen = F.substr(digits, F.lit(1), F.lit(15))
+    rest = _luhn_total(F.concat(fifteen, F.lit("0"))) % 10
+    sixteen = F.concat(fifteen, F.pmod(10 - rest, F.lit(10)).cast("string"))
+
+    def in_threes(number: Column, separator: str) -> Column:
+        return F.regexp_replace(number, "(?<=[0-9])(?=(?:[0-9]{3})+$)", separator)
+
+    numbers = {
+        "phone": [
+            run,
+            F.concat(year, month, day, hour, two(59, 13), two(59, 15)),
+            in_threes(run, "."),
+            in_threes(run, " "),
+            F.concat_ws("-", year, month, F.concat_ws(" ", day, hour)),
+            F.concat_ws(".", day, month, F.concat_ws(" ", year, hour)),
+        ],
+        "card": [in_threes(sixteen, "."), in_threes(sixteen, "_")],
+    }
+    name, host = F.substring_index(own, "@", 1), F.substring_index(own, "@", -1)
+    label = F.substring_index(host, ".", 1)
+    addresses = {
+        "email": [F.concat(name, F.lit(x), label) for x in ("@", " (at) ", " [at] ")],
+        "ip": [
+            F.concat(F.replace(own, F.lit("."), F.lit("[.]")), F.lit("[.]"), part(200, 1, 3)),
+            F.concat(F.substring_index(own, ".", 3), F.lit("[.]"), part(700, 256, 3)),
+        ],
+    }
+    # The character before the number and the one after it are the blank found.
+    place = F.position(F.lit(" "), text, (F.pmod(draw, F.length(text)) + 1).cast("int"))
+
+    def made(kind: str, start: Column, end: Column, forms: list) -> Column:
+        proposed = F.filter(F.array(*forms), _matches(f"^(?:{GENERATORS[kind]})$"))
+        return F.transform(
+            proposed,
+            lambda t: F.struct(
+                F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), end.alias("end"), t.alias("text")
+            ),
+        ).cast(f"array<{_SPAN}>")
+
+    at_place = F.concat(*[made(k, place, F.greatest(place - 1, F.lit(0)), f) for k, f in numbers.items()])
+    own_kind = _none()
+    for kind, forms in addresses.items():
+        here = span["kind"] == KINDS.index(kind)
+        own_kind = F.when(here, made(kind, span["start"], span["end"], forms)).otherwise(own_kind)
+    return F.concat(at_place, own_kind)
+
+
 def _of_sort(spans: Column, sort: int) -> Column:
     return F.transform(spans, lambda s: F.struct(s.alias("s"), F.lit(sort).alias("sort")))
 
@@ -366,13 +442,16 @@ def _phone(text: Column) -> Column:
 
 def _card(text: Column) -> Column:
     digits = _digits(text)
+    return F.length(digits).between(14, 19) & (_luhn_total(digits) % 10 == 0)
+
+
+def _luhn_total(digits: Column) -> Column:
     # From the right every second digit is doubled, and 9 taken off above 9.
-    total = F.aggregate(
+    return F.aggregate(
         F.sequence(F.lit(1), F.length(digits)),
         F.lit(0),
         lambda done, i: done + _luhn(F.substr(digits, -i, F.lit(1)).cast("int"), i % 2 == 0),
     )
-    return F.length(digits).between(14, 19) & (total % 10 == 0)
 
 
 def _luhn(digit: Column, doubled: Column) -> Column:
@@ -420,6 +499,8 @@ def _features(text: Column, span: Column) -> Column:
         after.rlike("^[A-Za-z]"),
         F.size(F.array_distinct(F.split(digits, ""))),
         passes,
+        F.coalesce(F.length(F.get(groups, F.lit(0))), F.lit(0)),
+        F.coalesce(F.length(F.get(groups, F.size(groups) - 1)), F.lit(0)),
     ]
     return F.struct(*[v.cast("double").alias(n) for n, v in zip(FEATURES, values, strict=True)])
 
@@ -435,21 +516,39 @@ def _share(sizes: dict[tuple[int, int], int], sample: int) -> Column:
     return share
 
 
-def _threshold(steps: list, precision: float) -> float | None:
-    """From (margin, hits, all), best margin first: the last hit at which the precision so far holds.
+def _threshold(steps: list, precision: float) -> tuple:
+    """(threshold, (recall, precision)) from (margin, hits, wrong, unlabelled), best margin first.
 
-    No wrong span lies between it and the next wrong one below; the threshold is midway between
-    these two, or between it and the trees' own boundary, 0, if that comes first.
+    It is set for the last hit at which the precision so far holds. No wrong span lies between it
+    and the next wrong one below; the threshold is midway between these two, or between it and the
+    trees' own boundary, 0, if that comes first.
     """
-    hits = total = 0
-    last, below = None, 0.0
-    for margin, more, everything in steps:
-        hits, total = hits + more, total + everything
-        if more and hits >= LEAST_HELD and hits / total >= precision:
+    all_hits, all_unlabelled = sum(s[1] for s in steps), sum(s[3] for s in steps)
+    right = _right_share(steps, all_hits, all_unlabelled)
+    hits = wrong = open_ = 0
+    last, kept, below = None, None, 0.0
+    for margin, more, mistakes, unlabelled in steps:
+        hits, wrong, open_ = hits + more, wrong + mistakes, open_ + unlabelled
+        errors = wrong + max(0.0, open_ - right * all_unlabelled * hits / max(1, all_hits))
+        if more and hits >= LEAST_HELD and hits / (hits + errors) >= precision:
             last, below = margin, 0.0
-        elif last is not None and everything > more:
+            kept = hits / all_hits, hits / (hits + errors)
+        elif last is not None and mistakes + unlabelled:
             below = max(below, margin)
-    return last if last is None or last <= below else (last + below) / 2
+    return (last if last is None or last <= below else (last + below) / 2), kept
+
+
+def _right_share(steps: list, all_hits: int, all_unlabelled: int) -> float:
+    """The most that can be right of the unlabelled spans, by the share of hits and of them above.
+
+    Margins with fewer than LEAST_HELD hits above say nothing.
+    """
+    share, hits, open_ = 1.0, 0, 0
+    for _, more, _, unlabelled in steps:
+        hits, open_ = hits + more, open_ + unlabelled
+        if hits >= LEAST_HELD and all_unlabelled:
+            share = min(share, open_ / all_unlabelled * all_hits / hits)
+    return share
 
 
 def _tree(node):
