@@ -82,11 +82,16 @@ FROM turns GROUP BY conv_id
 
 ORACLES["op4_url_filter"] = rf"""
 WITH parts AS (
-  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3)
-                       ELSE '' END AS rest FROM pages),
+  SELECT page_id, coalesce(regexp_matches(url, '[?&](utm_[a-z]+|ref)='), FALSE) AS tracked,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3)
+              ELSE '' END AS rest FROM pages),
 hosts AS (
-  SELECT page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+  SELECT page_id, tracked, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+listed AS (
+  SELECT host FROM hosts WHERE host <> '' GROUP BY host
+  HAVING CAST(count(*) FILTER (WHERE tracked) AS DOUBLE) / count(*)
+       > (SELECT CAST(count(*) FILTER (WHERE tracked) AS DOUBLE) / count(*) FROM hosts)),
 rules (action, h, p) AS (VALUES
   ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
   ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
@@ -95,7 +100,7 @@ best AS (
   FROM hosts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
   GROUP BY page_id)
 SELECT page_id, host, path, rule,
-       coalesce(action, CASE WHEN regexp_matches(host, 'spam|pills|casino|porn|warez')
+       coalesce(action, CASE WHEN host IN (SELECT host FROM listed)
                              THEN 'block' ELSE 'allow' END) AS verdict
 FROM hosts LEFT JOIN best USING (page_id)
 """

@@ -16,7 +16,7 @@ from eventlake.llm.hard_negatives import mine_hard_negatives
 from eventlake.llm.imatch import edited_fingerprints
 from eventlake.llm.jaccard_join import jaccard_links
 from eventlake.llm.line_dedup import dedup_lines
-from eventlake.llm.shared import prepare
+from eventlake.llm.shared import prepare, stored
 
 # The public vocabulary of the query contracts; the operators take any path.
 VOCABULARY = "byte_bpe_50k.json"
@@ -87,16 +87,27 @@ URL_RULES = [
     Rule("block", "net", "/es/"),
     Rule("block", "net", "/fr/"),
 ]
-# Words that put a host on the block list of the query.
-JUNK_WORDS = "spam|pills|casino|porn|warez"
+# What a url has that is there to follow its visitors.
+TRACKING = r"[?&](utm_[a-z]+|ref)="
+
+
+def tracking_hosts(pages: DataFrame) -> DataFrame:
+    """(key) The hosts with tracking parameters in a larger share of their urls than all urls have."""
+    url = F.col("url")
+    tracked = F.count_if(url.rlike(TRACKING)).alias("tracked")
+    hosts = pages.groupBy(host_and_path(url)[0].alias("key")).agg(
+        tracked, F.count(F.lit(1)).alias("urls")
+    )
+    hosts = stored(hosts, "hosts")
+    total = hosts.agg(F.sum("tracked") / F.sum("urls")).first()[0]
+    above = F.col("tracked") / F.col("urls") > F.lit(total)
+    return hosts.where((F.col("key") != "") & above).select("key")
 
 
 @query
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    hosts = pages.select(host_and_path(F.col("url"))[0].alias("key"))
-    listed = hosts.where(F.col("key").rlike(JUNK_WORDS))
-    return judge_urls(pages, URL_RULES, listed).drop("url")
+    return judge_urls(pages, URL_RULES, tracking_hosts(pages)).drop("url")
 
 
 @query

@@ -2,7 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from eventlake.llm.bloom_cascade import Rule, build_cascade, judge_urls
+from eventlake.llm.bloom_cascade import (
+    BITS_PER_KEY,
+    Rule,
+    build_cascade,
+    judge_urls,
+    mark_listed,
+)
+from eventlake.llm.queries import tracking_hosts
 
 RULES = [
     Rule("allow", "com", "/"),
@@ -34,6 +41,52 @@ def test_empty_list_and_empty_universe(spark):
     assert some.where(everything.contains(F.col("key"))).count() == 2
 
 
+def test_many_listed_keys_in_one_cascade_and_in_shards(spark):
+    keys = spark.range(250_000).select(F.concat(F.lit("host"), "id", F.lit(".org")).alias("host"))
+    frame = keys.unionByName(spark.createDataFrame([(None,), ("",)], "host string"))
+    is_listed = F.coalesce(F.xxhash64("host") % 5 < 2, F.lit(False)) & (F.col("host") != "")
+    listed = keys.where(is_listed).select(F.col("host").alias("key"))
+    assert listed.count() > 100_000
+    for limit in (1 << 20, 40_000):  # bytes: one cascade, four shards
+        got = mark_listed(frame, "host", listed, "found", limit=limit)
+        assert got.count() == 250_002
+        wrong = got.where(F.coalesce(is_listed, F.lit(False)) != F.col("found"))
+        assert wrong.count() == 0
+        assert got.where("found IS NULL").count() == 0
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Python" not in plan
+        assert bool(got.inputFiles()) == (limit == 40_000)  # shards are read from the shared folder
+
+
+def test_filters_do_not_grow_with_the_keys_that_are_not_listed(spark):
+    universe = spark.range(300_000).select(F.concat(F.lit("key"), "id").alias("key"))
+    listed = universe.where("substr(key, 4) % 1000 = 0")
+    cascade = build_cascade(listed, universe)
+    assert universe.where(cascade.contains(F.col("key"))).count() == 300
+    # Few other keys pass the first level, so the next one is about as large as the list itself.
+    assert cascade.levels[1][0] < 2 * 300 * BITS_PER_KEY
+
+
+def test_hosts_listed_by_their_share_of_tracking_urls(spark):
+    urls = ["http://A.org/?ref=1", "http://a.org/x?y=1&utm_source=f", "http://a.org/", None]
+    urls += ["http://b.org/?href=1", "http://b.org/#&ref=", "x?ref=1", "http://c.org/?refer=1"]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r.key for r in tracking_hosts(pages).collect()} == {"a.org"} | {"b.org"}
+    assert tracking_hosts(pages.limit(0)).count() == 0
+
+
+def test_verdicts_do_not_depend_on_the_limit(spark):
+    pages = spark.range(3000).select(
+        F.col("id").alias("page_id"),
+        F.concat(F.lit("http://h"), F.col("id") % 700, F.lit(".org/en/")).alias("url"),
+    )
+    listed = spark.range(0, 700, 2).select(F.concat(F.lit("h"), "id", F.lit(".org")).alias("key"))
+    whole = judge_urls(pages, RULES, listed)
+    split = judge_urls(pages, RULES, listed, limit=100)
+    assert sorted(whole.collect()) == sorted(split.collect())
+    assert whole.where("verdict = 'block'").count() == whole.where("page_id % 700 % 2 = 0").count()
+
+
 URLS = {
     1: ("http://WWW.Example.COM/en/x?q=/y", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
     2: ("https://a.example.com/en/#top", "a.example.com", "/en/", "example.com/en/", "block"),
