@@ -71,7 +71,8 @@ def test_hosts_listed_by_their_share_of_tracking_urls(spark):
     urls = ["http://A.org/?ref=1", "http://a.org/x?y=1&utm_source=f", "http://a.org/", None]
     urls += ["http://b.org/?href=1", "http://b.org/#&ref=", "x?ref=1", "http://c.org/?refer=1"]
     pages = spark.createDataFrame([(u,) for u in urls], "url string")
-    assert {r.key for r in tracking_hosts(pages).collect()} == {"a.org"} | {"b.org"}
+    # Half of all urls are tracked: of a.org 2 in 3, of b.org 1 in 2, which is not more.
+    assert [r.key for r in tracking_hosts(pages).collect()] == ["a.org"]
     assert tracking_hosts(pages.limit(0)).count() == 0
 
 
