@@ -21,6 +21,8 @@ from eventlake.sources.table import APPEND_RUN, RUN_FORMAT, STAGING_DIR, LakeTab
 OLD_DIR = "_old"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 GROUP_BYTES = 1024**4
+# What a task takes of directories that become one file each; sorting needs several times as much.
+TASK_BYTES = 16 * 1024 * 1024
 SAFE_RETENTION_HOURS = 168
 # A staging directory that is not known to be anyone's work any more may be removed after that.
 ABANDONED_HOURS = 48
@@ -116,6 +118,9 @@ def compact(
     cluster column the table's own cluster columns are used. ``directories`` are the only ones
     looked at, if given.
 
+    A directory of less than two target sizes becomes one file. Such directories are never cut, and
+    a task takes ``TASK_BYTES`` of them or a single one; of larger ones it takes a file's worth.
+
     The files are dealt over groups of about ``group_bytes``, each a Spark job: several small
     directories, or a part of a large one. File names stay in a manifest that tasks write; the
     driver sees a row per group. A group reads the files of its manifest while others may append.
@@ -230,7 +235,8 @@ def _planned(
     """Deal the small files over groups: one row per group, and the totals.
 
     A directory of more than a group is cut by the running sum of its files; smaller ones share a
-    group by the running sum of directories, of which there is a row each.
+    group by the running sum of directories, of which there is a row each. Those that become one
+    file have groups of their own, with even numbers.
     """
     spark, inputs = table.spark, f"{table.path}/{plan}/{INPUTS}"
     small = _listing(table, directories).where(F.col("length") * 2 < target_bytes)
@@ -257,8 +263,9 @@ def _planned(
         "length",
         F.when(large, F.col("directory")).alias("only"),
         F.when(large, F.floor(F.col("before") / group_bytes))
-        .otherwise(F.col("shared"))
+        .otherwise(F.col("shared") * 2 + (F.col("bytes") >= 2 * target_bytes).cast("long"))
         .alias("part"),
+        F.col("bytes").alias("directory_bytes"),
     ).write.parquet(inputs)
     groups = (
         spark.read.parquet(inputs)
@@ -267,6 +274,7 @@ def _planned(
             F.count(F.lit(1)).alias("files"),
             F.sum("length").alias("bytes"),
             F.count_distinct("directory").alias("directories"),
+            F.max("directory_bytes").alias("largest"),
             F.min("directory").alias("first"),
             F.max("directory").alias("last"),
             F.min("name").alias("first_name"),
@@ -291,15 +299,18 @@ def _rewrite(
     staging = f"{table.path}/{STAGING_DIR}/{run}"
     cluster = [cluster_column] if cluster_column else table.cluster_columns
     order = [c for c in (table.partition_column, *cluster) if c]
-    # Rounded down: new files reach the target, so they are not small again.
-    tasks = max(1, group["bytes"] // target_file_bytes)
+    if table.partition_column and group["largest"] < 2 * target_file_bytes:
+        tasks, ranges = -(-group["bytes"] // TASK_BYTES), [table.partition_column]
+    else:
+        # Rounded down: new files reach the target, so they are not small again.
+        tasks, ranges = max(1, group["bytes"] // target_file_bytes), order
     manifest = {"plan": plan, "only": group["only"], "part": group["part"], "old": new_run()}
     inputs = _inputs(table, manifest)
     with Lease(Folder(spark, staging)) as at_work:
         directories = [d for d in table.directories() if group["first"] <= d <= group["last"]]
         writer = (
             _scan_inputs(table, directories, inputs, group, target_file_bytes)
-            .repartitionByRange(tasks, *order)
+            .repartitionByRange(tasks, *ranges)
             .sortWithinPartitions(*order)
             .write.mode("append")
             .option("mapreduce.output.basename", _file_prefix(run))

@@ -1,6 +1,7 @@
 """What upkeep looks at, and how it deals its work."""
 
 import json
+import re
 
 import pytest
 from helpers import DAY1, event, ids
@@ -232,3 +233,36 @@ def test_audit_record_reads_its_key_range(spark, tmp_path, monkeypatch):
     audit.record("q", 2, BatchCounts(), 1)
     (plan,) = scans
     assert "GreaterThanOrEqual(batchId,2), LessThanOrEqual(batchId,2)" in plan.replace("`", "")
+
+
+def test_small_directories_are_dealt_over_tasks_and_never_cut(spark, raw, events, monkeypatch):
+    """A file per date, from more than one task: a single one would sort the whole group."""
+    for batch in range(2):
+        touch(events, raw, batch, *range(6))
+    before = ids(events.scan())
+    monkeypatch.setattr(upkeep, "TASK_BYTES", sum(sized(events).values()) // 3)
+    compact(events, "eventId")
+    files = list(sized(events))
+    assert len(files) == len({directory for directory, _ in files}) == 6
+    tasks = {re.search(r"-(\d{5})-", name)[1] for _, name in files}
+    assert len(tasks) > 1
+    assert ids(events.scan()) == before
+
+
+def test_large_and_small_directories_are_merged_apart(raw, events, monkeypatch):
+    """A directory of several files' size is cut by keys, the others stay whole."""
+    for batch in range(8):
+        touch(events, raw, batch, *(1, 2, 3) if batch < 2 else (2,))
+    before, files = ids(events.scan()), sized(events)
+    target = int(2.5 * max(files.values()))
+    groups = []
+
+    def rewrite(*args, real=upkeep._rewrite):
+        groups.append((args[2]["directories"], args[2]["largest"] < 2 * target))
+        real(*args)
+
+    monkeypatch.setattr(upkeep, "_rewrite", rewrite)
+    done = compact(events, target_file_bytes=target)
+    assert sorted(groups) == [(1, False), (2, True)]
+    assert (done.partitions, done.files_before) == (3, 12)
+    assert ids(events.scan()) == before
