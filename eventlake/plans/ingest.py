@@ -26,6 +26,7 @@ from eventlake.plans.merge import (
     merge_insert,
     profile_columns,
     stored_keys,
+    text_columns,
 )
 from eventlake.plans.upkeep import writing
 from eventlake.schema import (
@@ -170,8 +171,10 @@ def merge_dead_letters(
 def _merge_letters(letters: DataFrame, table: LakeTable, broadcast_bytes: int) -> int:
     """Coordinates first: texts are read of the table only where a coordinate is there already,
     which a fresh batch has none of."""
-    (profile,) = _measure(letters, profile_columns(table, COORDINATES, F.lit(True), OFFSET_COLUMN))
-    profile = SourceProfile(**profile)
+    columns = profile_columns(
+        table, COORDINATES, F.lit(True), OFFSET_COLUMN, text_columns(letters)
+    )
+    profile = SourceProfile(**_measure(letters, columns)[0])
     if profile.rows == 0:
         return 0
     options = {"null_safe": True, "broadcast_bytes": broadcast_bytes}
@@ -182,7 +185,7 @@ def _merge_letters(letters: DataFrame, table: LakeTable, broadcast_bytes: int) -
     hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if hits.isEmpty():
-            table.append(letters, profile.rows, profile.dates)
+            table.append(letters, profile.rows, profile.dates, profile.text_bytes)
             return profile.rows
         small = profile.broadcast_size <= broadcast_bytes
         side = F.broadcast(hits) if small else hits
@@ -191,7 +194,7 @@ def _merge_letters(letters: DataFrame, table: LakeTable, broadcast_bytes: int) -
         fresh = keyed_join(letters, side, COORDINATES, "left_anti", null_safe=True)
         count = profile.rows - known.source_rows
         if count:
-            table.append(fresh, count)
+            table.append(fresh, count, text_bytes=profile.text_bytes)
         return count + known.inserted_rows
     finally:
         hits.unpersist()
@@ -236,7 +239,7 @@ def _profile(table: LakeTable, batch: DataFrame) -> tuple[SourceProfile, int, in
     copies = F.col(COPIES_COLUMN)
     profile, counts = _measure(
         batch,
-        profile_columns(table, [ID_COLUMN], has_id),
+        profile_columns(table, [ID_COLUMN], has_id, texts=text_columns(batch)),
         {
             "read": F.coalesce(F.sum(copies), F.lit(0)),
             "valid": F.coalesce(F.sum(F.when(has_id, copies)), F.lit(0)),

@@ -40,6 +40,8 @@ class SourceProfile:
     first_key: Any = None
     last_key: Any = None
     null_keys: int = 0
+    # Bytes of the rows' text.
+    text_bytes: int = 0
 
     @property
     def broadcast_size(self) -> int:
@@ -59,14 +61,18 @@ class MergeOutcome:
 
 
 def profile_columns(
-    table: LakeTable, keys: Sequence[str], rows: Column, range_key: str | None = None
+    table: LakeTable,
+    keys: Sequence[str],
+    rows: Column,
+    range_key: str | None = None,
+    texts: Sequence[str] = (),
 ) -> dict[str, Column]:
-    """Aggregates over the given ``rows`` of a frame that fill a :class:`SourceProfile`."""
+    """Aggregates over the given ``rows`` of a frame that fill a :class:`SourceProfile`.
+
+    ``texts`` are the columns that may be long (see :func:`text_columns`).
+    """
     range_key = range_key or keys[0]
-    size = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys],
-    )
+    size = _bytes_of(keys)
     columns = {
         "rows": F.count_if(rows),
         "key_bytes": F.coalesce(F.sum(F.when(rows, size)), F.lit(0)),
@@ -74,6 +80,8 @@ def profile_columns(
         "last_key": F.max(F.when(rows, F.col(range_key))),
         "null_keys": F.count_if(rows & F.col(range_key).isNull()),
     }
+    if texts:
+        columns["text_bytes"] = F.coalesce(F.sum(F.when(rows, _bytes_of(texts))), F.lit(0))
     if table.partition_column:
         # As text: a date past the year 9999 has no Python value.
         date = F.when(rows, F.col(table.partition_column))
@@ -87,6 +95,24 @@ def profile_columns(
     return columns
 
 
+def text_columns(frame: DataFrame) -> list[str]:
+    return [name for name, kind in frame.dtypes if kind in ("string", "binary")]
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _bytes_of(columns: Sequence[str]) -> Column:
+    return reduce(
+        lambda a, b: a + b,
+        [
+            F.coalesce(F.octet_length(_column(c).cast("string")), F.lit(0)).cast("long")
+            for c in columns
+        ],
+    )
+
+
 @leased
 def merge_insert(
     table: LakeTable,
@@ -127,7 +153,7 @@ def merge_insert(
             return MergeOutcome(0, 0, 0)
         target, window = _match_side(table, profile, scope)
         if target is None:
-            table.append(source, profile.rows, profile.dates)
+            table.append(source, profile.rows, profile.dates, profile.text_bytes)
             return MergeOutcome(profile.rows, 0, profile.rows, window)
         target = _within_key_range(target, range_key, profile, null_safe)
 
@@ -146,7 +172,7 @@ def merge_insert(
                     fresh = keyed_join(
                         source, F.broadcast(hits) if small else hits, keys, "left_anti", null_safe
                     )
-                table.append(fresh, inserted, profile.dates)
+                table.append(fresh, inserted, profile.dates, profile.text_bytes)
         finally:
             hits.unpersist()
         return MergeOutcome(profile.rows, matched, inserted, window, opened)
@@ -158,7 +184,7 @@ def merge_insert(
 def _measure(
     table: LakeTable, source: DataFrame, keys: Sequence[str], range_key: str
 ) -> SourceProfile:
-    columns = profile_columns(table, keys, F.lit(True), range_key)
+    columns = profile_columns(table, keys, F.lit(True), range_key, text_columns(source))
     row = source.agg(*[c.alias(n) for n, c in columns.items()]).first()
     repeated = source.groupBy(*keys).count().where("count > 1")
     if not repeated.isEmpty():

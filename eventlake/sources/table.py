@@ -41,6 +41,8 @@ RUN_FORMAT = "%Y%m%dT%H%M%S%fZ"
 # The directory name Spark gives to rows whose partition value is null.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 ROWS_PER_FILE = 500_000
+# Text of the rows of a task, where they are long.
+TEXT_BYTES_PER_FILE = 128 * 1024 * 1024
 DATES_PER_TASK = 8
 
 
@@ -176,11 +178,11 @@ class LakeTable:
 
     # -- writing --------------------------------------------------------------------------
 
-    def append(self, rows: DataFrame, count: int, dates: int = 1) -> None:
-        """Append ``count`` rows that lie in ``dates`` partitions.
+    def append(self, rows: DataFrame, count: int, dates: int = 1, text_bytes: int = 0) -> None:
+        """Append ``count`` rows that lie in ``dates`` partitions and hold ``text_bytes`` of text.
 
         Rows are range-partitioned by (partition column, cluster columns): a task gets about
-        ``rows_per_file`` rows, so a date that holds most of the batch is split over many tasks,
+        ``rows_per_file`` rows, fewer if they are long, so a date that holds most of the batch is split over many tasks,
         while small dates share one, and every file covers a narrow range of the cluster key.
         """
         with self.lease:
@@ -190,7 +192,10 @@ class LakeTable:
             order = [c for c in (self.partition_column, *self.cluster_columns) if c]
             if order:
                 tasks = max(
-                    math.ceil(count / self.rows_per_file), math.ceil(dates / DATES_PER_TASK), 1
+                    math.ceil(count / self.rows_per_file),
+                    math.ceil(dates / DATES_PER_TASK),
+                    math.ceil(text_bytes / TEXT_BYTES_PER_FILE),
+                    1,
                 )
                 aligned = aligned.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
             writer = aligned.write

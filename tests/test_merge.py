@@ -13,6 +13,7 @@ from eventlake.plans.merge import MergeOutcome
 from eventlake.schema import EVENT_SCHEMA
 from eventlake.settings import MergeSettings
 from eventlake.sources import SchemaConflict
+from eventlake.sources import table as table_module
 
 TABLE_SCOPE = MergeSettings(scope="table")
 SHUFFLED = MergeSettings(broadcast_bytes=0)
@@ -322,3 +323,13 @@ def test_too_many_keys_are_not_filtered(spark):
     with session.runtime_key_filter(spark, 5):
         assert spark.conf.get(name) == "0"
     assert spark.conf.get(name) == before
+
+
+def test_long_rows_are_written_by_more_tasks(raw, dead, monkeypatch):
+    """Their number alone would send whole documents to one task."""
+    monkeypatch.setattr(table_module, "TEXT_BYTES_PER_FILE", 1_000)
+    letters = dead_letters(raw([("x" * 500 + str(i), 0, i) for i in range(12)]))
+    assert merge_dead_letters(letters, dead) == 12
+    assert len(dead.scan().inputFiles()) > 3
+    assert merge_dead_letters(letters, dead) == 0
+    assert dead.scan().count() == 12
