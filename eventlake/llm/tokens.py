@@ -12,7 +12,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+# Arrays of a chunk take some hundred bytes a byte of text, in every Python worker.
+CHUNK_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _NGRAM = np.uint64(0xD6E8FEB86659FD93)

@@ -1,6 +1,7 @@
 """Fusion against a plain version, accuracy on held-out documents, and odd rows."""
 
 import math
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -149,3 +150,14 @@ def test_registered_query(spark):
     accepted = [r for r in rows if r["accepted"]]
     assert len(accepted) >= 0.9 * pages
     assert all(r["language"] and 0.5 <= r["confidence"] <= 1 for r in accepted)
+
+
+def test_arrays_of_a_chunk_are_bounded():
+    """Several workers of an executor hold them at once."""
+    texts = [b"some words of a text " * 5_000] * 40
+    tracemalloc.start()
+    for a, b in lid.chunks(texts):
+        lid._trigrams(texts[a:b])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 80e6
