@@ -44,6 +44,8 @@ from eventlake.llm.tokens import WHITE, Texts, as_bytes, chunks
 BLOCK_BYTES = 8 << 20
 # Text bytes a part of the word table stands for.
 PART_BYTES = 24 << 20
+# Texts and bytes of them that the library encodes in one call: its results take a multiple of them.
+CALL_TEXTS, CALL_BYTES = 4_096, 256 << 10
 # Bytes that stand for themselves in the pieces of byte-level vocabularies.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
@@ -75,6 +77,17 @@ def pieces(path: str) -> list[bytes]:
     return table
 
 
+def encode_ids(library, texts: list[str]) -> Iterator[np.ndarray]:
+    """The ids of each text, by calls of a bounded size."""
+    start, size = 0, 0
+    for i, text in enumerate(texts, start=1):
+        size += len(text)
+        if size >= CALL_BYTES or i - start == CALL_TEXTS or i == len(texts):
+            for result in library.encode_batch_fast(texts[start:i], add_special_tokens=False):
+                yield np.array(result.ids, dtype=np.int32)
+            start, size = i, 0
+
+
 def word_edges(data: np.ndarray) -> np.ndarray:
     """Places in the bytes of a text, or of joined texts, where a word may begin.
 
@@ -240,9 +253,9 @@ def _by_words(
             joined = zstandard.decompress(row["words"])
             words = [joined[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
             todo = [w for w in dict.fromkeys(words) if w not in known]
-            results = library.encode_batch_fast([w.decode() for w in todo], add_special_tokens=False)
-            for word, result in zip(todo, results, strict=True):
-                known[word] = np.array(result.ids, dtype=np.int32).tobytes()
+            results = encode_ids(library, [w.decode() for w in todo])
+            for word, found in zip(todo, results, strict=True):
+                known[word] = found.tobytes()
             ids = [known[w] for w in words]
             yield pa.record_batch(
                 {

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.bpe import pieces, tokenizer
+from eventlake.llm.bpe import encode_ids, pieces, tokenizer
 from eventlake.llm.shared import prepare
 
 LOSS_ROLE = "assistant"
@@ -74,6 +74,7 @@ def format_conversations(
     ``rows`` has conv_id, turn, role and text; ``path`` is a byte-level BPE vocabulary.
     """
     prepare(rows.sparkSession)
+    first_id = tokenizer(path).get_vocab_size()  # here, so that assembling tasks load none
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,24 +82,26 @@ def format_conversations(
             for name in ("role", "text"):
                 whole = [template.escape(x or "") for x in batch[name].to_pylist()]
                 columns[name] = pa.array(whole, pa.string())
-                columns[f"{name}_ids"] = pa.array(_ids(whole, path), pa.list_(pa.int32()))
+                columns[f"{name}_ids"] = _ids(whole, path)
             yield pa.record_batch(
                 {"conv_id": batch["conv_id"], "turn": batch["turn"], **columns}
             )
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first_id = tokenizer(path).get_vocab_size()
         begin, role, text, turn_end, end = range(first_id, first_id + 5)
         escaped_loss_role = template.escape(LOSS_ROLE)
         for batch in batches:
             out = []
-            for turns in batch["turns"].to_pylist():
+            for turns in batch["turns"]:
                 segments, formatted, spans = [[begin]], [template.begin], []
-                for t in turns:
-                    if t["role"] == escaped_loss_role:
+                fields = turns.values
+                role_ids, text_ids = (_lists(fields.field(f"{x}_ids")) for x in ("role", "text"))
+                roles, texts = (fields.field(x).to_pylist() for x in ("role", "text"))
+                for own in zip(roles, role_ids, texts, text_ids, strict=True):
+                    if own[0] == escaped_loss_role:
                         spans.append(len(segments) + 3)
-                    segments += [[role], t["role_ids"], [text], t["text_ids"], [turn_end]]
-                    formatted += [template.role, t["role"], template.text, t["text"]]
+                    segments += [[role], own[1], [text], own[3], [turn_end]]
+                    formatted += [template.role, own[0], template.text, own[2]]
                     formatted.append(template.turn_end)
                 segments.append([end])
                 formatted.append(template.end)
@@ -108,7 +111,7 @@ def format_conversations(
                 np.add.at(step, starts[np.array(spans, dtype=int) + 1], -1)
                 out.append(
                     {
-                        "n_turns": len(turns),
+                        "n_turns": len(fields),
                         "formatted": "".join(formatted),
                         "input_ids": np.concatenate(segments).astype(np.int32),
                         "loss_mask": np.cumsum(step)[:-1].astype(bool),
@@ -139,15 +142,16 @@ def format_conversations(
 def read_back(formatted: DataFrame, path: str, template: Template = Template()) -> DataFrame:
     """(conv_id, roles, texts, loss_text, formatted_chars), read off the ids and the mask alone."""
     prepare(formatted.sparkSession)
+    # Sent, so that a task holds the pieces and not the tokenizer.
+    shared = formatted.sparkSession.sparkContext.broadcast(pieces(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pieces(path)
+        table = shared.value
         role, text, turn_end = (len(table) + i for i in (1, 2, 3))
         for batch in batches:
             roles, texts, losses = [], [], []
-            ids_column, mask_column = batch["input_ids"].to_pylist(), batch["loss_mask"].to_pylist()
+            ids_column, mask_column = _lists(batch["input_ids"]), _lists(batch["loss_mask"])
             for ids, mask in zip(ids_column, mask_column, strict=True):
-                ids, mask = np.array(ids, dtype=np.int64), np.array(mask, dtype=bool)
                 at = [np.flatnonzero(ids == c) for c in (role, text, turn_end)]
                 own_roles, own_texts = (
                     [
@@ -191,13 +195,22 @@ _FORMATTED = pa.schema(
 )
 
 
-def _ids(texts: list[str], path: str) -> list[list[int]]:
+def _ids(texts: list[str], path: str) -> pa.ListArray:
     library = tokenizer(path)
     library.encode_special_tokens = True  # their strings in a text are ordinary text
     try:
-        return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = list(encode_ids(library, texts))
     finally:
         library.encode_special_tokens = False
+    edges = np.cumsum([0, *map(len, ids)])
+    flat = np.concatenate([np.zeros(0, dtype=np.int32), *ids])
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat))
+
+
+def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The rows of a list column without nulls as numpy arrays, made one at a time."""
+    for row in column:
+        yield row.values.to_numpy(zero_copy_only=False)
 
 
 def _decoded(ids: np.ndarray, table: list[bytes]) -> str:

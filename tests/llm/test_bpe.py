@@ -109,3 +109,22 @@ def test_registered_query(spark):
     rows = QUERIES["op10_bpe_round_trip"](spark, str(DATA)).collect()
     assert len(rows) == len(docs)
     assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows} == want
+
+
+def test_calls_of_the_library_are_bounded(monkeypatch):
+    """Its results take many times the memory of the ids."""
+    calls = []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return LIBRARY.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(bpe, "CALL_TEXTS", 100)
+    monkeypatch.setattr(bpe, "CALL_BYTES", 1_000)
+    texts = ["a b", ""] * 150 + ["x " * 3_000, "end"]
+    found = [ids.tolist() for ids in bpe.encode_ids(Spy(), texts)]
+    whole = LIBRARY.encode_batch_fast(texts, add_special_tokens=False)
+    assert found == [e.ids for e in whole]
+    assert sum(calls) == len(texts) and max(calls) <= 100
+    assert list(bpe.encode_ids(Spy(), [])) == []

@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.classic.dataframe import DataFrame as Classic
 
 from eventlake.llm.bpe import pieces
 from eventlake.llm.chat_format import Template, format_conversations, read_back
@@ -76,3 +77,24 @@ def test_turns_and_loss_are_read_back(spark):
 def test_empty_table(spark):
     made, read = frames(spark, [])
     assert made.count() == 0 and read.count() == 0
+
+
+def test_assembling_and_reading_back_load_no_tokenizer(spark, monkeypatch):
+    """Their workers run beside those that encode, so each would hold one of its own."""
+    rows = spark.createDataFrame(
+        [(1, 0, "user", "hello"), (1, 1, "assistant", "hi")],
+        "conv_id long, turn long, role string, text string",
+    )
+    steps = {}
+
+    def keep(self, function, *args, real=Classic.mapInArrow, **options):
+        steps[function.__name__] = function
+        return real(self, function, *args, **options)
+
+    monkeypatch.setattr(Classic, "mapInArrow", keep)
+    formatted = format_conversations(rows, PATH)
+    read = read_back(formatted, PATH)
+    assert read.first().loss_text == "hi"
+    for name in ("assemble", "run"):
+        used = steps[name].__code__.co_names + steps[name].__code__.co_freevars
+        assert not {"tokenizer", "pieces", "path"} & set(used)
