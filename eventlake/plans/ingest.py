@@ -115,8 +115,10 @@ def _land(
 ) -> BatchCounts:
     records = parse_records(raw, payload)
     if dead is not None:
-        # Both branches read the parsed records, so the source is read and parsed once.
-        records = records.persist(StorageLevel.MEMORY_AND_DISK)
+        # Both branches read the parsed records, so the source is read and parsed once. Only
+        # dead letters need the text itself, so that of the events is not kept.
+        text = F.when(F.col(ID_COLUMN).isNull(), F.col(RAW_COLUMN))
+        records = records.withColumn(RAW_COLUMN, text).persist(StorageLevel.MEMORY_AND_DISK)
     groups = collapse_by_id(records.drop(RAW_COLUMN))
     batch = add_event_columns(groups).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -462,9 +462,13 @@ class _Stream:
             }
         )
         rows = feeds.clickstream_rows(spark, sf_dir)
-        for wave in (feeds.originals(rows), feeds.resends(rows)):
-            files = wave.repartitionByRange("offset").write.mode("append")
-            # The width follows the data: adaptive execution, and a bound on a file's rows.
+        # Dealt out before records are made of them: the ranges are found by a pass of their own.
+        # Offsets grow with the event id. A batch gets a file for every core, of either wave.
+        width = max(1, BATCHES * spark.sparkContext.defaultParallelism // 2)
+        dealt = rows.repartitionByRange(width, "event_id")
+        for wave in (feeds.originals(dealt), feeds.resends(dealt)):
+            files = wave.write.mode("append")
+            # Beyond that the width follows the data, by a bound on a file's rows.
             files.option("maxRecordsPerFile", RECORDS_PER_FILE).parquet(f"{self.base}/raw")
 
     def run(self) -> None:

@@ -2,12 +2,14 @@
 
 import pytest
 from helpers import DAY1, event, ids
+from pyspark.sql.classic.dataframe import DataFrame as Classic
 
-from eventlake.plans import BatchCounts, ingest
+from eventlake.plans import BatchCounts, ingest, land_batch
 from eventlake.schema import DATE_COLUMN, EVENT_SCHEMA
 from eventlake.settings import Settings
 from eventlake.sources import Folder, LakeTable, raw_file_stream
 from eventlake.streaming import AuditLog, ClickstreamIngest, ProgressGauges, audit_totals
+from eventlake.workloads import feeds, queries
 
 
 class Lake:
@@ -222,3 +224,48 @@ def test_source_that_cannot_start_reports_its_own_error(lake, spark):
     """Without the Kafka connector the error is Spark's, and stopping does not hide it."""
     with pytest.raises(Exception, match="kafka"):
         ClickstreamIngest(spark, lake.settings).run()
+
+
+def test_the_feed_is_dealt_out_before_records_are_made(spark, tmp_path, monkeypatch):
+    """Ranges are found by a pass over the rows, which should not make every record."""
+    rows = spark.range(20).selectExpr(
+        "id AS event_id",
+        "timestamp_ntz'2024-01-01 13:00:00' AS ts",
+        "id % 5 AS user_id",
+        "element_at(array('view', 'purchase', 'error'), cast(id % 3 + 1 AS int)) AS event_type",
+        "1.0D AS value",
+        "'{\"k\": 1}' AS props",
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    dealt = []
+
+    def deal(self, *args, real=Classic.repartitionByRange):
+        dealt.append(self.columns)
+        return real(self, *args)
+
+    monkeypatch.setattr(Classic, "repartitionByRange", deal)
+    stream = queries._Stream(spark, str(tmp_path), "dealt")
+    assert dealt and not any("offset" in columns for columns in dealt)
+    written = spark.read.parquet(f"{stream.base}/raw")
+    # Not fewer than cores in each batch, as far as there are rows for them.
+    assert len(written.inputFiles()) > 8
+    wanted = feeds.raw_clickstream(feeds.clickstream_rows(spark, str(tmp_path)))
+    assert sorted(map(tuple, written.collect()), key=repr) == sorted(
+        map(tuple, wanted.collect()), key=repr
+    )
+
+
+def test_only_the_text_of_dead_letters_is_kept(raw, events, dead, monkeypatch):
+    kept = []
+
+    def select(records, real=ingest.select_dead_letters):
+        kept.extend(r["rawValue"] for r in records.collect())
+        return real(records)
+
+    monkeypatch.setattr(ingest, "select_dead_letters", select)
+    land_batch(raw([event("a"), "bad", event("b"), None]), events, dead)
+    assert sorted(kept, key=repr) == ["bad", None, None, None]
+    assert sorted(r["errorReason"] for r in dead.scan().collect()) == [
+        "null value",
+        "unparseable or missing eventId",
+    ]
