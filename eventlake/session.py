@@ -135,7 +135,8 @@ def sized_shuffles(
 
     The width a session starts with knows its cores and not its data.
     """
-    now = [spark.conf.get(name, None) for name in WIDTHS]
+    # Spark's own default holds for the first where the session leaves it unset; the second has none.
+    now = [spark.conf.get(WIDTHS[0]), spark.conf.get(WIDTHS[1], None)]
     width = max([-(-size // bytes_per_task), *(int(w) for w in now if w)])
     with settings(spark, dict.fromkeys(WIDTHS, width)):
         yield width

@@ -315,6 +315,23 @@ def test_shuffled_match_filters_the_table_by_the_batch(spark, raw, events, monke
     assert "might_contain" not in plans[1]  # a broadcast match needs none
 
 
+def test_shuffled_merge_into_an_empty_table_with_sparks_own_width(spark, raw, events):
+    width = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(width)
+    spark.conf.unset(width)  # as in a session that leaves Spark's default
+    try:
+        default = int(spark.conf.get(width))
+        with session.sized_shuffles(spark, 0) as now:
+            assert now == default and spark.conf.get(width) == str(default)
+        settings = MergeSettings(scope="table", broadcast_bytes=0)
+        for inserted in (2, 0):
+            counts = land_batch(raw([event("e1"), event("e2", DAY2)]), events, merge=settings)
+            assert counts.rowsInserted == inserted
+    finally:
+        spark.conf.set(width, before)
+    assert ids(events.scan()) == ["e1", "e2"]
+
+
 def test_too_many_keys_are_not_filtered(spark):
     name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
     before = spark.conf.get(name)
