@@ -109,15 +109,16 @@ class HashTable:
         """
         home = shard_of(hashes if route is None else route, len(self.sizes))
         order = np.argsort(home.astype(np.uint16), kind="stable")
-        edges = np.searchsorted(home[order], np.arange(len(self.sizes) + 1))
+        rows = np.bincount(home, minlength=len(self.sizes))
+        edges = np.concatenate(([0], np.cumsum(rows)))
+        hashes = hashes[order]
         place = np.full(len(hashes), -1, dtype=np.int64)
         values = [np.zeros(len(hashes), dtype=np.int64) for _ in names]
-        for number in np.flatnonzero(np.diff(edges)):
+        for number in np.flatnonzero(rows):
             if not self.sizes[number]:
                 continue
-            part = order[edges[number] : edges[number + 1]]
-            at, hit = self._search(number, hashes[part])
-            part, at = part[hit], at[hit]
+            hit, at = self._search(number, hashes[edges[number] : edges[number + 1]])
+            part = order[edges[number] + hit]
             place[part] = at + self.starts[number]
             for column, value in zip(values, self._values(number, at, names), strict=True):
                 column[part] = value
@@ -133,35 +134,44 @@ class HashTable:
         return found
 
     def _search(self, number: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each hash would stand in a shard, and whether it does."""
+        """Which of the hashes a shard has, and where they stand in it."""
         starts, tops, tails = (self._array(number, n) for n in ("start", "top", "tail"))
         lead, top, tail = _split(hashes * _FACTOR, _prefix_bits(self.sizes[number]))
-        low, end = starts[lead].astype(np.int64), starts[lead + 1].astype(np.int64)
-        high, last = end, self.sizes[number] - 1
-        for _ in range(int((high - low).max(initial=0)).bit_length()):
-            middle = (low + high) >> 1
-            less = (low < high) & (tops[np.minimum(middle, last)] < top)
-            low, high = np.where(less, middle + 1, low), np.where(less, high, middle)
-        hit = (low < end) & (tops[np.minimum(low, last)] == top)
+        low, end = starts.take(lead).astype(np.int64), starts.take(lead + 1).astype(np.int64)
+        step = (1 << int((end - low).max(initial=0)).bit_length()) >> 1
+        while step:
+            # Places beyond the last are cut off by ``end``.
+            less = tops.take(low + (step - 1), mode="clip") < top
+            less &= low + step <= end
+            low = low + less * step
+            step >>= 1
+        row = np.flatnonzero(low < end)
+        row = row[tops.take(low[row]) == top[row]]
         # Rows of one top are in the order of their tails; there is hardly ever more than one.
         while True:
-            at = np.minimum(low, last)
-            before = hit & (tails[at] < tail)
+            at = low[row]
+            found = tails.take(at)
+            before = found < tail[row]
             if not before.any():
-                return low, hit & (tails[at] == tail)
-            low = low + before
-            hit &= (low < end) & (tops[np.minimum(low, last)] == top)
+                same = found == tail[row]
+                return row[same], at[same]
+            low[row] += before
+            row = row[low[row] < end[row]]
+            row = row[tops.take(low[row]) == top[row]]
 
     def _values(self, number: int, at: np.ndarray, names) -> list[np.ndarray]:
-        code = self._array(number, "code")[at]
+        code = self._array(number, "code").take(at)
         book, more = self._array(number, "book"), self._array(number, "more")
-        escaped = code == ESCAPE
-        exception = np.searchsorted(more[0], at[escaped])
+        escaped = np.flatnonzero(code == ESCAPE)
+        # In the type of the list, which is not copied then.
+        exception = np.searchsorted(more[0], at[escaped].astype(more.dtype))
         out = []
         for name in names:
             i = self.value_names.index(name)
-            value = np.zeros(len(at), dtype=np.int64)
-            value[~escaped] = book[i][code[~escaped]]
+            if book.shape[1]:
+                value = book[i].take(code, mode="clip").astype(np.int64)
+            else:
+                value = np.zeros(len(at), dtype=np.int64)
             value[escaped] = more[i + 1][exception]
             out.append(value)
         return out

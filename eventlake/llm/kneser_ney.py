@@ -194,8 +194,10 @@ def _sequences(texts: list[bytes], vocabulary: HashTable, order: int) -> tuple[n
     """
     words, counts = Texts(texts).words(NOT_WHITE)
     start, unknown = len(vocabulary), len(vocabulary) + 1
-    place, n = vocabulary.find(np.append(words, END), "count")
+    distinct, which = np.unique(np.append(words, END), return_inverse=True)
+    place, n = vocabulary.find(distinct, "count")
     place[place < 0] = unknown
+    place, n = place[which], n[which]
     width = counts + order
     first = np.cumsum(width) - width
     ids = np.full(int(width.sum()), start, dtype=_number_type(unknown))
@@ -370,17 +372,45 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
 
 def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams (columns) in the order of their words, and their summed counts."""
-    if len(grams) == 1:
-        order = np.argsort(grams[0], kind="stable")
-    elif len(grams) == 2 and grams.itemsize == 4:
-        order = np.argsort((grams[0].astype(np.uint64) << np.uint64(32)) | grams[1])
+    key = _ordered_keys(grams)
+    order = np.argsort(key) if key is not None else np.lexsort(grams[::-1])
+    new = np.ones(len(order), dtype=bool)
+    if key is not None:
+        key = key[order]
+        new[1:] = key[1:] != key[:-1]
     else:
-        order = np.lexsort(grams[::-1])
-    grams, counts = grams[:, order], counts[order]
-    new = np.ones(grams.shape[1], dtype=bool)
-    new[1:] = (grams[:, 1:] != grams[:, :-1]).any(axis=0)
+        new[1:] = (grams[:, order[1:]] != grams[:, order[:-1]]).any(axis=0)
     edges = np.flatnonzero(new)
-    return grams[:, edges], np.add.reduceat(counts, edges) if len(edges) else counts
+    counts = counts[order]
+    return grams[:, order[edges]], np.add.reduceat(counts, edges) if len(edges) else counts
+
+
+def _ordered_keys(grams: np.ndarray) -> np.ndarray | None:
+    """One number for each n-gram, in the order of its words; None if they are too many for it.
+
+    Where the words' bits do not fit, the ranks of the words before take the place of these.
+    """
+    key = grams[0].astype(np.uint64)
+    if len(grams) == 1:
+        return key
+    bits = int(grams.max(initial=0)).bit_length()
+    if bits > 32 or len(key) > LARGEST_SHORT:
+        return None
+    used = bits
+    for row in grams[1:]:
+        if used + bits > 64:
+            key, used = _ranks(key), len(key).bit_length()
+        key = (key << np.uint64(bits)) | row.astype(np.uint64)
+        used += bits
+    return key
+
+
+def _ranks(key: np.ndarray) -> np.ndarray:
+    order = np.argsort(key)
+    rank = np.empty(len(key), dtype=np.uint64)
+    ordered = key[order]
+    rank[order] = np.cumsum(np.diff(ordered, prepend=ordered[:1]) != 0)
+    return rank
 
 
 class _Grams:
@@ -427,7 +457,10 @@ def _scored(texts: list[bytes], model: Model) -> tuple[np.ndarray, ...]:
         else:
             context = _context_hash(grams)
             _, count = level.table.find(_row_hash(grams), "count", route=context)
-            _, total, *seen_few = level.contexts.find(context, "total", "one", "two", "more")
+            # A context of one word comes many times in a chunk.
+            distinct, which = np.unique(context, return_inverse=True) if k == 2 else (context, ...)
+            _, *sums = level.contexts.find(distinct, "total", "one", "two", "more")
+            total, *seen_few = (s[which] for s in sums)
         chance = _interpolated(level.discounts, count, total, seen_few, chance)
     score_sum = np.add.reduceat(np.log10(chance), first)
     known = np.add.reduceat((seen > 0).astype(np.int64), first)

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from eventlake.llm import kneser_ney
+from eventlake.llm.hash_table import HashTable
 from eventlake.llm.queries import QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
@@ -179,3 +180,35 @@ def test_wide_word_numbers_are_summed_and_packed_alike():
         for columns in (short[0], wide[0]):
             back = kneser_ney._unpack(kneser_ney._pack(columns)).reshape(k, -1)
             assert back.dtype == columns.dtype and (back == columns).all()
+
+
+@pytest.mark.parametrize("bits", [5, 22, 32, 40])
+def test_ngrams_are_summed_in_the_order_of_their_words(bits):
+    rng = np.random.default_rng(bits)
+    words = rng.integers(0, 1 << bits, 6, dtype=np.uint64)
+    words[0] = (1 << bits) - 1
+    grams = words[rng.integers(0, 6, (3, 400))].astype(kneser_ney._number_type(int(words[0])))
+    counts = rng.integers(1, 9, 400)
+    plain = Counter()
+    for gram, n in zip(grams.T.tolist(), counts.tolist(), strict=True):
+        plain[tuple(gram)] += n
+    summed, sums = kneser_ney._summed(grams, counts)
+    assert [tuple(g) for g in summed.T.tolist()] == sorted(plain)
+    assert sums.tolist() == [plain[g] for g in sorted(plain)]
+    assert summed.dtype == grams.dtype
+
+
+def test_repeated_words_and_their_contexts_are_looked_up_once(documents, monkeypatch):
+    docs = documents([(1, "a b a b c")])
+    model = kneser_ney.train(docs)
+    looked_up = Counter()
+    find = HashTable.find
+
+    def counted(self, hashes, *names, **options):
+        looked_up[self.name] += len(hashes)
+        return find(self, hashes, *names, **options)
+
+    monkeypatch.setattr(HashTable, "find", counted)
+    kneser_ney._scored([b"a b " * 500], model)
+    # The words a and b and the end; contexts of one word are the start, a and b.
+    assert looked_up["word"] == looked_up["context2"] == 3
