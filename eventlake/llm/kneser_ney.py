@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from eventlake.llm.hash_table import HashTable, narrow, save_shard, save_values, shard_of
 from eventlake.llm.shared import prepare, scratch, stored
 from eventlake.llm.tokens import NOT_WHITE, Texts, as_bytes, chunks, mix
+from eventlake.session import settings
 
 ORDER = 3
 TOKENS_PER_SHARD = 1_500_000
@@ -87,8 +88,13 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
         raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     prepare(spark)
-    texts = docs.select("text")
-    folder = scratch(spark, "ngram-model")
+    # Every step's result is stored and read once, so its shuffle goes at its end. Else the files of
+    # all steps lie on the disks until the driver happens to collect its garbage.
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        return _built(docs.select("text"), order, scratch(spark, "ngram-model"))
+
+
+def _built(texts: DataFrame, order: int, folder: str) -> Model:
     vocabulary, tokens = _vocabulary(texts, folder)
     levels = []
     packed = texts.mapInArrow(_gram_counter(vocabulary, order, _shards(tokens)), _PACKED)

@@ -212,3 +212,17 @@ def test_repeated_words_and_their_contexts_are_looked_up_once(documents, monkeyp
     kneser_ney._scored([b"a b " * 500], model)
     # The words a and b and the end; contexts of one word are the start, a and b.
     assert looked_up["word"] == looked_up["context2"] == 3
+
+
+def test_training_leaves_no_shuffle_files(spark, documents):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    docs = documents([(i, f"a b w{i}") for i in range(50)])
+    before = shuffles()
+    kneser_ney.train(docs)
+    assert not shuffles() - before
