@@ -8,19 +8,27 @@ decide, and a smaller shard takes a wrong hash for one of its own with a chance
 The values of a row are one byte: the number of their combination among the shard's most frequent
 ones, or ``ESCAPE`` for a row of the list of exceptions. So one large count does not widen others.
 
-Tasks build shards; workers memory-map them and look batches of hashes up by binary search.
+Tasks build shards and append consecutive ones to one file, so that there are few files however
+many shards there are. Workers memory-map the files and look batches of hashes up by binary search,
+all shards of a file at once: a shard's size tells where its parts stand in the file.
 """
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 
-from eventlake.llm.shared import load_array, save_array
+from eventlake.llm.shared import appended, load_array, load_bytes, save_array
 
 ESCAPE = 255
 KEPT_BITS = 48
+# A table has about FILES files, and more only where one would hold more shards than SHARDS_OF_FILE.
+FILES = 64
+SHARDS_OF_FILE = 64
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _TAIL_BITS = np.uint64(16)
+_BOOK = 256
 
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -28,23 +36,71 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def shards_of_file(shards: int) -> int:
+    """Consecutive shards that share a file in a table of so many."""
+    return max(1, min(SHARDS_OF_FILE, -(-shards // FILES)))
+
+
 def save_shard(folder: str, name: str, number: int, hashes: np.ndarray, **values) -> None:
-    """Distinct hashes and one or more arrays of their values, none negative."""
-    spread = hashes * _FACTOR
-    order = np.argsort(spread)
-    spread = spread[order]
-    bits = _prefix_bits(len(hashes))
-    lead, top, tail = _split(spread, bits)
-    starts = np.searchsorted(lead, np.arange((1 << bits) + 1))
-    save_array(folder, f"{name}-{number}-start", narrow(starts))
-    save_array(folder, f"{name}-{number}-top", top)
-    save_array(folder, f"{name}-{number}-tail", tail)
-    _encode(folder, f"{name}-{number}", [v[order] for v in values.values()])
+    """A file of one shard: distinct hashes and arrays of their values, none negative."""
+    with ShardWriter(folder, name, number) as file:
+        file.add(hashes, **values)
 
 
 def save_values(folder: str, name: str, number: int, **values) -> None:
-    """A shard that is looked up by place alone."""
-    _encode(folder, f"{name}-{number}", list(values.values()))
+    """A file of one shard that is looked up by place alone."""
+    with ShardWriter(folder, name, number) as file:
+        file.add_values(**values)
+
+
+class ShardWriter:
+    """The files ``<folder>/<name>-<number>-*`` of consecutive shards, which are there at the end.
+
+    Shards are added in the order of their numbers; those without rows may be left out.
+    """
+
+    def __init__(self, folder: str, name: str, number: int):
+        self.folder, self.name = folder, f"{name}-{number}"
+        self.rows, self.exceptions = 0, []
+
+    def __enter__(self) -> ShardWriter:
+        self._files, self._open = {}, contextlib.ExitStack()
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        if kind is None and self.exceptions:
+            save_array(self.folder, f"{self.name}-more", _joined(self.exceptions))
+        self._open.__exit__(kind, error, trace)
+
+    def add(self, hashes: np.ndarray, **values) -> None:
+        """Distinct hashes and one or more arrays of their values, none negative."""
+        if not len(hashes):
+            return
+        spread = hashes * _FACTOR
+        order = np.argsort(spread)
+        spread = spread[order]
+        bits = _prefix_bits(len(hashes))
+        lead, top, tail = _split(spread, np.uint64(bits))
+        starts = np.searchsorted(lead, np.arange((1 << bits) + 1)).astype(np.uint32)
+        self._write("rows", starts, top, tail, np.zeros(len(tail) % 2, dtype=np.uint16))
+        self.add_values(**{n: v[order] for n, v in values.items()})
+
+    def add_values(self, **values) -> None:
+        columns = list(values.values())
+        if not len(columns[0]):
+            return
+        book, code, others = _encoded(columns)
+        self._write("values", book, code)
+        more = np.stack([others + self.rows, *(c[others] for c in columns)])
+        self.exceptions.append(narrow(more))
+        self.rows += len(code)
+
+    def _write(self, part: str, *arrays: np.ndarray) -> None:
+        if part not in self._files:
+            out = self._open.enter_context(appended(self.folder, f"{self.name}-{part}"))
+            self._files[part] = out
+        for array in arrays:
+            self._files[part].write(array.tobytes())
 
 
 def narrow(values: np.ndarray) -> np.ndarray:
@@ -54,19 +110,23 @@ def narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(next(t for t in types if top <= np.iinfo(t).max))
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts, axis=1, dtype=max(p.dtype for p in parts))
+
+
 def _prefix_bits(rows: int) -> int:
     return (rows >> 4).bit_length()
 
 
-def _split(spread: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _split(spread: np.ndarray, bits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The leading bits of spread hashes, and the kept bits after them: the first 32, the last 16."""
-    lead = spread >> np.uint64(64 - bits) if bits else np.zeros_like(spread)
-    kept = (spread << np.uint64(bits)) >> np.uint64(64 - KEPT_BITS)
+    lead = (spread >> np.uint64(1)) >> (np.uint64(63) - bits)
+    kept = (spread << bits) >> np.uint64(64 - KEPT_BITS)
     return lead.astype(np.int64), (kept >> _TAIL_BITS).astype(np.uint32), kept.astype(np.uint16)
 
 
-def _encode(folder: str, name: str, columns: list[np.ndarray]) -> None:
-    """Save the codes of the rows' values, their book and the exceptions."""
+def _encoded(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A book of the most frequent rows, every row's number in it and the rows it does not have."""
     # Small values of up to four columns make one number.
     key = np.zeros(len(columns[0]), dtype=np.uint32)
     small = np.ones(len(key), dtype=bool)
@@ -74,30 +134,48 @@ def _encode(folder: str, name: str, columns: list[np.ndarray]) -> None:
         small &= column < 256
         key |= (column & 0xFF).astype(np.uint32) << np.uint32(8 * i)
     found, times = np.unique(key[small], return_counts=True)
-    book = np.sort(found[np.argsort(-times, kind="stable")[:ESCAPE]])
-    at = np.searchsorted(book, key)
-    at[at == len(book)] = 0
-    known = small & (book[at] == key) if len(book) else small & False
-    save_array(folder, f"{name}-code", np.where(known, at, ESCAPE).astype(np.uint8))
-    parts = [(book >> np.uint32(8 * i)) & np.uint32(0xFF) for i in range(len(columns))]
-    save_array(folder, f"{name}-book", np.stack(parts).astype(np.uint8))
-    others = np.flatnonzero(~known)
-    save_array(folder, f"{name}-more", narrow(np.stack([others, *(c[others] for c in columns)])))
+    frequent = np.sort(found[np.argsort(-times, kind="stable")[:ESCAPE]])
+    at = np.searchsorted(frequent, key)
+    at[at == len(frequent)] = 0
+    known = small & (frequent[at] == key) if len(frequent) else small & False
+    book = np.zeros((len(columns), _BOOK), dtype=np.uint8)
+    for i, column in enumerate(book):
+        column[: len(frequent)] = (frequent >> np.uint32(8 * i)) & np.uint32(0xFF)
+    return book, np.where(known, at, ESCAPE).astype(np.uint8), np.flatnonzero(~known)
 
 
 class HashTable:
-    """Look-ups in the shards ``<folder>/<name>-<number>-*``.
+    """Look-ups in the files ``<folder>/<name>-<number>-*`` of ``per_file`` shards each.
 
     ``sizes`` has the rows of each shard; a row's place counts over all shards before it.
     ``value_names`` are the names of the values, in the order they were saved in.
     """
 
-    def __init__(self, folder: str, name: str, sizes: list[int], value_names: list[str]):
+    def __init__(
+        self, folder: str, name: str, sizes: list[int], value_names: list[str], per_file: int = 1
+    ):
         if len(value_names) > 4:
             raise ValueError("a table has at most four values")
         self.folder, self.name, self.value_names = folder, name, value_names
-        self.sizes = sizes
+        self.sizes, self.per_file = sizes, per_file
         self.starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+        # Where the parts of a shard stand in its file, in units of their own types.
+        rows = np.array(sizes, dtype=np.int64)
+        bits = np.array([_prefix_bits(int(n)) for n in sizes], dtype=np.int64)
+        some = rows > 0
+        heads = (1 << bits) + 1
+        self._bits = bits.astype(np.uint64)
+        self._row = self._in_file(rows)
+        self._start = self._in_file(np.where(some, heads + rows + (rows + 1) // 2, 0))
+        self._top = self._start + heads
+        self._tail = 2 * (self._top + rows)
+        self._book = self._in_file(np.where(some, _BOOK * len(value_names) + rows, 0))
+        self._code = self._book + _BOOK * len(value_names)
+
+    def _in_file(self, lengths: np.ndarray) -> np.ndarray:
+        """Sums of the lengths of the shards before each one in its file."""
+        before = np.cumsum(lengths) - lengths
+        return before - before[np.arange(len(lengths)) // self.per_file * self.per_file]
 
     def __len__(self) -> int:
         return int(self.starts[-1])
@@ -107,20 +185,22 @@ class HashTable:
 
         ``route`` gives the hashes that decide the shards, where those are not the keys.
         """
-        home = shard_of(hashes if route is None else route, len(self.sizes))
-        order = np.argsort(home.astype(np.uint16), kind="stable")
-        rows = np.bincount(home, minlength=len(self.sizes))
-        edges = np.concatenate(([0], np.cumsum(rows)))
-        hashes = hashes[order]
         place = np.full(len(hashes), -1, dtype=np.int64)
         values = [np.zeros(len(hashes), dtype=np.int64) for _ in names]
-        for number in np.flatnonzero(rows):
-            if not self.sizes[number]:
-                continue
-            hit, at = self._search(number, hashes[edges[number] : edges[number + 1]])
-            part = order[edges[number] + hit]
-            place[part] = at + self.starts[number]
-            for column, value in zip(values, self._values(number, at, names), strict=True):
+        home = shard_of(hashes if route is None else route, len(self.sizes))
+        order = np.argsort(home.astype(np.uint16), kind="stable")
+        home = home[order]
+        some = np.diff(self.starts)[home] > 0
+        if not some.all():
+            home, order = home[some], order[some]
+        lead, top, tail = _split(hashes[order] * _FACTOR, self._bits[home])
+        lead += self._start[home]
+        for number, here in self._files(home):
+            shard = home[here]
+            hit, at = self._search(number, shard, lead[here], top[here], tail[here])
+            shard, part = shard[hit], order[here][hit]
+            place[part] = at + self.starts[shard]
+            for column, value in zip(values, self._values(number, shard, at, names), strict=True):
                 column[part] = value
         return (place, *values)
 
@@ -128,53 +208,66 @@ class HashTable:
         """A value by place; 0 for places beyond the table."""
         home = np.searchsorted(self.starts, places, side="right") - 1
         found = np.zeros(len(places), dtype=np.int64)
-        for number in np.unique(home[home < len(self.sizes)]):
-            here = home == number
-            found[here] = self._values(number, places[here] - self.starts[number], [name])[0]
+        order = np.argsort(home, kind="stable")
+        order = order[: np.searchsorted(home, len(self.sizes), sorter=order)]
+        home = home[order]
+        for number, here in self._files(home):
+            shard, part = home[here], order[here]
+            at = places[part] - self.starts[shard]
+            found[part] = self._values(number, shard, at, [name])[0]
         return found
 
-    def _search(self, number: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the hashes a shard has, and where they stand in it."""
-        starts, tops, tails = (self._array(number, n) for n in ("start", "top", "tail"))
-        lead, top, tail = _split(hashes * _FACTOR, _prefix_bits(self.sizes[number]))
-        low, end = starts.take(lead).astype(np.int64), starts.take(lead + 1).astype(np.int64)
+    def _files(self, home: np.ndarray):
+        """The files of ascending shard numbers, and which of these each has."""
+        edges = np.arange(-(-len(self.sizes) // self.per_file) + 1) * self.per_file
+        edges = np.searchsorted(home, edges)
+        for number in np.flatnonzero(np.diff(edges)):
+            yield int(number), slice(edges[number], edges[number + 1])
+
+    def _search(self, number: int, shard, start, top, tail) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes their shards have, and where they stand in these."""
+        data = load_bytes(self.folder, f"{self.name}-{number}-rows")
+        words, halves = data.view(np.uint32), data.view(np.uint16)
+        first = self._top[shard]
+        low, end = first + words.take(start), first + words.take(start + 1)
         step = (1 << int((end - low).max(initial=0)).bit_length()) >> 1
         while step:
             # Places beyond the last are cut off by ``end``.
-            less = tops.take(low + (step - 1), mode="clip") < top
+            less = words.take(low + (step - 1), mode="clip") < top
             less &= low + step <= end
             low = low + less * step
             step >>= 1
         row = np.flatnonzero(low < end)
-        row = row[tops.take(low[row]) == top[row]]
+        row = row[words.take(low[row]) == top[row]]
+        to_tail = self._tail[shard] - first
         # Rows of one top are in the order of their tails; there is hardly ever more than one.
         while True:
             at = low[row]
-            found = tails.take(at)
+            found = halves.take(at + to_tail[row])
             before = found < tail[row]
             if not before.any():
                 same = found == tail[row]
-                return row[same], at[same]
+                row = row[same]
+                return row, at[same] - first[row]
             low[row] += before
             row = row[low[row] < end[row]]
-            row = row[tops.take(low[row]) == top[row]]
+            row = row[words.take(low[row]) == top[row]]
 
-    def _values(self, number: int, at: np.ndarray, names) -> list[np.ndarray]:
-        code = self._array(number, "code").take(at)
-        book, more = self._array(number, "book"), self._array(number, "more")
+    def _values(self, number: int, shard, at, names) -> list[np.ndarray]:
+        data = load_bytes(self.folder, f"{self.name}-{number}-values")
+        code = data.take(self._code[shard] + at)
+        entry = self._book[shard] + code
         escaped = np.flatnonzero(code == ESCAPE)
-        # In the type of the list, which is not copied then.
-        exception = np.searchsorted(more[0], at[escaped].astype(more.dtype))
+        if len(escaped):
+            more = np.asarray(load_array(self.folder, f"{self.name}-{number}-more"))
+            row = self._row[shard[escaped]] + at[escaped]
+            # In the type of the list, which is not copied then.
+            exception = np.searchsorted(more[0], row.astype(more.dtype))
         out = []
         for name in names:
             i = self.value_names.index(name)
-            if book.shape[1]:
-                value = book[i].take(code, mode="clip").astype(np.int64)
-            else:
-                value = np.zeros(len(at), dtype=np.int64)
-            value[escaped] = more[i + 1][exception]
+            value = data.take(entry + _BOOK * i).astype(np.int64)
+            if len(escaped):
+                value[escaped] = more[i + 1][exception]
             out.append(value)
         return out
-
-    def _array(self, number: int, name: str) -> np.ndarray:
-        return np.asarray(load_array(self.folder, f"{self.name}-{number}-{name}"))

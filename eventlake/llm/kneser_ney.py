@@ -1,14 +1,16 @@
 """LM scoring: an interpolated modified Kneser-Ney n-gram model.
 
 Counting is done in Spark, level by level. The model is a set of sorted hash arrays in the shared
-folder, one shard per part of the contexts, which workers memory-map to score whole texts.
+folder, one shard per part of the contexts, which workers memory-map to score whole texts. Shards
+grow in number with the corpus, each built within the memory of a task; the files they are appended
+to, which a look-up goes through one by one, hardly do (see ``hash_table``).
 
 * Tokens: A-Z lower-cased, runs of anything but white space, then one end per text. ``order - 1``
   starts stand before a text; they are contexts only.
 * Tokens become numbers by a sorted array of their 64-bit hashes (the vocabulary, with counts).
 * Every task sums its n-grams before they are dealt out by context, packed as compressed columns.
-  So a word pair on a third of all rows sends one row per task, and each reducer sees whole
-  contexts: it sums counts and derives each context's total and its n-grams seen once, twice,
+  So a word pair on a third of all rows sends one row per task, and each reducer, which takes the
+  shards of a file one after another, sees whole contexts: it sums counts and derives each context's total and its n-grams seen once, twice,
   three times or more. Distinct n-grams give the continuation counts of the next lower level.
 * Discounts come from the counts of counts of each level, in the usual closed form; where that is
   undefined or out of range (tiny corpora) they are 0.5, 1 and 1.5. Below level 1 stands the
@@ -24,8 +26,10 @@ probability 1 (there is nothing but the unknown word). Rows count as they come,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.hash_table import HashTable, narrow, save_shard, save_values, shard_of
+from eventlake.llm.hash_table import HashTable, ShardWriter, narrow, shard_of, shards_of_file
 from eventlake.llm.shared import prepare, scratch, stored
 from eventlake.llm.tokens import NOT_WHITE, Texts, as_bytes, chunks, mix
 from eventlake.session import settings
@@ -98,29 +102,27 @@ def _built(texts: DataFrame, order: int, folder: str) -> Model:
     vocabulary, tokens = _vocabulary(texts, folder)
     levels = []
     packed = texts.mapInArrow(_gram_counter(vocabulary, order, _shards(tokens)), _PACKED)
+    shards = _shards(tokens)
+    per_file = shards_of_file(shards)
     for k in range(order, 1, -1):
-        lower_shards = _shards(tokens) if k > 2 else len(vocabulary.sizes)
-        reduced = stored(
-            packed.groupBy("shard").applyInArrow(
-                _level_builder(folder, k, vocabulary, lower_shards),
-                "shard long, rows long, contexts long, ones long, twos long, threes long, "
-                "fours long, lower array<struct<shard:long,grams:binary,counts:binary>>",
-            ),
-            f"level-{k}",
-        )
-        sizes = reduced.drop("lower").collect()
+        lower = (shards, None) if k > 2 else (len(vocabulary.sizes), vocabulary)
+        build = _level_builder(folder, k, per_file, *lower)
+        reduced = stored(_by_file(packed, per_file, build, _LEVEL), f"level-{k}")
+        sizes = reduced.where("rows IS NOT NULL").drop("grams", "counts").collect()
         # All shards the n-grams were dealt over, also those that got none.
-        rows, contexts = [0] * _shards(tokens), [0] * _shards(tokens)
+        rows, contexts = [0] * shards, [0] * shards
         for r in sizes:
             rows[r["shard"]], contexts[r["shard"]] = r["rows"], r["contexts"]
         levels.append(
             Level(
-                _discounts(*(sum(r[c] for r in sizes) for c in ("ones", "twos", "threes", "fours"))),
-                HashTable(folder, f"gram{k}", rows, ["count"]),
-                HashTable(folder, f"context{k}", contexts, ["total", "one", "two", "more"]),
+                _discounts(*(sum(r[c] for r in sizes) for c in _SMALL)),
+                HashTable(folder, f"gram{k}", rows, ["count"], per_file),
+                HashTable(
+                    folder, f"context{k}", contexts, ["total", "one", "two", "more"], per_file
+                ),
             )
         )
-        packed = reduced.select(F.explode("lower").alias("l")).select("l.*")
+        packed = reduced.where("rows IS NULL").select("shard", "grams", "counts")
     levels.append(_lowest(packed, vocabulary, folder))
     return Model(order, tokens, vocabulary, tuple(reversed(levels)))
 
@@ -151,6 +153,35 @@ def _shards(tokens: int) -> int:
     return min(MAX_SHARDS, max(1, -(-tokens // TOKENS_PER_SHARD)))
 
 
+def _by_file(
+    frame: DataFrame, per_file: int, build: Callable[[Iterator[pa.RecordBatch]], Iterator], schema
+) -> DataFrame:
+    """What ``build`` makes of the rows of each task: whole files' shards in ascending order."""
+    file = F.expr(f"shard div {per_file}")
+    return frame.repartition(file).sortWithinPartitions("shard").mapInArrow(build, schema)
+
+
+def _files(batches: Iterator[pa.RecordBatch], per_file: int) -> Iterator[tuple[int, Iterator]]:
+    """Numbers of the files, and for each its shards: their numbers and the batches of their rows.
+
+    The batches of a shard come one by one, and must be taken before the next shard is.
+    """
+
+    def parts():
+        for batch in batches:
+            shard = batch["shard"].to_numpy()
+            edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                yield int(shard[a]), batch.slice(a, b - a)
+
+    def shards(of_file):
+        for number, of_shard in itertools.groupby(of_file, itemgetter(0)):
+            yield number, map(itemgetter(1), of_shard)
+
+    for number, of_file in itertools.groupby(parts(), lambda part: part[0] // per_file):
+        yield number, shards(of_file)
+
+
 def _vocabulary(texts: DataFrame, folder: str) -> tuple[HashTable, int]:
     """Distinct tokens and their counts, stored as the table ``word``."""
 
@@ -180,17 +211,21 @@ def _vocabulary(texts: DataFrame, folder: str) -> tuple[HashTable, int]:
     # The upper half of the hash scaled to the shards, as shard_of does.
     home = F.shiftrightunsigned(F.shiftrightunsigned("word", 32) * shards, 32)
 
-    def build(table: pa.Table) -> pa.Table:
-        words = table["word"].to_numpy().view(np.uint64)
-        number = int(shard_of(words[:1], shards)[0])
-        save_shard(folder, "word", number, words, count=table["n"].to_numpy())
-        return pa.table({"shard": [number], "rows": [len(words)]})
+    per_file = shards_of_file(shards)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, of_file in _files(batches, per_file):
+            with ShardWriter(folder, "word", number) as file:
+                for shard, parts in of_file:
+                    table = pa.Table.from_batches(parts)
+                    file.add(table["word"].to_numpy().view(np.uint64), count=table["n"].to_numpy())
+                    yield pa.record_batch({"shard": [shard], "rows": [len(table)]})
 
     sizes = [0] * shards
-    built = counted.groupBy(home.alias("shard")).applyInArrow(build, "shard long, rows long")
-    for r in built.collect():
+    homes = counted.select(home.alias("shard"), "word", "n")
+    for r in _by_file(homes, per_file, build, "shard long, rows long").collect():
         sizes[r["shard"]] = r["rows"]
-    return HashTable(folder, "word", sizes, ["count"]), tokens
+    return HashTable(folder, "word", sizes, ["count"], per_file), tokens
 
 
 def _sequences(texts: list[bytes], vocabulary: HashTable, order: int) -> tuple[np.ndarray, ...]:
@@ -283,84 +318,101 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(f"u{data[0]}")
 
 
-def _unpacked(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
-    grams, counts = [], []
-    for g, c in zip(table["grams"].to_pylist(), table["counts"].to_pylist(), strict=True):
-        columns = _unpack(g).reshape(k, -1).copy()
+def _unpacked(batch: pa.RecordBatch, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for g, c in zip(batch["grams"], batch["counts"], strict=True):
+        columns = _unpack(g.as_py()).reshape(k, -1).copy()
         columns[0] = np.cumsum(columns[0], dtype=columns.dtype)
-        grams.append(columns)
-        counts.append(_unpack(c).astype(np.int64))
-    return np.concatenate(grams, axis=1), np.concatenate(counts)
-
-
-def _level_builder(folder: str, k: int, vocabulary: HashTable, lower_shards: int):
-    """Reduce a shard of level k: store its arrays, return sizes and lower-level counts."""
-
-    def build(table: pa.Table) -> pa.Table:
-        number = table["shard"][0].as_py()
-        grams, counts = _summed(*_unpacked(table, k))
-        context = _context_hash(grams)
-        # N-grams are in the order of their words, so those of a context are neighbours.
-        edges = np.flatnonzero(np.diff(context, prepend=~context[:1]))
-        save_shard(folder, f"gram{k}", number, _row_hash(grams), count=counts)
-        save_shard(
-            folder,
-            f"context{k}",
-            number,
-            context[edges],
-            total=np.add.reduceat(counts, edges),
-            one=np.add.reduceat((counts == 1).astype(np.int64), edges),
-            two=np.add.reduceat((counts == 2).astype(np.int64), edges),
-            more=np.add.reduceat((counts > 2).astype(np.int64), edges),
-        )
-        lower = _summed(grams[1:], np.ones(len(counts), dtype=np.int64))
-        dealt = _dealt(*lower, lower_shards, by_word=vocabulary if k == 2 else None)
-        sizes = {"shard": number, "rows": len(counts), "contexts": len(edges)}
-        sizes |= {n: int((counts == i + 1).sum()) for i, n in enumerate(_SMALL)}
-        packed = [row for batch in dealt for row in batch.to_pylist()]
-        return pa.Table.from_pylist([sizes | {"lower": packed}], schema=_LEVEL_SCHEMA)
+        yield columns, _unpack(c.as_py()).astype(np.int64)
+
+
+def _level_builder(
+    folder: str, k: int, per_file: int, lower_shards: int, by_word: HashTable | None
+):
+    """Reduce shards of level k: store their arrays, return sizes and lower-level counts."""
+
+    def dealt(lower: _Grams) -> Iterator[pa.RecordBatch]:
+        for batch in _dealt(*lower.take(), lower_shards, by_word):
+            yield _level_row(batch.to_pylist()[0])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lower = _Grams(k - 1)
+        for number, of_file in _files(batches, per_file):
+            with (
+                ShardWriter(folder, f"gram{k}", number) as gram_file,
+                ShardWriter(folder, f"context{k}", number) as context_file,
+            ):
+                for shard, parts in of_file:
+                    pieces = [piece for part in parts for piece in _unpacked(part, k)]
+                    grams = np.concatenate([g for g, _ in pieces], axis=1)
+                    counts = np.concatenate([c for _, c in pieces])
+                    del pieces
+                    grams, counts = _summed(grams, counts)
+                    context = _context_hash(grams)
+                    # N-grams are in the order of their words, so those of a context are neighbours.
+                    edges = np.flatnonzero(np.diff(context, prepend=~context[:1]))
+                    gram_file.add(_row_hash(grams), count=counts)
+                    context_file.add(
+                        context[edges],
+                        total=np.add.reduceat(counts, edges),
+                        one=np.add.reduceat((counts == 1).astype(np.int64), edges),
+                        two=np.add.reduceat((counts == 2).astype(np.int64), edges),
+                        more=np.add.reduceat((counts > 2).astype(np.int64), edges),
+                    )
+                    sizes = {"shard": shard, "rows": len(counts), "contexts": len(edges)}
+                    yield _level_row(
+                        sizes | {n: int((counts == i + 1).sum()) for i, n in enumerate(_SMALL)}
+                    )
+                    if lower.add(grams[1:]):
+                        yield from dealt(lower)
+        yield from dealt(lower)
 
     return build
 
 
+def _level_row(row: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([row], schema=_LEVEL_SCHEMA)
+
+
 _SMALL = ("ones", "twos", "threes", "fours")
+# The sizes of a shard, or n-grams of the next lower level for one of its shards.
 _LEVEL_SCHEMA = pa.schema(
     [(n, pa.int64()) for n in ("shard", "rows", "contexts", *_SMALL)]
-    + [
-        (
-            "lower",
-            pa.list_(
-                pa.struct([("shard", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
-            ),
-        )
-    ]
+    + [("grams", pa.binary()), ("counts", pa.binary())]
+)
+_LEVEL = (
+    "shard long, rows long, contexts long, ones long, twos long, threes long, fours long, "
+    "grams binary, counts binary"
 )
 
 
 def _lowest(packed: DataFrame, vocabulary: HashTable, folder: str) -> Level:
-    """Continuation counts of single words, one array beside each shard of the vocabulary."""
-
-    def build(table: pa.Table) -> pa.Table:
-        number = table["shard"][0].as_py()
-        grams, counts = _unpacked(table, 1)
-        first, size = int(vocabulary.starts[number]), vocabulary.sizes[number]
-        dense = np.zeros(size, dtype=np.int64)
-        np.add.at(dense, grams[0].astype(np.int64) - first, counts)
-        save_values(folder, "gram1", number, count=dense)
-        row = {"shard": number, "rows": size, "total": int(dense.sum())}
-        row |= {n: int((dense == i + 1).sum()) for i, n in enumerate(_SMALL)}
-        row["more"] = int((dense > 2).sum())
-        return pa.Table.from_pylist([row])
+    """Continuation counts of single words, in arrays beside those of the vocabulary's shards."""
+    per_file = vocabulary.per_file
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, of_file in _files(batches, per_file):
+            with ShardWriter(folder, "gram1", number) as file:
+                for shard, parts in of_file:
+                    first, size = int(vocabulary.starts[shard]), vocabulary.sizes[shard]
+                    dense = np.zeros(size, dtype=np.int64)
+                    for part in parts:
+                        for grams, counts in _unpacked(part, 1):
+                            np.add.at(dense, grams[0].astype(np.int64) - first, counts)
+                    file.add_values(count=dense)
+                    row = {"shard": shard, "rows": size, "total": int(dense.sum())}
+                    row |= {n: int((dense == i + 1).sum()) for i, n in enumerate(_SMALL)}
+                    row["more"] = int((dense > 2).sum())
+                    yield pa.RecordBatch.from_pylist([row])
 
     schema = "shard long, rows long, total long, " + ", ".join(f"{n} long" for n in _SMALL)
-    rows = packed.groupBy("shard").applyInArrow(build, schema + ", more long").collect()
+    rows = _by_file(packed, per_file, build, schema + ", more long").collect()
     sums = {n: sum(r[n] for r in rows) for n in ("total", *_SMALL, "more")}
     sizes = [0] * len(vocabulary.sizes)
     for r in rows:
         sizes[r["shard"]] = r["rows"]
     return Level(
         _discounts(*(sums[n] for n in _SMALL)),
-        HashTable(folder, "gram1", sizes, ["count"]),
+        HashTable(folder, "gram1", sizes, ["count"], per_file),
         None,
         sums["total"],
         (sums["ones"], sums["twos"], sums["more"]),

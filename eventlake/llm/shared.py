@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import io
 import os
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,14 +101,32 @@ def file_system(uri: str) -> tuple[arrow_fs.FileSystem, str]:
 
 def save_array(folder: str, name: str, array: np.ndarray) -> None:
     """Write one array under ``folder``; a repeated task attempt replaces it by the same bytes."""
-    system, path = file_system(folder)
-    system.create_dir(path, recursive=True)
     buffer = io.BytesIO()
     np.save(buffer, array)
+    with appended(folder, f"{name}.npy") as out:
+        out.write(buffer.getbuffer())
+
+
+@contextlib.contextmanager
+def appended(folder: str, name: str) -> Iterator[pa.NativeFile]:
+    """A file under ``folder`` to write piece by piece; it is there once the block has ended well."""
+    system, path = file_system(folder)
+    system.create_dir(path, recursive=True)
     draft = f"{path}/.{name}-{uuid.uuid4().hex}"
     with system.open_output_stream(draft) as out:
-        out.write(buffer.getbuffer())
-    system.move(draft, f"{path}/{name}.npy")
+        yield out
+    system.move(draft, f"{path}/{name}")
+
+
+@functools.lru_cache(maxsize=8192)
+def load_bytes(folder: str, name: str) -> np.ndarray:
+    """Memory-map the bytes of a file where the shared folder is mounted; else read them."""
+    system, path = file_system(folder)
+    file = f"{path}/{name}"
+    if isinstance(system, arrow_fs.LocalFileSystem):
+        return np.asarray(np.memmap(file, dtype=np.uint8, mode="r"))
+    with system.open_input_stream(file) as source:
+        return np.frombuffer(source.read(), dtype=np.uint8)
 
 
 @functools.lru_cache(maxsize=4096)

@@ -4,7 +4,16 @@ import numpy as np
 import pytest
 
 from eventlake.llm import hash_table
-from eventlake.llm.hash_table import ESCAPE, HashTable, save_shard, save_values, shard_of
+from eventlake.llm.hash_table import (
+    ESCAPE,
+    FILES,
+    HashTable,
+    ShardWriter,
+    save_shard,
+    save_values,
+    shard_of,
+    shards_of_file,
+)
 
 
 @pytest.mark.parametrize("rows", [1, 15, 16, 300, 70_000])
@@ -55,3 +64,52 @@ def test_empty_shard_and_too_many_values(tmp_path):
     assert (place == -1).all() and (n == 0).all()
     with pytest.raises(ValueError, match="four"):
         HashTable(str(tmp_path), "e", [0], list("abcde"))
+
+
+def test_shards_of_a_file_are_looked_up_together(tmp_path):
+    draw = np.random.default_rng(7)
+    hashes = np.unique(draw.integers(0, 2**64, 4000, dtype=np.uint64))
+    draw.shuffle(hashes)
+    shards, per_file = 10, 4
+    # Shards of odd and even sizes, and some without rows: the first and a whole file.
+    home = shard_of(hashes, shards)
+    hashes = hashes[~np.isin(home, [0, 4, 5, 6, 7])]
+    absent, hashes = hashes[:300], hashes[300:]
+    home = shard_of(hashes, shards)
+    one = np.where(draw.random(len(hashes)) < 0.9, 1, draw.integers(0, 2**40, len(hashes)))
+    two = draw.integers(0, 400, len(hashes))
+    sizes = np.bincount(home, minlength=shards).tolist()
+    for number in range(0, shards, per_file):
+        with (
+            ShardWriter(str(tmp_path), "t", number // per_file) as file,
+            ShardWriter(str(tmp_path), "v", number // per_file) as by_place,
+        ):
+            for shard in range(number, min(number + per_file, shards)):
+                here = home == shard
+                if here.any():
+                    file.add(hashes[here], one=one[here], two=two[here])
+                    by_place.add_values(two=two[here])
+    table = HashTable(str(tmp_path), "t", sizes, ["one", "two"], per_file)
+    outside = np.arange(5, dtype=np.uint64)  # of the first shard
+    place, got_two, got_one = table.find(np.concatenate([hashes, absent, outside]), "two", "one")
+    n = len(hashes)
+    assert (got_one[:n] == one).all() and (got_two[:n] == two).all()
+    assert sorted(place[:n]) == list(range(n)) and (place[n:] == -1).all()
+    assert (table.at(place[:n], "two") == two).all()
+    values = HashTable(str(tmp_path), "v", sizes, ["two"], per_file)
+    ordered = two[np.argsort(home, kind="stable")]
+    assert (values.at(np.arange(n)[::-1], "two") == ordered[::-1]).all()
+
+
+def test_files_hardly_grow_with_the_shards():
+    for shards in (1, 63, 64, 65, 850, 4000):
+        assert -(-shards // shards_of_file(shards)) <= FILES
+    assert shards_of_file(64) == 1
+    assert shards_of_file(1_000_000) == hash_table.SHARDS_OF_FILE
+
+
+def test_no_file_of_a_writer_that_failed(tmp_path):
+    with pytest.raises(KeyError), ShardWriter(str(tmp_path), "f", 0) as file:
+        file.add(np.arange(9, dtype=np.uint64), n=np.arange(9) * 1000)
+        raise KeyError
+    assert not list(tmp_path.glob("f-*"))

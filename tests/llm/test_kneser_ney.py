@@ -1,6 +1,7 @@
 """The n-gram model against a plain version of the same definition."""
 
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,9 +10,10 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from eventlake.llm import kneser_ney
+from eventlake.llm import hash_table, kneser_ney
 from eventlake.llm.hash_table import HashTable
 from eventlake.llm.queries import QUERIES
+from eventlake.llm.shared import file_system
 
 DATA = Path("/root/testdata/sf0.001")
 START, END = object(), object()
@@ -226,3 +228,48 @@ def test_training_leaves_no_shuffle_files(spark, documents):
     before = shuffles()
     kneser_ney.train(docs)
     assert not shuffles() - before
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_look_ups_do_not_open_more_files_when_shards_grow(documents, monkeypatch, order):
+    # One token a shard: some hundred shards, which were as many times six files of each level.
+    monkeypatch.setattr(kneser_ney, "TOKENS_PER_SHARD", 1)
+    monkeypatch.setattr(kneser_ney, "WORDS_PER_SHARD", 1)
+    monkeypatch.setattr(hash_table, "FILES", 4)
+    texts = [f"w{i % 11} w{i % 7} v{i} w{i % 5}" for i in range(80)]
+    model = kneser_ney.train(documents(list(enumerate(texts))), order)
+    names = os.listdir(file_system(model.vocabulary.folder)[1])
+    kinds = Counter(re.sub(r"-\d+-", "-", n) for n in names if not n.startswith("."))
+    tables = {"word", *(f"gram{k}" for k in range(1, order + 1))}
+    assert len(model.levels[1].table.sizes) == 400
+    assert tables < {kind.split("-")[0] for kind in kinds}
+    # A file has 64 shards at most.
+    assert max(kinds.values()) <= 7
+    plain = Plain(texts, order)
+    probes = [*texts, "never w1", "w1 w1 v3", ""]
+    rows = kneser_ney.score(documents(list(enumerate(probes))), model).collect()
+    assert len(rows) == len(probes)
+    for row in rows:
+        assert row.score == pytest.approx(plain.score(probes[row.doc_id]), abs=1e-9)
+        assert row.base_score == pytest.approx(plain.base(probes[row.doc_id]), abs=1e-9)
+
+
+def test_lower_counts_of_many_shards_are_dealt_together(documents, monkeypatch):
+    # Each shard's went out alone, one row for every shard of the next level: the square of them.
+    monkeypatch.setattr(kneser_ney, "TOKENS_PER_SHARD", 10)
+    written = []
+    kept = kneser_ney.stored
+
+    def stored(frame, label):
+        out = kept(frame, label)
+        written.append((label, out))
+        return out
+
+    monkeypatch.setattr(kneser_ney, "stored", stored)
+    texts = [f"w{i % 11} w{i % 7} v{i} w{i % 5}" for i in range(80)]
+    kneser_ney.train(documents(list(enumerate(texts))), 3)
+    level = next(frame for label, frame in written if label == "level-3")
+    shards = level.where("rows IS NOT NULL").count()
+    assert shards > 20
+    # The session shuffles to two tasks.
+    assert level.where("rows IS NULL").count() <= 2 * 40
