@@ -2,11 +2,13 @@
 
 A shard's rows are ordered by their hashes, spread over the whole range by an odd factor. The
 leading bits of a spread hash are not stored: a table of where each of their values begins implies
-them, with 8 to 16 rows to a value. The next 48 bits are kept, so from 2**20 rows on all 64 bits
-decide, and a smaller shard takes a wrong hash for one of its own with a chance below 2**-44.
+them, with 8 to 16 rows to a value. The next 56 bits are kept, so from 2**12 rows on all 64 bits
+decide, and a smaller shard takes a wrong hash for one of its own with a chance below 2**-52.
 
-The values of a row are one byte: the number of their combination among the shard's most frequent
-ones, or ``ESCAPE`` for a row of the list of exceptions. So one large count does not widen others.
+The values of a row are one byte, which makes 8 with the kept bits: the number of their combination
+among the shard's most frequent ones, or ``ESCAPE`` for a row of the list of exceptions. So one
+large count does not widen others, and a look-up in a large table touches two places of memory, the
+beginning of its rows and these rows.
 
 Tasks build shards and append consecutive ones to one file, so that there are few files however
 many shards there are. Workers memory-map the files and look batches of hashes up by binary search,
@@ -22,12 +24,12 @@ import numpy as np
 from eventlake.llm.shared import appended, load_array, load_bytes, save_array
 
 ESCAPE = 255
-KEPT_BITS = 48
+KEPT_BITS = 56
 # A table has about FILES files, and more only where one would hold more shards than SHARDS_OF_FILE.
 FILES = 64
 SHARDS_OF_FILE = 64
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_TAIL_BITS = np.uint64(16)
+_CODE = np.uint64(0xFF)
 _BOOK = 256
 
 
@@ -78,22 +80,24 @@ class ShardWriter:
             return
         spread = hashes * _FACTOR
         order = np.argsort(spread)
-        spread = spread[order]
         bits = _prefix_bits(len(hashes))
-        lead, top, tail = _split(spread, np.uint64(bits))
-        starts = np.searchsorted(lead, np.arange((1 << bits) + 1)).astype(np.uint32)
-        self._write("rows", starts, top, tail, np.zeros(len(tail) % 2, dtype=np.uint16))
-        self.add_values(**{n: v[order] for n, v in values.items()})
+        lead, kept = _split(spread[order], np.uint64(bits))
+        starts = np.searchsorted(lead, np.arange(_heads(bits))).astype(np.uint32)
+        code = self._coded([v[order] for v in values.values()])
+        self._write("rows", starts, kept | code)
 
     def add_values(self, **values) -> None:
         columns = list(values.values())
-        if not len(columns[0]):
-            return
+        if len(columns[0]):
+            self._write("code", self._coded(columns))
+
+    def _coded(self, columns: list[np.ndarray]) -> np.ndarray:
         book, code, others = _encoded(columns)
-        self._write("values", book, code)
+        self._write("book", book)
         more = np.stack([others + self.rows, *(c[others] for c in columns)])
         self.exceptions.append(narrow(more))
         self.rows += len(code)
+        return code
 
     def _write(self, part: str, *arrays: np.ndarray) -> None:
         if part not in self._files:
@@ -118,11 +122,15 @@ def _prefix_bits(rows: int) -> int:
     return (rows >> 4).bit_length()
 
 
-def _split(spread: np.ndarray, bits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The leading bits of spread hashes, and the kept bits after them: the first 32, the last 16."""
+def _heads(bits):
+    """Beginnings of all values of the leading bits and the end, filled up to an even number."""
+    return ((1 << bits) + 2) // 2 * 2
+
+
+def _split(spread: np.ndarray, bits) -> tuple[np.ndarray, np.ndarray]:
+    """The leading bits of spread hashes, and the kept bits after them, above a byte of zeros."""
     lead = (spread >> np.uint64(1)) >> (np.uint64(63) - bits)
-    kept = (spread << bits) >> np.uint64(64 - KEPT_BITS)
-    return lead.astype(np.int64), (kept >> _TAIL_BITS).astype(np.uint32), kept.astype(np.uint16)
+    return lead.astype(np.int64), (spread << bits) & ~_CODE
 
 
 def _encoded(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,14 +171,12 @@ class HashTable:
         rows = np.array(sizes, dtype=np.int64)
         bits = np.array([_prefix_bits(int(n)) for n in sizes], dtype=np.int64)
         some = rows > 0
-        heads = (1 << bits) + 1
+        heads = _heads(bits)
         self._bits = bits.astype(np.uint64)
         self._row = self._in_file(rows)
-        self._start = self._in_file(np.where(some, heads + rows + (rows + 1) // 2, 0))
-        self._top = self._start + heads
-        self._tail = 2 * (self._top + rows)
-        self._book = self._in_file(np.where(some, _BOOK * len(value_names) + rows, 0))
-        self._code = self._book + _BOOK * len(value_names)
+        self._start = self._in_file(np.where(some, heads + 2 * rows, 0))
+        self._first = (self._start + heads) // 2
+        self._book = self._in_file(np.where(some, _BOOK * len(value_names), 0))
 
     def _in_file(self, lengths: np.ndarray) -> np.ndarray:
         """Sums of the lengths of the shards before each one in its file."""
@@ -193,14 +199,15 @@ class HashTable:
         some = np.diff(self.starts)[home] > 0
         if not some.all():
             home, order = home[some], order[some]
-        lead, top, tail = _split(hashes[order] * _FACTOR, self._bits[home])
+        lead, kept = _split(hashes[order] * _FACTOR, self._bits[home])
         lead += self._start[home]
         for number, here in self._files(home):
             shard = home[here]
-            hit, at = self._search(number, shard, lead[here], top[here], tail[here])
+            hit, at, code = self._search(number, self._first[shard], lead[here], kept[here])
             shard, part = shard[hit], order[here][hit]
             place[part] = at + self.starts[shard]
-            for column, value in zip(values, self._values(number, shard, at, names), strict=True):
+            found = self._values(number, shard, at, code, names)
+            for column, value in zip(values, found, strict=True):
                 column[part] = value
         return (place, *values)
 
@@ -214,7 +221,7 @@ class HashTable:
         for number, here in self._files(home):
             shard, part = home[here], order[here]
             at = places[part] - self.starts[shard]
-            found[part] = self._values(number, shard, at, [name])[0]
+            found[part] = self._values(number, shard, at, self._codes(number, shard, at), [name])[0]
         return found
 
     def _files(self, home: np.ndarray):
@@ -224,38 +231,32 @@ class HashTable:
         for number in np.flatnonzero(np.diff(edges)):
             yield int(number), slice(edges[number], edges[number + 1])
 
-    def _search(self, number: int, shard, start, top, tail) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the hashes their shards have, and where they stand in these."""
+    def _search(self, number: int, first, start, kept) -> tuple[np.ndarray, ...]:
+        """Which of the hashes their shards have, where they stand in these, and the rows' codes."""
         data = load_bytes(self.folder, f"{self.name}-{number}-rows")
-        words, halves = data.view(np.uint32), data.view(np.uint16)
-        first = self._top[shard]
-        low, end = first + words.take(start), first + words.take(start + 1)
+        heads, rows = data.view(np.uint32), data.view(np.uint64)
+        low, end = first + heads.take(start), first + heads.take(start + 1)
         step = (1 << int((end - low).max(initial=0)).bit_length()) >> 1
         while step:
-            # Places beyond the last are cut off by ``end``.
-            less = words.take(low + (step - 1), mode="clip") < top
+            # Places beyond the last are cut off by ``end``; codes do not change the order.
+            less = rows.take(low + (step - 1), mode="clip") < kept
             less &= low + step <= end
-            low = low + less * step
+            low += less * step
             step >>= 1
-        row = np.flatnonzero(low < end)
-        row = row[words.take(low[row]) == top[row]]
-        to_tail = self._tail[shard] - first
-        # Rows of one top are in the order of their tails; there is hardly ever more than one.
-        while True:
-            at = low[row]
-            found = halves.take(at + to_tail[row])
-            before = found < tail[row]
-            if not before.any():
-                same = found == tail[row]
-                row = row[same]
-                return row, at[same] - first[row]
-            low[row] += before
-            row = row[low[row] < end[row]]
-            row = row[words.take(low[row]) == top[row]]
-
-    def _values(self, number: int, shard, at, names) -> list[np.ndarray]:
-        data = load_bytes(self.folder, f"{self.name}-{number}-values")
-        code = data.take(self._code[shard] + at)
+        code = rows.take(low, mode="clip") ^ kept
+        hit = np.flatnonzero((low < end) & (code <= _CODE))
+        return hit, (low - first)[hit], code[hit].astype(np.uint8)
+
+    def _codes(self, number: int, shard, at) -> np.ndarray:
+        try:
+            data = load_bytes(self.folder, f"{self.name}-{number}-code")
+        except FileNotFoundError:  # not a table by place alone
+            rows = load_bytes(self.folder, f"{self.name}-{number}-rows").view(np.uint64)
+            return rows.take(self._first[shard] + at).astype(np.uint8)
+        return data.take(self._row[shard] + at)
+
+    def _values(self, number: int, shard, at, code, names) -> list[np.ndarray]:
+        data = load_bytes(self.folder, f"{self.name}-{number}-book")
         entry = self._book[shard] + code
         escaped = np.flatnonzero(code == ESCAPE)
         if len(escaped):

@@ -16,8 +16,8 @@ to, which a look-up goes through one by one, hardly do (see ``hash_table``).
   undefined or out of range (tiny corpora) they are 0.5, 1 and 1.5. Below level 1 stands the
   uniform distribution over the vocabulary and one unknown word, so probabilities sum to 1.
 
-Contexts, like words, are told apart by 64-bit hashes (48 bits and the place in small shards, see
-``hash_table``). The model grows with the corpus: about 8 bytes for each distinct n-gram of level 2
+Contexts, like words, are told apart by 64-bit hashes (56 bits and the place in small shards, see
+``hash_table``). The model grows with the corpus: 8 to 9 bytes for each distinct n-gram of level 2
 and more, and as many for each distinct context.
 
 Defined cases: a null or empty text is one end token. No training text: every token has
